@@ -56,7 +56,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     pair = np.flatnonzero(row[1:] == row[:-1]) if len(row) > 1 else np.zeros(0, np.int64)
     triple = np.flatnonzero(row[2:] == row[:-2]) if len(row) > 2 else np.zeros(0, np.int64)
     same = pair[h[pair] == h[pair + 1]]
-    tag = lambda x, k: mix(x + U(k) * U(0x9E3779B97F4A7C15))
+    tag = lambda x, k: mix(x + U(k * 0x9E3779B97F4A7C15 % (1 << 64)))
     blocks = [
         (row, tag(h, 1), 0), (row[pair], tag(h[pair] * U(3) + mix(h[pair + 1]), 2), 0),
         (row, tag(g, 3), 1), (row[pair], tag(g[pair] * U(3) + mix(g[pair + 1]), 4), 1),
