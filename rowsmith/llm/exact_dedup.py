@@ -6,12 +6,11 @@ until each document has a single name. A name of level k stands for one sequence
 most 2**k blocks and for no other, so (level, name) is equal exactly for equal texts:
 no hash decides anything.
 
-Naming sorts the blocks and takes for each run of equal ones the smallest position
-number (row and place of the block) as its name. It does so in two steps to stay even
-when a third of all blocks are equal: first inside (block, salt), which leaves one
-representative of a block per salt, then among the representatives. Block contents
-cross the network twice, all later levels move integers. Each level is written as a
-table, so a lost executor never costs more than one level.
+Naming sorts the blocks and takes for each run of equal ones the smallest place number
+as its name. Blocks cross the network once for it. A block that is very frequent (at most
+``HOT_BLOCKS`` can be) is first split by a salt and named inside (block, salt); one
+representative per salt then gets the common name, and this small table is joined back.
+Each level is written as a table, so a lost executor never costs more than one level.
 
 Edge cases: null and empty texts are one text of no blocks, equal to each other; a
 null doc_id stays only if its group has no other id; of repeated rows with the largest
@@ -27,8 +26,11 @@ from pyspark.sql import functions as F
 from rowsmith.llm._io import materialize, text_of
 
 BLOCK_BYTES = 4096
-#: Parts that a run of equal blocks is first split into.
+#: Parts that a run of very many equal blocks is first split into.
 SALTS = 256
+#: A block is hot if it is among this many most frequent ones and occurs often enough to matter.
+HOT_BLOCKS = 1024
+HOT_COUNT = 2000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -37,16 +39,24 @@ def normalised(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def named(rows: DataFrame, content: list[str], place: str, salts: int = SALTS) -> DataFrame:
+def named(rows: DataFrame, content: list[str], place: str, hot_count: int = HOT_COUNT) -> DataFrame:
     """``rows`` with ``name`` in place of the columns ``content``: the smallest ``place`` of an equal content.
 
-    ``place`` numbers the rows uniquely."""
+    ``place`` numbers the rows uniquely. Fingerprints only pick the contents that are split; names come from contents."""
     kept = [c for c in rows.columns if c not in content]
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(place), F.lit(salts)))
-    local = salted.withColumn("_local", F.min(place).over(Window.partitionBy(*content, "_salt")))
-    chosen = local.where(F.col("_local") == F.col(place)).select(*content, F.col("_local").alias("_rep"))
+    rows = rows.withColumn("_print", F.xxhash64(*content))
+    counts = rows.groupBy("_print").agg(F.count("*").alias("_n")).where(F.col("_n") >= hot_count)
+    hot = counts.orderBy(F.col("_n").desc(), "_print").limit(HOT_BLOCKS)
+    prints = [r[0] for r in hot.select("_print").collect()]  # at most HOT_BLOCKS numbers
+    if not prints:
+        return rows.withColumn("name", F.min(place).over(Window.partitionBy(*content))).select(*kept, "name")
+    salt = F.when(F.col("_print").isin(prints), F.pmod(F.xxhash64(place), F.lit(SALTS)) + 1).otherwise(0)
+    local = rows.withColumn("_salt", salt).withColumn("_local", F.min(place).over(Window.partitionBy(*content, "_salt")))
+    # One representative of a hot content per salt: at most HOT_BLOCKS * SALTS rows.
+    chosen = local.where((F.col("_salt") > 0) & (F.col("_local") == F.col(place))).select(*content, F.col("_local").alias("_rep"))
     names = chosen.withColumn("name", F.min("_rep").over(Window.partitionBy(*content))).select("_rep", "name")
-    return local.select(*kept, "_local").join(names, F.col("_local") == F.col("_rep")).select(*kept, "name")
+    out = local.select(*kept, "_local").join(F.broadcast(names), F.col("_local") == F.col("_rep"), "left")
+    return out.select(*kept, F.coalesce("name", "_local").alias("name"))
 
 
 def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -81,13 +91,16 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = identities(docs, block_bytes)
+    rows = materialize(identities(docs, block_bytes), "identities")
     best = F.struct("doc_id", (-F.col("row")).alias("first"))
     groups = rows.groupBy("level", "name").agg(F.max(best).alias("best"), F.count("*").alias("group_size"))
-    groups = groups.select(F.col("level").alias("l"), F.col("name").alias("n"), "best", "group_size")
-    out = rows.join(groups, (F.col("level") == F.col("l")) & (F.col("name") == F.col("n")))
-    kept = (F.col("best.first") == -F.col("row")).alias("kept")
-    return out.select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", kept, "text_sha256", "row")
+    # Only groups of several; written, so that the join can split a large group's rows over tasks.
+    groups = materialize(groups.where("group_size > 1").select(F.col("level").alias("l"), F.col("name").alias("n"), "best", "group_size"), "copies")
+    out = rows.join(groups, (F.col("level") == F.col("l")) & (F.col("name") == F.col("n")), "left")
+    alone = F.col("best").isNull()
+    kept = alone | (F.col("best.first") == -F.col("row"))
+    keep_id = F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id"))
+    return out.select("doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), kept.alias("kept"), "text_sha256", "row")
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
