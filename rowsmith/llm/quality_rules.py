@@ -42,13 +42,16 @@ STEPS = 4
 #: ordinary documents stay whatever the true law of a statistic is.
 CUTOFF = 80.0
 #: Transformed statistics and the least standard deviation each is given.
-FLOORS = {"word_length": 0.10, "symbols": 0.35, "repeats": 0.08, "capitals": 0.06, "punctuation": 0.08, "dup_lines": 0.10, "variety": 0.10}
-_COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_punct", "n_lines", "n_distinct"]
+FLOORS = {"word_length": 0.10, "symbols": 0.35, "repeats": 0.08, "capitals": 0.06, "punctuation": 0.08, "dup_lines": 0.10, "variety": 0.10, "bare": 0.04}
+_COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_punct", "n_lines", "n_distinct", "n_bare"]
 
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS)] = True
 _IS_UPPER = np.zeros(256, bool)
 _IS_UPPER[65:91] = True
+_IS_SIGN = np.zeros(256, bool)
+_IS_SIGN[33:128] = True
+_IS_SIGN[48:58] = _IS_SIGN[65:91] = _IS_SIGN[97:123] = False
 _IS_PUNCT = np.zeros(256, bool)
 _IS_PUNCT[list(b"!?;:()[]{}\"=_/\\~^+@")] = True
 
@@ -83,6 +86,8 @@ def count_texts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     for k in range(3):
         covered[triple[again] + k] = True
     earlier_word, _ = _seen_before(h, row)
+    signs = np.concatenate([[0], np.cumsum(_IS_SIGN[data])])
+    bare = signs[ends] - signs[starts] == ends - starts
 
     # Lines: pieces between newlines and row ends that have a word. One newline cut off a line is enough to tell it.
     newline = np.flatnonzero(data == 10)
@@ -102,7 +107,7 @@ def count_texts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return {
         "n_words": by_row(row), "word_chars": np.bincount(row, lengths, n).astype(np.int64), "n_symbols": of_bytes(_IS_SYMBOL[data]),
         "n_dup_lines": by_row(line_row[earlier_line]), "n_repeat_words": by_row(row[covered]), "n_upper": of_bytes(_IS_UPPER[data]),
-        "n_punct": of_bytes(_IS_PUNCT[data]), "n_lines": by_row(line_row), "n_distinct": by_row(row[~earlier_word]),
+        "n_punct": of_bytes(_IS_PUNCT[data]), "n_lines": by_row(line_row), "n_distinct": by_row(row[~earlier_word]), "n_bare": by_row(row[bare]),
     }
 
 
@@ -128,13 +133,15 @@ def transformed() -> dict[str, Column]:
     letters = F.greatest(F.col("word_chars"), F.lit(1)).cast("double")
     return {
         "word_length": F.log(F.col("word_chars") / n + 0.01),
-        "symbols": F.log((F.col("n_symbols") + 1.0) / (n + 50.0)) + F.log1p(F.lit(0.0)),
+        "symbols": F.log((F.col("n_symbols") + 1.0) / (n + 50.0)),
         "repeats": root(F.col("n_repeat_words") / n),
         "capitals": root(F.col("n_upper") / letters),
         "punctuation": root(F.col("n_punct") / letters),
         "dup_lines": root(F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))),
         # Distinct words against what a text of this length has: type-token ratio on a Herdan scale.
         "variety": F.log(F.greatest(F.col("n_distinct"), F.lit(1)).cast("double")) / F.log(n + 1.0),
+        # Words of signs only.
+        "bare": root(F.col("n_bare") / n),
     }
 
 
