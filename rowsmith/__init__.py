@@ -1,0 +1 @@
+"""rowsmith: record reconciliation and load planning on Spark DataFrames."""
