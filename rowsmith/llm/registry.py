@@ -72,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": sql.SECRETS, "op4_warc": warc.SQL, "op7_near_dedup": sql.NEAR, "op8_exact_dedup": exact_dedup.SQL, "op10_mixing": mixing.SQL}
+    return {"op1_secret_scan": sql.secrets_sql(), "op4_warc": warc.SQL, "op7_near_dedup": sql.NEAR, "op8_exact_dedup": exact_dedup.SQL, "op10_mixing": mixing.SQL}
