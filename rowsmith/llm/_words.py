@@ -9,7 +9,6 @@ prefix sums, then mixed; cost is a few array operations a byte.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +25,16 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-@lru_cache(maxsize=2)
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """base**0, base**1, ... of at least ``n`` entries; one array per base, grown as needed."""
+    if base not in _POWERS or len(_POWERS[base]) < n:
+        out = np.full(1 << max(16, (n - 1).bit_length()), base, U)
+        out[0] = 1
+        _POWERS[base] = np.multiply.accumulate(out)
+    return _POWERS[base]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -82,14 +86,14 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 4 * CHUNK) -> np.ndarray:
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = CHUNK) -> np.ndarray:
     """64-bit hashes of data[start:end]; spans in order of start. Memory follows ``block`` and the longest span."""
     out = np.empty(len(starts), U)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + block, "right")))
         lo, hi = int(starts[i]), int(ends[i:j].max())
-        size = 1 << max(16, (hi - lo + 1).bit_length())
+        size = hi - lo + 1
         part = np.zeros(hi - lo + 1, U)
         np.cumsum((data[lo:hi].astype(U) + U(1)) * _powers(size, BASE)[: hi - lo], out=part[1:])
         s, e = starts[i:j] - lo, ends[i:j] - lo
