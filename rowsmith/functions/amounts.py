@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from rowsmith.functions.text import text
 
@@ -39,12 +40,12 @@ def price(c: Column) -> Column:
     return F.replace(F.trim(text(c)), F.lit(","), F.lit(".")).try_cast("double")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _money(v: pd.Series) -> pd.Series:
     return v.map(lambda x: None if pd.isna(x) else (f"{int(x)}" if x == int(x) else f"{x:.2f}"))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _cents(v: pd.Series) -> pd.Series:
     return v.map(lambda x: None if pd.isna(x) else f"{x:.2f}")
 

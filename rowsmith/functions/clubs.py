@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from rowsmith import config as C
 from rowsmith.functions.text import among, joined, squeeze, strip, text, tokens
@@ -27,7 +28,7 @@ def strip_invisible(c: Column) -> Column:
     return F.regexp_replace(text(c), r"\p{Cf}", "")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _folded(s: pd.Series) -> pd.Series:
     out = s.fillna("").map(lambda x: "".join(ch for ch in unicodedata.normalize("NFKD", x) if not unicodedata.combining(ch)))
     return out
