@@ -25,12 +25,12 @@ def product_tokens(cell: Column) -> Column:
     return F.filter(F.transform(parts, clean), lambda t: t != "")
 
 
-def top_tier(book: DataFrame, families: DataFrame, noise: str, ties: str = "src_pos") -> DataFrame:
-    """(family, product ...): for each family prefix the dearest product that isn't a noise variant, else the dearest; the first on ties."""
-    j = families.select("family").distinct().join(book, F.startswith(F.lower("product"), F.lower("family")))
-    rest = F.trim(F.expr("substring(product, length(family) + 1)"))
+def top_tier(book: DataFrame, prefixes: DataFrame, noise: str, ties: str = "src_pos") -> DataFrame:
+    """Book rows with ``prefix``: for each prefix the dearest product that isn't a noise variant, else the dearest; the first on ties."""
+    j = prefixes.select("prefix").distinct().join(book, F.startswith(F.lower("product"), F.lower("prefix")))
+    rest = F.trim(F.expr("substring(product, length(prefix) + 1)"))
     j = j.withColumn("noisy", rest.rlike(noise))
-    return first_by(j, ["family"], [F.col("noisy"), F.col("list_price").desc(), F.col(ties)]).drop("noisy")
+    return first_by(j, ["prefix"], [F.col("noisy"), F.col("list_price").desc(), F.col(ties)]).drop("noisy")
 
 
 def family_products(book: DataFrame, conf: C.Products) -> DataFrame:
@@ -50,8 +50,8 @@ def family_products(book: DataFrame, conf: C.Products) -> DataFrame:
     wide = F.contains("low", F.lit("league wide"))
     tier = F.when(F.col("low") == F.concat(F.lit(conf.sport_family.lower() + " "), F.lower("sport"), F.lit(" credits for league wide usage")), 1).when(wide, 2).otherwise(3)
     by_sport = j.select(F.lit(conf.sport_family).alias("target"), "sport", tier.alias("tier"), F.col("src_pos").alias("product_pos"))
-    others = targets.where(F.col("target") != conf.sport_family).select(F.col("target").alias("family"))
-    tops = top_tier(b, others, conf.noise).select(F.col("family").alias("target"), F.lit("").alias("sport"), F.lit(4).alias("tier"), F.col("src_pos").alias("product_pos"))
+    others = targets.where(F.col("target") != conf.sport_family).select(F.col("target").alias("prefix"))
+    tops = top_tier(b, others, conf.noise).select(F.col("prefix").alias("target"), F.lit("").alias("sport"), F.lit(4).alias("tier"), F.col("src_pos").alias("product_pos"))
     every = named.unionByName(by_sport).unionByName(tops)
     return first_by(every, ["target", "sport"], [F.col("tier"), F.col("product_pos")]).select("target", "sport", "tier", "product_pos")
 
@@ -102,7 +102,7 @@ def with_fallback(lines: DataFrame, keys: DataFrame, book: DataFrame, conf: C.Pr
     """Lines, and for keys with an amount but no line the top product of the fallback family."""
     conf = conf or C.Products()
     spark = book.sparkSession
-    top = top_tier(first_wins(book, ["product"]), spark.createDataFrame([(conf.fallback_family,)], "family string"), conf.noise).drop("family").withColumnRenamed("src_pos", "product_pos")
+    top = top_tier(first_wins(book, ["product"]), spark.createDataFrame([(conf.fallback_family,)], "prefix string"), conf.noise).drop("prefix").withColumnRenamed("src_pos", "product_pos")
     bare = keys.where("total_arr > 0").join(lines.select("key").distinct(), "key", "left_anti").select("key")
     extra = bare.crossJoin(F.broadcast(top.limit(1))).withColumns({"token_pos": F.lit(0), "token": F.lit(""), "note": F.lit("fallback"), "duplicate": F.lit(False), "step": F.lit(9), "line": F.lit(1)})
     return lines.unionByName(extra.select(*lines.columns))

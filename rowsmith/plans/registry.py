@@ -318,10 +318,9 @@ def override_priority(spark, d):
 @query("""select p_type as family, arg_min(p_partkey, (case when regexp_matches(p_name, '\\bred\\b') then 1 else 0 end, -p_retailprice, p_partkey)) as product_key from part group by 1""")
 def top_tier(spark, d):
     """The dearest part of each type whose name isn't a noise variant."""
-    b = T(spark, d, "part").select(F.concat("p_type", F.lit(" "), "p_name").alias("product"), F.col("p_retailprice").alias("list_price"), F.col("p_partkey").alias("src_pos"), "p_type")
-    types = b.select(F.col("p_type").alias("family")).distinct()
-    j = types.join(b, F.col("family") == F.col("p_type")).withColumn("noisy", F.expr("substring(product, length(family) + 1)").rlike(r"\bred\b"))
-    return entities.first_by(j, ["family"], [F.col("noisy"), F.col("list_price").desc(), F.col("src_pos")]).select("family", F.col("src_pos").alias("product_key"))
+    b = T(spark, d, "part").select(F.concat("p_type", F.lit(" "), "p_name").alias("product"), F.col("p_retailprice").alias("list_price"), F.col("p_partkey").alias("src_pos"))
+    types = T(spark, d, "part").select(F.col("p_type").alias("prefix")).distinct()
+    return products.top_tier(b, types, r"\bred\b").select(F.col("prefix").alias("family"), F.col("src_pos").alias("product_key"))
 
 
 @query("""with l as (select l_orderkey as key, l_partkey, l_linenumber, l_extendedprice, o_totalprice, count(*) over (partition by l_orderkey) as n, sum(l_extendedprice) over (partition by l_orderkey) as s from lineitem join orders on l_orderkey = o_orderkey)

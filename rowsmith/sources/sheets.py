@@ -43,7 +43,8 @@ def squeezed(label: str | None) -> str:
 
 
 def read_rows(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
-    """(src_pos, cells): all rows of a CSV or xlsx sheet, in order, position 1 being the first."""
+    """(src_pos, cells): all rows of a CSV or xlsx sheet, in order, position 1 being the first.
+    Lines of a CSV file without even a comma aren't rows."""
     if path.lower().endswith(".xlsx"):
         return read_xlsx(spark, path, sheet)
     width = 1 + max((line.count(",") for line in _head(spark, path)), default=0)
