@@ -37,7 +37,9 @@ LEAF = 512
 #: Tokens of each side in a join's first window.
 WINDOW = 4
 #: Cached words of one worker.
-CACHE = 1 << 18
+CACHE = 1 << 19
+#: Texts of these signs normalise alike here and in the library: composed Latin letters, plain white space.
+_SIMPLE = re.compile("[\t-\r\x20-\x7e\xa1-\u017e]*")
 
 
 class TreeEncoder:
@@ -50,7 +52,11 @@ class TreeEncoder:
         self.leaf, self.window = leaf, window
         self.added = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.cache: dict[str, tuple[int, str]] = {}
+        # Without a decoder the library joins tokens by spaces, so words decode one by one.
+        self.plain = self.tok.decoder is None
+        norm = json.loads(self.tok.to_str())["normalizer"] or {}
+        self.simple = [n["type"] for n in norm.get("normalizers", [norm])] == ["NFC", "Replace", "Lowercase"]
+        self.cache: dict[str, tuple[int, str, str]] = {}
         self.agreed: dict[tuple[int, int], bool] = {}
         self._open: Tokenizer | None = None
         self.end = self.tok.model.end_of_word_suffix or ""
@@ -104,52 +110,53 @@ class TreeEncoder:
                 return a + middle + b
             k *= 2
 
-    def pre_token(self, piece: str) -> list[int]:
-        """Ids of one pre-token (in the model's alphabet), as a tree if it is long."""
+    def pre_token(self, piece: str) -> list[tuple[int, str]]:
+        """Tokens of one pre-token (in the model's alphabet), as a tree if it is long."""
         if len(piece) <= self.leaf:
-            return [t[0] for t in self._model(piece)]
+            return self._model(piece)
         parts = [piece]
         while len(parts[0]) > self.leaf:
             parts = [x for p in parts for x in (p[: len(p) // 2], p[len(p) // 2 :])]
         nodes = [*self._inner(parts[:-1]), self._model(parts[-1])]
         while len(nodes) > 1:
             nodes = [self._join(nodes[i], nodes[i + 1], i + 2 == len(nodes)) for i in range(0, len(nodes), 2)]
-        return [t[0] for t in nodes[0]]
+        return nodes[0]
 
     # -- texts
-    def _word(self, word: str) -> tuple[int, str]:
-        """Number of ids and the ids' line of a normalised piece without spaces. White space
-        separates pre-tokens and is dropped, so such pieces are independent."""
-        known = self.cache.get(word)
-        if known is None:
-            ids = [i for piece, _ in self.tok.pre_tokenizer.pre_tokenize_str(word) for i in self.pre_token(piece)]
-            known = (len(ids), " ".join(map(str, ids)))
-            if len(word) <= 64:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[word] = known
+    def _word(self, word: str) -> tuple[int, str, str]:
+        """Number of ids, the ids' line and the decoded line of a normalised piece without spaces.
+        White space separates pre-tokens and is dropped, so such pieces are independent."""
+        tokens = [t for piece, _ in self.tok.pre_tokenizer.pre_tokenize_str(word) for t in self.pre_token(piece)]
+        known = (len(tokens), " ".join([str(i) for i, _ in tokens]), " ".join([v for _, v in tokens]))
+        if len(word) <= 64:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            self.cache[word] = known
         return known
 
-    def encode(self, text: str) -> tuple[int, str]:
-        """Number of ids, and the ids in decimal, joined by one space."""
-        if self.cut is not None and self.cut.search(text):
-            parts = self.cut.split(text)
-        else:
-            parts = [text]
-        n, out = 0, []
-        for part in parts:
+    def _words(self, part: str) -> list[str]:
+        """The normalised text between white space."""
+        if self.simple and _SIMPLE.fullmatch(part):
+            return part.lower().split()
+        return [w for w in self.tok.normalizer.normalize_str(part).split(" ") if w] if part else []
+
+    def both(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, the ids in decimal joined by one space, and the decoded text."""
+        n, ids, back = 0, [], []
+        for part in self.cut.split(text) if self.cut is not None and self.cut.search(text) else (text,):
             if part in self.added:
-                n += 1
-                out.append(str(self.added[part]))
-                continue
-            word = self._word
-            for w in self.tok.normalizer.normalize_str(part).split(" ") if part else ():
-                if w:
-                    count, ids = word(w)
-                    n += count
-                    if count:
-                        out.append(ids)
-        return n, " ".join(out)
+                found = [(1, str(self.added[part]), part)]
+            else:
+                known = self.cache.get
+                found = [known(w) or self._word(w) for w in self._words(part)]
+            n += sum([f[0] for f in found])
+            ids += [f[1] for f in found if f[0]]
+            back += [f[2] for f in found if f[0]]
+        line = " ".join(ids)
+        return n, line, " ".join(back) if self.plain else self.decode([int(x) for x in line.split()])
+
+    def encode(self, text: str) -> tuple[int, str]:
+        return self.both(text)[:2]
 
     def decode(self, ids: list[int]) -> str:
         return self.tok.decode(ids, skip_special_tokens=False)
@@ -170,10 +177,10 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             n, ids, back = [], [], []
             for t in batch.column(1):
-                count, line = enc.encode(t.as_py() or "")
+                count, line, decoded = enc.both(t.as_py() or "")
                 n.append(count)
                 ids.append(line)
-                back.append(enc.decode([int(x) for x in line.split()]))
+                back.append(decoded)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids string, decoded string")
@@ -188,10 +195,10 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             n, ids, back = [], [], []
             for t in batch.column(1):
-                count, line = enc.encode(t.as_py() or "")
+                count, line, decoded = enc.both(t.as_py() or "")
                 n.append(count)
                 ids.append(hashlib.sha256(line.encode()).hexdigest())
-                back.append(hashlib.sha256(enc.decode([int(x) for x in line.split()]).encode()).hexdigest())
+                back.append(hashlib.sha256(decoded.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -313,13 +313,13 @@ def test_bpe_equals_the_library(tokenizer, leaf):
     from tokenizers import Tokenizer
 
     lib, own, rng = Tokenizer.from_file(tokenizer), bpe.TreeEncoder(tokenizer, leaf=leaf, window=1), random.Random(9)
-    texts = ["", " ", "don't we'll", "<|endoftext|>x<|startoftext|>", "<|ENDOFTEXT|>", "é́   \x1cfoo\x85bar 日本語 👩‍👩‍👧 İ", "x" * 3000, "ab" * 900 + " c", "!" * 999, "日本" * 700, "the" * 500 + "7" * 90]
+    texts = ["", " ", "don't we'll", "<|endoftext|>x<|startoftext|>", "<|ENDOFTEXT|>", "é́   \x1cfoo\x85bar 日本語 👩‍👩‍👧 İ", "x" * 3000, "ab" * 900 + " c", "!" * 999, "日本" * 700, "ÀÉ Œuvre Ÿ ſ µ\xa0ŉ\x1cA\x7fB \xadC ĳ", "the" * 500 + "7" * 90]
     texts += ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(1, 4000))) for _ in range(20)]
     for t in texts:
         want = lib.encode(t, add_special_tokens=False).ids
         n, line = own.encode(t)
         assert (n, line) == (len(want), " ".join(map(str, want)))
-        assert own.decode(want) == lib.decode(want, skip_special_tokens=False)
+        assert own.both(t)[2] == own.decode(want) == lib.decode(want, skip_special_tokens=False)
 
 
 def test_bpe_table(spark, tokenizer):
