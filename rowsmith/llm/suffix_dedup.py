@@ -11,13 +11,18 @@ Every byte covered by a string of ``LENGTH`` bytes that starts anywhere else, to
    before it, LENGTH from it on). Equal windows of an anchor are told by digest and
    counted; a window that occurs twice is repeated as a whole. Of an anchor with
    different windows one copy of each is fetched.
-4. Shards of such windows, all windows of an anchor in one shard, are concatenated, and
-   their suffix array and permuted common prefixes tell which strings stand at two
-   places. Strings at one place of one text, seen through two windows, don't count.
+4. All such windows of an anchor come to one task, which handles about ``STREAM`` bytes at a
+   time. Windows are first parted by the bytes that all strings starting in one of
+   ``RANGES`` ranges share: a part that no other window has can hold no repeated string,
+   and parts that are equal are repeated as a whole. What is left, parts that agree in
+   the middle and differ at the ends, is concatenated, and its suffix array and permuted
+   common prefixes tell which strings stand at two places. (Where more than ``SORTED``
+   parts agree in the middle, their ranges are halved first.) Strings at one place of one
+   text, seen through two windows, don't count.
 5. The spans found go back to all texts with that window, are united, and removed.
 
 Anchors and windows are dealt by hash after counts have been added up on the map side.
-A task builds arrays of about ``SHARD`` bytes at a time. An anchor with more than
+An anchor with more than
 ``SPLIT`` different windows is not gathered: its windows are halved by the side of the
 anchor that strings start on and told apart by the context that all those strings share,
 again and again, until groups are small; nothing is left out by that.
@@ -36,33 +41,46 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsmith.llm._io import materialize, small_batches
-from rowsmith.llm._words import U, hash_spans, mix, texts
+from rowsmith.llm._io import bucketed, materialize, small_batches
+from rowsmith.llm._words import BASE, BASE_INV, U, _powers, hash_spans, mix, texts
 from rowsmith.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH = 200
-GRAM = 32
-#: Bytes of one suffix array.
-SHARD = 1 << 21
+GRAM = 96
+#: Bytes of one suffix array, and of windows printed at once.
+SHARD = 1 << 20
+#: Bytes of windows taken from the stream at a time.
+STREAM = 1 << 23
+#: Parts that agree in the middle up to which their suffixes are sorted together.
+SORTED = 512
+#: Ranges of starts that a window is parted into before suffixes are sorted.
+RANGES = 21
 #: Different windows of one anchor up to which they are gathered.
-SPLIT = 4096
+SPLIT = 1 << 16
 
 _TABLE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 # ---------------------------------------------------------------- anchors
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """64-bit hash of each gram-byte string of data (gram a power of two)."""
-    h = _TABLE[data]
-    size = 1
-    while size < gram:
-        h = h[:-size] * U(0x9FB21C651E98DF25 | 1) + (h[size:] ^ (h[size:] >> U(29)))
-        h ^= h >> U(32)
-        size *= 2
-    return h
+    """64-bit hash of each gram-byte string of data, put together from strings of powers of two."""
+
+    def joined(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+        """Of a's strings, ``size`` long, and b's that follow them."""
+        n = min(len(a), len(b) - size)
+        h = a[:n] * U(0x9FB21C651E98DF25) + (b[size : size + n] ^ (b[size : size + n] >> U(29)))
+        return h ^ (h >> U(32))
+
+    power, size, out, done = _TABLE[data], 1, None, 0
+    while size <= gram:
+        if gram & size:
+            out, done = (power, size) if out is None else (joined(out, power, done), done + size)
+        power, size = joined(power, power, size), 2 * size
+    return out
 
 
 def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
@@ -119,35 +137,52 @@ def _poly(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: np.ndarr
 _SHUFFLED = np.random.default_rng(12).permutation(256).astype(np.uint8)
 
 
+def _places(batch: pa.RecordBatch, at: int, offsets: np.ndarray, lists: int, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and values of a list column for the texts from ``at`` on."""
+    part = batch.column(lists).slice(at, len(offsets) - 1)
+    rows = np.repeat(np.arange(len(part)), part.value_lengths().to_numpy(zero_copy_only=False))
+    return rows, part.flatten()
+
+
 def _window_rows(batches: Iterable[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
     """Of (key, copies, text, anchors, places): the windows, each with its digests."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            data = np.frombuffer(batch.column(2)[i].as_py().encode(), np.uint8)
-            h = batch.column(3)[i].values.to_numpy(zero_copy_only=False)
-            place = batch.column(4)[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
-            order = np.argsort(place, kind="stable")
-            place, h, n = place[order], h[order], len(place)
-            lo, hi = np.maximum(0, place - (length - gram)), np.minimum(len(data), place + length)
-            d1, d2 = _poly(data, lo, hi, place - lo)
-            same = lambda c, t, n=n, i=i, batch=batch: pa.array([batch.column(c)[i].as_py()], t).take(pa.array(np.zeros(n, np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(d1), pa.array(d2), same(0, pa.binary()), same(1, pa.int64()), *[pa.array(x.astype(np.int32)) for x in (place, lo, hi)]], names=["anchor", "d1", "d2", "key", "copies", "place", "lo", "hi"])
+        for at, data, offsets in texts(batch.column(2)):
+            row, anchor = _places(batch, at, offsets, 3, "anchors")
+            place = _places(batch, at, offsets, 4, "places")[1].to_numpy(zero_copy_only=False).astype(np.int64)
+            order = np.lexsort((place, row))
+            row, place, anchor = row[order], place[order], anchor.take(pa.array(order))
+            begin, end = offsets[row], offsets[row + 1]
+            lo, hi = np.maximum(begin, begin + place - (length - gram)), np.minimum(end, begin + place + length)
+            d1, d2 = _poly(data, lo, hi, begin + place - lo)
+            take = pa.array(row + at)
+            small = [pa.array(x.astype(np.int32)) for x in (place, lo - begin, hi - begin)]
+            yield pa.RecordBatch.from_arrays([anchor, pa.array(d1), pa.array(d2), batch.column(0).take(take), batch.column(1).take(take), *small], names=["anchor", "d1", "d2", "key", "copies", "place", "lo", "hi"])
 
 
 _WINDOW = "anchor long, d1 long, d2 long, key binary, copies long, place int, lo int, hi int"
 
 
+def _cut(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
+    """data[start:stop] of each pair as a binary array."""
+    size = stop - start
+    offs = np.concatenate([[0], np.cumsum(size)])
+    index = np.arange(offs[-1]) + np.repeat(start - offs[:-1], size)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offs.astype(np.int32)), pa.py_buffer(data[index])])
+
+
 def _fetched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (key, text, wanted windows): one row a window, with its bytes."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            data = batch.column(1)[i].as_py().encode()
-            key = batch.column(0)[i].as_py()
-            rows = [(w["anchor"], key, w["lo"], w["place"] - w["lo"], w["n"] > 1, data[w["lo"] : w["hi"]]) for w in batch.column(2)[i].as_py()]
-            for at in range(0, len(rows), 4096):
-                kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
-                columns = zip(*rows[at : at + 4096], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["group", "key", "lo", "at", "many", "window"])
+        for at, data, offsets in texts(batch.column(1)):
+            row, wanted = _places(batch, at, offsets, 2, "wanted")
+            number = lambda f, w=wanted: w.field(f).to_numpy(zero_copy_only=False).astype(np.int64)
+            lo, hi, n, place = number("lo"), number("hi"), number("n"), number("place")
+            for k in range(0, len(row), 4096):
+                s = slice(k, k + 4096)
+                start = offsets[row[s]]
+                columns = [wanted.field("anchor")[s], batch.column(0).take(pa.array(row[s] + at)), pa.array(lo[s].astype(np.int32)), pa.array((place[s] - lo[s]).astype(np.int32)), pa.array(n[s] > 1), _cut(data, start + lo[s], start + hi[s])]
+                yield pa.RecordBatch.from_arrays(columns, names=["group", "key", "lo", "at", "many", "window"])
 
 
 _CONTENT = "group long, key binary, lo int, at int, many boolean, window binary"
@@ -189,20 +224,114 @@ def repeated_starts(windows: list[bytes], many: np.ndarray, owner: np.ndarray, b
     return number[at], off[at]
 
 
+def _merged(w: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans united inside each window: touching or overlapping ones become one."""
+    order = np.lexsort((lo, w))
+    w, lo, hi = w[order], lo[order], hi[order]
+    base = w * (1 << 33)
+    reach = np.maximum.accumulate(base + hi)
+    new = np.ones(len(w), bool)
+    new[1:] = base[1:] + lo[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(w)) - 1
+    return w[first], lo[first], reach[last] - base[first]
+
+
+class _Prints:
+    """Fingerprints of parts of one byte array, each in constant time."""
+
+    def __init__(self, data: np.ndarray):
+        size = len(data) + 1
+        self.down = _powers(size, BASE_INV)
+        sums = lambda d: np.concatenate([np.zeros(1, U), np.cumsum(_ONE_UP[d] * _powers(size, BASE)[: len(d)])])
+        self.a, self.b = sums(data), sums(_SHUFFLED[data])
+
+    def rough(self, start: np.ndarray, stop: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        return mix((self.a[stop] - self.a[start]) * self.down[start] + salt)
+
+    def of(self, start: np.ndarray, stop: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        d = self.down[start]
+        return mix(mix((self.a[stop] - self.a[start]) * d + salt) + mix((self.b[stop] - self.b[start]) * d) * U(3) + (stop - start).astype(U))
+
+
+_ONE_UP = np.arange(1, 257, dtype=np.uint64)
+
+
+def _parts(data: np.ndarray, first: np.ndarray, size: np.ndarray, group: np.ndarray, at: np.ndarray, part: tuple[np.ndarray, ...], length: int) -> tuple[np.ndarray, ...]:
+    """Of parts (window, starts from al to be, sure): the same and begin, end, prints of the shared bytes and of the whole.
+
+    Parts without any start drop out. Windows are printed about a megabyte at a time, however large their group is."""
+    out, spare, w = [], length - GRAM, part[0]
+    cut = [*np.searchsorted(first[w], np.arange(0, len(data) + 1, SHARD)).tolist(), len(w)]
+    for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+        x, al, be, sure = (c[lo:hi] for c in part)
+        begin, end = np.maximum(0, at[x] - spare + al), np.minimum(size[x], at[x] - spare + be - 1 + length)
+        ok = end - begin >= length
+        if not ok.any():
+            continue
+        x, al, be, sure, begin, end = (c[ok] for c in (x, al, be, sure, begin, end))
+        base = first[x[0]]
+        prints = _Prints(data[base : first[x[-1]] + size[x[-1]]])
+        here = first[x] - base
+        core = prints.rough(here + at[x] - spare + be - 1, here + at[x] - spare + al + length, mix(group[x].view(U) + al.astype(U) * U(256) + be.astype(U)))
+        out.append((x, al, be, sure, begin, end, core, prints.of(here + begin, here + end, core + (at[x] - begin).astype(U))))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (w[:0],) * 8
+
+
+def _runs(core: np.ndarray, size: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Places of whole groups of equal ``core``, about ``most`` bytes at a time."""
+    order = np.argsort(core, kind="stable")
+    new = np.concatenate([[True], core[order][1:] != core[order][:-1]])
+    before = np.concatenate([[0], np.cumsum(size[order])[:-1]])
+    shard = np.maximum.accumulate(np.where(new, before // most, 0))
+    yield from np.split(order, np.flatnonzero(np.diff(shard)) + 1)
+
+
 def _shard(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
-    """The repeated spans of one shard's windows. Windows known to be repeated as a whole are only partners here."""
-    windows = rows.column("window").to_pylist()
-    owner = rows.column("key").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
-    many = rows.column("many").to_numpy()
-    begin = rows.column("lo").to_numpy().astype(np.int64)
-    w, off = repeated_starts(windows, many, owner, begin, length)
-    w, off = w[~many[w]], off[~many[w]]
-    if not len(w):
+    """The repeated spans of some anchors' windows. Windows known to be repeated as a whole are only partners here."""
+    column = lambda c: rows.column(c).combine_chunks()
+    window = column("window").cast(pa.large_binary())
+    offs = np.frombuffer(window.buffers()[1], np.int64, len(window) + 1, window.offset * 8)
+    data = np.frombuffer(window.buffers()[2], np.uint8)[offs[0] : offs[-1]]
+    first, size = offs[:-1] - offs[0], np.diff(offs)
+    group, at, many, lo = (column(c).to_numpy(zero_copy_only=False) for c in ("group", "at", "many", "lo"))
+    owner = column("key").dictionary_encode().indices.to_numpy().astype(np.int64)
+    at, lo, n = at.astype(np.int64), lo.astype(np.int64), len(size)
+    edges = np.arange(RANGES + 1) * (length - GRAM + 1) // RANGES
+    part = (np.repeat(np.arange(n), RANGES), np.tile(edges[:-1], n), np.tile(edges[1:], n), np.repeat(many, RANGES))
+    spans = []
+    while len(part[0]):
+        w, al, be, sure, begin, end, core, whole = _parts(data, first, size, group, at, part, length)
+        if not len(w):
+            break
+        _, of, count = np.unique(core, return_inverse=True, return_counts=True)
+        w, al, be, sure, begin, end, core, whole = (x[count[of] > 1] for x in (w, al, be, sure, begin, end, core, whole))
+        # Equal parts are repeated as a whole; one of them stays as a partner of unequal ones.
+        _, one, of, count = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+        known = count > 1
+        np.logical_or.at(known, of, sure)
+        x = np.flatnonzero(known[of] & ~sure) if len(of) else of
+        spans.append((w[x], begin[x], end[x]))
+        # Parts that agree in the middle and differ at the ends are sorted by suffix; where very many do, halved first.
+        _, cof, kinds = np.unique(core[one], return_inverse=True, return_counts=True)
+        few, crowd = (np.flatnonzero(m) for m in ((kinds[cof] > 1) & (kinds[cof] <= SORTED), kinds[cof] > SORTED))
+        for k in _runs(core[one[few]], end[one[few]] - begin[one[few]], SHARD) if len(few) else ():
+            pick, sure_ = one[few[k]], known[few[k]]
+            start, stop = first[w[pick]] + begin[pick], first[w[pick]] + end[pick]
+            found, off = repeated_starts([data[a:b].tobytes() for a, b in zip(start.tolist(), stop.tolist(), strict=True)], sure_, owner[w[pick]], lo[w[pick]] + begin[pick], length)
+            found, off = found[~sure_[found]], off[~sure_[found]]
+            spans.append((w[pick][found], begin[pick][found] + off, begin[pick][found] + off + length))
+        c = one[crowd]
+        mid = (al[c] + be[c]) // 2
+        part = (np.concatenate([w[c], w[c]]), np.concatenate([al[c], mid]), np.concatenate([mid, be[c]]), np.concatenate([known[crowd]] * 2))
+        order = np.argsort(part[0], kind="stable")
+        part = tuple(x[order] for x in part)
+        keep = part[1] < part[2]
+        part = tuple(x[keep] for x in part)
+    if not spans or not sum(len(x[0]) for x in spans):
         return
-    cut = np.flatnonzero((np.diff(w) != 0) | (np.diff(off) > length))
-    first, last = np.concatenate([[0], cut + 1]), np.append(cut, len(w) - 1)
-    a, b = begin[w[first]] + off[first], begin[w[first]] + off[last] + length
-    yield pa.RecordBatch.from_arrays([rows.column("key").take(pa.array(w[first])).combine_chunks(), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["key", "a", "b"])
+    sw, sa, sb = _merged(*(np.concatenate(x) for x in zip(*spans, strict=True)))
+    yield pa.RecordBatch.from_arrays([rows.column("key").take(pa.array(sw)).combine_chunks(), pa.array((lo[sw] + sa).astype(np.int32)), pa.array((lo[sw] + sb).astype(np.int32))], names=["key", "a", "b"])
 
 
 def _sorted_shards(batches: Iterable[pa.RecordBatch], length: int, size: int) -> Iterator[pa.RecordBatch]:
@@ -306,11 +435,11 @@ def repeated_spans(docs: DataFrame, split: int = SPLIT) -> tuple[DataFrame, Data
     counted = text.mapInArrow(lambda it: _anchor_rows(it, False), "anchor long").groupBy("anchor").count()
     twice = materialize(counted.where("count > 1").select("anchor"), "anchors")
     placed = text.mapInArrow(lambda it: _anchor_rows(it, True), "anchor long, key binary, place int")
-    hits = placed.join(twice, "anchor").distinct()
-    by_text = hits.groupBy("key").agg(F.collect_list(F.struct("anchor", "place")).alias("hits"))
+    hits = placed.join(twice, "anchor")
+    by_text = hits.groupBy("key").agg(F.collect_set(F.struct("anchor", "place")).alias("hits"))
     by_text = by_text.select("key", F.col("hits.anchor").alias("anchors"), F.col("hits.place").alias("places"))
     distinct = text.withColumn("key", _text_key()).groupBy("key").agg(F.count("*").alias("copies"), F.max("text").alias("text"))
-    hit = materialize(distinct.join(by_text, "key"), "hit-texts")
+    hit = bucketed(distinct.join(by_text, "key"), "key", "hit-texts")
 
     windows = hit.select("key", "copies", "text", "anchors", "places").mapInArrow(lambda it: _window_rows(it, LENGTH, GRAM), _WINDOW)
     kinds = windows.groupBy("anchor", "d1", "d2").agg(F.sum("copies").alias("n"), F.min(F.struct("key", "place", "lo", "hi")).alias("one"))
@@ -321,14 +450,15 @@ def repeated_spans(docs: DataFrame, split: int = SPLIT) -> tuple[DataFrame, Data
     mixed = materialize(kinds.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"), "mixed-anchors")
     wanted = kinds.join(mixed, "anchor").groupBy("one.key").agg(F.collect_list(F.struct("anchor", "n", "one.place", "one.lo", "one.hi")).alias("wanted"))
     content = hit.select("key", "text").join(wanted, "key").mapInArrow(_fetched, _CONTENT)
-    crowded = mixed.where(F.col("size") > split)
+    # Written, so that its size is known: few enough anchors are broadcast, else both sides are dealt.
+    crowded = materialize(mixed.where(F.col("size") > split).select(F.col("anchor").alias("group")), "crowded")
     if crowded.take(1):
         content = materialize(content, "window-bytes")
-        small, found = _halved(content.join(crowded.select(F.col("anchor").alias("group")), "group"), split)
-        content = content.join(crowded.select(F.col("anchor").alias("group")), "group", "left_anti").unionByName(small)
+        small, found = _halved(content.join(crowded, "group"), split)
+        content = content.join(crowded, "group", "left_anti").unionByName(small)
         spans = spans.unionByName(found)
     shards = content.repartition("group").sortWithinPartitions("group", "key", "lo")
-    spans = spans.unionByName(shards.mapInArrow(lambda it: _sorted_shards(it, LENGTH, SHARD), _SPAN))
+    spans = spans.unionByName(shards.mapInArrow(lambda it: _sorted_shards(it, LENGTH, STREAM), _SPAN))
     return hit, spans
 
 
