@@ -42,8 +42,10 @@ ROLES = frozenset("alert banner complementary contentinfo dialog form menu menub
 #: Starting one of these ends an open p.
 CLOSES_P = BLOCKS - {"caption", "td", "th", "tr", "tbody", "thead", "tfoot", "html", "body"}
 _BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banners?|breadcrumbs?|comments?|consent|cookies?|disqus|dropdown|foot|footer|footers|gdpr|head|header|login|masthead|menus?|modal|nav|navbar|navigation|newsletter|notices?|pagination|popups?|promos?|promotion|related|replies|search|share|sharing|sidebars?|signup|skip|social|sponsors?|sponsored|subscribe|teasers?|toolbar|widgets?)(?:$|[\s_-])"
+    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banners?|breadcrumbs?|comments?|consent|cookies?|disqus|dropdown|foot|footer|footers|gdpr|login|menus?|modal|nav|navbar|navigation|newsletter|notices?|pagination|popups?|promos?|promotion|related|replies|search|share|sharing|sidebars?|signup|skip|social|sponsors?|sponsored|subscribe|teasers?|toolbar|widgets?)(?:$|[\s_-])"
 )
+#: Names of a page's head; inside the article they name its title block.
+_HEAD = re.compile(r"(?:^|[\s_-])(?:head|header|headers|masthead)(?:$|[\s_-])")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 
@@ -80,8 +82,10 @@ class Lines(HTMLParser):
                 continue
             if k == "role" and v.lower() in ROLES:
                 return True
-            if k in ("class", "id") and tag not in ("html", "body", "article", "main") and tag not in HEADINGS and _BOILERPLATE.search(_CAMEL.sub("-", v).lower()):
-                return True
+            if k in ("class", "id") and tag not in ("html", "body", "article", "main") and tag not in HEADINGS:
+                name = _CAMEL.sub("-", v).lower()
+                if _BOILERPLATE.search(name) or not inside and _HEAD.search(name):
+                    return True
         return False
 
     def handle_starttag(self, tag, attrs):

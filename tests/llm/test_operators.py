@@ -64,7 +64,7 @@ PAGE = """<html><head><title>T</title><style>p{{}}</style></head><body><header><
 
 
 def test_html_text():
-    body = "<article><h1>Head &amp; all</h1><p>One <b>bold</b> word.<br>Next\n line &eacute;.<p>Of.</p></article>"
+    body = "<article><div class='entry-header'><h1>Head &amp; all</h1></div><p>One <b>bold</b> word.<br>Next\n line &eacute;.<p>Of.</p></article>"
     assert html_text.main_text(PAGE.format(body=body)) == "Head & all One bold word. Next line é. Of."
     plain = '<div class="page"><div class="text"><p>' + "A long paragraph of text. " * 8 + "</p><p>" + "Another long one, too. " * 8 + '</p></div><div class="sidebar"><a>x</a><a>y</a></div></div>'
     out = html_text.main_text(PAGE.format(body=plain))
