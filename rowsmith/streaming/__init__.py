@@ -1,0 +1 @@
+"""Grouped deals kept up to date from arriving rows."""
