@@ -66,27 +66,26 @@ def substring_containment(a: DataFrame, b: DataFrame, least: int = 8) -> DataFra
     return one.unionByName(contained(b, a, least).select(F.col("inner").alias("a"), F.col("outer").alias("b"))).distinct()
 
 
-def set_overlap(a: DataFrame, b: DataFrame, percent: int = 80, least: int = 2) -> DataFrame:
-    """(a, b, common) of (id, words) whose common words are at least ``percent`` of the larger set.
+def set_overlap(a: DataFrame, b: DataFrame, percent: int = 80, least: int = 2, once: bool = False) -> DataFrame:
+    """(a, b, common) of (id, words) whose common words are at least ``percent`` of the larger set; with ``once``, a < b only.
 
     Prefix filter: with words in order of rarity, two such sets share one of each one's first
-    size - ceil(percent * size) + 1 words; only those meet, then the test is exact."""
+    size - ceil(percent * size) + 1 words. Ids and sizes meet on those; the sets themselves are
+    fetched for the pairs that met, and tested exactly."""
     a, b = a.where(F.size("words") >= least), b.where(F.size("words") >= 1)
     counts = a.select(F.explode("words").alias("w")).unionByName(b.select(F.explode("words").alias("w"))).groupBy("w").agg(F.count("*").alias("n"))
 
-    def ordered(df):
-        each = df.select("id", F.explode("words").alias("w")).join(counts, "w")
-        return each.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "w"))), lambda x: x["w"]).alias("words"))
-
-    def prefix(df, i):
-        size = F.size("words")
-        keep = size - F.ceil(size * percent / 100).cast("int") + 1
-        return ordered(df).select(F.col("id").alias(i), F.col("words").alias(f"w{i}"), F.explode(F.slice("words", F.lit(1), keep)).alias("w"))
-
-    pairs = prefix(a, "a").join(prefix(b, "b"), "w")
-    larger, smaller = F.greatest(F.size("wa"), F.size("wb")), F.least(F.size("wa"), F.size("wb"))
-    pairs = pairs.where(100 * smaller >= percent * larger).withColumn("common", F.size(F.array_intersect("wa", "wb")))
-    return pairs.where(100 * F.col("common") >= percent * larger).select("a", "b", "common").distinct()
+    def prefix(df: DataFrame, i: str) -> DataFrame:
+        each = df.select("id", F.size("words").alias("size"), F.explode("words").alias("w")).join(counts, "w")
+        rare = F.array_sort(F.collect_list(F.struct("n", "w")))
+        keep = F.col("size") - F.ceil(F.col("size") * percent / 100).cast("int") + 1
+        first = each.groupBy("id", "size").agg(rare.alias("words"))
+        return first.select(F.col("id").alias(i), F.col("size").alias(f"n{i}"), F.explode(F.slice("words", F.lit(1), keep)).alias("x")).select(i, f"n{i}", F.col("x.w").alias("w"))
+
+    met = prefix(a, "a").join(prefix(b, "b"), "w").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)" + (" and a < b" if once else ""))
+    sets = lambda df, i: df.select(F.col("id").alias(i), F.col("words").alias(f"w{i}"))
+    pairs = met.select("a", "b").distinct().join(sets(a, "a"), "a").join(sets(b, "b"), "b").withColumn("common", F.size(F.array_intersect("wa", "wb")))
+    return pairs.where(100 * F.col("common") >= percent * F.greatest(F.size("wa"), F.size("wb"))).select("a", "b", "common")
 
 
 def edit_neighbours(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -104,7 +104,7 @@ def with_fallback(lines: DataFrame, keys: DataFrame, book: DataFrame, conf: C.Pr
     spark = book.sparkSession
     top = top_tier(first_wins(book, ["product"]), spark.createDataFrame([(conf.fallback_family,)], "prefix string"), conf.noise).drop("prefix").withColumnRenamed("src_pos", "product_pos")
     bare = keys.where("total_arr > 0").join(lines.select("key").distinct(), "key", "left_anti").select("key")
-    extra = bare.crossJoin(F.broadcast(top.limit(1))).withColumns({"token_pos": F.lit(0), "token": F.lit(""), "note": F.lit("fallback"), "duplicate": F.lit(False), "step": F.lit(9), "line": F.lit(1)})
+    extra = bare.withColumn("_one", F.lit(1)).join(F.broadcast(top.limit(1).withColumn("_one", F.lit(1))), "_one").drop("_one").withColumns({"token_pos": F.lit(0), "token": F.lit(""), "note": F.lit("fallback"), "duplicate": F.lit(False), "step": F.lit(9), "line": F.lit(1)})
     return lines.unionByName(extra.select(*lines.columns))
 
 

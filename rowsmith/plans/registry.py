@@ -228,7 +228,7 @@ def overlap_join(spark, d):
     """Pairs of documents with four fifths of their words in common."""
     norm = F.trim(F.regexp_replace(F.lower("text"), r"[\x20\x09-\x0D]+", " "))
     w = written(T(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("id"), F.array_distinct(F.filter(F.split(norm, " "), lambda x: F.length(x) > 2)).alias("words")), "doc-words")
-    return blocking.set_overlap(w, w).where("a < b").select("a", "b", F.col("common").cast("long").alias("common"))
+    return blocking.set_overlap(w, w, once=True).select("a", "b", F.col("common").cast("long").alias("common"))
 
 
 @query("""with n as (select distinct p_name as name from part where length(p_name) >= 8)
