@@ -111,7 +111,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Copies are whole documents: a boundary document is repeated for its started copy
     only if at least half of it is taken. Columns are those of ``docs``."""
     plan = mix(docs).where("size > 0").select("doc_id", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_times"), F.col("position").alias("_position")).where("_times > 0").groupBy("doc_id").agg(F.max("_times").alias("_times"), F.min("_position").alias("_position"))
-    out = docs.join(plan, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    plan = plan.withColumnRenamed("doc_id", "_id")
+    out = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"])).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     out = out.repartitionByRange("_position", "doc_id", "_copy").sortWithinPartitions("_position", "doc_id", "_copy")
     return out.select(*docs.columns)
 
