@@ -146,11 +146,23 @@ def resolve_parents(records: DataFrame, ids: DataFrame) -> DataFrame:
     return records.join(g, "plan_pos")
 
 
-def apply_plan(plan: DataFrame, snapshots: dict[str, DataFrame], confirm: Callable[[DataFrame], bool] = lambda changes: True) -> tuple[dict[str, DataFrame], DataFrame] | None:
+def follow_ups(plan: DataFrame, log: DataFrame) -> DataFrame:
+    """(plan_pos, id, fields): values that a target system takes only once a record is there: a line's position, which
+    depends on its sport, and a deal's start date."""
+    made = log.where("outcome in ('created', 'updated', 'reused')").select("plan_pos", "id", "outcome")
+    late = F.when(F.col("sobject") == "line", "position").when(F.col("sobject") == "opportunity", "effective_start")
+    rows = plan.withColumn("late", late).where("late is not null").join(made, "plan_pos").where("sobject = 'opportunity' or outcome = 'created'")
+    value = F.try_element_at("fields", F.col("late"))
+    return rows.where(value.isNotNull()).select("plan_pos", "id", F.create_map("late", value).alias("fields"))
+
+
+def apply_plan(plan: DataFrame, snapshots: dict[str, DataFrame], confirm: Callable[[DataFrame], bool] = lambda changes: True, unique: dict[str, str] | None = None) -> tuple[dict[str, DataFrame], DataFrame] | None:
     """Apply a plan level by level: accounts, contacts, deals, lines, then deferred account lookups.
 
     Gives new snapshots and a log (plan_pos, ref_key, sobject, label, outcome, id, reason); None if not confirmed.
-    New ids are derived from reference keys, so applying again gives the same ids."""
+    New ids are derived from reference keys, so applying again gives the same ids. ``unique`` names, by
+    object, a field that the target holds unique: a record to be created whose value exactly one existing
+    record has is that record; if several have it, the record is skipped."""
     if not confirm(changeset(plan, snapshots)):
         return None
     c = F.col
@@ -174,6 +186,12 @@ def apply_plan(plan: DataFrame, snapshots: dict[str, DataFrame], confirm: Callab
             rows = rows.withColumn("want", keep).withColumn("blocked", c("blocked") | (c("action") == "flag")).withColumn("reason0", F.when(c("action") == "flag", "email on another account"))
         else:
             rows = rows.withColumn("reason0", F.lit(None).cast("string"))
+        if unique and level in unique:
+            key = unique[level]
+            same = state[level].select(F.try_element_at("fields", F.lit(key)).alias("uv"), c("id").alias("uid")).where("uv <> ''").groupBy("uv").agg(F.count("*").alias("un"), F.min("uid").alias("uid"))
+            rows = rows.withColumn("uv", F.try_element_at("fields", F.lit(key))).join(same, "uv", "left")
+            hit = (c("sf_id") == "") & c("un").isNotNull()
+            rows = rows.withColumns({"blocked": c("blocked") | F.coalesce(hit & (c("un") > 1), F.lit(False)), "reason0": F.when(hit & (c("un") > 1), "several duplicates").otherwise(c("reason0")), "want": F.when(hit, F.expr("cast(map() as map<string,string>)")).otherwise(c("want")), "sf_id": F.when(hit & (c("un") == 1), c("uid")).otherwise(c("sf_id"))})
         rows = rows.withColumn("id", F.when(c("sf_id") != "", c("sf_id")).otherwise(fresh)).join(now, c("id") == c("now_id"), "left")
         rows = rows.withColumn("want", F.when(c("now_id").isNotNull() & (c("sf_id") != ""), F.map_filter("want", lambda k, v: k != "name")).otherwise(c("want")))
         changed = F.size(F.map_filter("want", lambda k, v: F.coalesce(F.try_element_at("now", k), F.lit("")) != v)) > 0

@@ -216,6 +216,12 @@ def one_record(df: DataFrame, what: str) -> dict:
     return rows[0].asDict(recursive=True)
 
 
+def record_type_id(types: DataFrame | None, name: str, fallback: dict[str, str]) -> str:
+    """The id of a record type (id, name) of a recorded query, else the configured one, else none."""
+    found = types.where(F.col("name") == name).select("id").limit(1).collect() if types is not None else []
+    return found[0]["id"] if found else fallback.get(name, "")
+
+
 def owner_id(users: DataFrame, who: str) -> str:
     """An id as it is, or the id of the only active user of that name."""
     import re

@@ -136,6 +136,17 @@ def test_apply_and_verify(spark):
     assert changes.apply_plan(p, snaps, lambda c: False) is None
 
 
+def test_duplicates_and_follow_ups(spark):
+    p, _ = plan.build(rows(spark, [club("One", 1, effective_start="6/1/2026"), club("Two", 1)]), book(spark), plan.Deal(master_id="M1"))
+    snaps = snapshots(spark, account=[("A1", {"name": "One"}), ("A2", {"name": "Two"}), ("A3", {"name": "Two"})])
+    state, log = changes.apply_plan(p, snaps, unique={"account": "name"})
+    out = {r["ref_key"]: (r["outcome"], r["id"], r["reason"]) for r in log.collect()}
+    assert out["ACC:One"][:2] == ("reused", "A1") and out["ACC:Two"][0] == "skipped" and out["ACC:Two"][2] == "several duplicates"
+    assert out["OPP:Two#1"][0] == "skipped" and out["OLI:Two#1:0"][0] == "skipped"
+    late = {tuple(r["fields"].items())[0] for r in changes.follow_ups(p, log).collect()}
+    assert late == {("position", "Center"), ("effective_start", "2026-06-01")}
+
+
 def test_skip_propagates(spark):
     recs = spark.createDataFrame([(1, {"account_id": "ACC:x"}), (2, {"primary_contact": "ACC:x"}), (3, {"account_id": "0061"}), (4, {})], "plan_pos long, parents map<string,string>")
     ids = spark.createDataFrame([("ACC:x", "i", True)], "ref string, id string, skipped boolean")

@@ -120,6 +120,19 @@ def test_order_sheet_round_trip(spark, files, tmp_path):
     assert jobs.deal_settings({"Deal Structure": "2 - cameras only", "Voucher setup (x?)": "yes", "Currency": "USD"}).structure == 2
 
 
+def test_command_line(spark, files, tmp_path, monkeypatch, capsys):
+    from rowsmith.__main__ import main
+
+    for f in C.Settings.__dataclass_fields__:
+        if f.endswith("_csv"):
+            monkeypatch.setenv(f"ROWSMITH_{f.upper()}", str(files / f"{f.removesuffix('_csv')}.csv"))
+    assert main(["crosscheck", "--input", str(files / "deals.csv"), "--out", str(tmp_path / "o")], spark) == 0
+    assert "matched" in capsys.readouterr().out and spark.read.option("header", True).csv(str(tmp_path / "o/league_crosscheck")).count() == 4
+    assert main(["gen", "--out", str(tmp_path / "s.xlsx"), "--league", "L"], spark) == 0
+    assert main(["gen", "--out", str(tmp_path / "s.xlsx"), "--pricebook", str(tmp_path / "none.csv")], spark) == 2
+    assert main(["import", "--sheet", str(tmp_path / "s.xlsx"), "--accounts", str(files / "accounts.csv")], spark) == 2  # no master deal
+
+
 def test_cell_writes(spark):
     rows = spark.createDataFrame([(1, ["x"]), (2, ["Team Name", "Tax ID"]), (3, ["A", ""]), (4, ["B", "7"]), (5, ["", ""]), (6, ["C"])], "src_pos long, cells array<string>")
     values = spark.createDataFrame([("A", "1"), ("B", "2"), ("C", "3"), ("", "9")], "team string, value string")
