@@ -53,6 +53,8 @@ LENGTH = 200
 GRAM = 96
 #: Bytes of one suffix array, and of windows printed at once.
 SHARD = 1 << 20
+#: Bytes of a very long text whose anchors are found at once.
+BLOCK = 1 << 22
 #: Bytes of windows taken from the stream at a time.
 STREAM = 1 << 23
 #: Parts that agree in the middle up to which their suffixes are sorted together.
@@ -98,6 +100,16 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, np.zeros(0, np.int64)
+    if len(offsets) == 2 and len(data) > 2 * BLOCK:  # one very long text: blocks with all that decides about their grams
+        found = []
+        for begin in range(0, len(data), BLOCK):
+            base = max(0, begin - length)
+            piece = data[base : begin + BLOCK + length]
+            _, at, h = anchors(piece, np.array([0, len(piece)]), length, gram)
+            mine = (at + base >= begin) & (at + base < begin + BLOCK)
+            found.append((at[mine] + base, h[mine]))
+        at, h = (np.concatenate(x) for x in zip(*found, strict=True))
+        return np.zeros(len(at), np.int64), at, h
     width = length - gram + 1
     h = mix(_gram_hashes(data, gram))
     low = (h >> U(32)).astype(np.uint32) | np.uint32(1)
@@ -137,7 +149,7 @@ def _poly(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: np.ndarr
 _SHUFFLED = np.random.default_rng(12).permutation(256).astype(np.uint8)
 
 
-def _places(batch: pa.RecordBatch, at: int, offsets: np.ndarray, lists: int, column: str) -> tuple[np.ndarray, np.ndarray]:
+def _places(batch: pa.RecordBatch, at: int, offsets: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and values of a list column for the texts from ``at`` on."""
     part = batch.column(lists).slice(at, len(offsets) - 1)
     rows = np.repeat(np.arange(len(part)), part.value_lengths().to_numpy(zero_copy_only=False))
@@ -148,8 +160,8 @@ def _window_rows(batches: Iterable[pa.RecordBatch], length: int, gram: int) -> I
     """Of (key, copies, text, anchors, places): the windows, each with its digests."""
     for batch in batches:
         for at, data, offsets in texts(batch.column(2)):
-            row, anchor = _places(batch, at, offsets, 3, "anchors")
-            place = _places(batch, at, offsets, 4, "places")[1].to_numpy(zero_copy_only=False).astype(np.int64)
+            row, anchor = _places(batch, at, offsets, 3)
+            place = _places(batch, at, offsets, 4)[1].to_numpy(zero_copy_only=False).astype(np.int64)
             order = np.lexsort((place, row))
             row, place, anchor = row[order], place[order], anchor.take(pa.array(order))
             begin, end = offsets[row], offsets[row + 1]
@@ -175,7 +187,7 @@ def _fetched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (key, text, wanted windows): one row a window, with its bytes."""
     for batch in batches:
         for at, data, offsets in texts(batch.column(1)):
-            row, wanted = _places(batch, at, offsets, 2, "wanted")
+            row, wanted = _places(batch, at, offsets, 2)
             number = lambda f, w=wanted: w.field(f).to_numpy(zero_copy_only=False).astype(np.int64)
             lo, hi, n, place = number("lo"), number("hi"), number("n"), number("place")
             for k in range(0, len(row), 4096):

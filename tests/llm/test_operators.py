@@ -183,6 +183,15 @@ def test_suffix_array():
         assert suffix_array.suffix_array(t, s + 1).tolist() == want == suffix_array.doubled(t).tolist()
 
 
+def test_anchors_of_very_long_texts(monkeypatch):
+    rng = np.random.default_rng(1)
+    data = np.concatenate([rng.integers(97, 100, 5000), np.full(3000, 98), rng.integers(0, 256, 4000)]).astype(np.uint8)
+    whole = suffix_dedup.anchors(data, np.array([0, len(data)]))
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 700)
+    for a, b in zip(whole, suffix_dedup.anchors(data, np.array([0, len(data)])), strict=True):
+        assert a.tolist() == b.tolist()
+
+
 def brute_repeats(texts, length=200):
     seen = Counter()
     for t in texts:
