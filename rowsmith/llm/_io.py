@@ -57,17 +57,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def _drop(spark: SparkSession, name: str) -> None:
     try:
         spark.sql(f"drop table if exists {name}")
-    except Exception:  # the session ended first; the warehouse's owner cleans up
+    except Exception:  # the session, and with it the catalog, ended first
         pass
 
 
 def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """``df``, whose rows are already dealt by ``key``, as a table in the shared warehouse bucketed by it:
+    """``df``, whose rows are already dealt by ``key``, as a table of the shared folder, bucketed by it:
     each task writes whole buckets, and later joins on ``key`` don't move the rows again."""
     spark = df.sparkSession
     full = f"rowsmith_{name.replace('-', '_')}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(full)
+    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", new_path(spark, name)).saveAsTable(full)
     atexit.register(_drop, spark, full)
     return spark.table(full)
 
