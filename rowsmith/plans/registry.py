@@ -477,6 +477,46 @@ def league_crosscheck(spark, d):
     return match.crosscheck(leagues, pool).select("league_pos", "match_status", "match_type", "confidence", F.array_join("account_ids", ";").alias("account_ids"))
 
 
+@query("""select * from (values ('account', 24), ('contact', 8), ('opportunity', 24), ('opp_product', 24), ('league_crosscheck', 20)) t(file, n_columns)""")
+def csv_contracts(spark, d):
+    """Column counts of the import files, from empty files."""
+    from rowsmith.sources import sinks
+
+    files = {"account": sinks.ACCOUNT_COLUMNS, "contact": sinks.CONTACT_COLUMNS, "opportunity": sinks.OPPORTUNITY_COLUMNS, "opp_product": sinks.PRODUCT_COLUMNS, "league_crosscheck": sinks.REPORT_COLUMNS}
+    nothing = T(spark, d, "region").limit(0)
+    return spark.createDataFrame([(k, len(sinks.columns(nothing, c, {}, [F.col("r_regionkey")]).columns)) for k, c in files.items()], "file string, n_columns int")
+
+
+@query("""select sobject, operation, count(*) as n, sum(line_number) as numbers from (
+ select 'account' as sobject, 'create' as operation, 0 as line_number from supplier
+ union all select 'contact', 'create', 0 from supplier where s_suppkey % 3 > 0
+ union all select 'opportunity', case when s_suppkey % 2 = 0 then 'upsert' else 'create' end, 0 from supplier
+ union all select 'line', 'create', k from supplier, (values (1), (2), (3)) v(k)) group by 1, 2""")
+def plan_records(spark, d):
+    """A load plan of one club per supplier: a subscription and two cameras each, one more camera without a price."""
+    from rowsmith.operators import plan
+
+    k = F.col("s_suppkey")
+    texts = ["order_name", "gender", "arena", "customer_id", "effective_start", "contact_name", "contact_phone", "billing_country", "billing_street", "billing_postal", "billing_state", "billing_city", "tax_id", "exchange"]
+    cam = lambda i, t: F.struct(F.lit(i).alias("index"), F.lit("Main").alias("scene"), F.lit(t).alias("type"), F.lit("").alias("position"), F.lit("").alias("install_status"))
+    rows = T(spark, d, "supplier").select(k.alias("src_pos"), F.col("s_name").alias("team"), F.lit("Soccer").alias("sport"), F.lit("Product 1").alias("subscription"), F.when(k % 3 > 0, F.concat(k.cast("string"), F.lit("@x.example"))).otherwise("").alias("contact_email"), F.when(k % 2 == 0, F.concat(F.lit("OPP"), k.cast("string"))).otherwise("").alias("opportunity_id"), *[F.lit("").alias(t) for t in texts], F.array(cam(1, "product 2"), cam(2, "missing"), cam(3, "Product 3")).alias("cameras"))
+    book = T(spark, d, "part").where("p_partkey < 10").select(F.col("p_partkey").alias("src_pos"), F.concat(F.lit("Product "), F.col("p_partkey").cast("string")).alias("product"), F.col("p_partkey").cast("string").alias("product_id"), F.col("p_partkey").cast("string").alias("entry_id"), F.lit("EUR").alias("currency"), F.col("p_retailprice").alias("list_price"), F.lit("").alias("family"))
+    records, _ = plan.build(rows, book, plan.Deal())
+    return records.groupBy("sobject", "operation").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.try_element_at("fields", F.lit("line_number")).cast("long")), F.lit(0)).alias("numbers"))
+
+
+@query()
+def club_match(spark, d):
+    """The club matcher over names derived from suppliers and customers."""
+    from rowsmith.operators import clubs as club
+
+    s = T(spark, d, "supplier")
+    truth = s.select(F.col("s_suppkey").alias("src_pos"), F.concat(F.lit("FC "), F.replace("s_name", F.lit("Supplier#"), F.lit("Städt "))).alias("name"), F.when(F.col("s_suppkey") % 9 == 0, F.concat(F.lit("c"), F.col("s_suppkey").cast("string"), F.lit(".example"))).otherwise("").alias("domain"))
+    c = T(spark, d, "customer").where("c_custkey <= 300")
+    rows = c.select(F.col("c_custkey").alias("src_pos"), F.concat(F.lit("A"), F.col("c_custkey").cast("string")).alias("id"), F.concat(F.replace("c_name", F.lit("Customer#"), F.lit("Stadt ")), F.when(F.col("c_custkey") % 2 == 0, " F.C.").otherwise(" GmbH")).alias("name"), F.concat(F.lit("www.c"), F.col("c_custkey").cast("string"), F.lit(".example")).alias("domain"))
+    return club.match(truth, rows).select("truth_pos", "row_id", "match_type")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return league_crosscheck(spark, sf_dir)
 
