@@ -38,9 +38,9 @@ MIN_GROUP = 60
 SUPPORT = 0.75
 STEPS = 4
 #: Squared distance beyond which a document goes. Far in the tail of the chi-squared
-#: distribution with as many degrees as there are statistics (p < 1e-12), so that
+#: distribution with as many degrees as there are statistics (p < 1e-9), so that
 #: ordinary documents stay whatever the true law of a statistic is.
-CUTOFF = 80.0
+CUTOFF = 60.0
 #: Transformed statistics and the least standard deviation each is given.
 FLOORS = {"word_length": 0.10, "symbols": 0.35, "repeats": 0.08, "capitals": 0.06, "punctuation": 0.08, "dup_lines": 0.10, "variety": 0.10, "bare": 0.04}
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_punct", "n_lines", "n_distinct", "n_bare"]
