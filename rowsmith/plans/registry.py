@@ -465,8 +465,8 @@ def greedy_exclusive(spark, d):
 def _pools(spark, d):
     s = T(spark, d, "supplier").select(F.col("s_suppkey").alias("league_pos"), F.concat(F.lit("The "), F.replace("s_name", F.lit("Supplier#"), F.lit("Region ")), F.lit(" Athletic Conf.")).alias("display_name"), F.element_at(F.array(*[F.lit(x) for x in ("sweden", "germany", "japan", "brazil", "canada")]), F.col("s_nationkey") % 5 + 1).alias("place"))
     leagues = s.select("league_pos", text.normalise_league(F.col("display_name")).alias("league_key"), "display_name", F.array("place").alias("countries"), F.lit("").alias("pasted_id"))
-    c = T(spark, d, "customer").where("c_custkey <= 400")
-    pool = c.select(F.col("c_custkey").alias("src_pos"), F.concat(F.lit("A"), F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("id"), F.lit("").alias("other_id"), F.concat(F.replace("c_name", F.lit("Customer#"), F.lit("Region ")), F.lit(" Conference")).alias("name"), F.element_at(F.array(*[F.lit(x) for x in ("sweden", "germany", "japan", "brazil", "canada")]), F.col("c_nationkey") % 5 + 1).alias("country"), (F.col("c_custkey") % 4).alias("deals"), F.lit(0).alias("accounts"), F.lit("").alias("active_arr"))
+    c = T(spark, d, "customer")
+    pool = c.select(F.col("c_custkey").alias("src_pos"), F.format_string("A%05d", F.col("c_custkey").cast("long")).alias("id"), F.lit("").alias("other_id"), F.concat(F.replace("c_name", F.lit("Customer#"), F.lit("Region ")), F.lit(" Conference")).alias("name"), F.element_at(F.array(*[F.lit(x) for x in ("sweden", "germany", "japan", "brazil", "canada")]), F.col("c_nationkey") % 5 + 1).alias("country"), (F.col("c_custkey") % 4).alias("deals"), F.lit(0).alias("accounts"), F.lit("").alias("active_arr"))
     return leagues, pool
 
 
