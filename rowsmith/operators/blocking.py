@@ -35,6 +35,16 @@ def word_containment(a: DataFrame, b: DataFrame, least_a: int = 1, least_b: int
     return inside(a, b, "a", "b").unionByName(inside(b, a, "b", "a")).distinct()
 
 
+def words_contained(outer: DataFrame, inner: DataFrame) -> DataFrame:
+    """(outer, inner) ids of single-spaced names (id, name) such that the inner one stands in the outer one at word edges.
+
+    Ids meet on the inner name's rarest word; outer names, which may be whole texts, are fetched for the pairs that met."""
+    probe = _rarest(outer, inner).select(F.col("id").alias("inner"), F.col("name").alias("part"), "word")
+    places = outer.select(F.col("id").alias("outer"), F.explode(F.array_distinct(tokens(F.col("name")))).alias("word"))
+    met = places.join(probe, "word").select("outer", "inner", "part")
+    return met.join(outer.select(F.col("id").alias("outer"), F.col("name").alias("whole")), "outer").where(contains_words(F.col("whole"), F.col("part"))).select("outer", "inner")
+
+
 def contained(outer: DataFrame, inner: DataFrame, gram: int = 8) -> DataFrame:
     """(outer, inner) ids of names (id, name) such that the inner one is part of the outer one, at any place.
 

@@ -258,6 +258,14 @@ def country_signal(spark, d):
     places = ["sweden", "germany", "japan", "brazil", "canada"]
     where = F.element_at(F.array(*[F.lit(p) for p in places]), F.col("n_regionkey") + 1)
     n = T(spark, d, "nation").select(F.col("n_nationkey").alias("k"), where.alias("place"))
+@query(_SQL["word_containment_join"].replace("left(text, 300)", "text"))
+def word_containment_whole(spark, d):
+    """Documents that hold a benchmark's first two words at word edges, anywhere."""
+    b = T(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.lower(F.concat_ws(" ", F.split_part("text", F.lit(" "), F.lit(1)), F.split_part("text", F.lit(" "), F.lit(2)))).alias("name"))
+    o = T(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lower(F.regexp_replace("text", r"\s+", " ")).alias("name"))
+    return blocking.words_contained(o, b).select(F.col("inner").alias("item_id"), F.col("outer").alias("doc_id"))
+
+
     s = T(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("k")).select("s_suppkey", geo.territory_countries(F.col("place")).alias("territory"))
     c = T(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("k")).select("c_custkey", F.col("place").alias("country"))
     signal = geo.country_signal(F.col("territory"), F.col("country"))

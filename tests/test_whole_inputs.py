@@ -43,3 +43,13 @@ def test_league_crosscheck_sees_all_customers(spark, tables):
         assert got[k]["match_status"] == ("matched" if same else "unmatched"), k
         assert got[k]["account_ids"] == (f"A{k:05d}" if same else ""), k
     assert any(got[k]["match_status"] == "matched" for k in got if k > 400)
+
+
+def test_word_containment_sees_whole_documents(spark, tables):
+    late = "filler " * 100
+    docs = [(1, f"{late}Alpha\n Beta tail"), (2, "alpha beta first"), (3, f"{late}alphabeta alpha gamma beta"), (4, None), (5, ""), (6, f"{late}ends with Gamma  delta"), (7, f"{late}xalpha beta alpha betax")]
+    items = [(1, "Alpha beta gamma"), (2, "gamma delta epsilon"), (3, "not there"), (4, None)]
+    d = tables(documents=(docs, "doc_id long, text string"), benchmark=(items, "item_id long, text string"))
+    got = sorted((r["item_id"], r["doc_id"]) for r in registry.word_containment_whole(spark, d).collect())
+    pad = lambda t: f" {' '.join(t.lower().split())} "
+    assert got == sorted((i, k) for i, b in items if b for k, t in docs if t and pad(" ".join(b.split()[:2])) in pad(t)) == [(1, 1), (1, 2), (2, 6)]
