@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowsmith.functions import amounts, clubs, geo, text
@@ -464,9 +464,11 @@ def bitmap_decode(spark, d):
 
 @query()
 def greedy_exclusive(spark, d):
-    """Customers take, in order, their best supplier that is still free."""
-    c = T(spark, d, "customer").where("c_custkey <= 2000")
-    options = c.select(F.col("c_custkey").alias("claimer"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("rank")).withColumn("id", (F.pmod(F.hash("claimer", "rank"), F.lit(500))).cast("string"))
+    """Customers take, in order, their best supplier that is still free; each has four options among all suppliers."""
+    s = T(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), (F.row_number().over(Window.orderBy("s_suppkey")) - 1).alias("place"))
+    n = T(spark, d, "supplier").agg(F.count("*").alias("n"))
+    wishes = T(spark, d, "customer").select(F.col("c_custkey").alias("claimer"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("rank")).crossJoin(n.where("n > 0"))
+    options = wishes.withColumn("place", F.pmod(F.hash("claimer", "rank").cast("long"), "n")).join(s, "place").select("claimer", "rank", "id")
     return exclusive.exclusive(options)
 
 

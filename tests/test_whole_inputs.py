@@ -45,6 +45,20 @@ def test_league_crosscheck_sees_all_customers(spark, tables):
     assert any(got[k]["match_status"] == "matched" for k in got if k > 400)
 
 
+def test_greedy_exclusive_lets_all_customers_claim(spark, tables):
+    suppliers, customers = [(3 * k + 1, 0) for k in range(700)], [(k, 0) for k in (*range(1, 60), *range(1990, 2400), 99_999)]
+    d = tables(**companies(suppliers, customers))
+    got = {r["claimer"]: r["id"] for r in registry.greedy_exclusive(spark, d).collect()}
+    wishes = spark.createDataFrame([(k, r) for k, _ in customers for r in range(4)], "k long, r int").selectExpr("k", "r", "pmod(hash(k, r), 700) as place")
+    wishes = {(w["k"], w["r"]): str(suppliers[w["place"]][0]) for w in wishes.collect()}
+    want = {}
+    for k, _ in customers:
+        free = [i for r in range(4) if (i := wishes[k, r]) not in want.values()]
+        if free:
+            want[k] = free[0]
+    assert got == want and max(got) == 99_999
+
+
 def test_word_containment_sees_whole_documents(spark, tables):
     late = "filler " * 100
     docs = [(1, f"{late}Alpha\n Beta tail"), (2, "alpha beta first"), (3, f"{late}alphabeta alpha gamma beta"), (4, None), (5, ""), (6, f"{late}ends with Gamma  delta"), (7, f"{late}xalpha beta alpha betax")]
