@@ -59,6 +59,15 @@ def test_greedy_exclusive_lets_all_customers_claim(spark, tables):
     assert got == want and max(got) == 99_999
 
 
+def test_club_match_sees_all_customers(spark, tables):
+    suppliers = [(k, 0) for k in (0, 7, 8, 9, 300, 301, 302, 315, 1500, 1501, 44_440, 44_441, 987_654_321)]
+    customers = [(k, 0) for k in (0, 7, 8, 9, 300, 301, 302, 315, 1500, 1501, 44_440, 44_441, 55, 5555)]
+    d = tables(**companies(suppliers, customers))
+    got = sorted((r["truth_pos"], r["row_id"], r["match_type"]) for r in registry.club_match(spark, d).collect())
+    # Domains of every ninth; "N F.C." is "FC N" in another order, "N GmbH" holds it.
+    assert got == [(k, f"A{k}", "exact_domain" if k % 9 == 0 else "prefix_canon" if k % 2 == 0 else "containment") for k, _ in suppliers[:-1]]
+
+
 def test_word_containment_sees_whole_documents(spark, tables):
     late = "filler " * 100
     docs = [(1, f"{late}Alpha\n Beta tail"), (2, "alpha beta first"), (3, f"{late}alphabeta alpha gamma beta"), (4, None), (5, ""), (6, f"{late}ends with Gamma  delta"), (7, f"{late}xalpha beta alpha betax")]
