@@ -202,6 +202,13 @@ def exact_join(spark, d):
     return a.join(b, "p_name").select("left_key", "right_key")
 
 
+@query("""select p_partkey, min(p_partkey) over (partition by p_name) as class_key from part where p_name is not null""")
+def exact_join_whole(spark, d):
+    """Equal names of all parts: each part with the smallest key of its name, so two parts are equal if their class is."""
+    p = T(spark, d, "part").where("p_name is not null").select("p_partkey", "p_name")
+    return p.join(p.groupBy("p_name").agg(F.min("p_partkey").alias("class_key")), "p_name").select("p_partkey", "class_key")
+
+
 def _words(c: str) -> str:
     return f"array_to_string(list_filter(string_split({_sql_norm(c)}, ' '), lambda t: t not in ('supplier#', 'customer#')), ' ')"
 
@@ -251,13 +258,6 @@ def word_containment_join(spark, d):
     return both.where(text.contains_words(F.col("o"), F.col("i"))).select("item_id", "doc_id")
 
 
-@query("""select s_suppkey, c_custkey, case when sn.n_regionkey = cn.n_regionkey then 20 else -40 end as signal, 80 + case when sn.n_regionkey = cn.n_regionkey then 20 else -40 end as score
- from supplier join nation sn on s_nationkey = sn.n_nationkey join customer on c_custkey = s_suppkey join nation cn on c_nationkey = cn.n_nationkey""")
-def country_signal(spark, d):
-    """Region evidence for pairs of suppliers and customers."""
-    places = ["sweden", "germany", "japan", "brazil", "canada"]
-    where = F.element_at(F.array(*[F.lit(p) for p in places]), F.col("n_regionkey") + 1)
-    n = T(spark, d, "nation").select(F.col("n_nationkey").alias("k"), where.alias("place"))
 @query(_SQL["word_containment_join"].replace("left(text, 300)", "text"))
 def word_containment_whole(spark, d):
     """Documents that hold a benchmark's first two words at word edges, anywhere."""
@@ -266,6 +266,13 @@ def word_containment_whole(spark, d):
     return blocking.words_contained(o, b).select(F.col("inner").alias("item_id"), F.col("outer").alias("doc_id"))
 
 
+@query("""select s_suppkey, c_custkey, case when sn.n_regionkey = cn.n_regionkey then 20 else -40 end as signal, 80 + case when sn.n_regionkey = cn.n_regionkey then 20 else -40 end as score
+ from supplier join nation sn on s_nationkey = sn.n_nationkey join customer on c_custkey = s_suppkey join nation cn on c_nationkey = cn.n_nationkey""")
+def country_signal(spark, d):
+    """Region evidence for pairs of suppliers and customers."""
+    places = ["sweden", "germany", "japan", "brazil", "canada"]
+    where = F.element_at(F.array(*[F.lit(p) for p in places]), F.col("n_regionkey") + 1)
+    n = T(spark, d, "nation").select(F.col("n_nationkey").alias("k"), where.alias("place"))
     s = T(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("k")).select("s_suppkey", geo.territory_countries(F.col("place")).alias("territory"))
     c = T(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("k")).select("c_custkey", F.col("place").alias("country"))
     signal = geo.country_signal(F.col("territory"), F.col("country"))
@@ -307,11 +314,21 @@ def flagged(spark, d):
 , m as (select rep, min(p) as p from h group by 1), n as (select h.rep, count(*) as n, min(c_custkey) as one from h join m using (rep, p) group by 1)
 select r.rep as rep_name, case when n = 1 then one::varchar end as user_id, case when n = 1 then 'matched' when n > 1 then 'ambiguous' else 'unmatched' end as status from r left join n on r.rep = n.rep""")
 def cascade_lookup(spark, d):
-    """Names looked up in four passes."""
+    """Names looked up in four passes; full names of a third of the customers."""
+    return _looked_up(spark, d, "c_custkey % 3 = 0")
+
+
+@query(_SQL["cascade_lookup"].replace(" where c_custkey % 3 = 0", ""))
+def cascade_lookup_whole(spark, d):
+    """Names of all customers looked up in four passes."""
+    return _looked_up(spark, d, "true")
+
+
+def _looked_up(spark, d, named):
     c = T(spark, d, "customer")
     name = F.concat("c_mktsegment", F.lit(" "), F.right("c_name", F.lit(3)))
     users = c.select(F.col("c_custkey").cast("string").alias("id"), name.alias("name"), F.col("c_custkey").alias("src_pos"))
-    reps = c.where("c_custkey % 3 = 0").select(name.alias("rep_name")).unionByName(c.select(F.lower("c_mktsegment").alias("rep_name"))).unionByName(spark.createDataFrame([("nobody at all",)], "rep_name string"))
+    reps = c.where(named).select(name.alias("rep_name")).unionByName(c.select(F.lower("c_mktsegment").alias("rep_name"))).unionByName(spark.createDataFrame([("nobody at all",)], "rep_name string"))
     return entities.resolve_people(reps, users).select("rep_name", "user_id", "status")
 
 
@@ -411,11 +428,21 @@ union all select label, label || ': has ' || n || ' line(s), this run adds 2' fr
 union all select label, label || ': currency ' || currency || ' is not EUR' from a join e using (id) where currency <> 'EUR'
 union all select label, label || ': already closed (' || stage || ')' from a join e using (id) where closed""")
 def preflight(spark, d):
-    """Deals checked before a plan is applied."""
+    """Deals checked before a plan is applied; a third of the orders and some that don't exist."""
+    return _preflight(spark, d, "o_orderkey % 3 = 0", "o_orderkey % 30 = 0")
+
+
+@query(_SQL["preflight"].replace(" where o_orderkey % 30 = 0", "").replace(" where o_orderkey % 3 = 0", ""))
+def preflight_whole(spark, d):
+    """All orders, and as many that don't exist, checked before a plan is applied."""
+    return _preflight(spark, d, "true", "true")
+
+
+def _preflight(spark, d, attached, absent):
     o = T(spark, d, "orders")
     n = T(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("line_count"))
     e = o.join(n, "o_orderkey", "left").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("stage"), (F.col("o_orderstatus") == "F").alias("is_closed"), F.when(F.col("o_orderkey") % 2 == 0, "EUR").otherwise("USD").alias("currency"), F.coalesce("line_count", F.lit(0)).alias("line_count"))
-    ids = o.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id")).unionByName(o.where("o_orderkey % 30 = 0").select((F.col("o_orderkey") + 100000000).alias("id")))
+    ids = o.where(attached).select(F.col("o_orderkey").alias("id")).unionByName(o.where(absent).select((F.col("o_orderkey") + 100000000).alias("id")))
     return changes.deal_preflight(ids.withColumns({"label": F.concat(F.lit("order "), F.col("id").cast("string")), "planned": F.lit(2)}), e, "EUR")
 
 
@@ -510,7 +537,7 @@ def plan_records(spark, d):
     texts = ["order_name", "gender", "arena", "customer_id", "effective_start", "contact_name", "contact_phone", "billing_country", "billing_street", "billing_postal", "billing_state", "billing_city", "tax_id", "exchange"]
     cam = lambda i, t: F.struct(F.lit(i).alias("index"), F.lit("Main").alias("scene"), F.lit(t).alias("type"), F.lit("").alias("position"), F.lit("").alias("install_status"))
     rows = T(spark, d, "supplier").select(k.alias("src_pos"), F.col("s_name").alias("team"), F.lit("Soccer").alias("sport"), F.lit("Product 1").alias("subscription"), F.when(k % 3 > 0, F.concat(k.cast("string"), F.lit("@x.example"))).otherwise("").alias("contact_email"), F.when(k % 2 == 0, F.concat(F.lit("OPP"), k.cast("string"))).otherwise("").alias("opportunity_id"), *[F.lit("").alias(t) for t in texts], F.array(cam(1, "product 2"), cam(2, "missing"), cam(3, "Product 3")).alias("cameras"))
-    book = T(spark, d, "part").where("p_partkey < 10").select(F.col("p_partkey").alias("src_pos"), F.concat(F.lit("Product "), F.col("p_partkey").cast("string")).alias("product"), F.col("p_partkey").cast("string").alias("product_id"), F.col("p_partkey").cast("string").alias("entry_id"), F.lit("EUR").alias("currency"), F.col("p_retailprice").alias("list_price"), F.lit("").alias("family"))
+    book = T(spark, d, "part").select(F.col("p_partkey").alias("src_pos"), F.concat(F.lit("Product "), F.col("p_partkey").cast("string")).alias("product"), F.col("p_partkey").cast("string").alias("product_id"), F.col("p_partkey").cast("string").alias("entry_id"), F.lit("EUR").alias("currency"), F.col("p_retailprice").alias("list_price"), F.lit("").alias("family"))
     records, _ = plan.build(rows, book, plan.Deal())
     return records.groupBy("sobject", "operation").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.try_element_at("fields", F.lit("line_number")).cast("long")), F.lit(0)).alias("numbers"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from rowsmith.operators import plan
 from rowsmith.plans import registry
 
 PLACES = 5
@@ -76,3 +77,22 @@ def test_word_containment_sees_whole_documents(spark, tables):
     got = sorted((r["item_id"], r["doc_id"]) for r in registry.word_containment_whole(spark, d).collect())
     pad = lambda t: f" {' '.join(t.lower().split())} "
     assert got == sorted((i, k) for i, b in items if b for k, t in docs if t and pad(" ".join(b.split()[:2])) in pad(t)) == [(1, 1), (1, 2), (2, 6)]
+
+
+def test_exact_join_sees_all_parts(spark, tables):
+    parts = [(k, None if k % 11 == 0 else f"part {k * k % 13}") for k in range(1, 100)]
+    got = {r["p_partkey"]: r["class_key"] for r in registry.exact_join_whole(spark, tables(part=(parts, "p_partkey long, p_name string"))).collect()}
+    names = dict(parts)
+    assert set(got) == {k for k in names if names[k]}
+    assert all((got[a] == got[b]) == (names[a] == names[b]) for a in got for b in got)
+    assert sum(got[a] == got[b] for a in got for b in got) > sum(names[a] == names[b] for a in got for b in got if a % 7 == 0 and b % 7 == 1)
+
+
+def test_plan_records_read_the_whole_price_book(spark, tables, monkeypatch):
+    parts = [(k, 1.0) for k in range(1, 40)]
+    d = tables(part=(parts, "p_partkey long, p_retailprice double"), supplier=([(1, "S1")], "s_suppkey long, s_name string"))
+    seen = []
+    build = plan.build
+    monkeypatch.setattr(plan, "build", lambda rows, book, deal: seen.append(book.count()) or build(rows, book, deal))
+    assert {(r["sobject"], r["n"]) for r in registry.plan_records(spark, d).collect()} == {("account", 1), ("contact", 1), ("opportunity", 1), ("line", 3)}
+    assert seen == [len(parts)]
