@@ -6,8 +6,9 @@ blocks are kept. The ratio of text to tags of each line is smoothed with a Gauss
 kernel over neighbouring lines, and lines above a threshold (a share of the ratios'
 standard deviation) form content clusters. Lines inside menus, forms, adverts and the
 like (by element, role, or name in class or id) never count. The region is the
-innermost block that holds the content clusters, or the article or main element around
-them; all its lines that aren't boilerplate are the text, short ones included.
+innermost block that holds all lines of the content clusters, or, whatever clusters lie
+outside it, the article or main element around nearly all their text; all its lines that
+aren't boilerplate are the text, short ones included.
 
 Edge cases: null and empty pages have an empty text; a page without any content
 cluster gives all its lines outside boilerplate; unclosed and stray tags are repaired
@@ -20,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from rowsmith.llm._io import small_batches
 SIGMA = 1.0
 #: Share of the ratios' standard deviation that a smoothed ratio must reach.
 THRESHOLD = 0.5
-#: Share of the clusters' text that the region must hold.
+#: Share of the clusters' text that an article or main element must hold to be the region.
 COVER = 0.9
 
 # Elements by their part in a page, after the HTML standard.
@@ -155,7 +157,7 @@ def main_text(html: str | None, sigma: float = SIGMA, threshold: float = THRESHO
     content = ratio >= threshold * ratio.std()
     if not content.any():
         return " ".join(x[0] for x in lines)
-    # The innermost block that holds nearly all text of the clusters ...
+    # The innermost block that holds nearly all text of the clusters, ...
     held: dict[int, float] = {}
     depth: dict[int, int] = {}
     for x, chars, good in zip(lines, size, content, strict=True):
@@ -165,12 +167,12 @@ def main_text(html: str | None, sigma: float = SIGMA, threshold: float = THRESHO
                 depth[n] = d
     total = size[content].sum()
     region = max((n for n in held if held[n] >= COVER * total), key=lambda n: depth[n])
-    # ... or the article or main element that it lies in, if the page has marked one.
+    # ... if it lies in an article or main element that the page has marked, else the innermost one that holds all of them.
     path = next(x[2][: depth[region] + 1] for x, good in zip(lines, content, strict=True) if good and region in x[2])
     marked = [n for n in path if page.kind[n] in ("article", "main")]
-    if marked:
-        region = marked[-1]
-    elif page.kind[region] in ("p", "li", "td", "tr", "blockquote", "pre", *HEADINGS) and len(path) > 1:
+    path = path if marked else commonprefix([x[2] for x, good in zip(lines, content, strict=True) if good])
+    region = marked[-1] if marked else path[-1]
+    if not marked and page.kind[region] in ("p", "li", "td", "tr", "blockquote", "pre", *HEADINGS) and len(path) > 1:
         region = path[-2]
     return " ".join(x[0] for x in lines if region in x[2])
 

@@ -73,6 +73,16 @@ def test_html_text():
     assert html_text.main_text("<p>" * 3000 + "deep") == "deep"
 
 
+def test_html_text_outside_the_largest_block():
+    long_ = "<p>" + "word " * 99 + "word.</p>"
+    want = " ".join(["word"] * 99) + " word."
+    page = f"<body><h1>Title</h1><p>lead</p><div>{long_}{long_}</div></body>"
+    assert html_text.main_text(page) == f"Title lead {want} {want}"
+    assert html_text.main_text(PAGE.format(body=f"<div><div>{long_}{long_}</div><p>The end of the story.</p></div>")) == f"{want} {want} The end of the story."
+    # A marked article stands, whatever lies outside it.
+    assert html_text.main_text(f"<body><p>Outside.</p><article>{long_}{long_}</article></body>") == f"{want} {want}"
+
+
 def test_html_table(spark):
     pages = spark.createDataFrame([(1, "u", PAGE.format(body="<p>" + "word " * 50 + "</p>"), "x"), (1, "u", None, "x"), (None, None, "", "x")], "page_id long, url string, html string, text string")
     got = rows(html_text.extract(pages))
