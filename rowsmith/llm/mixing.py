@@ -76,11 +76,8 @@ def due(share: Column, slope: Column) -> Column:
     return F.when(F.abs(slope) < 1e-12, share).otherwise((root - lean) / (F.lit(2.0) * slope))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, slopes: tuple[float, ...] = SLOPES) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, copies, position.
-
-    copies counts whole and started copies; position is the time at which the first
-    copy is due (null when the document isn't taken). Rows come in that order."""
+def _taken(docs: DataFrame, weights: tuple[int, ...], cap: int, slopes: tuple[float, ...]) -> DataFrame:
+    """Per row of ``docs`` what is taken of it, and below, goal and slope: what its copies' positions follow from."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.select("doc_id", "source", n_words().alias("size"), key.alias("h")).withColumn("bucket", F.substring("h", 1, BUCKET_HEX))
     totals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -99,20 +96,34 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, slo
     part = F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("below"))).cast("long")
     rows = rows.withColumn("taken", whole * F.col("size") + part).withColumn("copies", whole.cast("int") + (part > 0).cast("int"))
     slope = F.element_at(F.array(*[F.lit(float(x)) for x in slopes]), (F.col("place") % len(slopes) + 1).cast("int"))
-    share = F.when(goal > 0, F.col("below") / goal)
-    first = F.when(F.col("taken") > 0, due(F.least(share, F.lit(1.0)), slope))
-    out = rows.select("doc_id", "size", "source_size", "target", "taken", "copies", first.alias("position"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "copies", "below", goal.alias("goal"), slope.alias("slope"))
+
+
+def _position(copy: Column) -> Column:
+    """When copy number ``copy``, from 0, of a row of ``_taken`` is due: a source's copies of one number come after all of the one before."""
+    share = F.when(F.col("goal") > 0, (F.col("below") + copy * F.col("source_size")) / F.col("goal"))
+    return due(F.least(share, F.lit(1.0)), F.col("slope"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, slopes: tuple[float, ...] = SLOPES) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, copies, position.
+
+    copies counts whole and started copies; position is the time at which the first
+    copy is due (null when the document isn't taken). Rows come in that order."""
+    first = F.when(F.col("taken") > 0, _position(F.lit(0)))
+    out = _taken(docs, weights, cap, slopes).select("doc_id", "size", "source_size", "target", "taken", "copies", first.alias("position"))
     return out.repartitionByRange(F.col("position").asc_nulls_last(), F.col("doc_id")).sortWithinPartitions(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix as documents in training order, each as often as its words are taken.
+    """The mix as documents in training order, each as often as its words are taken, each copy at its own time.
 
     Copies are whole documents: a boundary document is repeated for its started copy
     only if at least half of it is taken. Columns are those of ``docs``."""
-    plan = mix(docs).where("size > 0").select("doc_id", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_times"), F.col("position").alias("_position")).where("_times > 0").groupBy("doc_id").agg(F.max("_times").alias("_times"), F.min("_position").alias("_position"))
-    plan = plan.withColumnRenamed("doc_id", "_id")
-    out = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"])).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    plan = _taken(docs, WEIGHTS, CAP, SLOPES).where("size > 0").withColumn("_times", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")).where("_times > 0")
+    plan = plan.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
+    plan = plan.groupBy(F.col("doc_id").alias("_id"), "_copy").agg(F.min(_position(F.col("_copy"))).alias("_position"))
+    out = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"]))
     out = out.repartitionByRange("_position", "doc_id", "_copy").sortWithinPartitions("_position", "doc_id", "_copy")
     return out.select(*docs.columns)
 

@@ -390,3 +390,28 @@ def test_schedule_is_inverted(spark):
     for slope in (-0.5, 0.0, 0.5):
         r = spark.range(0, 11).select((F.col("id") / 10).alias("c"), mixing.due(F.col("id") / 10, F.lit(slope)).alias("t")).collect()
         assert all(abs(x["t"] * (1 - slope) + slope * x["t"] ** 2 - x["c"]) < 1e-9 for x in r)
+
+
+def test_copies_have_times_of_their_own(spark):
+    rng = random.Random(11)
+    docs = [(i, prose(rng, rng.randrange(1, 40)), s) for i, s in enumerate(rng.choice("aaaaaaaaaaaabbbc") for _ in range(150))]
+    docs[7] = (7, None, "b")
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    goals = {r["doc_id"]: (r["source_size"], round(r["target"])) for r in rows(mixing.mix(df))}
+    due, most = [], Counter()
+    for place, source in enumerate("abc"):
+        below, slope = 0, mixing.SLOPES[place]
+        for i, t, _ in sorted((d for d in docs if d[2] == source), key=lambda d: hashlib.md5(str(d[0]).encode()).hexdigest()):
+            n, (total, goal) = len(WORD.findall(t or "")), goals[i]
+            k = 0
+            # Another copy as long as at least half of its words are still wanted.
+            while n and 2 * (goal - (k * total + below)) >= n:
+                c, lean = (below + k * total) / goal, 1 - slope
+                due.append((c if not slope else ((lean * lean + 4 * slope * c) ** 0.5 - lean) / (2 * slope), i, k))
+                k += 1
+            most[source] = max(most[source], k)
+            below += n
+    got = [r["doc_id"] for r in rows(mixing.mixed_documents(df))]
+    assert most["c"] == 3 and got == [i for _, i, _ in sorted(due)]
+    # The last source's repeats reach the end of training.
+    assert {i for i, _, s in docs if s == "c"} & set(got[-len(got) // 10 :])
