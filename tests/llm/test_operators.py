@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,14 +75,77 @@ def test_html_text():
     assert html_text.main_text("<p>" * 3000 + "deep") == "deep"
 
 
-def test_html_text_outside_the_largest_block():
-    long_ = "<p>" + "word " * 99 + "word.</p>"
-    want = " ".join(["word"] * 99) + " word."
-    page = f"<body><h1>Title</h1><p>lead</p><div>{long_}{long_}</div></body>"
-    assert html_text.main_text(page) == f"Title lead {want} {want}"
-    assert html_text.main_text(PAGE.format(body=f"<div><div>{long_}{long_}</div><p>The end of the story.</p></div>")) == f"{want} {want} The end of the story."
-    # A marked article stands, whatever lies outside it.
-    assert html_text.main_text(f"<body><p>Outside.</p><article>{long_}{long_}</article></body>") == f"{want} {want}"
+LONG = "<p>" + "word " * 99 + "word.</p>"
+SAID = " ".join(["word"] * 99) + " word."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<body><h1>Title</h1><p>lead</p><div>{LONG}{LONG}</div></body>", f"Title lead {SAID} {SAID}"),
+        (PAGE.format(body=f"<div><div>{LONG}{LONG}</div><p>The end of the story.</p></div>"), f"{SAID} {SAID} The end of the story."),
+        # A marked article stands, whatever lies outside it.
+        (f"<body><p>Outside.</p><article>{LONG}{LONG}</article></body>", f"{SAID} {SAID}"),
+        # Names that only contain a word of the list mark nothing.
+        (f"<article>{LONG}<p class='share-price-table'>Price 3</p><section class='related-work'><p>Others.</p></section>{LONG}</article>", f"{SAID} Price 3 Others. {SAID}"),
+        (f"<article>{LONG}<aside>See also</aside><div class='adBox'>buy</div><p>End.</p></article><section id=comments><article class=comment>{LONG}</article></section>", f"{SAID} End."),
+        # Hidden elements, however nested, and text after blocks inside them.
+        (f"<noscript><div>x</div>Please turn on scripts</noscript>{LONG}", SAID),
+        (f"<template><p>x</p>y<template>z</template>w</template>{LONG}", SAID),
+        (f"<div hidden><div>a<div>b</div>c</div>d</div>{LONG}<svg><svg></svg>t</svg>", SAID),
+        # Unclosed boilerplate, stray ends, very deep pages.
+        (f"<nav><ul><li><a href=/>Home</a><article><h1>T</h1>{LONG}</article><footer>f</footer>", f"T {SAID}"),
+        ("<div>" * 4000 + "deep" + "</b></nav>" * 4000, "deep"),
+        # A menu that nothing marks, and nothing but boilerplate.
+        (f"<div><div><a>One</a></div><div><a>Two</a></div></div><div>{LONG}</div>", SAID),
+        ("<nav><a>x</a></nav><footer>f</footer>", ""),
+    ],
+)
+def test_html_regions(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_html_ratios_smoothing_and_regions_by_brute_force():
+    rng = random.Random(5)
+    for _ in range(60):
+        blocks = "".join(f"<div>{''.join(f'<p>{prose(rng, rng.randrange(1, 60))}</p>' for _ in range(rng.randrange(1, 5)))}{'<ul class=menu><li><a>x</a></ul>' * rng.randrange(2)}</div>" for _ in range(rng.randrange(1, 5)))
+        page = html_text.Lines()
+        page.feed(f"<body>{blocks}</body>")
+        page.close()
+        lines, parent = page.lines, page.parent
+        assert not any(x.inside for x in lines)
+        live = [i for i, x in enumerate(lines) if not x.marked]
+        ratio = {i: math.log1p(lines[i].own / max(1, lines[i].tags)) for i in live}
+        near = {i: [(math.exp(-0.5 * (p - q) ** 2), ratio[j]) for q, j in enumerate(live) if abs(p - q) <= 3] for p, i in enumerate(live)}
+        smooth = {i: sum(w * r for w, r in n) / sum(w for w, _ in n) for i, n in near.items()}
+        assert np.allclose(html_text.smoothed(np.array([ratio[i] for i in live])), [smooth[i] for i in live])
+        level = 0.8 * float(np.std([ratio[i] for i in live]))
+
+        def inside(i, n):
+            b = lines[i].block
+            while b and b != n:
+                b = parent[b]
+            return b == n
+
+        score = {n: sum(smooth[i] - level for i in live if inside(i, n)) for n in range(len(parent))}
+        top = max(v for n, v in score.items() if any(inside(i, n) for i in range(len(lines))))
+        best = next(n for n, v in score.items() if v >= top - 1e-12 and any(inside(i, n) for i in range(len(lines))))
+        sure = {i for i in live if inside(i, best)}
+        got = set(html_text.region(page).tolist())
+        assert sure <= got and all(smooth[i] >= level for i in got - sure)
+
+
+def test_html_ratios_decide():
+    """Without any element or class name that tells parts of a page, ratios alone find the articles of the test pages."""
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet")["html"].to_pylist()
+    want = [" ".join(html_text.main_text("<article>" + h.split("<article>")[1].split("</article>")[0] + "</article>").split()) for h in pages]
+    bare = [re.sub(r"<(/?)(?:nav|article|footer)\b", r"<\1div", re.sub(r' class="[^"]*"', "", h)) for h in pages]
+    same = lambda found: sum(a == b for a, b in zip(found, want, strict=True))
+    assert same([html_text.main_text(h) for h in pages]) == len(pages)
+    found = same([html_text.main_text(h) for h in bare])
+    assert found >= 0.99 * len(pages)
+    assert same([html_text.main_text(h, sigma=0) for h in bare]) < found  # smoothing matters
+    assert same([html_text.main_text(h, threshold=0) for h in pages]) == 0  # and so does the threshold
 
 
 def test_html_table(spark):
