@@ -22,7 +22,7 @@ task ever holds a whole source; only one row per source and one per source and
 bucket is ever gathered by key.
 
 Edge cases: null text counts 0 words; a null source is a source of its own, last;
-a null doc_id hashes as empty; repeated rows are rows like others, told apart by
+rows with a null doc_id are ordered by a hash of their text; repeated rows are rows like others, told apart by
 their order of arrival in the bucket, so as a set the result is the same in every
 run; an empty table gives an empty result; extra columns are ignored.
 """
@@ -78,7 +78,7 @@ def due(share: Column, slope: Column) -> Column:
 
 def _taken(docs: DataFrame, weights: tuple[int, ...], cap: int, slopes: tuple[float, ...]) -> DataFrame:
     """Per row of ``docs`` what is taken of it, and below, goal and slope: what its copies' positions follow from."""
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit("")))))
     rows = docs.select("doc_id", "source", n_words().alias("size"), key.alias("h")).withColumn("bucket", F.substring("h", 1, BUCKET_HEX))
     totals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     goals = targets(totals.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap)
@@ -106,12 +106,13 @@ def _position(copy: Column) -> Column:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, slopes: tuple[float, ...] = SLOPES) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, copies, position.
+    """Per row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken, copies, position, last_position.
 
-    copies counts whole and started copies; position is the time at which the first
-    copy is due (null when the document isn't taken). Rows come in that order."""
-    first = F.when(F.col("taken") > 0, _position(F.lit(0)))
-    out = _taken(docs, weights, cap, slopes).select("doc_id", "size", "source_size", "target", "taken", "copies", first.alias("position"))
+    copies counts whole and started copies; position and last_position are the times at
+    which the first and the last copy are due (null when the document isn't taken; each
+    copy between them is due after its source's words of one more turn). Rows come in order of position."""
+    at = lambda copy: F.when(F.col("taken") > 0, _position(copy))
+    out = _taken(docs, weights, cap, slopes).select("doc_id", "size", "source_size", "target", "taken", "copies", at(F.lit(0)).alias("position"), at(F.col("copies") - 1).alias("last_position"))
     return out.repartitionByRange(F.col("position").asc_nulls_last(), F.col("doc_id")).sortWithinPartitions(F.col("position").asc_nulls_last(), "doc_id")
 
 
@@ -131,7 +132,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 SQL = """
 with d as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size,
-         md5(coalesce(doc_id::varchar, '')) as h
+         md5(coalesce(doc_id::varchar, md5(coalesce(text, '')))) as h
   from documents),
 s as (select source, sum(size)::bigint as source_size from d group by source),
 p as (select *, row_number() over (order by source is null, source collate "C") - 1 as place from s),
@@ -142,15 +143,24 @@ l as (
   from w window r as (order by source_size::double / weight, place rows between unbounded preceding and 1 preceding)),
 v as (select arg_min(level, (source_size::double / weight, place)) as held from l where level * weight <= 3 * source_size),
 g as (
-  select source, source_size,
+  select source, source_size, place,
          case when held is null then (3 * source_size)::double else least((3 * source_size)::double, held * weight) end as target
   from l, v),
 c as (
-  select doc_id, size, source_size, target, round(target)::bigint as goal,
+  select doc_id, size, source_size, target, round(target)::bigint as goal, [-0.5, 0.0, 0.5][(place % 3 + 1)::int]::double as slope,
          coalesce(sum(size) over (partition by d.source order by h, doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as below
   from d join g on d.source is not distinct from g.source),
-q as (select *, case when source_size > 0 then goal // source_size else 0 end as whole from c)
-select doc_id, size, source_size, target,
-       (whole * size + greatest(0, least(size, goal - whole * source_size - below)))::bigint as taken
-from q
+q as (select *, case when source_size > 0 then goal // source_size else 0 end as whole from c),
+k as (
+  select *, greatest(0, least(size, goal - whole * source_size - below))::bigint as part,
+         least(below::double / goal, 1.0::double) as early
+  from q),
+t as (
+  select *, (whole * size + part)::bigint as taken, (whole + (part > 0)::int)::int as copies from k),
+z as (
+  select *, least((below + (copies - 1)::bigint * source_size)::double / goal, 1.0::double) as late from t)
+select doc_id, size, source_size, target, taken, copies,
+       case when taken > 0 then case when slope = 0 then early else (sqrt((1 - slope) * (1 - slope) + 4 * slope * early) - (1 - slope)) / (2 * slope) end end as position,
+       case when taken > 0 then case when slope = 0 then late else (sqrt((1 - slope) * (1 - slope) + 4 * slope * late) - (1 - slope)) / (2 * slope) end end as last_position
+from z
 """

@@ -445,7 +445,11 @@ def test_mixing(spark):
         alike = sum(size[s] == n_source and abs(target[s] - t) < 1e-5 for s in size)
         assert abs(n - alike * t) <= alike
     times = [r["position"] for r in got if r["position"] is not None]
-    assert all(0 <= t <= 1 for t in times)
+    assert all(0 <= t <= 1 for t in times) and all((r["position"] is None) == (r["taken"] == 0) == (r["last_position"] is None) for r in got)
+    assert all(r["position"] <= r["last_position"] and (r["copies"] < 2 or r["position"] < r["last_position"]) for r in got if r["taken"])
+    # Sources that are taken several times last until the end: nothing of them is due early only.
+    for s in {r["source_size"] for r in got if r["copies"] > 1}:
+        assert max(r["last_position"] for r in got if r["source_size"] == s and r["taken"]) > 0.9
     assert sorted(map(str, got)) == sorted(map(str, rows(mixing.mix(df.repartition(7)))))
     assert mixing.mix(df.limit(0)).count() == 0
     assert mixing.mixed_documents(df).columns == df.columns
