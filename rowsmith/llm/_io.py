@@ -51,7 +51,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def release(*tables: DataFrame | None) -> None:
+    """Remove tables that ``materialize`` wrote and nothing will read again, as those of a loop's earlier rounds."""
+    for t in tables:
+        if t is not None:
+            _remove(t.sparkSession, t.written_to)
+
+
+def release_into(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
+    """``new``, which reads ``old``, written; ``old`` is removed."""
+    out = materialize(new, name)
+    release(old)
+    return out
 
 
 def _drop(spark: SparkSession, name: str) -> None:

@@ -3,11 +3,14 @@
 A word is a maximal run of bytes other than 0x20 and 0x09-0x0D. Those bytes never
 occur inside a multi-byte UTF-8 character, so working on bytes is exact. Spans
 are hashed to 64 bits as polynomials of their bytes modulo 2**64, taken from
-prefix sums, then mixed; cost is a few array operations a byte.
+prefix sums, then mixed; cost is a few array operations a byte. Such hashes only
+bring spans together: ``classes`` compares the bytes of those with equal hashes, and
+``digests`` names words by keyed BLAKE2b where they are compared across texts.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,6 +105,56 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: in
     return out
 
 
+def equal_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a : a + size] == data[b : b + size], byte by byte, for each (not empty) pair."""
+    same = np.ones(len(a), bool)
+    long = np.flatnonzero(size > 256)
+    for i in long.tolist():
+        same[i] = np.array_equal(data[a[i] : a[i] + size[i]], data[b[i] : b[i] + size[i]])
+    live, k = np.flatnonzero(size <= 256), 0
+    view = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+    eight = lambda at: np.ascontiguousarray(view[at]).view("<u8")[:, 0]
+    while len(live):
+        rest = size[live] - k
+        off = (eight(a[live] + k) ^ eight(b[live] + k)) << (8 * np.maximum(0, 8 - rest)).astype(U) != 0
+        same[live[off]] = False
+        live = live[~off & (rest > 8)]
+        k += 8
+    return same
+
+
+def classes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for each (not empty) span, equal exactly where the bytes are; spans in order of start."""
+    h, size = hash_spans(data, starts, ends), ends - starts
+    order = np.argsort(h, kind="stable")
+    new = np.ones(len(h), bool)
+    tied = np.flatnonzero(h[order[1:]] == h[order[:-1]])
+    a, b = order[tied], order[tied + 1]
+    alike = size[a] == size[b]
+    alike[alike] = equal_spans(data, starts[a[alike]], starts[b[alike]], size[a[alike]])
+    new[tied[alike] + 1] = False
+    out = np.empty(len(h), np.int64)
+    out[order] = np.cumsum(new) - 1
+    if not alike.all():  # different spans with one hash: all spans of that hash are told apart by their bytes
+        wrong = np.isin(h, np.unique(h[a[~alike]]))
+        known: dict[bytes, int] = {}
+        for i in np.flatnonzero(wrong).tolist():
+            out[i] = known.setdefault(data[starts[i] : ends[i]].tobytes(), len(h) + len(known))
+        _, out = np.unique(out, return_inverse=True)
+    return out
+
+
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: bytes) -> np.ndarray:
+    """128-bit keyed BLAKE2b digests of the spans, as two columns; each different span is hashed once."""
+    number = classes(data, starts, ends)
+    if not len(number):
+        return np.zeros((0, 2), U)
+    _, first = np.unique(number, return_index=True)
+    pieces = (data[s:e].tobytes() for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True))
+    named = np.frombuffer(b"".join(hashlib.blake2b(p, digest_size=16, key=key).digest() for p in pieces), U).reshape(-1, 2)
+    return named[number]
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and rows of the words."""
     return spans(~SPACE[data], offsets)

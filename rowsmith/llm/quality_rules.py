@@ -6,13 +6,19 @@ determinant estimate of the vectors' center and scatter is made for each languag
 source; a document whose Mahalanobis distance from its group's estimate is too large
 goes, too.
 
-The estimate is the deterministic form: start from coordinate-wise medians and scales,
-then repeat concentration steps (keep the ``SUPPORT`` share of rows with the smallest
-distances, take their mean and covariance) and finish with a reweighted estimate. Each
-step is two grouped aggregations over all rows with map-side partial sums, so a hot
-source is only more rows, never a larger task. A floor on each variance keeps constant
-statistics from making the scatter singular (the regularised form). Groups of fewer than
-``MIN_GROUP`` rows use their language's estimate, smaller languages that of all.
+The estimate of a group is deterministic: three starts (the coordinates' medians with
+their own scales, and with correlations of tanh-squashed coordinates and of spatial
+signs), concentration steps from each (keep the ``SUPPORT`` share of rows with the smallest
+distances, ties included, take their mean and covariance), the start with the smallest determinant on to
+convergence, and a reweighted estimate over all rows within the ``INNER`` quantile. Every
+group leans on the group above it (a source of a language on the language, that on all
+rows) as if ``PRIOR`` more rows had been drawn there; this holds at every size, and
+decides only where a group is small. A floor on each variance keeps constant statistics
+from making the scatter singular. Statistics are whole numbers on a fine grid,
+so all sums are exact and reruns agree whatever the order of rows.
+
+Each step is two grouped aggregations over all rows with map-side partial sums, so a hot
+source is only more rows, never a larger task. Equal words and lines are told by their bytes.
 
 Edge cases: null and empty texts have no words and fail the base rules; null languages
 and sources are groups of their own; repeated rows count as often as they stand there;
@@ -21,22 +27,31 @@ an empty table gives an empty result; other columns are ignored or passed throug
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.llm._io import materialize, small_batches
-from rowsmith.llm._words import U, hash_spans, mix, texts, words
+from rowsmith.llm._io import materialize, release, release_into, small_batches
+from rowsmith.llm._words import classes, texts, words
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MIN_GROUP = 60
+#: Rows that a group's estimate takes from the distribution of the group above it (source, language, all).
+PRIOR = 60
+#: Share of a group's rows that the concentrated estimate rests on, at least.
 SUPPORT = 0.75
-STEPS = 4
+#: Quantile of the chi-squared distribution within which rows count for the reweighted estimate.
+INNER = 0.975
+#: Concentration steps, at most; determinants fall with each one and stay after a few.
+STEPS = 30
+#: Statistics are held in whole steps of 1/GRID, so that sums are exact and don't depend on the order of
+#: rows (up to 2**36 rows a group).
+GRID = 1024
 #: Squared distance beyond which a document goes. Far in the tail of the chi-squared
 #: distribution with as many degrees as there are statistics (p < 1e-9), so that
 #: ordinary documents stay whatever the true law of a statistic is.
@@ -75,17 +90,19 @@ def count_texts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     n = len(offsets) - 1
     by_row = lambda rows: np.bincount(rows, minlength=n)
     starts, ends, row = words(data, offsets)
-    h = hash_spans(data, starts, ends)
+    word = classes(data, starts, ends)
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     lengths = points[ends] - points[starts]
 
     triple = np.flatnonzero(row[2:] == row[:-2]) if len(row) > 2 else np.zeros(0, np.int64)
-    window = mix(mix(h[triple] * U(3) + U(1)) + mix(h[triple + 1] * U(5) + U(2)) * U(7) + mix(h[triple + 2]) * U(11))
-    _, again = _seen_before(window, row[triple])
-    covered = np.zeros(len(h), bool)
+    pair = word[triple] * (len(word) + 1) + word[triple + 1]
+    if len(word) >= 1 << 21:  # three numbers no longer fit one
+        _, pair = np.unique(pair, return_inverse=True)
+    _, again = _seen_before(pair * (len(word) + 1) + word[triple + 2], row[triple])
+    covered = np.zeros(len(word), bool)
     for k in range(3):
         covered[triple[again] + k] = True
-    earlier_word, _ = _seen_before(h, row)
+    earlier_word, _ = _seen_before(word, row)
     signs = np.concatenate([[0], np.cumsum(_IS_SIGN[data])])
     bare = signs[ends] - signs[starts] == ends - starts
 
@@ -98,7 +115,7 @@ def count_texts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     line_end = np.where((nxt > line_start) & (data[np.maximum(nxt - 1, 0)] == 10), nxt - 1, nxt) if len(line_start) else nxt
     has_word = np.searchsorted(starts, line_end, "left") > np.searchsorted(starts, line_start, "left")
     line_start, line_end, line_row = line_start[has_word], line_end[has_word], line_row[has_word]
-    earlier_line, _ = _seen_before(hash_spans(data, line_start, line_end), line_row)
+    earlier_line, _ = _seen_before(classes(data, line_start, line_end), line_row)
 
     def of_bytes(mask: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0], np.cumsum(mask)])
@@ -147,112 +164,210 @@ def transformed() -> dict[str, Column]:
 
 # ---------------------------------------------------------------- minimum covariance determinant
 _V = list(FLOORS)
-_PAIRS = [(i, j) for i in range(len(_V)) for j in range(i, len(_V))]
+_P = len(_V)
+_PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]
+_FLOOR = np.diag(np.square(list(FLOORS.values())))
 
 
-def _distance() -> Column:
-    """Squared Mahalanobis distance of columns _V from the group's center ``c`` under its inverse scatter ``w``."""
-    parts = []
+def chi_squared(x: float, p: int) -> float:
+    """Distribution function of the chi-squared law with an even number ``p`` of degrees."""
+    term, total = 1.0, 1.0
+    for k in range(1, p // 2):
+        term *= x / (2 * k)
+        total += term
+    return 1.0 - math.exp(-x / 2) * total
+
+
+def quantile(share: float, p: int = _P) -> float:
+    lo, hi = 0.0, 1000.0
+    for _ in range(100):
+        lo, hi = ((lo + hi) / 2, hi) if chi_squared((lo + hi) / 2, p) < share else (lo, (lo + hi) / 2)
+    return lo
+
+
+def consistency(share: float, p: int = _P) -> float:
+    """By how much the covariance of the ``share`` nearest of a normal sample is too small."""
+    return share / chi_squared(quantile(share, p), p + 2)
+
+
+def grid_of(distance: np.ndarray) -> np.ndarray:
+    """The step of a squared distance on the grid by which the nearest rows are told; equal steps are ties."""
+    return np.floor(np.log2(distance + 2.0**-10) * 256).astype(np.int64)
+
+
+def _unpacked(packed: list[float]) -> np.ndarray:
+    full = np.empty((_P, _P))
     for k, (i, j) in enumerate(_PAIRS):
-        term = (F.col(_V[i]) - F.col("c")[i]) * (F.col(_V[j]) - F.col("c")[j]) * F.col("w")[k]
-        parts.append(term if i == j else term * 2)
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total
+        full[i, j] = full[j, i] = packed[k]
+    return full
+
+
+def _packed(full: np.ndarray) -> list[float]:
+    return [float(full[i, j]) for i, j in _PAIRS]
+
+
+def pooled(n: float, mean: np.ndarray, cov: np.ndarray, factor: float, over: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Center and scatter of ``n`` rows together with PRIOR rows distributed as the group above: every group leans on it, small ones more."""
+    if over is None:
+        return mean, cov * factor
+    m, s = over
+    center = (n * mean + PRIOR * m) / (n + PRIOR)
+    a, b = mean - center, m - center
+    within = (n * (cov + np.outer(a, a)) + PRIOR * (s / factor + np.outer(b, b))) / (n + PRIOR)
+    return center, within * factor
+
+
+def solved(center: np.ndarray, scatter: np.ndarray) -> tuple[list[float], list[float], float]:
+    """Center, packed inverse and logarithm of the determinant of the floored scatter."""
+    floored = scatter + _FLOOR
+    return center.tolist(), _packed(np.linalg.inv(floored)), float(np.linalg.slogdet(floored)[1])
 
 
-def invert(mean: np.ndarray, scatter: np.ndarray, factor: float) -> tuple[list[float], list[float]]:
-    """Center and packed inverse of the floored scatter. One group's numbers only."""
-    s = scatter * factor
-    s[np.diag_indices(len(_V))] += np.square(list(FLOORS.values()))
-    w = np.linalg.inv(s)
-    return mean.tolist(), [float(w[i, j]) for i, j in _PAIRS]
+_ESTIMATE = "g string, s int, c array<double>, w array<double>, scatter array<double>, det double"
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.int32(), *[pa.list_(pa.float64())] * 3, pa.float64()]
+    columns = zip(*rows, strict=True) if rows else [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["g", "s", "c", "w", "scatter", "det"])
+
+
+def _moments(row: dict, unit: float, sums: str = "s", products: str = "p") -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance from whole sums; the numbers are exact up to here, so the order of rows doesn't matter."""
+    n = row["n"]
+    mean = np.array([row[f"{sums}{i}"] for i in range(_P)], float) / n
+    second = _unpacked([row[f"{products}{i}_{j}"] / n for i, j in _PAIRS])
+    return mean / unit, (second - np.outer(mean, mean)) / unit**2
+
+
+def _over(row: dict) -> tuple[np.ndarray, np.ndarray] | None:
+    return None if row["oc"] is None else (np.array(row["oc"]), _unpacked(row["os"]))
 
 
 def _solve(batches: Iterable[pa.RecordBatch], factor: float) -> Iterator[pa.RecordBatch]:
-    """Group sums to centers and inverse scatters: columns g, n, then sums and sums of products."""
-    p = len(_V)
+    """Sums of groups' subsets to estimates."""
     for batch in batches:
-        g, c, w = [], [], []
+        out = []
         for row in batch.to_pylist():
-            n = row["n"]
-            mean = np.array([row[f"s{i}"] for i in range(p)]) / n
-            full = np.empty((p, p))
-            for i, j in _PAIRS:
-                full[i, j] = full[j, i] = row[f"p{i}_{j}"] / n - mean[i] * mean[j]
-            a, b = invert(mean, full, factor)
-            g.append(row["g"])
-            c.append(a)
-            w.append(b)
-        yield pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(c, pa.list_(pa.float64())), pa.array(w, pa.list_(pa.float64()))], names=["g", "c", "w"])
-
-
-def _start(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Medians and spreads of each coordinate to a first center and a diagonal inverse scatter."""
+            over = _over(row)
+            # A small group can lie wholly apart from where its estimate leans; without rows of its own it is judged by the group above.
+            center, scatter = pooled(row["n"], *_moments(row, GRID), factor, over) if row["n"] else over
+            c, w, det = solved(center, scatter)
+            out.append((row["g"], row["s"], c, w, _packed(scatter), det))
+        yield _batch(out)
+
+
+def first_scatters(scale: np.ndarray, squashed: np.ndarray, signs: np.ndarray) -> list[np.ndarray]:
+    """Three scatters to start from: the coordinates' own scales, the same with the correlations of
+    squashed (tanh) coordinates, and with those of spatial signs."""
+    out = [np.diag(scale**2)]
+    for second in (squashed, signs):
+        d = np.sqrt(np.maximum(np.diag(second), 1e-9))
+        out.append(second / np.outer(d, d) * np.outer(scale, scale))
+    return out
+
+
+def _first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        g, c, w = [], [], []
+        out = []
         for row in batch.to_pylist():
-            spread = [(row[f"q{i}"][2] - row[f"q{i}"][0]) / 1.349 for i in range(len(_V))]
-            a, b = invert(np.array([row[f"q{i}"][1] for i in range(len(_V))]), np.diag(np.square(spread)), 1.0)
-            g.append(row["g"])
-            c.append(a)
-            w.append(b)
-        yield pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(c, pa.list_(pa.float64())), pa.array(w, pa.list_(pa.float64()))], names=["g", "c", "w"])
+            middle, scale = np.array(row["middle"]), np.array(row["scale"])
+            second = [_unpacked([row[f"{k}{i}_{j}"] / row["n"] / GRID**2 for i, j in _PAIRS]) for k in ("t", "u")]
+            for s, scatter in enumerate(first_scatters(scale, *second)):
+                c, w, det = solved(middle, scatter)
+                out.append((row["g"], s, c, w, _packed(scatter), det))
+        yield _batch(out)
 
 
-_ESTIMATE = "g string, c array<double>, w array<double>"
+def _distance() -> Column:
+    """Squared Mahalanobis distance of columns _V (on the grid) from the center ``c`` under the inverse scatter ``w``."""
+    off = [F.col(v) / GRID - F.col("c")[i] for i, v in enumerate(_V)]
+    parts = [off[i] * off[j] * F.col("w")[k] * (1 if i == j else 2) for k, (i, j) in enumerate(_PAIRS)]
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total
 
 
-def _consistency(share: float, p: int = len(_V)) -> float:
-    """By how much the covariance of the ``share`` nearest of a normal sample is too small."""
-    rng = np.random.default_rng(0)
-    d = np.sort(rng.chisquare(p, 200_001))
-    return float(p / d[: int(share * len(d))].mean())
-
-
-def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Center and inverse scatter of each group ``g`` of ``rows`` (g and the statistics)."""
-    first = rows.groupBy("g").agg(*[F.percentile_approx(v, [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i, v in enumerate(_V)])
-    est = materialize(first.mapInArrow(_start, _ESTIMATE), "mcd-start")
-    factor = _consistency(SUPPORT)
-    for step in range(steps + 1):
-        near = rows.join(est, "g").withColumn("d", _distance()).drop("c", "w")
-        if step < steps:
-            limit = near.groupBy("g").agg(F.percentile_approx("d", SUPPORT, 2000).alias("limit"))
-            limit = materialize(limit, "mcd-limits")
-            near = near.join(limit, "g").where("d <= limit")
-        else:  # the reweighted estimate: all rows that the concentrated one finds ordinary
-            near, factor = near.where(F.col("d") <= CUTOFF), 1.0
-        sums = [F.sum(v).alias(f"s{i}") for i, v in enumerate(_V)]
-        products = [F.sum(F.col(_V[i]) * F.col(_V[j])).alias(f"p{i}_{j}") for i, j in _PAIRS]
-        totals = near.groupBy("g").agg(F.count("*").alias("n"), *sums, *products)
-        est = materialize(totals.mapInArrow(lambda it, f=factor: _solve(it, f), _ESTIMATE), "mcd")
-    return est
+def _sums(values: list[Column], sums: str = "s", products: str = "p") -> list[Column]:
+    return [F.sum(v).alias(f"{sums}{i}") for i, v in enumerate(values)] + [F.sum(values[i] * values[j]).alias(f"{products}{i}_{j}") for i, j in _PAIRS]
+
+
+def _starts(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Three first estimates of each group. cells: (g, i, v, n), how often a statistic has a value in a group."""
+    upto = Window.partitionBy("g", "i").orderBy("v")
+    ranked = cells.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(Window.partitionBy("g", "i")))
+    q = lambda share: F.min(F.when(F.col("upto") >= F.ceil(F.col("all") * share), F.col("v")))
+    middles = ranked.groupBy("g", "i").agg((q(0.5) / GRID).alias("m"), ((q(0.75) - q(0.25)) / GRID / 1.349).alias("w"))
+    floor = F.element_at(F.array(*[F.lit(x) for x in FLOORS.values()]), F.col("i") + 1)
+    each = F.sort_array(F.collect_list(F.struct("i", "m", F.greatest("w", floor).alias("w"))))  # one entry per statistic
+    middles = middles.groupBy("g").agg(each.alias("e")).select("g", F.col("e.m").alias("middle"), F.col("e.w").alias("scale"))
+    z = [(F.col(v) / GRID - F.col("middle")[i]) / F.col("scale")[i] for i, v in enumerate(_V)]
+    rows = rows.join(middles, "g").select("g", "middle", "scale", *[x.alias(f"z{i}") for i, x in enumerate(z)])
+    norm = F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(1, _P)), F.col("z0") * F.col("z0")))
+    whole = lambda x: F.round(x * GRID).cast("long")
+    rows = rows.withColumn("norm", F.greatest(norm, F.lit(1e-9)))
+    rows = rows.select("g", "middle", "scale", *[whole(F.tanh(f"z{i}")).alias(f"a{i}") for i in range(_P)], *[whole(F.col(f"z{i}") / F.col("norm")).alias(f"b{i}") for i in range(_P)])
+    sums = [F.sum(F.col(f"{c}{i}") * F.col(f"{c}{j}")).alias(f"{k}{i}_{j}") for c, k in (("a", "t"), ("b", "u")) for i, j in _PAIRS]
+    totals = rows.groupBy("g").agg(F.count("*").alias("n"), F.first("middle").alias("middle"), F.first("scale").alias("scale"), *sums)
+    return materialize(totals.mapInArrow(_first, _ESTIMATE), "mcd-start")
+
+
+def estimates(rows: DataFrame, cells: DataFrame, over: DataFrame | None = None) -> DataFrame:
+    """Robust center and scatter (g, c, w, scatter) of each group ``g`` of ``rows`` (g, up, the statistics on the grid).
+
+    From each of three starts, concentration steps; the start with the smallest determinant
+    after two steps goes on until its determinant stays; last, the reweighted estimate over
+    all rows within the inner quantile. ``over`` holds the estimates of the groups above."""
+    above = lambda t: t.withColumns({"oc": F.lit(None).cast("array<double>"), "os": F.lit(None).cast("array<double>")}) if over is None else t.join(over.select(F.col("g").alias("up"), F.col("c").alias("oc"), F.col("scatter").alias("os")), "up", "left")
+    solve = lambda near, factor, name: materialize(above(near.groupBy("g", "s", "up").agg(F.count_if("near").alias("n"), *_sums([F.when(F.col("near"), F.col(v)) for v in _V]))).mapInArrow(lambda it: _solve(it, factor), _ESTIMATE), name)
+    est = _starts(rows, cells)
+    inner, factor = quantile(INNER), consistency(SUPPORT)
+    for step in range(STEPS):
+        near = rows.join(est.select("g", "s", "c", "w"), "g").withColumn("step", F.floor(F.log2(_distance() + 2.0**-10) * 256)).drop("c", "w")
+        steps = near.groupBy("g", "s", "step").agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("g", "s").orderBy("step"))
+        steps = steps.withColumn("upto", upto).withColumn("all", F.sum("n").over(Window.partitionBy("g", "s")))
+        limit = steps.where(F.col("upto") >= F.ceil(F.col("all") * SUPPORT)).groupBy("g", "s").agg(F.min("step").alias("limit"))
+        new = solve(near.join(limit, ["g", "s"]).where("step <= limit").withColumn("near", F.lit(True)), factor, "mcd")
+        if step == 1:
+            best = F.row_number().over(Window.partitionBy("g").orderBy("det", "s"))
+            new = release_into(new, new.withColumn("best", best).where("best = 1").drop("best"), "mcd-best")
+        if step > 1:  # a step that takes in more ties can raise a determinant again; such a group stays as it was
+            falling = new.join(est.select("g", F.col("det").alias("was")), "g").where("det < was - 1e-9").select("g")
+            if not falling.take(1):
+                release(new)
+                break
+            new = release_into(new, new.join(falling, "g", "left_semi").unionByName(est.join(falling, "g", "left_anti")), "mcd-fallen")
+        release(est)
+        est = new
+    near = rows.join(est.select("g", "s", "c", "w"), "g").withColumn("near", _distance() <= inner).drop("c", "w")
+    out = solve(near, consistency(INNER), "mcd-reweighted")
+    release(est)
+    return out
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, lang, source): doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, distance (squared; null where the base rules decide)."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    rows = counted(docs).withColumn("base_failed", failed).withColumns(transformed())
-    rows = materialize(rows, "counts")
-    ordinary = rows.where("not base_failed")
+    on_grid = {v: F.round(x * GRID).cast("long") for v, x in transformed().items()}
+    rows = counted(docs).withColumn("base_failed", failed).withColumns(on_grid)
     lang = F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-"))
-    own = F.concat_ws("\u0001", lang, F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")))
-    every = F.lit("*")
-
-    # A group's own estimate if it is large enough, else its language's, else that of all.
-    sizes = materialize(ordinary.groupBy(lang.alias("l"), own.alias("o")).agg(F.count("*").alias("n")), "group-sizes")
-    langs = sizes.groupBy("l").agg(F.sum("n").alias("m"))
-    chosen = sizes.join(langs, "l").select("o", "l", F.when(F.col("n") >= MIN_GROUP, F.col("o")).when(F.col("m") >= MIN_GROUP, F.col("l")).otherwise(every).alias("g"))
-    chosen = materialize(chosen, "groups")
-    placed = ordinary.withColumn("o", own).join(chosen.select("o", "g"), "o")
-    wanted = chosen.select("g").distinct()
-    levels = F.array_distinct(F.array("o", lang, every))
-    needed = ordinary.withColumn("o", own).select("*", F.explode(levels).alias("g")).join(wanted, "g", "left_semi").select("g", *_V)
-    est = estimates(materialize(needed, "mcd-rows"))
-    judged = placed.join(est, "g").withColumn("distance", _distance())
+    own = F.concat_ws("\u0001", "l", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")))
+    rows = materialize(rows.withColumn("l", lang).withColumn("o", own), "counts")
+    ordinary = rows.where("not base_failed")
+
+    # Each statistic's values and how often they occur, once for all levels.
+    values = F.posexplode(F.array(*_V)).alias("i", "v")
+    cells = materialize(ordinary.select("o", "l", values).groupBy("o", "l", "i", "v").agg(F.count("*").alias("n")), "cells")
+    est, every = None, F.lit("*")
+    for key, up in ((every, F.lit("")), (F.col("l"), every), (F.col("o"), F.col("l"))):
+        level = cells.groupBy(key.alias("g"), "i", "v").agg(F.sum("n").alias("n"))
+        new = estimates(ordinary.select(key.alias("g"), up.alias("up"), *_V), level, est)
+        release(est)
+        est = new
+    judged = ordinary.join(est.select(F.col("g").alias("o"), "c", "w"), "o").withColumn("distance", _distance())
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     good = judged.select(*out, (F.col("distance") <= CUTOFF).alias("kept"), "distance")
     bad = rows.where("base_failed").select(*out, F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance"))
