@@ -1,22 +1,25 @@
-"""Suffix arrays by induced sorting, as array operations.
+"""Suffix arrays by induced sorting, and permuted common prefixes, as array operations.
 
 Suffixes are classified as smaller (S) or larger (L) than their successor. The leftmost S
 suffixes of each run are sorted by sorting the substrings between them (by inducing from
 their first characters), naming equal ones alike and sorting the shorter text of names
 recursively; all other suffixes follow by two linear scans over the buckets. A scan treats
 the entries of a bucket in waves: a wave's predecessors are dealt to their buckets in one
-stable step, and those that fall into the bucket itself form the next wave.
+stable step, and those that fall into the bucket itself form the next wave. Texts of names
+mostly have more buckets than a wave each would pay for; they are scanned entry by entry,
+to the same end.
 
-Where a text of names has a large alphabet, its suffixes are sorted by doubling ranks
-instead, since scanning bucket by bucket would visit more buckets than there are entries.
+Common prefixes are found in text order: of a suffix whose character before is also that
+before its neighbour's, the prefix is one shorter than that of the suffix before it. Only the others are compared,
+which takes at most n log n steps in all.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Largest alphabet that is scanned bucket by bucket.
-ALPHABET = 2048
+#: Entries a bucket for which scanning in waves pays; fewer are scanned one by one.
+WAVE = 40
 
 
 def smaller(t: np.ndarray) -> np.ndarray:
@@ -43,8 +46,10 @@ def _deal(sa: np.ndarray, edge: np.ndarray, found: np.ndarray, chars: np.ndarray
 
 def induce(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, start: np.ndarray) -> np.ndarray:
     """The suffix array that follows from ``lms``, leftmost S suffixes in order. start: of buckets, and the end."""
-    sa = np.full(len(t), -1, np.int64)
     chars = np.flatnonzero(np.diff(start))
+    if len(t) < WAVE * len(chars):
+        return _induce_singly(t, is_s, lms, start)
+    sa = np.full(len(t), -1, np.int64)
     of = t[lms]
     by = np.argsort(of, kind="stable")
     cut = np.searchsorted(of[by], np.arange(len(start)))
@@ -92,6 +97,30 @@ def induce(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, start: np.ndarray)
     return sa
 
 
+def _induce_singly(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The same, one entry after the other."""
+    chars, small, sa = t.tolist(), is_s.tolist(), [-1] * len(t)
+    tail = start[1:].tolist()
+    for j in lms[::-1].tolist():
+        c = chars[j]
+        tail[c] -= 1
+        sa[tail[c]] = j
+    head = start[:-1].tolist()
+    for j in sa:  # grows ahead of the scan
+        if j > 0 and not small[j - 1]:
+            c = chars[j - 1]
+            sa[head[c]] = j - 1
+            head[c] += 1
+    tail = start[1:].tolist()
+    for i in range(len(sa) - 1, -1, -1):
+        j = sa[i] - 1
+        if j >= 0 and small[j]:
+            c = chars[j]
+            tail[c] -= 1
+            sa[tail[c]] = j
+    return np.array(sa, np.int64)
+
+
 def names(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, int]:
     """Names by rank of the substrings that begin at ``lms`` (in text order), given the sorted ``order``; how many."""
     n = len(t)
@@ -113,39 +142,11 @@ def names(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, order: np.ndarray) -
     return out[lms], int(rank[-1]) + 1
 
 
-def doubled(t: np.ndarray) -> np.ndarray:
-    """Suffix array by doubling ranks; only suffixes that still tie are sorted again."""
-    n = len(t)
-    sa = np.argsort(t, kind="stable")
-    key = t[sa]
-    fresh = np.concatenate([[True], key[1:] != key[:-1]])
-    k = 1
-    rank = np.empty(n, np.int64)
-    rank[sa] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    while True:
-        single = fresh & np.append(fresh[1:], True)
-        live = np.flatnonzero(~single)
-        if not len(live):
-            return sa
-        p = sa[live]
-        second = np.where(p + k < n, rank[np.minimum(p + k, n - 1)] + 1, 0)
-        group = rank[p]
-        o = np.lexsort((second, group))
-        sa[live] = p[o]
-        g, s = group[o], second[o]
-        new = np.concatenate([[True], (g[1:] != g[:-1]) | (s[1:] != s[:-1])])
-        fresh[live] = new
-        rank[sa[live]] = np.maximum.accumulate(np.where(new, live, 0))
-        k *= 2
-
-
 def suffix_array(t: np.ndarray, sigma: int) -> np.ndarray:
     """Suffix array of ``t``, integers below ``sigma``, whose last one is 0 and occurs once."""
     n = len(t)
     if n == 1:
         return np.zeros(1, np.int64)
-    if sigma > ALPHABET:
-        return doubled(t)
     is_s = smaller(t)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     start = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=sigma))])
@@ -159,24 +160,27 @@ def suffix_array(t: np.ndarray, sigma: int) -> np.ndarray:
     return induce(t, is_s, lms, start)
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
-    """min(``most``, common prefix) of each suffix in ``order`` with the one before it; the first has 0.
-
-    All suffixes have ``most`` bytes in ``data`` (uint8). Eight bytes are compared at once."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    out = np.zeros(len(order), np.int64)
-    live = np.arange(1, len(order))
-    for k in range(0, most, 8):
-        a = np.ascontiguousarray(words[order[live] + k]).view("<u8")[:, 0]
-        b = np.ascontiguousarray(words[order[live - 1] + k]).view("<u8")[:, 0]
-        x = a ^ b
-        off = x != 0
-        if off.any():
-            low = x[off] & (~x[off] + np.uint64(1))
-            out[live[off]] = k + np.log2(low.astype(float)).astype(np.int64) // 8
-            live = live[~off]
-        if not len(live):
-            break
-    out[live] = most
-    return np.minimum(out, most)
+def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
+    """For each place of ``t`` (integers below 65536, the last one 0 and the only one) the length of the common
+    prefix of its suffix with the one before it in ``sa``; 0 for the first."""
+    n = len(t)
+    before = np.empty(n, np.int64)
+    before[sa[0]] = -1
+    before[sa[1:]] = sa[:-1]
+    prev = np.concatenate([[-1], t[:-1]])
+    own = np.flatnonzero((before < 0) | (prev != prev[before]) | (prev < 0) | (before == 0))
+    words = np.lib.stride_tricks.sliding_window_view(np.concatenate([t, np.zeros(4, t.dtype)]).astype(np.uint16), 4)
+    four = lambda at: np.ascontiguousarray(words[at]).view("<u8")[:, 0]
+    length = np.zeros(len(own), np.int64)
+    live = np.flatnonzero(before[own] >= 0)
+    while len(live):
+        k = length[live]
+        x = four(own[live] + k) ^ four(before[own[live]] + k)  # the end mark, which occurs once, stops every comparison
+        low = x & (~x + np.uint64(1))
+        length[live] = k + np.where(x != 0, np.log2(np.maximum(low, np.uint64(1)).astype(float)).astype(np.int64) // 16, 4)
+        live = live[x == 0]
+    out = np.zeros(n, np.int64)
+    out[own] = length + own
+    last = np.zeros(n, np.int64)
+    last[own] = own
+    return out[np.maximum.accumulate(last)] - np.arange(n)  # one less for each step on from a place compared

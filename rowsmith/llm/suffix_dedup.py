@@ -46,10 +46,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith.llm._io import bucketed, materialize, small_batches
-from rowsmith.llm._words import BASE, BASE_INV, U, _powers, hash_spans, mix, texts
-from rowsmith.llm.suffix_array import common_prefixes, suffix_array
+from rowsmith.llm._words import BASE, BASE_INV, U, _powers, equal_spans, mix, texts
+from rowsmith.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 LENGTH = 200
+#: Key of the windows' digests. Whoever writes the texts may not know it in a deployment that fears forged collisions.
+KEY = b"rowsmith windows"
 GRAM = 96
 #: Bytes of one suffix array, and of windows printed at once.
 SHARD = 1 << 20
@@ -138,15 +140,11 @@ def _anchor_rows(batches: Iterable[pa.RecordBatch], with_place: bool) -> Iterato
 
 
 # ---------------------------------------------------------------- windows
-def _poly(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of data[start:end] and a salt."""
-    a = hash_spans(data, starts, ends)
-    b = hash_spans(_SHUFFLED[data], starts, ends)
-    s = mix(salt.astype(U) + U(77))
-    return mix(a ^ s).view(np.int64), mix(b + s * U(3)).view(np.int64)
-
-
-_SHUFFLED = np.random.default_rng(12).permutation(256).astype(np.uint8)
+def _digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """128-bit keyed BLAKE2b digests, as two columns, of data[start:end] and of the place ``at`` in it."""
+    raw = data.tobytes()
+    made = (hashlib.blake2b(raw[s:e], digest_size=16, key=KEY, salt=k.to_bytes(8, "little")).digest() for s, e, k in zip(starts.tolist(), ends.tolist(), at.tolist(), strict=True))
+    return np.frombuffer(b"".join(made), np.int64).reshape(-1, 2)
 
 
 def _places(batch: pa.RecordBatch, at: int, offsets: np.ndarray, lists: int) -> tuple[np.ndarray, np.ndarray]:
@@ -166,10 +164,10 @@ def _window_rows(batches: Iterable[pa.RecordBatch], length: int, gram: int) -> I
             row, place, anchor = row[order], place[order], anchor.take(pa.array(order))
             begin, end = offsets[row], offsets[row + 1]
             lo, hi = np.maximum(begin, begin + place - (length - gram)), np.minimum(end, begin + place + length)
-            d1, d2 = _poly(data, lo, hi, begin + place - lo)
+            d1, d2 = _digests(data, lo, hi, begin + place - lo).T
             take = pa.array(row + at)
             small = [pa.array(x.astype(np.int32)) for x in (place, lo - begin, hi - begin)]
-            yield pa.RecordBatch.from_arrays([anchor, pa.array(d1), pa.array(d2), batch.column(0).take(take), batch.column(1).take(take), *small], names=["anchor", "d1", "d2", "key", "copies", "place", "lo", "hi"])
+            yield pa.RecordBatch.from_arrays([anchor, pa.array(d1.copy()), pa.array(d2.copy()), batch.column(0).take(take), batch.column(1).take(take), *small], names=["anchor", "d1", "d2", "key", "copies", "place", "lo", "hi"])
 
 
 _WINDOW = "anchor long, d1 long, d2 long, key binary, copies long, place int, lo int, hi int"
@@ -223,17 +221,17 @@ def repeated_starts(windows: list[bytes], many: np.ndarray, owner: np.ndarray, b
     order = order[order >= 0]
     if not len(order):
         return order, order
-    # Common prefixes by rank, then permuted to text order: with the suffix before or after.
-    lcp = common_prefixes(data, order, length)
-    run = np.flatnonzero(lcp < length)
+    # A separator differs from every byte, so strings with a common prefix of this length are neighbours in the array.
+    plcp = permuted_common_prefixes(text, sa)
+    run = np.flatnonzero(plcp[at[order]] < length)
     count = np.diff(np.append(run, len(order)))
     w = number[order]
     where = (owner[w] << 32) | (begin[w] + off[order])
     two = (np.minimum.reduceat(where, run) != np.maximum.reduceat(where, run)) | np.maximum.reduceat(many[w], run)
-    plcp = np.zeros(len(data), bool)
-    plcp[order] = np.repeat(two, count)
-    at = np.flatnonzero(plcp)
-    return number[at], off[at]
+    found = np.zeros(len(data), bool)
+    found[order] = np.repeat(two, count)
+    found = np.flatnonzero(found)
+    return number[found], off[found]
 
 
 def _merged(w: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -250,20 +248,16 @@ def _merged(w: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
 
 
 class _Prints:
-    """Fingerprints of parts of one byte array, each in constant time."""
+    """Fingerprints of parts of one byte array, each in constant time. They only bring parts together: equal
+    prints are followed by comparing bytes."""
 
     def __init__(self, data: np.ndarray):
         size = len(data) + 1
         self.down = _powers(size, BASE_INV)
-        sums = lambda d: np.concatenate([np.zeros(1, U), np.cumsum(_ONE_UP[d] * _powers(size, BASE)[: len(d)])])
-        self.a, self.b = sums(data), sums(_SHUFFLED[data])
-
-    def rough(self, start: np.ndarray, stop: np.ndarray, salt: np.ndarray) -> np.ndarray:
-        return mix((self.a[stop] - self.a[start]) * self.down[start] + salt)
+        self.sums = np.concatenate([np.zeros(1, U), np.cumsum(_ONE_UP[data] * _powers(size, BASE)[: len(data)])])
 
     def of(self, start: np.ndarray, stop: np.ndarray, salt: np.ndarray) -> np.ndarray:
-        d = self.down[start]
-        return mix(mix((self.a[stop] - self.a[start]) * d + salt) + mix((self.b[stop] - self.b[start]) * d) * U(3) + (stop - start).astype(U))
+        return mix((self.sums[stop] - self.sums[start]) * self.down[start] + salt)
 
 
 _ONE_UP = np.arange(1, 257, dtype=np.uint64)
@@ -285,11 +279,26 @@ def _parts(data: np.ndarray, first: np.ndarray, size: np.ndarray, group: np.ndar
         base = first[x[0]]
         prints = _Prints(data[base : first[x[-1]] + size[x[-1]]])
         here = first[x] - base
-        core = prints.rough(here + at[x] - spare + be - 1, here + at[x] - spare + al + length, mix(group[x].view(U) + al.astype(U) * U(256) + be.astype(U)))
-        out.append((x, al, be, sure, begin, end, core, prints.of(here + begin, here + end, core + (at[x] - begin).astype(U))))
+        core = prints.of(here + at[x] - spare + be - 1, here + at[x] - spare + al + length, mix(group[x].view(U) + al.astype(U) * U(256) + be.astype(U)))
+        out.append((x, al, be, sure, begin, end, core, prints.of(here + begin, here + end, mix(core + (at[x] - begin).astype(U) * U(512) + (end - begin).astype(U)))))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (w[:0],) * 8
 
 
+def _equal_parts(data: np.ndarray, start: np.ndarray, stop: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Like np.unique of ``prints`` (values, first places, inverse, counts), but of parts with one print only those
+    of the same bytes count as equal."""
+    _, one, of = np.unique(prints, return_index=True, return_inverse=True)
+    other, size = np.flatnonzero(one[of] != np.arange(len(of))), stop - start
+    rep = one[of[other]]
+    same = size[other] == size[rep]
+    same[same] = equal_spans(data, start[other[same]], start[rep[same]], size[rep[same]])
+    if not same.all():
+        odd, known = other[~same], {}
+        of = of.copy()
+        of[odd] = [known.setdefault((of[i], data[start[i] : stop[i]].tobytes()), len(one) + len(known)) for i in odd.tolist()]
+    return np.unique(of, return_index=True, return_inverse=True, return_counts=True)
+
+
 def _runs(core: np.ndarray, size: np.ndarray, most: int) -> Iterator[np.ndarray]:
     """Places of whole groups of equal ``core``, about ``most`` bytes at a time."""
     order = np.argsort(core, kind="stable")
@@ -319,7 +328,7 @@ def _shard(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
         _, of, count = np.unique(core, return_inverse=True, return_counts=True)
         w, al, be, sure, begin, end, core, whole = (x[count[of] > 1] for x in (w, al, be, sure, begin, end, core, whole))
         # Equal parts are repeated as a whole; one of them stays as a partner of unequal ones.
-        _, one, of, count = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+        _, one, of, count = _equal_parts(data, first[w] + begin, first[w] + end, whole)
         known = count > 1
         np.logical_or.at(known, of, sure)
         x = np.flatnonzero(known[of] & ~sure) if len(of) else of
