@@ -342,13 +342,50 @@ def test_quality_model(spark):
 
 
 # ---------------------------------------------------------------- 6
-def test_suffix_array():
+def common(a, b):
+    return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+@pytest.mark.parametrize("wave", [0, 40, 10**9])
+def test_suffix_array(monkeypatch, wave):
+    monkeypatch.setattr(suffix_array, "WAVE", wave)
     rng = random.Random(2)
-    for _ in range(150):
+    for _ in range(100):
         n, s = rng.randrange(1, 120), rng.choice([1, 2, 4, 20])
         t = np.array([*([rng.randrange(1, s + 1) for _ in range(rng.randrange(1, 9))] * n)[:n], 0])
         want = sorted(range(len(t)), key=lambda i: t.tolist()[i:])
-        assert suffix_array.suffix_array(t, s + 1).tolist() == want == suffix_array.doubled(t).tolist()
+        sa = suffix_array.suffix_array(t, s + 1)
+        assert sa.tolist() == want
+        plcp = suffix_array.permuted_common_prefixes(t, sa)
+        assert [plcp[i] for i in want] == [0, *[common(t.tolist()[a:], t.tolist()[b:]) for a, b in itertools.pairwise(want)]]
+
+
+def test_suffix_array_with_many_names():
+    """Texts whose leftmost-smaller substrings need thousands of names, on several levels."""
+    rng = np.random.default_rng(4)
+    motif = rng.integers(1, 60, 9000)
+    t = np.concatenate([motif, rng.integers(1, 60, 3000), motif[::-1], motif[100:8000], motif, [0]])
+    is_s = suffix_array.smaller(t)
+    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+    start = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=60))])
+    order = suffix_array.induce(t, is_s, lms, start)
+    order = order[np.isin(order, lms)]
+    short, count = suffix_array.names(t, is_s, lms, order)
+    assert 2048 < count < len(lms) == len(short)
+    raw = t.astype(">u2").tobytes()
+    want = sorted(range(len(t)), key=lambda i: raw[2 * i :])
+    sa = suffix_array.suffix_array(t, 60)
+    assert sa.tolist() == want
+    plcp = suffix_array.permuted_common_prefixes(t, sa)
+    whole = t.tolist()
+    assert all(plcp[b] == common(whole[a:], whole[b:]) for a, b in itertools.islice(itertools.pairwise(want), 0, None, 97))
+
+
+def test_equal_prints_are_followed_by_bytes():
+    data = np.frombuffer(b"abcabdabcxx", np.uint8)
+    start, stop = np.array([0, 3, 6, 9]), np.array([3, 6, 9, 11])
+    _, one, of, count = suffix_dedup._equal_parts(data, start, stop, np.zeros(4, np.uint64))
+    assert of[0] == of[2] and len(set(of.tolist())) == 3 and sorted(count.tolist()) == [1, 1, 2] and len(one) == 3
 
 
 def test_anchors_of_very_long_texts(monkeypatch):
@@ -448,6 +485,22 @@ def test_near_dedup_edges(spark):
     assert near_dedup.drop_near_duplicates(frame(spark, [(1, "a b c d e f"), (2, "a b c d e f")])).count() == 1
 
 
+def test_near_dedup_words_with_colliding_hashes(spark):
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    b = a.translate(str.maketrans("ab", "ba"))
+    got = {r["doc_id"]: r["component_id"] for r in rows(near_dedup.near_duplicates(frame(spark, [(1, f"{a} x"), (2, f"{b} x"), (3, f"{a} x")]), 2))}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_near_dedup_of_an_id_on_several_texts(spark):
+    rng = random.Random(12)
+    t = [prose(rng, 60, 5000) for _ in range(4)]
+    docs = [(1, t[0]), (1, t[1]), (2, t[1] + " tail"), (3, t[2]), (4, t[3]), (4, t[3]), (5, t[0]), (5, t[3]), (6, t[0] + " end")]
+    got = [(r["doc_id"], r["component_id"], r["kept"]) for r in rows(near_dedup.near_duplicates(frame(spark, docs)))]
+    assert len(got) == len(docs) and {(d, c) for d, c, _ in got} == {(1, 1), (2, 1), (3, 3), (4, 1), (5, 1), (6, 1)}
+    assert all(k == (d == c) for d, c, k in got)
+
+
 def test_sequential_bound():
     need = near_dedup.least_matches(0.8)
     assert list(need) == list(range(48, 337, 48)) and all(0.4 * n < m < 0.8 * n for n, m in need.items())
