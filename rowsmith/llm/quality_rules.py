@@ -10,10 +10,10 @@ The estimate of a group is deterministic: three starts (the coordinates' medians
 their own scales, and with correlations of tanh-squashed coordinates and of spatial
 signs), concentration steps from each (keep the ``SUPPORT`` share of rows with the smallest
 distances, ties included, take their mean and covariance), the start with the smallest determinant on to
-convergence, and a reweighted estimate over all rows within the ``INNER`` quantile. Every
-group leans on the group above it (a source of a language on the language, that on all
-rows) as if ``PRIOR`` more rows had been drawn there; this holds at every size, and
-decides only where a group is small. A floor on each variance keeps constant statistics
+convergence, and a reweighted estimate over all rows within the ``INNER`` quantile. The
+estimate of a source within a language leans on that of the language, made in the same way from all of its rows,
+as if ``PRIOR`` more rows had been drawn there; this holds at every size, and decides only
+where a source has few rows. A floor on each variance keeps constant statistics
 from making the scatter singular. Statistics are whole numbers on a fine grid,
 so all sums are exact and reruns agree whatever the order of rows.
 
@@ -41,7 +41,7 @@ from rowsmith.llm._words import classes, texts, words
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Rows that a group's estimate takes from the distribution of the group above it (source, language, all).
+#: Rows that the estimate of a language's source takes from the distribution of the language.
 PRIOR = 60
 #: Share of a group's rows that the concentrated estimate rests on, at least.
 SUPPORT = 0.75
@@ -49,6 +49,8 @@ SUPPORT = 0.75
 INNER = 0.975
 #: Concentration steps, at most; determinants fall with each one and stay after a few.
 STEPS = 30
+#: Squared distances are told apart by steps of this many an octave where the nearest rows are taken; rows on one step are ties.
+STEPS_AN_OCTAVE = 64
 #: Statistics are held in whole steps of 1/GRID, so that sums are exact and don't depend on the order of
 #: rows (up to 2**36 rows a group).
 GRID = 1024
@@ -190,11 +192,6 @@ def consistency(share: float, p: int = _P) -> float:
     return share / chi_squared(quantile(share, p), p + 2)
 
 
-def grid_of(distance: np.ndarray) -> np.ndarray:
-    """The step of a squared distance on the grid by which the nearest rows are told; equal steps are ties."""
-    return np.floor(np.log2(distance + 2.0**-10) * 256).astype(np.int64)
-
-
 def _unpacked(packed: list[float]) -> np.ndarray:
     full = np.empty((_P, _P))
     for k, (i, j) in enumerate(_PAIRS):
@@ -207,7 +204,7 @@ def _packed(full: np.ndarray) -> list[float]:
 
 
 def pooled(n: float, mean: np.ndarray, cov: np.ndarray, factor: float, over: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
-    """Center and scatter of ``n`` rows together with PRIOR rows distributed as the group above: every group leans on it, small ones more."""
+    """Center and scatter of ``n`` rows together with PRIOR rows distributed as the group above."""
     if over is None:
         return mean, cov * factor
     m, s = over
@@ -223,13 +220,13 @@ def solved(center: np.ndarray, scatter: np.ndarray) -> tuple[list[float], list[f
     return center.tolist(), _packed(np.linalg.inv(floored)), float(np.linalg.slogdet(floored)[1])
 
 
-_ESTIMATE = "g string, s int, c array<double>, w array<double>, scatter array<double>, det double"
+_ESTIMATE = "g string, s int, c array<double>, w array<double>, scatter array<double>, det double, fell boolean"
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.string(), pa.int32(), *[pa.list_(pa.float64())] * 3, pa.float64()]
-    columns = zip(*rows, strict=True) if rows else [[]] * 6
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["g", "s", "c", "w", "scatter", "det"])
+    types = [pa.string(), pa.int32(), *[pa.list_(pa.float64())] * 3, pa.float64(), pa.bool_()]
+    columns = zip(*rows, strict=True) if rows else [[]] * 7
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["g", "s", "c", "w", "scatter", "det", "fell"])
 
 
 def _moments(row: dict, unit: float, sums: str = "s", products: str = "p") -> tuple[np.ndarray, np.ndarray]:
@@ -244,8 +241,8 @@ def _over(row: dict) -> tuple[np.ndarray, np.ndarray] | None:
     return None if row["oc"] is None else (np.array(row["oc"]), _unpacked(row["os"]))
 
 
-def _solve(batches: Iterable[pa.RecordBatch], factor: float) -> Iterator[pa.RecordBatch]:
-    """Sums of groups' subsets to estimates."""
+def _solve(batches: Iterable[pa.RecordBatch], factor: float, keep: bool) -> Iterator[pa.RecordBatch]:
+    """Sums of groups' subsets to estimates; if ``keep``, a group's estimate so far stays unless the determinant falls."""
     for batch in batches:
         out = []
         for row in batch.to_pylist():
@@ -253,7 +250,10 @@ def _solve(batches: Iterable[pa.RecordBatch], factor: float) -> Iterator[pa.Reco
             # A small group can lie wholly apart from where its estimate leans; without rows of its own it is judged by the group above.
             center, scatter = pooled(row["n"], *_moments(row, GRID), factor, over) if row["n"] else over
             c, w, det = solved(center, scatter)
-            out.append((row["g"], row["s"], c, w, _packed(scatter), det))
+            if keep and not det < row["det"] - 1e-9:  # a step that takes in more ties can raise it
+                out.append((row["g"], row["s"], row["c"], row["w"], row["scatter"], row["det"], False))
+            else:
+                out.append((row["g"], row["s"], c, w, _packed(scatter), det, True))
         yield _batch(out)
 
 
@@ -275,7 +275,7 @@ def _first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             second = [_unpacked([row[f"{k}{i}_{j}"] / row["n"] / GRID**2 for i, j in _PAIRS]) for k in ("t", "u")]
             for s, scatter in enumerate(first_scatters(scale, *second)):
                 c, w, det = solved(middle, scatter)
-                out.append((row["g"], s, c, w, _packed(scatter), det))
+                out.append((row["g"], s, c, w, _packed(scatter), det, True))
         yield _batch(out)
 
 
@@ -319,30 +319,32 @@ def estimates(rows: DataFrame, cells: DataFrame, over: DataFrame | None = None)
     From each of three starts, concentration steps; the start with the smallest determinant
     after two steps goes on until its determinant stays; last, the reweighted estimate over
     all rows within the inner quantile. ``over`` holds the estimates of the groups above."""
-    above = lambda t: t.withColumns({"oc": F.lit(None).cast("array<double>"), "os": F.lit(None).cast("array<double>")}) if over is None else t.join(over.select(F.col("g").alias("up"), F.col("c").alias("oc"), F.col("scatter").alias("os")), "up", "left")
-    solve = lambda near, factor, name: materialize(above(near.groupBy("g", "s", "up").agg(F.count_if("near").alias("n"), *_sums([F.when(F.col("near"), F.col(v)) for v in _V]))).mapInArrow(lambda it: _solve(it, factor), _ESTIMATE), name)
+    empty = F.lit(None).cast("array<double>")
+    above = lambda t: t.withColumns({"oc": empty, "os": empty}) if over is None else t.join(over.select(F.col("g").alias("up"), F.col("c").alias("oc"), F.col("scatter").alias("os")), "up", "left")
+
+    def solve(near: DataFrame, so_far: DataFrame, factor: float, keep: bool, name: str) -> DataFrame:
+        """The estimates that follow from the rows marked ``near``."""
+        totals = near.groupBy("g", "s", "up").agg(F.count_if("near").alias("n"), *_sums([F.when(F.col("near"), F.col(v)) for v in _V]))
+        return materialize(above(totals).join(so_far.drop("fell"), ["g", "s"]).mapInArrow(lambda it: _solve(it, factor, keep), _ESTIMATE), name)
+
     est = _starts(rows, cells)
-    inner, factor = quantile(INNER), consistency(SUPPORT)
+    inner = quantile(INNER)
     for step in range(STEPS):
-        near = rows.join(est.select("g", "s", "c", "w"), "g").withColumn("step", F.floor(F.log2(_distance() + 2.0**-10) * 256)).drop("c", "w")
+        near = rows.join(est.select("g", "s", "c", "w"), "g").withColumn("step", F.floor(F.log2(_distance() + 2.0**-10) * STEPS_AN_OCTAVE)).drop("c", "w")
         steps = near.groupBy("g", "s", "step").agg(F.count("*").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("g", "s").orderBy("step"))
         steps = steps.withColumn("upto", upto).withColumn("all", F.sum("n").over(Window.partitionBy("g", "s")))
         limit = steps.where(F.col("upto") >= F.ceil(F.col("all") * SUPPORT)).groupBy("g", "s").agg(F.min("step").alias("limit"))
-        new = solve(near.join(limit, ["g", "s"]).where("step <= limit").withColumn("near", F.lit(True)), factor, "mcd")
+        new = solve(near.join(limit, ["g", "s"]).withColumn("near", F.col("step") <= F.col("limit")), est, consistency(SUPPORT), step > 0, "mcd")
         if step == 1:
             best = F.row_number().over(Window.partitionBy("g").orderBy("det", "s"))
             new = release_into(new, new.withColumn("best", best).where("best = 1").drop("best"), "mcd-best")
-        if step > 1:  # a step that takes in more ties can raise a determinant again; such a group stays as it was
-            falling = new.join(est.select("g", F.col("det").alias("was")), "g").where("det < was - 1e-9").select("g")
-            if not falling.take(1):
-                release(new)
-                break
-            new = release_into(new, new.join(falling, "g", "left_semi").unionByName(est.join(falling, "g", "left_anti")), "mcd-fallen")
         release(est)
         est = new
+        if step > 1 and not est.where("fell").take(1):
+            break
     near = rows.join(est.select("g", "s", "c", "w"), "g").withColumn("near", _distance() <= inner).drop("c", "w")
-    out = solve(near, consistency(INNER), "mcd-reweighted")
+    out = solve(near, est, consistency(INNER), False, "mcd-reweighted")
     release(est)
     return out
 
@@ -358,13 +360,13 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = materialize(rows.withColumn("l", lang).withColumn("o", own), "counts")
     ordinary = rows.where("not base_failed")
 
-    # Each statistic's values and how often they occur, once for all levels.
+    # Each statistic's values and how often they occur, once for both levels.
     values = F.posexplode(F.array(*_V)).alias("i", "v")
     cells = materialize(ordinary.select("o", "l", values).groupBy("o", "l", "i", "v").agg(F.count("*").alias("n")), "cells")
-    est, every = None, F.lit("*")
-    for key, up in ((every, F.lit("")), (F.col("l"), every), (F.col("o"), F.col("l"))):
-        level = cells.groupBy(key.alias("g"), "i", "v").agg(F.sum("n").alias("n"))
-        new = estimates(ordinary.select(key.alias("g"), up.alias("up"), *_V), level, est)
+    est = None
+    for key, up in (("l", F.lit("")), ("o", F.col("l"))):
+        level = cells.groupBy(F.col(key).alias("g"), "i", "v").agg(F.sum("n").alias("n"))
+        new = estimates(ordinary.select(F.col(key).alias("g"), up.alias("up"), *_V), level, est)
         release(est)
         est = new
     judged = ordinary.join(est.select(F.col("g").alias("o"), "c", "w"), "o").withColumn("distance", _distance())

@@ -210,14 +210,12 @@ def mcd(x, over=None):
         return center, scatter, np.linalg.slogdet(scatter + floor)[1]
 
     def step(center, scatter):
-        grid = np.floor(np.log2(distance(center, scatter) + 2.0**-10) * 256)
+        grid = np.floor(np.log2(distance(center, scatter) + 2.0**-10) * q.STEPS_AN_OCTAVE)
         return estimate(x[grid <= np.sort(grid)[math.ceil(n * q.SUPPORT) - 1]], q.consistency(q.SUPPORT))
 
     for scatter in q.first_scatters(scale, squashed.T @ squashed / n, signs.T @ signs / n):
-        e = (middle, scatter, 0.0)
-        for _ in range(2):
-            e = step(*e[:2])
-        tries.append(e)
+        e = step(middle, scatter)
+        tries.append(min(e, step(*e[:2]), key=lambda x: x[2]))
     best = min(tries, key=lambda e: e[2])
     while (e := step(*best[:2]))[2] < best[2] - 1e-9:
         best = e
