@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.plans.tables import written
+from rowsmith.plans.tables import release, written
 
 
 def exclusive(options: DataFrame, taken: DataFrame | None = None) -> DataFrame:
@@ -14,8 +14,9 @@ def exclusive(options: DataFrame, taken: DataFrame | None = None) -> DataFrame:
 
     As every option prefers the earliest claimer, the sequential outcome is the one stable
     matching, which rounds of proposals reach in parallel: all claimers propose their next
-    option, each option keeps the earliest of its proposers. Rounds are bounded by the most
-    options of a claimer; each is a grouped minimum."""
+    option, each option keeps the earliest of its proposers. Each round is a grouped minimum. There are
+    as many rounds as the longest chain of claimers of whom each loses its option to the one before:
+    few where options are spread, but a chain of n claimers with two options each takes n."""
     best = Window.partitionBy("claimer", "id")
     rows = options.where(F.col("id") != "").withColumn("_first", F.min("rank").over(best)).where(F.col("rank") == F.col("_first")).select("claimer", "rank", "id").distinct()
     if taken is not None:
@@ -28,4 +29,6 @@ def exclusive(options: DataFrame, taken: DataFrame | None = None) -> DataFrame:
         lost = left.join(kept, "id").where("claimer > holder").select("claimer", "id")
         if not lost.take(1):
             return kept.select(F.col("holder").alias("claimer"), "id")
-        left = written(left.join(lost, ["claimer", "id"], "left_anti"), "options")
+        rest = written(left.join(lost, ["claimer", "id"], "left_anti"), "options")
+        release(left, kept)
+        left = rest

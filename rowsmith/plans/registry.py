@@ -481,22 +481,30 @@ def staged_plan(spark, d):
     return out
 
 
-@query()
+@query("""with b as (select p_partkey, ('0x' || left(md5(p_name), 4))::int as v from part)
+select p_partkey, array_to_string(list_filter(range(0, 16), lambda i: (v >> (15 - i)::int) & 1 = 1), ',') as bits, array_to_string(list_filter(range(0, 11), lambda i: (v >> (15 - i)::int) & 1 = 1), ',') as first_bits from b""")
 def bitmap_decode(spark, d):
-    """Bits of base64 bitmaps."""
+    """Bits of base64 bitmaps, as far as there are any, and those below 11."""
     from rowsmith.sources.picklists import set_bits
 
-    return T(spark, d, "part").select("p_partkey", set_bits(F.base64(F.substring(F.unhex(F.md5("p_name")), 1, 2)), F.lit(20)).alias("bits"))
+    bitmap = F.base64(F.substring(F.unhex(F.md5("p_name")), 1, 2))
+    bits = lambda n: F.array_join(set_bits(bitmap, F.lit(n)).cast("array<string>"), ",")
+    return T(spark, d, "part").select("p_partkey", bits(20).alias("bits"), bits(11).alias("first_bits"))
 
 
-@query()
+@query("""with recursive n as (select count(*) as n from supplier), s as (select s_suppkey::varchar as id, row_number() over (order by s_suppkey) - 1 as place from supplier),
+o as (select c_custkey, rank, id from customer, range(0, 4) r(rank), n join s on place = (c_custkey * 7919 + rank * (104729 + c_custkey)) % n),
+l as (select row_number() over (order by c_custkey) as i, c_custkey, list(id order by rank) as ids from o group by c_custkey),
+r as (select 0::bigint as i, []::varchar[] as taken, null::bigint as claimer, null::varchar as id
+ union all select l.i, case when pick is null then taken else list_append(taken, pick) end, l.c_custkey, pick from (select r.i as last, r.taken, l.*, list_filter(l.ids, lambda x: not list_contains(r.taken, x))[1] as pick from r join l on l.i = r.i + 1) l)
+select claimer, id from r where id is not null""")
 def greedy_exclusive(spark, d):
     """Customers take, in order, their best supplier that is still free; each has four options among all suppliers."""
     s = T(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), (F.row_number().over(Window.orderBy("s_suppkey")) - 1).alias("place"))
     n = T(spark, d, "supplier").agg(F.count("*").alias("n"))
     wishes = T(spark, d, "customer").select(F.col("c_custkey").alias("claimer"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("rank")).crossJoin(n.where("n > 0"))
-    options = wishes.withColumn("place", F.pmod(F.hash("claimer", "rank").cast("long"), "n")).join(s, "place").select("claimer", "rank", "id")
-    return exclusive.exclusive(options)
+    options = wishes.withColumn("place", F.expr("(claimer * 7919 + rank * (104729 + claimer)) % n")).join(s, "place").select("claimer", "rank", "id")
+    return exclusive.exclusive(options).select(F.col("claimer").cast("long").alias("claimer"), "id")
 
 
 def _pools(spark, d):
@@ -507,7 +515,9 @@ def _pools(spark, d):
     return leagues, pool
 
 
-@query()
+@query("""with p as (select s_suppkey, c_custkey, s_nationkey % 5 = c_nationkey % 5 as near from supplier left join customer on c_custkey = s_suppkey)
+select s_suppkey as league_pos, case when near then 'matched' else 'unmatched' end as match_status, case when c_custkey is null then '' else 'core' end as match_type,
+ case when c_custkey is null then 0 when near then 98 else 38 end as confidence, case when near then 'A' || lpad(c_custkey::varchar, 5, '0') else '' end as account_ids from p""")
 def league_crosscheck(spark, d):
     """The league matcher over names derived from suppliers and customers."""
     leagues, pool = _pools(spark, d)
@@ -542,7 +552,7 @@ def plan_records(spark, d):
     return records.groupBy("sobject", "operation").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.try_element_at("fields", F.lit("line_number")).cast("long")), F.lit(0)).alias("numbers"))
 
 
-@query()
+@query("""select s_suppkey as truth_pos, 'A' || c_custkey as row_id, case when s_suppkey % 9 = 0 then 'exact_domain' when s_suppkey % 2 = 0 then 'prefix_canon' else 'containment' end as match_type from supplier join customer on c_custkey = s_suppkey""")
 def club_match(spark, d):
     """The club matcher over names derived from suppliers and customers."""
     from rowsmith.operators import clubs as club
@@ -558,10 +568,16 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return league_crosscheck(spark, sf_dir)
 
 
+def _every() -> None:
+    """Load the modules that register further queries."""
+    from rowsmith.plans import files, forms, loads  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _every()
     return dict(_Q)
 
 
 def oracle_sql() -> dict[str, str]:
+    _every()
     return dict(_SQL)
-

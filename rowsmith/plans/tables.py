@@ -32,4 +32,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/rowsmith-{name}-{uuid.uuid4().hex}"
     atexit.register(_remove, spark, path)
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` made and nothing will read again, as those of a loop's earlier rounds."""
+    for t in tables:
+        _remove(t.sparkSession, t.written_to)
+
+
+def text_file(lines: DataFrame, name: str, suffix: str = ".csv") -> str:
+    """The rows of (pos, line) as one text file in order; its path. For sheets, which are one file."""
+    spark = lines.sparkSession
+    path = f"{scratch_dir(spark)}/rowsmith-{name}-{uuid.uuid4().hex}{suffix}"
+    atexit.register(_remove, spark, path)
+    lines.repartition(1).sortWithinPartitions("pos").select("line").write.option("lineSep", "\n").text(path)
+    return path

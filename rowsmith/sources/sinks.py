@@ -29,11 +29,13 @@ def columns(df: DataFrame, names: list[str], values: dict[str, Column], order: l
     return df.orderBy(*order).select(*[text(values[n]).alias(n) if n in values else F.lit("").alias(n) for n in names])
 
 
-def write_csv(df: DataFrame, path: str, labels: dict[str, str] | None = None) -> None:
-    """One file with a header, also without rows. Import files are as large as what a person reviews."""
+def write_csv(df: DataFrame, path: str, labels: dict[str, str] | None = None, one_file: bool = True) -> None:
+    """One file with a header, also without rows, cells as they are, spaces included. Import files are as large as what
+    a person reviews; without ``one_file`` each task writes its own, in order of name."""
     for old, new in (labels or {}).items():
         df = df.withColumnRenamed(old, new)
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
+    out = (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"')
+    out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def _account_id() -> Column:
