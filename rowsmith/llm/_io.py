@@ -26,6 +26,8 @@ def scratch_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not known.isDefined() and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = known.get() if known.isDefined() else LOCAL_SCRATCH
     return base.rstrip("/")
 
