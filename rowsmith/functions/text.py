@@ -52,16 +52,19 @@ def _replace(c: Column, *steps: tuple[str, str]) -> Column:
     return c
 
 
+# Abbreviations and spellings in league names, in the order in which they are replaced.
+LEAGUE_SPELLINGS = [
+    (r"(?U)\bconf\.\s*$", "conference"), (r"(?U)\bconf\b", "conference"), (r"(?U)\bconferences\b", "conference"), (r"(?U)\bleagues\b", "league"),
+    (r"(?U)\bassoc\.\b", "association"), (r"(?U)\bassocs\b", "association"), (r"(?U)\bath\.\b", "athletic"), (r"(?U)\bath\b", "athletic"),
+    (r"(?U)\bintercol\.\b", "intercollegiate"), (r"(?U)\bdiv\.\b", "division"), (r"(?U)\bnatl\.\b", "national"),
+]
+
+
 def normalise_league(c: Column) -> Column:
     """Trailing parenthesis, leading article, abbreviations, punctuation and number words made uniform."""
     s = F.lower(strip(_replace(strip(c), (r"(?U)\s*\([^)]*\)\s*$", ""))))
     s = _replace(s, (r"(?U)^the\s+", ""), ("&", "and"))
-    s = _replace(
-        s,
-        (r"(?U)\bconf\.\s*$", "conference"), (r"(?U)\bconf\b", "conference"), (r"(?U)\bconferences\b", "conference"), (r"(?U)\bleagues\b", "league"),
-        (r"(?U)\bassoc\.\b", "association"), (r"(?U)\bassocs\b", "association"), (r"(?U)\bath\.\b", "athletic"), (r"(?U)\bath\b", "athletic"),
-        (r"(?U)\bintercol\.\b", "intercollegiate"), (r"(?U)\bdiv\.\b", "division"), (r"(?U)\bnatl\.\b", "national"),
-    )
+    s = _replace(s, *LEAGUE_SPELLINGS)
     s = _replace(s, (r"[-.,]", " "), (r"(?U)(?<=[a-z])(?=\d)|(?<=\d)(?=[a-z])", " "))
     numbers = mapped(C.NUMBER_WORDS)
     return joined(F.transform(tokens(squeeze(s)), lambda t: F.coalesce(numbers[t], t)))
@@ -159,6 +162,7 @@ def acronym_safe(name: Column, norm: Column, words: Column, stopwords: list[str]
     return capital | (some & (common > F.least(F.size(own), F.size(words)) * 0.5))
 
 
+# Patterns of names that are no entities.
 JUNK = [
     r"\bmen'?s\s+soccer\b", r"\bwomen'?s\s+soccer\b", r"\bmen'?s\s+lacrosse\b", r"\bwomen'?s\s+lacrosse\b", r"\bmen'?s\s+hockey\b", r"\bwomen'?s\s+hockey\b",
     r"\bmen'?s\s+basketball\b", r"\bwomen'?s\s+basketball\b", r"^test\b", r"\bmerge\b", r"\bdelete\b", r"^deal\s+done\b", r"^abcx$", r"^sport$", r"^pobox$",

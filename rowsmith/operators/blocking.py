@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rowsmith.functions.clubs import close
 from rowsmith.functions.text import contains_words, tokens
+from rowsmith.plans.tables import written
 
 
 def _rarest(outer: DataFrame, inner: DataFrame) -> DataFrame:
@@ -28,9 +29,7 @@ def word_containment(a: DataFrame, b: DataFrame, least_a: int = 1, least_b: int
     a, b = a.where(F.length("name") >= least_a), b.where(F.length("name") >= least_b)
 
     def inside(outer, inner, o, i):
-        probe = _rarest(outer, inner).select(F.col("id").alias(i), F.col("name").alias("inner"), "word")
-        base = outer.select(F.col("id").alias(o), F.col("name").alias("outer"), F.explode(F.array_distinct(tokens(F.col("name")))).alias("word"))
-        return base.join(probe, "word").where(contains_words(F.col("outer"), F.col("inner"))).select("a", "b")
+        return words_contained(outer, inner).select(F.col("outer").alias(o), F.col("inner").alias(i)).select("a", "b")
 
     return inside(a, b, "a", "b").unionByName(inside(b, a, "b", "a")).distinct()
 
@@ -63,9 +62,11 @@ def contained(outer: DataFrame, inner: DataFrame, gram: int = 8) -> DataFrame:
     short = cut.where(F.size("_middle") == 0).where(F.length("name") >= gram)
     if short.take(1):
         at = F.sequence(F.lit(1), F.greatest(F.length("name") - gram + 1, F.lit(1)))
-        grams = outer.select(F.col("id").alias("outer"), F.col("name").alias("whole"), F.explode(F.array_distinct(F.transform(at, lambda p: F.substring(F.col("name"), p, F.lit(gram))))).alias("gram"))
+        # Ids and grams meet; a gram moves only if some short name begins with it, texts only for the pairs that met.
         probe = short.select(F.col("id").alias("inner"), F.col("name").alias("part"), F.substring("name", 1, gram).alias("gram"))
-        hits = hits.unionByName(grams.join(probe, "gram").where(F.contains("whole", F.col("part"))).select("outer", "inner"))
+        grams = outer.select(F.col("id").alias("outer"), F.explode(F.array_distinct(F.transform(at, lambda p: F.substring(F.col("name"), p, F.lit(gram))))).alias("gram"))
+        met = grams.join(probe, "gram").select("outer", "inner", "part")
+        hits = hits.unionByName(met.join(outer.select(F.col("id").alias("outer"), F.col("name").alias("whole")), "outer").where(F.contains("whole", F.col("part"))).select("outer", "inner"))
     return hits.distinct()
 
 
@@ -80,24 +81,38 @@ def set_overlap(a: DataFrame, b: DataFrame, percent: int = 80, least: int = 2, o
     """(a, b, common) of (id, words) whose common words are at least ``percent`` of the larger set; with ``once``, a < b only.
 
     Prefix filter: with words in order of rarity, two such sets share one of each one's first
-    size - ceil(percent * size) + 1 words. Ids and sizes meet on those; the sets themselves are
-    fetched for the pairs that met, and tested exactly."""
-    a, b = a.where(F.size("words") >= least), b.where(F.size("words") >= 1)
-    counts = a.select(F.explode("words").alias("w")).unionByName(b.select(F.explode("words").alias("w"))).groupBy("w").agg(F.count("*").alias("n"))
-
-    def prefix(df: DataFrame, i: str) -> DataFrame:
-        each = df.select("id", F.size("words").alias("size"), F.explode("words").alias("w")).join(counts, "w")
-        rare = F.array_sort(F.collect_list(F.struct("n", "w")))
+    size - ceil(percent * size) + 1 words, and at the first word that they share enough words are left on
+    either side. Ids, sizes and places meet on those words; the sets themselves are fetched
+    for the pairs that met, and tested exactly. Where both sides are one frame, its words are counted and cut once."""
+    same = a is b
+    a, b = a.where(F.size("words") >= least), b.where(F.size("words") >= (least if same else 1))
+    spread = lambda df: df.select("id", F.size("words").alias("size"), F.explode("words").alias("w"))
+    counts = (spread(a) if same else spread(a).unionByName(spread(b))).groupBy("w").agg(F.count("*").alias("n"))
+
+    def prefix(df: DataFrame) -> DataFrame:
+        """(id, size, place, w): the words of each set by which it can be met."""
         keep = F.col("size") - F.ceil(F.col("size") * percent / 100).cast("int") + 1
-        first = each.groupBy("id", "size").agg(rare.alias("words"))
-        return first.select(F.col("id").alias(i), F.col("size").alias(f"n{i}"), F.explode(F.slice("words", F.lit(1), keep)).alias("x")).select(i, f"n{i}", F.col("x.w").alias("w"))
-
-    met = prefix(a, "a").join(prefix(b, "b"), "w").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)" + (" and a < b" if once else ""))
+        first = spread(df).join(counts, "w").groupBy("id", "size").agg(F.collect_list(F.struct("n", "w")).alias("all"))
+        rare = F.slice(F.array_sort("all"), F.lit(1), keep)
+        return first.select("id", "size", F.posexplode(rare)).select("id", "size", F.col("pos").alias("place"), F.col("col.w").alias("w"))
+
+    mine = written(prefix(a), "prefixes") if same else prefix(a)
+    side = lambda df, i: df.select(F.col("id").alias(i), F.col("size").alias(f"n{i}"), F.col("place").alias(f"p{i}"), "w")
+    enough = f"100 * least(na, nb, na - pa, nb - pb) >= {percent} * greatest(na, nb)" + (" and a < b" if once else "")
+    met = side(mine, "a").join(side(mine if same else prefix(b), "b"), "w").where(enough)
     sets = lambda df, i: df.select(F.col("id").alias(i), F.col("words").alias(f"w{i}"))
     pairs = met.select("a", "b").distinct().join(sets(a, "a"), "a").join(sets(b, "b"), "b").withColumn("common", F.size(F.array_intersect("wa", "wb")))
     return pairs.where(100 * F.col("common") >= percent * F.greatest(F.size("wa"), F.size("wb"))).select("a", "b", "common")
 
 
+def equal_sets(sets: DataFrame) -> DataFrame:
+    """(id, first, words) of (id, words): each set with the smallest id that has the same words, in whatever order."""
+    key = F.array_sort("words")
+    digest = F.sha2(F.concat_ws("\u0001", key), 256)  # moves instead of the words; no two sets that occur share it
+    named = sets.withColumn("_set", digest)
+    return named.join(named.groupBy("_set").agg(F.min("id").alias("first")), "_set").select("id", "first", "words")
+
+
 def edit_neighbours(a: DataFrame, b: DataFrame) -> DataFrame:
     """(a, b) ids of close names (id, name): one edit apart, two if both have 12 letters or more.
 

@@ -160,7 +160,7 @@ def apply_plan(plan: DataFrame, snapshots: dict[str, DataFrame], confirm: Callab
     """Apply a plan level by level: accounts, contacts, deals, lines, then deferred account lookups.
 
     Gives new snapshots and a log (plan_pos, ref_key, sobject, label, outcome, id, reason); None if not confirmed.
-    New ids are derived from reference keys, so applying again gives the same ids. ``unique`` names, by
+    New ids are 128 bits of their reference key's digest, so applying again gives the same ids and no two records share one. ``unique`` names, by
     object, a field that the target holds unique: a record to be created whose value exactly one existing
     record has is that record; if several have it, the record is skipped."""
     if not confirm(changeset(plan, snapshots)):
@@ -176,7 +176,7 @@ def apply_plan(plan: DataFrame, snapshots: dict[str, DataFrame], confirm: Callab
             ids = log.groupBy(c("ref_key").alias("ref")).agg(F.min("id").alias("id"), F.bool_and(c("outcome") == "skipped").alias("skipped"))
             rows = resolve_parents(rows, ids)
         rows = rows.withColumn("want", F.map_concat("fields", F.map_filter("resolved", lambda k, v: ~F.map_contains_key("fields", k))))
-        fresh = F.concat(F.lit(level[:3].upper() + "_"), F.left(F.sha2("ref_key", 256), F.lit(12)))
+        fresh = F.concat(F.lit(level[:3].upper() + "_"), F.left(F.sha2("ref_key", 256), F.lit(32)))
         now = state[level].select(c("id").alias("now_id"), c("fields").alias("now"))
         if level == "contact":
             acts = contact_actions(rows.select(c("plan_pos").alias("key"), text(c("fields")["email"]).alias("email"), text(c("resolved")["account_id"]).alias("account_id")), state[level].select("id", c("fields")["email"].alias("email"), c("fields")["account_id"].alias("account_id")))

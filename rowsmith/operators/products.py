@@ -39,13 +39,13 @@ def family_products(book: DataFrame, conf: C.Products) -> DataFrame:
     Tiers: a product of just that name; for the sport family, the league-wide credits of the sport, any
     league-wide product of it, any product of it; for other families the top tier. A few hundred rows at most."""
     spark = book.sparkSession
-    goals = sorted({*conf.aliases.values(), *conf.features.values(), *conf.families, conf.fallback_family})
-    sports = sorted({*conf.sports.values(), conf.default_sport})
+    goals = sorted({*conf.aliases.values(), *conf.features.values(), *conf.families, conf.fallback_family} - {""})
+    sports = sorted({*conf.sports.values(), conf.default_sport} - {""})
     targets = spark.createDataFrame([(g,) for g in goals], "target string")
     b = first_wins(book, ["product"]).withColumn("low", F.lower("product"))
     named = targets.join(b, F.lower("target") == F.col("low")).select("target", F.lit("").alias("sport"), F.lit(0).alias("tier"), F.col("src_pos").alias("product_pos"))
     s = spark.createDataFrame([(x,) for x in sports], "sport string")
-    own = b.where(F.startswith("low", F.lit(conf.sport_family.lower())))
+    own = b.where(F.startswith("low", F.lit(conf.sport_family.lower()))) if conf.sport_family else b.limit(0)
     j = s.join(own, F.contains("low", F.lower("sport")))
     wide = F.contains("low", F.lit("league wide"))
     tier = F.when(F.col("low") == F.concat(F.lit(conf.sport_family.lower() + " "), F.lower("sport"), F.lit(" credits for league wide usage")), 1).when(wide, 2).otherwise(3)
@@ -65,7 +65,7 @@ def resolve_cells(cells: DataFrame, book: DataFrame, conf: C.Products | None = N
     spark = cells.sparkSession
     pairs = lambda d, names: spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(d.items())], names) if d else spark.createDataFrame([], names)
     t = cells.select("key", text(F.col("sport")).alias("cell_sport"), F.posexplode(product_tokens(F.col("cell")))).withColumnRenamed("pos", "token_pos").withColumnRenamed("col", "token").withColumn("low", F.lower("token"))
-    sport_map = F.create_map(*[F.lit(x) for kv in conf.sports.items() for x in kv])
+    sport_map = F.create_map(*[F.lit(x) for kv in (conf.sports or {"": conf.default_sport}).items() for x in kv])
     sport_key = F.lower(F.regexp_replace(strip(F.col("cell_sport")), r"(?sU)\s*[/|\-]\s*.*$", ""))
     t = t.withColumn("sport", F.coalesce(sport_map[sport_key], F.lit(conf.default_sport)))
     fam = family_products(book, conf)
@@ -101,6 +101,8 @@ def resolved_products(resolved: DataFrame, book: DataFrame) -> DataFrame:
 def with_fallback(lines: DataFrame, keys: DataFrame, book: DataFrame, conf: C.Products | None = None) -> DataFrame:
     """Lines, and for keys with an amount but no line the top product of the fallback family."""
     conf = conf or C.Products()
+    if not conf.fallback_family:
+        return lines
     spark = book.sparkSession
     top = top_tier(first_wins(book, ["product"]), spark.createDataFrame([(conf.fallback_family,)], "prefix string"), conf.noise).drop("prefix").withColumnRenamed("src_pos", "product_pos")
     bare = keys.where("total_arr > 0").join(lines.select("key").distinct(), "key", "left_anti").select("key")

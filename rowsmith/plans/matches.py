@@ -270,20 +270,27 @@ def _price_rows(spark, d) -> DataFrame:
     return own.unionByName(p)
 
 
+#: A made-up deployment's dictionaries.
+PRODUCTS = C.Products(
+    aliases={"small": "Alpha LITE", "middle": "Alpha PRO", "middle plus": "Alpha PRO PLUS", "swap": "Exchange"}, features={"colour wheel": "Beta", "number sheet": "Metrics"}, families=["Alpha", "Beta", "Metrics", "Exchange"],
+    sport_family="Metrics", sports={"soccer": "Soccer", "handball": "Handball", "basketball": "Basketball", "ice hockey": "Ice Hockey"}, default_sport="Soccer", fallback_family="Alpha",
+)
+
+
 #: Case by case: a cell and a sport, the products that its tokens lead to, their notes.
 _CELLS = [
     ("Part {k}", "", ["Part {k}"], ["exact"]),
     ("part {k}, PART {k}; ", "", ["Part {k}", "Part {k}"], ["exact", "exact+"]),
-    ("Alpha & broadcasting", "", ["Alpha PRO PLUS", "Beta"], ["family-highest-tier", "feature-mapped"]),
-    ("maybe pro (2 teams) and lite", "", ["Alpha PRO", "Alpha LITE"], ["family-highest-tier", "family-highest-tier"]),
-    ("pro plus {k}", "", ["Alpha PRO"], ["family-highest-tier"]),
+    ("Alpha & colour wheel", "", ["Alpha PRO PLUS", "Beta"], ["family-highest-tier", "feature-mapped"]),
+    ("maybe middle (2 teams) and small", "", ["Alpha PRO", "Alpha LITE"], ["family-highest-tier", "family-highest-tier"]),
+    ("middle plus {k}", "", ["Alpha PRO"], ["family-highest-tier"]),
     ("metrics", "Basketball / Spain", ["Metrics Basketball credits for league wide usage"], ["family-highest-tier"]),
     ("Metrics", "handball", ["Metrics Handball for league wide usage"], ["family-highest-tier"]),
-    ("activity data", "Ice Hockey", ["Metrics Ice Hockey small"], ["feature-mapped"]),
+    ("number sheet", "Ice Hockey", ["Metrics Ice Hockey small"], ["feature-mapped"]),
     ("Metrics {k}", "Chess", ["Metrics Soccer credits for league wide usage"], ["family-highest-tier"]),
     ("betamax {k}", "", ["Beta"], ["family-highest-tier"]),
     ("nonsense {k}", "", [None], ["unresolved"]),
-    ("note: Exchange.", "", ["Exchange"], ["exact"]),
+    ("note: Swap.", "", ["Exchange"], ["family-highest-tier"]),
 ]
 
 
@@ -306,7 +313,7 @@ def _cells(spark, d) -> DataFrame:
 def product_cascade(spark, d):
     """Product cells resolved: exact names, features, aliases and their prefixes, families, sport variants; repeats are marked."""
     book = written(_price_rows(spark, d), "book")
-    found = products.resolve_cells(_cells(spark, d), book).join(book.select(F.col("src_pos").alias("product_pos"), "product"), "product_pos", "left")
+    found = products.resolve_cells(_cells(spark, d), book, PRODUCTS).join(book.select(F.col("src_pos").alias("product_pos"), "product"), "product_pos", "left")
     return found.select(F.col("key").cast("long").alias("k"), "token_pos", "product", "note", "duplicate")
 
 
@@ -316,10 +323,10 @@ select k, product, line::int as line from x""")
 def product_lines(spark, d):
     """Lines of each cell in order, and the fallback family's top product where a cell with an amount led to none."""
     book = written(_price_rows(spark, d), "book")
-    lines = products.resolved_products(products.resolve_cells(_cells(spark, d), book), book)
+    lines = products.resolved_products(products.resolve_cells(_cells(spark, d), book, PRODUCTS), book)
     k = F.col("p_partkey")
     totals = T(spark, d, "part").select(k.cast("string").alias("key"), (k % 5).cast("double").alias("total_arr"))
-    return products.with_fallback(lines, totals, book).select(F.col("key").cast("long").alias("k"), "product", "line")
+    return products.with_fallback(lines, totals, book, PRODUCTS).select(F.col("key").cast("long").alias("k"), "product", "line")
 
 
 @query("""with b as (select 'Part ' || (p_partkey // 2) as product, p_retailprice as price, p_partkey as pos, p_partkey % 2 as odd from part), e as (select product, arg_max(price, pos) as price from b group by 1)

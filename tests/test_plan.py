@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from rowsmith import config as C
 from rowsmith.operators import changes, plan, products
 from rowsmith.plans import jobs
 
@@ -75,16 +76,19 @@ def test_shipping(spark):
     assert all(x["fields"]["unit_price"] == "0.0" for x in records.collect()) and bad.count() == 2
 
 
+PRODUCTS = C.Products(aliases={"swap": "Exchange"}, features={"colour wheel": "Beta"}, families=["Alpha", "Beta", "Metrics", "Exchange"], sport_family="Metrics", sports={"football": "Soccer", "basketball": "Basketball"}, default_sport="Soccer", fallback_family="Alpha")
+
+
 def test_product_resolution_and_allocation(spark):
-    cells = spark.createDataFrame([("a", "Alpha, exchange & broadcasting", "Football"), ("b", "metrics, alpha pro plus and Alpha PRO PLUS", "Basketball / Spain"), ("c", "nonsense", "")], "key string, cell string, sport string")
-    found = products.resolve_cells(cells, book(spark))
+    cells = spark.createDataFrame([("a", "Alpha, exchange & colour wheel", "Football"), ("b", "metrics, alpha pro plus and Alpha PRO PLUS", "Basketball / Spain"), ("c", "nonsense", "")], "key string, cell string, sport string")
+    found = products.resolve_cells(cells, book(spark), PRODUCTS)
     got = {(r["key"], r["token_pos"]): (r["product_pos"], r["note"], r["duplicate"]) for r in found.collect()}
     assert got[("a", 0)] == (2, "family-highest-tier", False) and got[("a", 1)][0] == 5 and got[("a", 2)] == (4, "feature-mapped", False)
     assert got[("b", 0)][0] == 7 and got[("b", 1)] == (2, "exact", False) and got[("b", 2)] == (2, "exact", True)
     assert got[("c", 0)] == (None, "unresolved", False)
     lines = products.resolved_products(found, book(spark))
     totals = spark.createDataFrame([("a", 100.0), ("b", 85000.0), ("c", 7.0)], "key string, total_arr double")
-    full = products.with_fallback(lines, totals, book(spark)).join(totals, "key")
+    full = products.with_fallback(lines, totals, book(spark), PRODUCTS).join(totals, "key")
     split = {(r["key"], r["product"]): r["allocated"] for r in products.allocate(full, "total_arr").collect()}
     assert split[("c", "Alpha PRO PLUS")] == 7.0 and split[("a", "Exchange")] == 0.0
     assert abs(sum(v for (k, _), v in split.items() if k == "b") - 85000) < 1e-9

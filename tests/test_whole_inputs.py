@@ -50,7 +50,7 @@ def test_greedy_exclusive_lets_all_customers_claim(spark, tables):
     suppliers, customers = [(3 * k + 1, 0) for k in range(700)], [(k, 0) for k in (*range(1, 60), *range(1990, 2400), 99_999)]
     d = tables(**companies(suppliers, customers))
     got = {r["claimer"]: r["id"] for r in registry.greedy_exclusive(spark, d).collect()}
-    wishes = spark.createDataFrame([(k, r) for k, _ in customers for r in range(4)], "k long, r int").selectExpr("k", "r", "pmod(hash(k, r), 700) as place")
+    wishes = spark.createDataFrame([(k, r) for k, _ in customers for r in range(4)], "k long, r int").selectExpr("k", "r", "(k * 7919 + r * (104729 + k)) % 700 as place")
     wishes = {(w["k"], w["r"]): str(suppliers[w["place"]][0]) for w in wishes.collect()}
     want = {}
     for k, _ in customers:
@@ -74,14 +74,14 @@ def test_word_containment_sees_whole_documents(spark, tables):
     docs = [(1, f"{late}Alpha\n Beta tail"), (2, "alpha beta first"), (3, f"{late}alphabeta alpha gamma beta"), (4, None), (5, ""), (6, f"{late}ends with Gamma  delta"), (7, f"{late}xalpha beta alpha betax")]
     items = [(1, "Alpha beta gamma"), (2, "gamma delta epsilon"), (3, "not there"), (4, None)]
     d = tables(documents=(docs, "doc_id long, text string"), benchmark=(items, "item_id long, text string"))
-    got = sorted((r["item_id"], r["doc_id"]) for r in registry.word_containment_whole(spark, d).collect())
+    got = sorted((r["item_id"], r["doc_id"]) for r in registry.word_containment_join(spark, d).collect())
     pad = lambda t: f" {' '.join(t.lower().split())} "
     assert got == sorted((i, k) for i, b in items if b for k, t in docs if t and pad(" ".join(b.split()[:2])) in pad(t)) == [(1, 1), (1, 2), (2, 6)]
 
 
 def test_exact_join_sees_all_parts(spark, tables):
     parts = [(k, None if k % 11 == 0 else f"part {k * k % 13}") for k in range(1, 100)]
-    got = {r["p_partkey"]: r["class_key"] for r in registry.exact_join_whole(spark, tables(part=(parts, "p_partkey long, p_name string"))).collect()}
+    got = {r["p_partkey"]: r["class_key"] for r in registry.exact_join(spark, tables(part=(parts, "p_partkey long, p_name string"))).collect()}
     names = dict(parts)
     assert set(got) == {k for k in names if names[k]}
     assert all((got[a] == got[b]) == (names[a] == names[b]) for a in got for b in got)
