@@ -108,10 +108,10 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: in
 def equal_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether data[a : a + size] == data[b : b + size], byte by byte, for each (not empty) pair."""
     same = np.ones(len(a), bool)
-    long = np.flatnonzero(size > 256)
+    long = np.flatnonzero(size > 1024)
     for i in long.tolist():
         same[i] = np.array_equal(data[a[i] : a[i] + size[i]], data[b[i] : b[i] + size[i]])
-    live, k = np.flatnonzero(size <= 256), 0
+    live, k = np.flatnonzero(size <= 1024), 0
     view = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
     eight = lambda at: np.ascontiguousarray(view[at]).view("<u8")[:, 0]
     while len(live):

@@ -19,7 +19,9 @@ from __future__ import annotations
 import numpy as np
 
 #: Entries a bucket for which scanning in waves pays; fewer are scanned one by one.
-WAVE = 40
+WAVE = 100
+#: Entries of a wave that are dealt one by one.
+FEW = 24
 
 
 def smaller(t: np.ndarray) -> np.ndarray:
@@ -35,6 +37,12 @@ def smaller(t: np.ndarray) -> np.ndarray:
 
 def _deal(sa: np.ndarray, edge: np.ndarray, found: np.ndarray, chars: np.ndarray, up: bool) -> None:
     """Put ``found`` into the buckets of ``chars`` in order, moving each bucket's edge."""
+    if len(found) <= FEW:
+        for j, c in zip(found.tolist(), chars.tolist(), strict=True):
+            at = edge[c] if up else edge[c] - 1
+            sa[at] = j
+            edge[c] = at + 1 if up else at
+        return
     order = np.argsort(chars, kind="stable")
     c = chars[order]
     first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
@@ -99,25 +107,29 @@ def induce(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, start: np.ndarray)
 
 def _induce_singly(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, start: np.ndarray) -> np.ndarray:
     """The same, one entry after the other."""
-    chars, small, sa = t.tolist(), is_s.tolist(), [-1] * len(t)
+    # Of each entry the bucket that its predecessor goes to in either scan, if any; -1 stands for no entry, too.
+    larger, less = np.full(len(t) + 1, -1, np.int64), np.full(len(t) + 1, -1, np.int64)
+    larger[1:-1] = np.where(is_s[:-1], -1, t[:-1])
+    less[1:-1] = np.where(is_s[:-1], t[:-1], -1)
+    sa, to = [-1] * len(t), larger.tolist()
     tail = start[1:].tolist()
-    for j in lms[::-1].tolist():
-        c = chars[j]
+    for j, c in zip(lms[::-1].tolist(), t[lms[::-1]].tolist(), strict=True):
         tail[c] -= 1
         sa[tail[c]] = j
     head = start[:-1].tolist()
     for j in sa:  # grows ahead of the scan
-        if j > 0 and not small[j - 1]:
-            c = chars[j - 1]
-            sa[head[c]] = j - 1
-            head[c] += 1
-    tail = start[1:].tolist()
+        c = to[j]
+        if c >= 0:
+            at = head[c]
+            sa[at] = j - 1
+            head[c] = at + 1
+    tail, to = start[1:].tolist(), less.tolist()
     for i in range(len(sa) - 1, -1, -1):
-        j = sa[i] - 1
-        if j >= 0 and small[j]:
-            c = chars[j]
-            tail[c] -= 1
-            sa[tail[c]] = j
+        j = sa[i]
+        c = to[j]
+        if c >= 0:
+            at = tail[c] = tail[c] - 1
+            sa[at] = j - 1
     return np.array(sa, np.int64)
 
 

@@ -128,13 +128,10 @@ def _keys(column: pa.Array) -> list[bytes]:
     return [hashlib.sha256((t.as_py() or "").encode()).digest()[:16] for t in column]
 
 
-def _anchor_rows(batches: Iterable[pa.RecordBatch], with_place: bool) -> Iterator[pa.RecordBatch]:
+def _anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, data, offsets in texts(batch.column(0)):
             row, place, h = anchors(data, offsets)
-            if not with_place:
-                yield pa.RecordBatch.from_arrays([pa.array(h)], names=["anchor"])
-                continue
             keys = pa.array(_keys(batch.column(0).slice(at, len(offsets) - 1)), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(h), keys.take(pa.array(row)), pa.array((place - offsets[row]).astype(np.int32))], names=["anchor", "key", "place"])
 
@@ -284,16 +281,26 @@ def _parts(data: np.ndarray, first: np.ndarray, size: np.ndarray, group: np.ndar
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (w[:0],) * 8
 
 
-def _equal_parts(data: np.ndarray, start: np.ndarray, stop: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, ...]:
+def _equal_parts(data: np.ndarray, window: np.ndarray, start: np.ndarray, stop: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, ...]:
     """Like np.unique of ``prints`` (values, first places, inverse, counts), but of parts with one print only those
-    of the same bytes count as equal."""
+    of the same bytes count as equal. Parts stand in order of window and start; overlapping ones of one window that
+    are to equal parts of one other window at the same distance are compared as one."""
     _, one, of = np.unique(prints, return_index=True, return_inverse=True)
     other, size = np.flatnonzero(one[of] != np.arange(len(of))), stop - start
     rep = one[of[other]]
-    same = size[other] == size[rep]
-    same[same] = equal_spans(data, start[other[same]], start[rep[same]], size[rep[same]])
-    if not same.all():
-        odd, known = other[~same], {}
+    alike = size[other] == size[rep]
+    x, y = other[alike], rep[alike]
+    if len(x):
+        apart = np.ones(len(x), bool)
+        apart[1:] = (window[x][1:] != window[x][:-1]) | (window[y][1:] != window[y][:-1]) | ((start[x] - start[y])[1:] != (start[x] - start[y])[:-1]) | (start[x][1:] > stop[x][:-1]) | (start[x][1:] < start[x][:-1])
+        first = np.flatnonzero(apart)
+        end = np.maximum.reduceat(stop[x], first)
+        same = np.repeat(equal_spans(data, start[x[first]], start[y[first]], end - start[x[first]]), np.diff(np.append(first, len(x))))
+        some = ~same
+        same[some] = equal_spans(data, start[x[some]], start[y[some]], size[x[some]])
+        alike[alike] = same
+    if not alike.all():
+        odd, known = other[~alike], {}
         of = of.copy()
         of[odd] = [known.setdefault((of[i], data[start[i] : stop[i]].tobytes()), len(one) + len(known)) for i in odd.tolist()]
     return np.unique(of, return_index=True, return_inverse=True, return_counts=True)
@@ -328,7 +335,7 @@ def _shard(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
         _, of, count = np.unique(core, return_inverse=True, return_counts=True)
         w, al, be, sure, begin, end, core, whole = (x[count[of] > 1] for x in (w, al, be, sure, begin, end, core, whole))
         # Equal parts are repeated as a whole; one of them stays as a partner of unequal ones.
-        _, one, of, count = _equal_parts(data, first[w] + begin, first[w] + end, whole)
+        _, one, of, count = _equal_parts(data, w, first[w] + begin, first[w] + end, whole)
         known = count > 1
         np.logical_or.at(known, of, sure)
         x = np.flatnonzero(known[of] & ~sure) if len(of) else of
@@ -453,9 +460,8 @@ def repeated_spans(docs: DataFrame, split: int = SPLIT) -> tuple[DataFrame, Data
     overlapping or not. Texts with several copies are only partners: all of them goes anyway."""
     small_batches(docs.sparkSession)
     text = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text")).where(F.octet_length("text") >= LENGTH)
-    counted = text.mapInArrow(lambda it: _anchor_rows(it, False), "anchor long").groupBy("anchor").count()
-    twice = materialize(counted.where("count > 1").select("anchor"), "anchors")
-    placed = text.mapInArrow(lambda it: _anchor_rows(it, True), "anchor long, key binary, place int")
+    placed = materialize(text.mapInArrow(_anchor_rows, "anchor long, key binary, place int"), "anchor-places")
+    twice = materialize(placed.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     hits = placed.join(twice, "anchor")
     by_text = hits.groupBy("key").agg(F.collect_set(F.struct("anchor", "place")).alias("hits"))
     by_text = by_text.select("key", F.col("hits.anchor").alias("anchors"), F.col("hits.place").alias("places"))
