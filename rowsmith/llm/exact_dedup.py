@@ -7,9 +7,10 @@ most 2**k blocks and for no other, so (level, name) is equal exactly for equal t
 no hash decides anything.
 
 Naming sorts the blocks and takes for each run of equal ones the smallest place number
-as its name. Blocks cross the network once for it. A block that is very frequent (at most
-``HOT_BLOCKS`` can be) is first split by a salt and named inside (block, salt); one
-representative per salt then gets the common name, and this small table is joined back.
+as its name. Blocks cross the network once for it. A block that makes up more than
+a task's share of all (one in ``HOT_SHARE``, or in the number of shuffle partitions if that is
+larger; no more blocks than shares can) is first split by a salt and named inside (block,
+salt); one representative per salt then gets the common name, and this small table is joined back.
 Each level is written as a table, so a lost executor never costs more than one level.
 
 Edge cases: null and empty texts are one text of no blocks, equal to each other; a
@@ -28,8 +29,8 @@ from rowsmith.llm._io import materialize, text_of
 BLOCK_BYTES = 4096
 #: Parts that a run of very many equal blocks is first split into.
 SALTS = 256
-#: A block is hot if it is among this many most frequent ones and occurs often enough to matter.
-HOT_BLOCKS = 1024
+#: A block is hot if it occurs more often than one in this many of all blocks (or in the number of partitions), and often enough to matter.
+HOT_SHARE = 1024
 HOT_COUNT = 2000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -39,20 +40,21 @@ def normalised(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def named(rows: DataFrame, content: list[str], place: str, hot_count: int = HOT_COUNT) -> DataFrame:
+def named(rows: DataFrame, content: list[str], place: str) -> DataFrame:
     """``rows`` with ``name`` in place of the columns ``content``: the smallest ``place`` of an equal content.
 
     ``place`` numbers the rows uniquely. Fingerprints only pick the contents that are split; names come from contents."""
     kept = [c for c in rows.columns if c not in content]
     rows = rows.withColumn("_print", F.xxhash64(*content))
-    counts = rows.groupBy("_print").agg(F.count("*").alias("_n")).where(F.col("_n") >= hot_count)
-    hot = counts.orderBy(F.col("_n").desc(), "_print").limit(HOT_BLOCKS)
-    prints = [r[0] for r in hot.select("_print").collect()]  # at most HOT_BLOCKS numbers
+    counts = rows.groupBy("_print").agg(F.count("*").alias("_n"))
+    shares = max(HOT_SHARE, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = counts.where(F.col("_n") >= HOT_COUNT).join(counts.agg(F.sum("_n").alias("_all")), F.expr(f"_n * {shares} >= _all"))
+    prints = [r[0] for r in hot.select("_print").collect()]  # at most as many numbers as there are shares
     if not prints:
         return rows.withColumn("name", F.min(place).over(Window.partitionBy(*content))).select(*kept, "name")
     salt = F.when(F.col("_print").isin(prints), F.pmod(F.xxhash64(place), F.lit(SALTS)) + 1).otherwise(0)
     local = rows.withColumn("_salt", salt).withColumn("_local", F.min(place).over(Window.partitionBy(*content, "_salt")))
-    # One representative of a hot content per salt: at most HOT_BLOCKS * SALTS rows.
+    # One representative of a hot content per salt: two numbers for each share and salt at most, 40 MB for 10,000 shares.
     chosen = local.where((F.col("_salt") > 0) & (F.col("_local") == F.col(place))).select(*content, F.col("_local").alias("_rep"))
     names = chosen.withColumn("name", F.min("_rep").over(Window.partitionBy(*content))).select("_rep", "name")
     out = local.select(*kept, "_local").join(F.broadcast(names), F.col("_local") == F.col("_rep"), "left")
