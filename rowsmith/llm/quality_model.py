@@ -7,13 +7,14 @@ signs as they are), pairs and triples of shapes, and pairs of equal neighbours.
 hashed into ``2**BITS`` buckets; the counts of word features and of shape features are
 each scaled to unit length. Ids, languages, sources and labels are no features.
 
-Training reads at most ``TRAIN_ROWS`` labelled rows, the ones whose ids hash lowest, so
-the model and the time to fit it don't grow with the tables; scoring covers all rows.
+Training reads at most ``TRAIN_ROWS`` labelled rows of at most ``TRAIN_BYTES`` of text in all,
+the ones whose ids hash lowest, so the model and the time to fit it don't grow with the
+tables; scoring covers all rows.
 
 Edge cases: null and empty texts have only the constant feature and still get a score;
 null ids are scored and never held out; labels other than 0 and 1 are ignored; without
 any usable label all scores are 0.5; repeated rows score alike; other columns are
-ignored.
+ignored; rows that repeat a labelled row are fitted once.
 """
 
 from __future__ import annotations
@@ -22,15 +23,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsmith.llm._io import small_batches
+from rowsmith.llm._io import materialize, small_batches, text_of
 from rowsmith.llm._words import LOWER, U, hash_spans, mix, texts, words
 
 BITS = 18
 #: Most labelled rows that are fitted.
 TRAIN_ROWS = 6000
+#: Most bytes of their texts in all. Features are some four times as large as an ordinary text, 24 times at most.
+TRAIN_BYTES = 24 << 20
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 1e-4, 1e-3
 BIAS = 1 << BITS
@@ -107,13 +110,21 @@ def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights from labelled rows (doc_id, quality) outside the held-out third, at most ``rows`` of them."""
+    """Weights from labelled rows (doc_id, quality) outside the held-out third, at most ``rows`` of them, as many of
+    these in order of their ids' hashes as have TRAIN_BYTES of text."""
     small_batches(docs.sparkSession)
     known = labels.where("quality in (0, 1)").where(remainder() != 1)
     order = F.xxhash64("doc_id")
     sample = known.select("doc_id", F.col("quality").cast("int").alias("y"), order.alias("order")).orderBy("order", "doc_id", "y").limit(rows)
     # At most ``rows`` rows of three numbers: small enough to broadcast whatever the tables' size.
-    picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("order", "y", "text")
+    picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("order", "y", "text").dropDuplicates(["order", "y", "text"])
+    picked = materialize(picked, "labelled")
+    # One row of numbers per picked row, as many as may be fitted; an id with several texts stands for as many as there is room for.
+    so_far = F.sum("bytes").over(Window.orderBy("order", "y", "bytes", "digest").rowsBetween(Window.unboundedPreceding, 0))
+    sizes = picked.select("order", "y", F.octet_length(text_of("text")).cast("long").alias("bytes"), F.xxhash64("text").alias("digest")).orderBy("order", "y", "bytes", "digest").limit(rows)
+    fitting = sizes.withColumn("so_far", so_far).where(F.col("so_far") <= TRAIN_BYTES).agg(F.max(F.struct("order", "y", "bytes", "digest")).alias("last")).first()["last"]
+    key = F.struct("order", "y", F.octet_length(text_of("text")).cast("long").alias("bytes"), F.xxhash64("text").alias("digest"))
+    picked = picked.where(key <= F.struct(*[F.lit(v).cast(t) for v, t in zip(fitting, ("long", "int", "long", "long"), strict=True)])) if fitting else picked.limit(0)
     table = picked.mapInArrow(_featured, "order long, y int, i array<int>, x array<float>").toArrow()
     model = Ftrl()
     order, y = table.column("order").to_numpy(), table.column("y").to_numpy()

@@ -8,6 +8,8 @@ import itertools
 import math
 import random
 import re
+import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -61,6 +63,19 @@ def test_secrets_base_and_links(spark):
     assert secrets.scan(frame(spark, [])).count() == 0
 
 
+def test_secrets_in_texts_of_very_many(spark):
+    took = []
+    for n in (16_000, 32_000):
+        df = frame(spark, [(1, "token=abcdefg1 " * n)]).repartition(1)
+        began = time.perf_counter()
+        got = rows(secrets.scan(df))[0]
+        took.append(time.perf_counter() - began)
+        spans = got["spans"].split(",")
+        assert got["n_assign"] == n == len(spans) and spans[-1] == f"assign:{15 * (n - 1)}:{15 * n - 1}"
+        assert got["base_sha256"] == hashlib.sha256(base_spans("token=abcdefg1 " * n).encode()).hexdigest()
+    assert took[1] < 2.5 * took[0] + 1
+
+
 # ---------------------------------------------------------------- 2
 PAGE = """<html><head><title>T</title><style>p{{}}</style></head><body><header><h2>Site</h2></header><nav><ul><li><a href=/>Home</a></li></ul></nav>
 <div class="cookie-notice">We use cookies.</div>{body}<aside>See also</aside><div id="comments"><p>First!</p></div><form>Name<input></form><footer>&copy; us</footer><script>var a="</p>";</script></body></html>"""
@@ -339,6 +354,54 @@ def test_quality_model(spark):
     assert quality_model.classify(frame(spark, []), labels).count() == 0
 
 
+def test_quality_model_by_plain_updates(spark, monkeypatch):
+    """Weights and scores against follow-the-regularised-leader updates in plain Python, one coordinate at a time."""
+    q, rng = quality_model, random.Random(15)
+    docs = [(i, prose(rng, rng.randrange(3, 30), 40)) for i in range(60)] + [(70, None)]
+    labels = {i: rng.randrange(2) for i, _ in docs}
+    df = frame(spark, [*docs, docs[4], docs[5]])
+    table = spark.createDataFrame([(i, y, 0) for i, y in labels.items()], "doc_id long, quality int, toxic int")
+    turn = {r[0]: r[1] for r in df.select("doc_id", F.xxhash64("doc_id")).distinct().collect()}
+    held = {i for i in labels if zlib.crc32(str(i).encode()) % 3 == 1}
+
+    def sparse(t):
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        _, i, x = q.features(data, np.array([0, len(data)]))
+        return [*zip(i.tolist(), np.float32(x).astype(float).tolist(), strict=True), (q.BIAS, 1.0)]
+
+    def fitted(ids):
+        z, n = Counter(), Counter()
+
+        def weight(i):
+            if abs(z[i]) <= q.L1:
+                return 0.0
+            return -(z[i] - math.copysign(q.L1, z[i])) / ((q.BETA + math.sqrt(n[i])) / q.ALPHA + q.L2)
+
+        for _ in range(q.EPOCHS):
+            for d in ids:
+                x = sparse(dict(docs)[d])
+                w = {i: weight(i) for i, _ in x}
+                p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x)))
+                for i, v in x:
+                    g = (p - labels[d]) * v
+                    z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / q.ALPHA * w[i]
+                    n[i] += g * g
+        return {i: weight(i) for i in z}
+
+    ids = sorted((i for i in labels if i not in held), key=turn.get)
+    want = fitted(ids)
+    got = q.fit(df, table)
+    assert np.allclose([got[i] for i in want], list(want.values()), atol=1e-5) and np.count_nonzero(got) <= len(want)
+    for r in rows(q.score(df, got)):
+        x = sparse(dict(docs)[r["doc_id"]])
+        assert abs(r["score"] - 1 / (1 + math.exp(-sum(want.get(i, 0.0) * v for i, v in x)))) < 1e-4 and r["held_out"] == (r["doc_id"] in held)
+    # Only as many rows as have room are fitted, in order.
+    room = sum(len((dict(docs)[i] or "").encode()) for i in ids[:9])
+    monkeypatch.setattr(q, "TRAIN_BYTES", room)
+    few = fitted(ids[:9])
+    assert np.allclose([q.fit(df, table)[i] for i in few], list(few.values()), atol=1e-5)
+
+
 # ---------------------------------------------------------------- 6
 def common(a, b):
     return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
@@ -380,10 +443,18 @@ def test_suffix_array_with_many_names():
 
 
 def test_equal_prints_are_followed_by_bytes():
-    data = np.frombuffer(b"abcabdabcxx", np.uint8)
-    start, stop = np.array([0, 3, 6, 9]), np.array([3, 6, 9, 11])
-    _, one, of, count = suffix_dedup._equal_parts(data, start, stop, np.zeros(4, np.uint64))
-    assert of[0] == of[2] and len(set(of.tolist())) == 3 and sorted(count.tolist()) == [1, 1, 2] and len(one) == 3
+    rng = random.Random(13)
+    for _ in range(50):
+        data = np.frombuffer("".join(rng.choice("ab") * rng.randrange(1, 6) for _ in range(60)).encode(), np.uint8)
+        begin = [len(data) * k // 4 for k in range(4)]
+        window = np.repeat(np.arange(4), 6)
+        start = np.concatenate([np.sort([b + rng.randrange(0, 8) for _ in range(6)]) for b in begin])
+        stop = start + rng.randrange(2, 9)
+        prints = np.array([rng.randrange(3) for _ in start], np.uint64)  # prints that say nothing
+        _, one, of, count = suffix_dedup._equal_parts(data, window, start, stop, prints)
+        key = [(int(p), data[a:b].tobytes()) for p, a, b in zip(prints, start, stop, strict=True)]
+        assert [[of[i] == of[j] for j in range(24)] for i in range(24)] == [[key[i] == key[j] for j in range(24)] for i in range(24)]
+        assert count[of].tolist() == [key.count(k) for k in key] and [key.index(key[i]) for i in one] == one.tolist()
 
 
 def test_anchors_of_very_long_texts(monkeypatch):
