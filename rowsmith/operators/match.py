@@ -3,7 +3,7 @@
 All strong passes are one equi-join: candidates carry every key they can be found by,
 leagues every key they look up, each with the number of its pass. A candidate id counts
 for a league at its first pass. Leagues without any hit try containment and then word
-overlap, with ids claimed by earlier leagues out of reach.
+overlap, with ids claimed by earlier leagues out of reach, exactly as if leagues were gone through one by one.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from rowsmith.functions.geo import country_signal
 from rowsmith.functions.text import acronym, acronym_safe, core, division, initials, junk_reason, normalise_league, overlap_ratio, paren, significant_words, spaceless, strip_sport_division, text, token_run, trailing_acronym
 from rowsmith.operators.blocking import set_overlap, word_containment
 from rowsmith.operators.entities import first_by, last_wins
-from rowsmith.operators.exclusive import exclusive
 from rowsmith.plans.tables import written
 
 WEAK = ("containment", "fuzzy_overlap")
@@ -104,20 +103,40 @@ def weak_options(leagues: DataFrame, cands: DataFrame) -> DataFrame:
     return part.unionByName(over).join(keyed, "key_pos").join(real.select("norm", "cand_pos", "account_id"), "norm").select("league_pos", "pass", "match_type", "key_pos", "cand_pos", "account_id")
 
 
-def weak_hits(options: DataFrame, strong: DataFrame, claimed: DataFrame) -> DataFrame:
-    """Weak hits of leagues without strong ones, with ids claimed by others out of reach.
+def weak_hits(options: DataFrame, strong: DataFrame, claimed: DataFrame, leagues: DataFrame, cands: DataFrame) -> DataFrame:
+    """Weak hits of leagues without strong ones, as if leagues were gone through in order: a league that is matched by
+    weak hits claims the best one's id, and no later league can have it. claimed: (id, from_pos), ids claimed otherwise.
 
-    Containment stops at the first candidate name that yields a hit and keeps overlap out."""
+    Containment stops at the first candidate name that yields a hit and keeps overlap out. Leagues are decided in rounds:
+    one is decided once no undecided league before it shares an id that is still open, so there are as many
+    rounds as the longest chain of leagues of which each shares an id with the one before."""
     free = options.join(strong.select("league_pos").distinct(), "league_pos", "left_anti").join(claimed.select(F.col("id").alias("account_id"), F.col("from_pos")), "account_id", "left")
-    free = written(free.where(F.col("from_pos").isNull() | (F.col("from_pos") > F.col("league_pos")) | (F.col("account_id") == "")).drop("from_pos").distinct(), "weak-options")
-    rank = F.struct("pass", "key_pos", "cand_pos")
-    own = exclusive(free.select(F.col("league_pos").alias("claimer"), rank.alias("rank"), F.col("account_id").alias("id")))
-    held = own.select(F.col("id").alias("account_id"), F.col("claimer").alias("holder"))
-    left = free.join(held, "account_id", "left").where(F.col("holder").isNull() | (F.col("holder") >= F.col("league_pos")))
+    free = free.where(F.col("from_pos").isNull() | (F.col("from_pos") > F.col("league_pos")) | (F.col("account_id") == ""))
+    every = written(scored(free.select("league_pos", "pass", "match_type", "key_pos", "cand_pos").distinct(), leagues, cands), "weak-options")
     each = Window.partitionBy("league_pos")
-    left = left.withColumn("first_pass", F.min("pass").over(each)).where("pass = first_pass")
-    left = left.withColumn("first_key", F.min("key_pos").over(each)).where((F.col("pass") > 70) | (F.col("key_pos") == F.col("first_key")))
-    return first_by(left, ["league_pos", "account_id"], [F.col("key_pos"), F.col("cand_pos")]).select("league_pos", "pass", "match_type", "cand_pos")
+
+    def hits(live: DataFrame) -> DataFrame:
+        live = live.withColumn("first_pass", F.min("pass").over(each)).where("pass = first_pass")
+        live = live.withColumn("first_key", F.min("key_pos").over(each)).where((F.col("pass") > 70) | (F.col("key_pos") == F.col("first_key")))
+        return first_by(live, ["league_pos", "account_id"], [F.col("key_pos"), F.col("cand_pos")])
+
+    def still_open(taken: DataFrame) -> DataFrame:
+        j = every.join(taken.select(F.col("id").alias("account_id"), "by"), "account_id", "left")
+        return j.where(F.col("by").isNull() | (F.col("by") >= F.col("league_pos"))).drop("by")
+
+    taken = every.sparkSession.createDataFrame([], "id string, by long")
+    undecided = every.select("league_pos").distinct()
+    while undecided.take(1):
+        live = still_open(taken).join(undecided, "league_pos", "left_semi")
+        first = live.where("account_id <> ''").groupBy("account_id").agg(F.min("league_pos").alias("first"))
+        waiting = written(live.join(first, "account_id").where("first < league_pos").select("league_pos").distinct(), "waiting")
+        good = hits(live.join(waiting, "league_pos", "left_anti")).where(F.col("score") >= C.KEEP_SCORE).withColumn("top", F.max("score").over(each))
+        best = F.col("score") == F.col("top")
+        rank = F.struct((-F.col("score")).alias("s"), (-F.col("accounts")).alias("a"), (-F.col("deals")).alias("d"), "key_pos", "cand_pos")
+        decided = good.groupBy("league_pos").agg(F.count("*").alias("n"), F.count_if(best).alias("winners"), F.count_distinct(F.when(best, F.col("norm"))).alias("names"), F.min_by(F.when(F.col("account_id") != "", F.col("account_id")), F.when(F.col("account_id") != "", rank)).alias("id"))
+        claims = decided.where("(n = 1 or winners = 1 or names = 1) and id is not null").select("id", F.col("league_pos").cast("long").alias("by"))
+        taken, undecided = written(taken.unionByName(claims), "taken"), waiting
+    return hits(still_open(taken)).select("league_pos", "pass", "match_type", "cand_pos")
 
 
 def scored(hits: DataFrame, leagues: DataFrame, cands: DataFrame) -> DataFrame:
@@ -222,7 +241,7 @@ def crosscheck(leagues: DataFrame, pool: DataFrame, names: C.Names | None = None
     open_ = leagues.join(trusted.select("league_pos"), "league_pos", "left_anti")
     strong = written(strong_hits(open_, cands, names), "strong-hits")
     claimed = trusted.select("league_pos", F.explode("account_ids").alias("id")).groupBy("id").agg(F.min("league_pos").alias("from_pos"))
-    weak = weak_hits(weak_options(open_, cands), strong, claimed)
+    weak = weak_hits(weak_options(open_, cands), strong, claimed, leagues, cands)
     found = decide(scored(strong.unionByName(weak), leagues, cands)).unionByName(trusted)
     empty = F.expr("cast(array() as array<string>)")
     fill = {"match_status": F.lit("unmatched"), "match_type": F.lit(""), "confidence": F.lit(0), "confidence_label": F.lit(""), "account_ids": empty, "other_ids": empty, "account_names": empty, "deals": F.lit(0).cast("long"), "active_arr": F.lit(""), "note": F.lit("No matching account found"), "match_source": F.lit("")}

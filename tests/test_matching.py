@@ -145,3 +145,50 @@ def test_entities(spark):
     names = spark.createDataFrame([("Same (A)", "1"), ("same (b)", "2"), ("Only", "3"), ("Dup", "4"), ("Dup", "5")], "name string, id string")
     pool_ = spark.createDataFrame([("SAME (A)", ""), ("The Only", ""), ("Dup", ""), ("Only", "keep")], "name string, other_id string")
     assert {r["name"]: r["other_id"] for r in entities.attach_ids(pool_, names).collect()} == {"SAME (A)": "1", "The Only": "3", "Dup": "", "Only": "keep"}
+
+
+def test_weak_matches_claim_ids_in_order(spark):
+    """Random leagues and accounts of few words, against going through the leagues one by one."""
+    rng = random.Random(21)
+    words = ["alpine", "harbour", "meadow", "granite", "willow", "copper"]
+    some = lambda n: " ".join(rng.sample(words, n))
+    for trial in range(3):
+        leagues = [(i, some(rng.randrange(2, 5)) + (" zz" if rng.random() < 0.5 else "")) for i in range(14)]
+        pool = [(i, rng.choice(["", f"A{rng.randrange(8)}"]) if rng.random() < 0.3 else f"A{i}", some(rng.randrange(2, 6)), rng.choice(["", "Sweden", "Norway"]), rng.randrange(3), rng.randrange(2)) for i in range(12)]
+        lf = spark.createDataFrame([(i, n, n, ["sweden"] if i % 3 == 0 else [], "") for i, n in leagues], "league_pos long, league_key string, display_name string, countries array<string>, pasted_id string")
+        pf = spark.createDataFrame([(i, a, "", n, c, d, k, "") for i, a, n, c, d, k in pool], "src_pos long, id string, other_id string, name string, country string, deals long, accounts long, active_arr string")
+        got = {r["league_pos"]: (r["match_status"], r["match_type"], r["account_ids"]) for r in match.crosscheck(lf, pf).collect()}
+        taken = set()
+        for i, name in leagues:
+            if got[i][1] not in ("containment", "fuzzy_overlap", ""):
+                continue  # found by a strong pass, which claims nothing
+            open_ = [p for p in pool if not p[1] or p[1] not in taken]
+            by_name = list(dict.fromkeys(p[2] for p in pool))
+            inside = lambda a, b: f" {a} " in f" {b} "
+            found, kind = [], "containment"
+            for n in by_name if len(name) >= 8 else ():
+                if inside(n, name) or inside(name, n):
+                    found = [p for p in open_ if p[2] == n]
+                    if found:
+                        break
+            if not found:
+                kind, mine = "fuzzy_overlap", {w for w in name.split() if len(w) > 2}
+                alike = lambda n: len(mine & set(n.split())) >= 0.8 * max(len(mine), len(n.split()))
+                found = [p for n in by_name if len(mine) >= 2 and alike(n) for p in open_ if p[2] == n]
+            found = list({p[1]: p for p in reversed(found)}.values())[::-1]
+            found.sort(key=lambda p: (by_name.index(p[2]), p[0]))
+            base = {"containment": 60, "fuzzy_overlap": 50}[kind]
+            signal = lambda p: 0 if i % 3 or not p[3] else 20 if p[3] == "Sweden" else -40
+            kept = sorted((p for p in found if base + signal(p) >= 45), key=lambda p: (-signal(p), -p[5], -p[4]))
+            if not found:
+                assert got[i] == ("unmatched", "", []), (trial, i)
+                continue
+            if not kept:
+                assert got[i] == ("unmatched", kind, []), (trial, i)
+                continue
+            top = [p for p in kept if signal(p) == signal(kept[0])]
+            status = "matched" if len(kept) == 1 or len(top) == 1 or len({p[2] for p in top}) == 1 else "ambiguous"
+            ids = list(dict.fromkeys(p[1] for p in kept if p[1]))
+            assert got[i] == (status, kind, ids), (trial, i, name)
+            if status == "matched" and ids:
+                taken.add(ids[0])

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from rowsmith.streaming import deals
+from rowsmith.streaming import deals, matching
 
 
 def test_totals_of_arriving_files(spark, tmp_path):
@@ -15,3 +15,19 @@ def test_totals_of_arriving_files(spark, tmp_path):
     q.awaitTermination(120)
     got = {(r["league_key"], r["period"]): (r["n_rows"], r["total_arr"]) for r in spark.table("deal_totals").collect()}
     assert got == {("big 10", "H1"): (2, 15.0), ("other", "H2"): (1, 1.0)}
+
+
+def test_matching_of_arriving_files(spark, tmp_path):
+    day = dt.datetime(2026, 1, 5)
+    pool = spark.createDataFrame([(1, "A1", "Big Ten"), (2, "A2", "Rim Conference"), (3, "A3", "Elsewhere League")], "src_pos long, id string, name string")
+    folder, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
+
+    def arrive(*rows):
+        spark.createDataFrame([(i, n, "H1", 1.0, day) for i, n in rows], deals.SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        matching.match_arriving(deals.arriving(spark, folder, 1), pool, out, checkpoint).awaitTermination(300)
+        return {(r["batch"], r["league_key"]): (r["n_rows"], r["match_type"], r["account_ids"]) for r in spark.read.parquet(out).collect()}
+
+    first = {(0, "big 10"): (2, "exact", ["A1"]), (0, "nobody known"): (1, "", [])}
+    assert arrive((1, "Big Ten"), (2, "Big10"), (3, "Nobody Known")) == first
+    assert arrive((4, "The Rim Conf.")) == first | {(1, "rim conference"): (1, "normalised", ["A2"])}
+    assert matching.match_arriving(deals.arriving(spark, folder, 1), pool, out, checkpoint).awaitTermination(300) and spark.read.parquet(out).count() == 3
