@@ -78,14 +78,18 @@ def record(fields: dict[str, object], block: bytes) -> bytes:
     return b"".join([VERSION, b"\r\n", head, b"Content-Length: %d\r\n\r\n" % len(block), block, b"\r\n\r\n"])
 
 
+def _one_line(url: str | None) -> str | None:
+    return None if url is None else re.sub(r"[\r\n]+", " ", url)
+
+
 def page_records(row: dict, segment: int, frame: int) -> Iterator[bytes]:
     """The WARC records of one page."""
     payload = row["payload"]
-    url = re.sub(r"[\r\n]+", " ", row["url"]) if row["url"] is not None else None
+    url = _one_line(row["url"])
     ident = f"<urn:rowsmith:{row['row']}>"
     base = {"WARC-Record-ID": ident, "WARC-Date": DATE, "WARC-Target-URI": url, "WARC-Payload-Digest": f"sha1:{sha1_base32(payload)}", "X-Page-ID": row["page_id"], "X-Payload-Length": len(payload)}
     if row["refers"] is not None or row["revisit"]:
-        yield record({"WARC-Type": "revisit", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", **base, "X-Refers-To-Page-ID": row["refers"]}, b"")
+        yield record({"WARC-Type": "revisit", "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", **base, "WARC-Refers-To": f"<urn:rowsmith:{row['first_row']}>", "WARC-Refers-To-Target-URI": _one_line(row["first_url"]), "WARC-Refers-To-Date": DATE, "X-Refers-To-Page-ID": row["refers"]}, b"")
         return
     block = framed(payload, frame)
     cut = [block[i : i + segment] for i in range(0, len(block), segment)]
@@ -128,11 +132,11 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT, frame: i
     rows = pages.select("page_id", "url", F.coalesce(F.col("payload"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", F.sha2("payload", 256))
     # Payloads that occur more than once, with the row that stays; unique ones need no shuffle of payloads.
-    rank = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "row")
+    rank = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "row", "url")
     firsts = materialize(rows.select("digest", rank.alias("rank")).groupBy("digest").agg(F.min("rank").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "first-payloads")
     rows = rows.join(firsts, "digest", "left")
     revisit = F.col("first").isNotNull() & (F.col("first.row") != F.col("row"))
-    rows = rows.select("page_id", "url", "payload", "row", F.when(revisit, F.col("first.page_id")).alias("refers"), F.coalesce(revisit, F.lit(False)).alias("revisit"))
+    rows = rows.select("page_id", "url", "payload", "row", F.when(revisit, F.col("first.page_id")).alias("refers"), F.coalesce(revisit, F.lit(False)).alias("revisit"), F.col("first.row").alias("first_row"), F.col("first.url").alias("first_url"))
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,15 +190,18 @@ def _inflate(data: bytes) -> bytes:
 
 
 def _restored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Decode blocks and check them against the recorded digests and lengths."""
+    """Join the segments, decode blocks, and check them against the recorded numbers, lengths and digests."""
     for batch in batches:
         out = []
         for r in batch.to_pylist():
             payload = None
-            if r["kind"] == "response":
-                if r["total"] is not None and r["total"] != len(r["block"]):
-                    raise ValueError(f"record {r['ident']}: {len(r['block'])} bytes of {r['total']}")
-                payload = unframed(r["block"]) if r["chunked"] else r["block"]
+            if r["kind"] != "revisit":
+                if r["segmented"] and ([p["number"] for p in r["parts"]] != list(range(1, len(r["parts"]) + 1)) or r["total"] is None):
+                    raise ValueError(f"segments missing of {r['ident']}")
+                block = b"".join(p["block"] for p in r["parts"])
+                if r["total"] is not None and r["total"] != len(block):
+                    raise ValueError(f"record {r['ident']}: {len(block)} bytes of {r['total']}")
+                payload = unframed(block) if r["chunked"] else block
                 if r["digest"] and sha1_base32(payload) != r["digest"]:
                     raise ValueError(f"record {r['ident']}: digest differs")
             out.append((r["page_id"], r["url"], r["kind"], r["refers"], r["length"] if payload is None else len(payload), r["digest"] if payload is None else sha1_base32(payload), payload))
@@ -209,16 +216,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     small_batches(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     found = files.mapInArrow(_rows, _PARSED)
-    plain = found.where("not segmented")
-    parts = found.where("segmented").groupBy("ident").agg(
-        *[F.max(c).alias(c) for c in ("total", "page_id", "url", "digest", "refers", "length")],
-        F.max("chunked").alias("chunked"),
-        F.array_sort(F.collect_list(F.struct("number", "block"))).alias("parts"),
-    )
-    numbers = F.transform("parts", lambda p: p["number"])
-    whole = numbers == F.sequence(F.lit(1), F.size("parts"))
-    checked = F.when(whole & F.col("total").isNotNull(), F.array_join(F.transform("parts", lambda p: F.hex(p["block"])), "")).otherwise(F.raise_error(F.concat(F.lit("segments missing of "), "ident")))
-    joined = parts.select("ident", F.lit(1).alias("number"), "total", "page_id", "url", "digest", F.lit("response").alias("kind"), "refers", "length", "chunked", F.lit(True).alias("segmented"), F.unhex(checked).alias("block"))
+    facts = ["total", "page_id", "url", "digest", "refers", "length"]
+    part = F.struct("number", "block")
+    plain = found.where("not segmented").select("ident", *facts, "kind", "chunked", "segmented", F.array(part).alias("parts"))
+    joined = found.where("segmented").groupBy("ident").agg(*[F.max(c).alias(c) for c in facts], F.lit("response").alias("kind"), F.max("chunked").alias("chunked"), F.lit(True).alias("segmented"), F.array_sort(F.collect_list(part)).alias("parts"))
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
     return plain.unionByName(joined).mapInArrow(_restored, schema)
 

@@ -13,6 +13,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -330,6 +331,23 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_revisits_name_their_record(spark):
+    row = {"payload": b"a", "url": "u", "row": 5, "page_id": 9, "refers": 3, "revisit": True, "first_row": 1, "first_url": "http://h/\r\n3"}
+    ((fields, block),) = warc.parse(b"".join(warc.page_records(row, 4096, 1000)))
+    assert block == b"" and fields["warc-refers-to"] == "<urn:rowsmith:1>" and fields["warc-refers-to-target-uri"] == "http://h/ 3" and fields["warc-record-id"] == "<urn:rowsmith:5>"
+
+
+@pytest.mark.parametrize("numbers, total, fault", [([1, 3], 8, "segments missing"), ([2, 3], 8, "segments missing"), ([1, 2], None, "segments missing"), ([1, 2], 9, "8 bytes of 9"), ([1, 2], 8, None)])
+def test_warc_segments_are_checked(numbers, total, fault):
+    row = {"ident": "i", "total": total, "page_id": 1, "url": "u", "digest": None, "refers": None, "length": 8, "kind": "response", "chunked": False, "segmented": True, "parts": [{"number": n, "block": b"abcd"} for n in numbers]}
+    batch = pa.RecordBatch.from_pylist([row])
+    if fault:
+        with pytest.raises(ValueError, match=fault):
+            list(warc._restored([batch]))
+    else:
+        assert next(iter(warc._restored([batch]))).to_pylist()[0]["payload"] == b"abcdabcd"
+
+
 def test_warc_damage():
     good = b"".join(warc.page_records({"payload": b"a" * 9000, "url": "u", "row": 1, "page_id": 1, "refers": None, "revisit": False}, 4096, 1000))
     assert len(list(warc.parse(good))) == 3
