@@ -66,25 +66,17 @@ RANGES = 21
 #: Different windows of one anchor up to which they are gathered.
 SPLIT = 1 << 16
 
-_TABLE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
+
+_ONE_UP = np.arange(1, 257, dtype=np.uint64)
 
 
 # ---------------------------------------------------------------- anchors
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """64-bit hash of each gram-byte string of data, put together from strings of powers of two."""
-
-    def joined(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
-        """Of a's strings, ``size`` long, and b's that follow them."""
-        n = min(len(a), len(b) - size)
-        h = a[:n] * U(0x9FB21C651E98DF25) + (b[size : size + n] ^ (b[size : size + n] >> U(29)))
-        return h ^ (h >> U(32))
-
-    power, size, out, done = _TABLE[data], 1, None, 0
-    while size <= gram:
-        if gram & size:
-            out, done = (power, size) if out is None else (joined(out, power, done), done + size)
-        power, size = joined(power, power, size), 2 * size
-    return out
+    """64-bit hash of each gram-byte string of data: polynomials of its bytes, from prefix sums. They only choose and group anchors."""
+    size = len(data) + 1
+    sums = np.zeros(size, U)
+    np.cumsum(_ONE_UP[data] * _powers(size, BASE)[: len(data)], out=sums[1:])
+    return (sums[gram:] - sums[:-gram]) * _powers(size, BASE_INV)[: size - gram]
 
 
 def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
@@ -113,15 +105,15 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: i
         at, h = (np.concatenate(x) for x in zip(*found, strict=True))
         return np.zeros(len(at), np.int64), at, h
     width = length - gram + 1
-    h = mix(_gram_hashes(data, gram))
-    low = (h >> U(32)).astype(np.uint32) | np.uint32(1)
+    h = _gram_hashes(data, gram)
+    low = ((h ^ (h >> U(29))) * U(0x9E3779B97F4A7C15) >> U(32)).astype(np.uint32) | np.uint32(1)
     least = _sliding(low, width, np.minimum)
     ends = np.repeat(offsets[1:], np.diff(offsets))
     least = np.where(np.arange(len(least)) + length <= ends[: len(least)], least, np.uint32(0))
     padded = np.concatenate([np.zeros(width - 1, np.uint32), least, np.zeros(width - 1, np.uint32)])
     most = _sliding(padded, width, np.maximum)
     at = np.flatnonzero(most == low)
-    return np.searchsorted(offsets, at, "right") - 1, at, h[at].view(np.int64)
+    return np.searchsorted(offsets, at, "right") - 1, at, mix(h[at]).view(np.int64)
 
 
 def _keys(column: pa.Array) -> list[bytes]:
@@ -257,9 +249,6 @@ class _Prints:
         return mix((self.sums[stop] - self.sums[start]) * self.down[start] + salt)
 
 
-_ONE_UP = np.arange(1, 257, dtype=np.uint64)
-
-
 def _parts(data: np.ndarray, first: np.ndarray, size: np.ndarray, group: np.ndarray, at: np.ndarray, part: tuple[np.ndarray, ...], length: int) -> tuple[np.ndarray, ...]:
     """Of parts (window, starts from al to be, sure): the same and begin, end, prints of the shared bytes and of the whole.
 
