@@ -301,6 +301,22 @@ def report_files(spark, d):
     return _back(spark, sinks.report(_results(spark, d)), "report")
 
 
+@query("""with n as (select count(*) as n, count(*) filter (where c_custkey % 4 = 0) as named from customer)
+select f as file, case f when 'contact' then 8 when 'league_crosscheck' then 20 else 24 end as n_columns, case f when 'contact' then named when 'opp_product' then 2 * n else n end as n_rows from n, (values ('account'), ('contact'), ('opportunity'), ('opp_product'), ('league_crosscheck')) t(f)""")
+def csv_contracts(spark, d):
+    """Columns and rows of the import files, written and read back."""
+    r, conf = _results(spark, d), C.Settings()
+    files = {"account": sinks.account_file(r, conf), "contact": sinks.contact_file(r), "opportunity": sinks.opportunity_file(r, conf), "opp_product": sinks.product_file(_lines(spark, d), conf), "league_crosscheck": sinks.report(r)}
+    out = None
+    for name, df in files.items():
+        path = f"{scratch_dir(spark)}/rowsmith-{name}-{uuid.uuid4().hex}"
+        sinks.write_csv(df, path)
+        back = spark.read.option("header", True).option("escape", '"').csv(path)
+        part = back.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("file"), F.lit(len(back.columns)).alias("n_columns"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("""select case when s_suppkey % 3 = 0 then 'none' when s_suppkey % 3 = 1 then 'tier-1' else 'a-b' end as tier, s_name as name from supplier""")
 def review_folders(spark, d):
     """Review rows by tier, read back."""

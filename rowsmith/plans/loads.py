@@ -232,3 +232,30 @@ def duplicate_rule(spark, d):
     c = T(spark, d, "customer")
     held = c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"), F.create_map(F.lit("v"), F.col("c_name")).alias("fields")).unionByName(c.select(F.concat(F.lit("s"), F.col("c_custkey").cast("string")).alias("id"), F.create_map(F.lit("v"), F.col("c_mktsegment")).alias("fields")))
     return changes.single_match(mine, held, "v")
+
+
+@query(f"""with {_CLUBS}, c as (
+ select k, k * 1000000 as pos, 'account' as sobject, 'Account ' || team || ' (NEW)' as label from clubs where account = ''
+ union all select k, k * 1000000 + 250000, 'contact', 'Contact ' || contact || ' <' || email || '>' from clubs where email <> ''
+ union all select k, k * 1000000 + 500000, 'opportunity', 'Opportunity ' || team || ' Soccer' from clubs where deal = ''
+ union all select k, k * 1000000 + 750000 + slot, 'line', replace(label, '@', team) from clubs, (values (0, 'OLI sub @ Product 1'), (1, 'OLI sub @ Product 1 (VOUCHER)'), (10, 'OLI @ cam1'), (11, 'OLI @ cam2')) v(slot, label)),
+f as (select * from c order by pos limit 200), n as (select sobject, count(*) as n from c group by 1)
+select '  + ' || rpad(sobject, 12, ' ') || ' ' || label as line from f union all select 'CREATE: ' || sum(n) || ' ' || string_agg(sobject || '=' || n, ' ' order by sobject) from n""")
+def change_list(spark, d):
+    """The change list for review: how much of each kind is created, and the first 200 in plan order."""
+    records = written(plan.build(clubs(spark, d), book(spark, d), DEAL)[0], "plan")
+    lines = changes.render(changes.changeset(records, None)).split("\n")
+    return spark.createDataFrame([(x,) for x in lines if x.startswith(("CREATE", "  + "))], "line string")  # 201 lines at most
+
+
+@query(f"""with {_CLUBS}, {_HELD} select 'OPP:' || row_key as ref, 4::bigint as planned, case when contact_id <> '' and contact_account <> '' and contact_account <> account then 0 else 4 end::bigint as expected from clubs join held using (k)""")
+def expected_line_counts(spark, d):
+    """Lines planned for each deal, and those expected once the ones that were skipped are left out."""
+    records = written(plan.build(clubs(spark, d), book(spark, d), DEAL)[0], "plan")
+    c, held = clubs(spark, d), _snapshots(spark, d)["contact"]
+    e = held.select(F.col("fields")["email"].alias("contact_email"), F.try_element_at("fields", F.lit("account_id")).alias("aid")).where("aid is not null")
+    lost = c.join(e, "contact_email").where("aid <> customer_id").select(F.concat(F.lit("OPP:"), "team", F.lit("#"), F.col("src_pos").cast("string")).alias("ref"))
+    lines = records.where("sobject = 'line'").withColumn("ref", F.col("parents")["opportunity_id"])
+    log = lines.join(lost, "ref", "left_semi").select("plan_pos", F.lit("skipped").alias("outcome"))
+    want = changes.expected_lines(records, log)
+    return changes.line_counts(records).join(want, "ref", "left").select("ref", "planned", F.coalesce("expected", F.lit(0).cast("long")).alias("expected"))

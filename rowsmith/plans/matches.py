@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from rowsmith import config as C
 from rowsmith.functions.text import normalise_league
 from rowsmith.operators import clubs, entities, match, products
+from rowsmith.plans import jobs
 from rowsmith.plans.registry import T, query
 from rowsmith.plans.tables import written
+from rowsmith.sources import lookups
 
 _DIGITS, _LETTERS = "0123456789", "bcdfghjklm"
 
@@ -260,6 +262,36 @@ def repeated_keys(spark, d):
     return entities.duplicates(T(spark, d, "customer").select(F.col("c_nationkey").alias("k")), ["k"])
 
 
+@query("""with r as (select o_orderkey as pos, 'league ' || o_custkey as key, 'H' || (o_orderkey % 2 + 1) as period, case when o_orderkey % 3 = 0 then '' else 'kind ' || (o_orderkey % 5) end as deal_type, case when o_orderkey % 4 = 0 then 'M' || o_orderkey else '' end as master,
+ o_orderkey % 7 as rep, case o_orderkey % 3 when 0 then 'Sweden' when 1 then 'DACH / uk' else '' end as territory from orders),
+t as (select key, list_sort(list_distinct(flatten(list(case territory when 'Sweden' then ['sweden'] when 'DACH / uk' then ['austria', 'germany', 'switzerland', 'united kingdom'] else []::varchar[] end)))) as c from r group by 1)
+select key as league_key, period, min(pos) as first_pos, coalesce(arg_min(deal_type, pos) filter (where deal_type <> ''), '') as deal_type, coalesce(arg_min(master, pos) filter (where master <> ''), '') as master_opportunity,
+ case when arg_min(rep, pos) < 5 then 'U' || arg_min(rep, pos) else '' end as owner, array_to_string(any_value(c), ',') as countries from r join t using (key) group by 1, 2""")
+def period_deals(spark, d):
+    """A deals sheet matched and grouped by league and period: the first row's person owns the deal, first values count, territories unite."""
+    k = F.col("o_orderkey")
+    when = lambda n, v: F.when(k % n == 0, v).otherwise("")
+    rows = T(spark, d, "orders").select(
+        k.alias("src_pos"), F.concat(F.lit("League "), F.col("o_custkey").cast("string")).alias("league"), F.concat(F.lit("H"), (k % 2 + 1).cast("string")).alias("period"), F.when(k % 3 == 0, " ").otherwise(F.concat(F.lit("kind "), (k % 5).cast("string"))).alias("deal_type"), when(4, F.concat(F.lit("M"), k.cast("string"))).alias("master_opportunity"),
+        F.concat(F.lit("Rep number "), (k % 7).cast("string")).alias("rep_name"), F.element_at(F.array(F.lit("Sweden"), F.lit("DACH / uk"), F.lit("")), (k % 3 + 1).cast("int")).alias("territory"), F.col("o_totalprice").alias("arr_eur"), F.lit("").alias("target_close"), F.lit("").alias("account_ref"), F.lit("Soccer").alias("sport"),
+    )
+    users = [{"id": f"U{i}", "name": f"Rep number {i}", "is_active": ""} for i in range(5)] + [{"id": "U6", "name": "Rep number 6", "is_active": "no"}]
+    nothing = "src_pos long, id string, other_id string, name string, country string"
+    found = jobs.crosscheck(spark, rows, C.Settings(manual_ids_csv="/none", aliases_csv="/none"), lookups.MemorySource(spark, users=users), pool=spark.createDataFrame([], nothing))
+    out = jobs.periods(found).join(found.results.select("league_key", "countries"), "league_key")
+    return out.select("league_key", "period", "first_pos", "deal_type", "master_opportunity", "owner", F.array_join(F.array_sort("countries"), ",").alias("countries"))
+
+
+@query("""select 'by name' as way, 'U' || c_custkey as id from customer where c_name = 'Customer#000000007' union all select 'by id', '005000000000000' union all select 'one record', 'U' || c_custkey from customer where c_custkey = 9 union all select 'record type', 'R' || r_regionkey from region where r_name = 'ASIA' union all select 'fallback', 'known'""")
+def point_lookups(spark, d):
+    """Owners by name or id, single records, record types with a fallback."""
+    c = T(spark, d, "customer")
+    users = c.select(F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_name").alias("name"), F.lit("").alias("is_active"), "c_custkey")
+    types = T(spark, d, "region").select(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")).alias("id"), F.col("r_name").alias("name"))
+    found = [("by name", lookups.owner_id(users, "Customer#000000007")), ("by id", lookups.owner_id(users, "005000000000000")), ("one record", lookups.one_record(users.where("c_custkey = 9"), "user 9")["id"]), ("record type", lookups.record_type_id(types, "ASIA", {})), ("fallback", lookups.record_type_id(types, "x", {"x": "known"}))]
+    return spark.createDataFrame(found, "way string, id string")
+
+
 # ---------------------------------------------------------------- products
 def _price_rows(spark, d) -> DataFrame:
     """A price book: families in tiers, the sport family's products, and one product a part."""

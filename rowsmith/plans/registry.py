@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from rowsmith.functions import amounts, clubs, geo, text
 from rowsmith.operators import blocking, changes, entities, exclusive, match, products
+from rowsmith.operators import clubs as club
 from rowsmith.operators.plan import pruned
 from rowsmith.plans.tables import written
+from rowsmith.sources import lookups
 
 _Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -89,10 +91,11 @@ def domain_suffix_join(spark, d):
     return blocking.domain_relatives(h, s).where("equal or true").select(F.col("a").alias("page_id"), F.col("b").alias("parent"), "equal").join(h.select(F.col("id").alias("page_id"), F.col("domain").alias("host")), "page_id").where((F.col("host") == F.col("parent")) | F.endswith("host", F.concat(F.lit("."), "parent"))).select("page_id", "parent", "equal")
 
 
-@query("""select event_id, json_extract_string(props, '$.k') as k from events""")
+@query("""select event_id, coalesce(json_extract_string(props, '$.k'), '') as k from events""")
 def json_prop(spark, d):
-    """A field of JSON text."""
-    return T(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    """A field of JSON text under a standard name, by the headers that may hold it; missing ones are empty."""
+    raw = T(spark, d, "events").select("event_id", F.from_json("props", "struct<k:string>").alias("p")).select("event_id", F.col("p.k").alias("K "))
+    return raw.select("event_id", *lookups.mapped_columns(raw, {"k": ["key", "k"]}))
 
 
 @query("""select doc_id, lower(strip_accents(text)) as folded from documents""")
@@ -171,10 +174,11 @@ def priority_union(spark, d):
     return entities.priority_union(a, b).select("id", "name", "pool")
 
 
-@query("""select p_name, min(p_brand) as p_brand from part group by p_name having count(distinct p_brand) = 1""")
+@query("""select name, min(id) as id from (select c_mktsegment || ' ' || (c_custkey // 3) as name, 'N' || c_nationkey as id from customer) group by 1 having count(distinct id) = 1""")
 def unambiguous_lookup(spark, d):
-    """Part names with a single brand."""
-    return entities.unambiguous(T(spark, d, "part"), "p_name", "p_brand")
+    """Names with a single id."""
+    name = F.concat("c_mktsegment", F.lit(" "), F.floor(F.col("c_custkey") / 3).cast("string"))
+    return entities.unambiguous(T(spark, d, "customer").select(name.alias("name"), F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("id")), "name", "id")
 
 
 @query("""select p_type, arg_min(p_brand, (-n, p_brand)) as p_brand from (select p_type, p_brand, count(*) as n from part group by 1, 2) group by 1""")
@@ -277,16 +281,20 @@ def best_match(spark, d):
     return top.select("l_suppkey", F.col("t.score").alias("top"), F.col("t.part").alias("best_part"), F.col("t.n").alias("winners"), F.when(F.col("t.part") == F.col("t.last"), "matched").otherwise("ambiguous").alias("status"))
 
 
-@query("""select c_custkey from customer where c_custkey not in (select o_custkey from orders)""")
+@query("""select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_orderkey % 8 = 0)""")
 def orphans(spark, d):
-    """Customers without orders."""
-    return T(spark, d, "customer").join(T(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    """Customers that no order of every eighth has matched."""
+    rows = T(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("id"), "c_custkey")
+    matches = T(spark, d, "orders").where("o_orderkey % 8 = 0").select(F.col("o_custkey").cast("string").alias("row_id"))
+    return club.orphans(rows, matches).select("c_custkey")
 
 
-@query("""select o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem)""")
+@query("""select o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem where l_returnflag = 'R')""")
 def unmatched(spark, d):
-    """Orders without lines."""
-    return T(spark, d, "orders").join(T(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey")
+    """Orders that no returned line has matched."""
+    truth = T(spark, d, "orders").select(F.col("o_orderkey").alias("src_pos"), F.col("o_orderpriority").alias("name"))
+    matches = T(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("truth_pos"))
+    return club.unmatched(truth, matches).select(F.col("src_pos").alias("o_orderkey"))
 
 
 @query("""select o_orderkey from orders where o_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R')""")
@@ -312,11 +320,19 @@ def _looked_up(spark, d, named):
     return entities.resolve_people(reps, users).select("rep_name", "user_id", "status")
 
 
-@query("""select d.doc_id, coalesce(case when l.quality = 1 then 'good' when l.quality = 0 then 'bad' end, case when n_chars > 500 then 'good' else 'bad' end) as verdict, l.doc_id is not null as overridden from documents d left join labels l using (doc_id)""")
+@query("""select s_suppkey as league_pos, case when s_suppkey % 4 = 0 then 'manual' when s_suppkey % 4 = 1 then 'exact' when s_suppkey % 4 = 2 then 'alias' end as match_type, 'C' || s_suppkey as account_id from supplier join customer on c_custkey = s_suppkey where s_suppkey % 4 < 3""")
 def override_priority(spark, d):
-    """Curated labels before a computed flag."""
-    l = T(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "bad").alias("label"), F.lit(True).alias("overridden"))
-    return T(spark, d, "documents").join(l, "doc_id", "left").select("doc_id", F.coalesce("label", F.when(F.col("n_chars") > 500, "good").otherwise("bad")).alias("verdict"), F.coalesce("overridden", F.lit(False)).alias("overridden"))
+    """Curated rows in order of trust: a manual id before an id in the row before an alias."""
+    s, k = T(spark, d, "supplier"), F.col("s_suppkey")
+    ident = F.concat(F.lit("C"), k.cast("string"))
+    label = F.concat(F.lit("zone "), F.translate(k.cast("string"), "0123456789", "abcdefghij"))
+    leagues = s.select(k.alias("league_pos"), label.alias("display_name"), label.alias("league_key"), F.when(k % 4 < 2, ident).otherwise("").alias("pasted_id"))
+    c = T(spark, d, "customer").select(F.col("c_custkey").alias("src_pos"), F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("id"), F.concat(F.lit("h"), F.col("c_custkey").cast("string")).alias("other_id"), F.col("c_name").alias("name"))
+    manual = s.where("s_suppkey % 4 = 0").select(label.alias("league"), ident.alias("account_id"), F.lit("").alias("other_id"), F.lit("").alias("note"), k.alias("src_pos"))
+    aliases = s.where("s_suppkey % 4 < 3").select(label.alias("league"), F.lit("").alias("company_name"), F.concat(F.lit("h"), k.cast("string")).alias("other_id"), F.lit("").alias("reason"), k.alias("src_pos"))
+    # Manual ids stand whether or not a candidate has them; here only those of customers count.
+    found = match.overrides(leagues, match.candidates(c), manual, aliases).where(F.size("account_names") > 0)
+    return found.select("league_pos", "match_type", F.col("account_ids")[0].alias("account_id"))
 
 
 # ---------------------------------------------------------------- products, amounts, sequences
@@ -336,11 +352,11 @@ def alloc_proportional(spark, d):
     return products.allocate(l, "o_totalprice", "l_extendedprice").select("key", "l_partkey", "l_linenumber", F.round("allocated", 4).alias("allocated"))
 
 
-@query("""select l_orderkey as key, true as conserved from lineitem join orders on l_orderkey = o_orderkey group by 1""")
+@query("""select l_orderkey as key, count(*) as n, round(max(o_totalprice), 2) as total from lineitem join orders on l_orderkey = o_orderkey group by 1""")
 def conservation(spark, d):
-    """Allocations add up to their order's total."""
+    """What is allocated to an order's lines adds up to its total."""
     l = T(spark, d, "lineitem").join(T(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("l_orderkey").alias("key"), "l_extendedprice", "o_totalprice")
-    return products.allocate(l, "o_totalprice", "l_extendedprice").groupBy("key").agg((F.abs(F.sum("allocated") - F.max("o_totalprice")) < 1e-6 * F.max("o_totalprice") + 1e-6).alias("conserved"))
+    return products.allocate(l, "o_totalprice", "l_extendedprice").groupBy("key").agg(F.count("*").alias("n"), F.round(F.sum("allocated"), 2).alias("total"))
 
 
 @query("""select l_orderkey, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice)::varchar as line_number, l_partkey from lineitem""")
@@ -498,16 +514,6 @@ def league_crosscheck(spark, d):
     return match.crosscheck(leagues, pool).select("league_pos", "match_status", "match_type", "confidence", F.array_join("account_ids", ";").alias("account_ids"))
 
 
-@query("""select * from (values ('account', 24), ('contact', 8), ('opportunity', 24), ('opp_product', 24), ('league_crosscheck', 20)) t(file, n_columns)""")
-def csv_contracts(spark, d):
-    """Column counts of the import files, from empty files."""
-    from rowsmith.sources import sinks
-
-    files = {"account": sinks.ACCOUNT_COLUMNS, "contact": sinks.CONTACT_COLUMNS, "opportunity": sinks.OPPORTUNITY_COLUMNS, "opp_product": sinks.PRODUCT_COLUMNS, "league_crosscheck": sinks.REPORT_COLUMNS}
-    nothing = T(spark, d, "region").limit(0)
-    return spark.createDataFrame([(k, len(sinks.columns(nothing, c, {}, [F.col("r_regionkey")]).columns)) for k, c in files.items()], "file string, n_columns int")
-
-
 @query("""select sobject, operation, count(*) as n, sum(line_number) as numbers from (
  select 'account' as sobject, 'create' as operation, 0 as line_number from supplier
  union all select 'contact', 'create', 0 from supplier where s_suppkey % 3 > 0
@@ -529,8 +535,6 @@ def plan_records(spark, d):
 @query("""select s_suppkey as truth_pos, 'A' || c_custkey as row_id, case when s_suppkey % 9 = 0 then 'exact_domain' when s_suppkey % 2 = 0 then 'prefix_canon' else 'containment' end as match_type from supplier join customer on c_custkey = s_suppkey""")
 def club_match(spark, d):
     """The club matcher over names derived from suppliers and customers."""
-    from rowsmith.operators import clubs as club
-
     s = T(spark, d, "supplier")
     truth = s.select(F.col("s_suppkey").alias("src_pos"), F.concat(F.lit("FC "), F.replace("s_name", F.lit("Supplier#"), F.lit("Städt "))).alias("name"), F.when(F.col("s_suppkey") % 9 == 0, F.concat(F.lit("c"), F.col("s_suppkey").cast("string"), F.lit(".example"))).otherwise("").alias("domain"))
     c = T(spark, d, "customer")
