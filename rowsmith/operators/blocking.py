@@ -15,15 +15,18 @@ from rowsmith.functions.text import contains_words, tokens
 from rowsmith.plans.tables import written
 
 
-def _rarest(outer: DataFrame, inner: DataFrame) -> DataFrame:
-    """(id, name, word): for each inner name its word that the fewest outer names have; none if one of its words occurs nowhere."""
-    counts = outer.select(F.explode(F.array_distinct(tokens(F.col("name")))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    words = inner.withColumn("_words", F.array_distinct(tokens(F.col("name"))))
-    each = words.select("id", "name", F.size("_words").alias("size"), F.explode("_words").alias("word")).join(counts, "word")
-    best = each.groupBy("id", "name", "size").agg(F.count("*").alias("found"), F.min_by("word", F.struct("n", "word")).alias("word"))
+def _rarest(places: DataFrame, words: DataFrame) -> DataFrame:
+    """(id, name, word) of (id, name, size, word): for each name its word that stands at the fewest places; none if one of its words occurs nowhere."""
+    counts = places.groupBy("word").agg(F.count("*").alias("n"))
+    best = words.join(counts, "word").groupBy("id", "name", "size").agg(F.count("*").alias("found"), F.min_by("word", F.struct("n", "word")).alias("word"))
     return best.where("found = size").select("id", "name", "word")
 
 
+def _places(outer: DataFrame, words: DataFrame, cut) -> DataFrame:
+    """(id, word) of the outer names' words that some inner name has, too: no others move. ``words`` is written, so its size is known."""
+    return outer.select("id", F.explode(cut(F.col("name"))).alias("word")).join(words.select("word").distinct(), "word", "left_semi")
+
+
 def word_containment(a: DataFrame, b: DataFrame, least_a: int = 1, least_b: int = 1) -> DataFrame:
     """(a, b) ids of single-spaced names (id, name) of which one stands in the other at word edges."""
     a, b = a.where(F.length("name") >= least_a), b.where(F.length("name") >= least_b)
@@ -38,9 +41,12 @@ def words_contained(outer: DataFrame, inner: DataFrame) -> DataFrame:
     """(outer, inner) ids of single-spaced names (id, name) such that the inner one stands in the outer one at word edges.
 
     Ids meet on the inner name's rarest word; outer names, which may be whole texts, are fetched for the pairs that met."""
-    probe = _rarest(outer, inner).select(F.col("id").alias("inner"), F.col("name").alias("part"), "word")
-    places = outer.select(F.col("id").alias("outer"), F.explode(F.array_distinct(tokens(F.col("name")))).alias("word"))
-    met = places.join(probe, "word").select("outer", "inner", "part")
+    cut = lambda c: F.array_distinct(tokens(c))
+    named = inner.withColumn("_words", cut(F.col("name")))
+    words = written(named.select("id", "name", F.size("_words").alias("size"), F.explode("_words").alias("word")), "inner-words")
+    places = _places(outer, words, cut)
+    probe = _rarest(places, words).select(F.col("id").alias("inner"), F.col("name").alias("part"), "word")
+    met = places.select(F.col("id").alias("outer"), "word").join(probe, "word").select("outer", "inner", "part")
     return met.join(outer.select(F.col("id").alias("outer"), F.col("name").alias("whole")), "outer").where(contains_words(F.col("whole"), F.col("part"))).select("outer", "inner")
 
 
@@ -53,10 +59,9 @@ def contained(outer: DataFrame, inner: DataFrame, gram: int = 8) -> DataFrame:
     words = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
     parts = F.split("name", " ")
     cut = inner.withColumn("_middle", F.array_distinct(F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), lambda w: w != "")))
-    places = outer.select("id", F.explode(words(F.col("name"))).alias("word"))
-    counts = places.groupBy("word").agg(F.count("*").alias("n"))
-    long_ = cut.where(F.size("_middle") > 0).select("id", "name", F.size("_middle").alias("size"), F.explode("_middle").alias("word")).join(counts, "word")
-    rare = long_.groupBy("id", "name", "size").agg(F.count("*").alias("found"), F.min_by("word", F.struct("n", "word")).alias("word")).where("found = size")
+    long_ = written(cut.where(F.size("_middle") > 0).select("id", "name", F.size("_middle").alias("size"), F.explode("_middle").alias("word")), "middle-words")
+    places = _places(outer, long_, words)
+    rare = _rarest(places, long_)
     pairs = places.select(F.col("id").alias("outer"), "word").join(rare.select(F.col("id").alias("inner"), F.col("name").alias("part"), "word"), "word")
     hits = pairs.join(outer.select(F.col("id").alias("outer"), F.col("name").alias("whole")), "outer").where(F.contains("whole", F.col("part"))).select("outer", "inner")
     short = cut.where(F.size("_middle") == 0).where(F.length("name") >= gram)

@@ -192,3 +192,17 @@ def test_weak_matches_claim_ids_in_order(spark):
             assert got[i] == (status, kind, ids), (trial, i, name)
             if status == "matched" and ids:
                 taken.add(ids[0])
+
+
+def test_equal_sets_and_overlap_of_one_frame(spark):
+    rng = random.Random(30)
+    words = [f"w{i}" for i in range(12)]
+    sets = [rng.sample(words, rng.randrange(1, 9)) for _ in range(60)]
+    sets += [rng.sample(s, len(s)) for s in sets[:20]]
+    df = spark.createDataFrame(list(enumerate(sets)), "id long, words array<string>")
+    first = {r["id"]: r["first"] for r in blocking.equal_sets(df).collect()}
+    assert first == {i: min(j for j, t in enumerate(sets) if set(t) == set(s)) for i, s in enumerate(sets)}
+    for percent in (50, 80, 100):
+        got = {(r["a"], r["b"]): r["common"] for r in blocking.set_overlap(df, df, percent, 2, once=True).collect()}
+        want = {(i, j): len(set(s) & set(t)) for i, s in enumerate(sets) for j, t in enumerate(sets) if i < j and min(len(s), len(t)) >= 2 and 100 * len(set(s) & set(t)) >= percent * max(len(s), len(t))}
+        assert got == want
