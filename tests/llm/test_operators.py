@@ -588,6 +588,13 @@ def test_near_dedup_of_an_id_on_several_texts(spark):
     assert all(k == (d == c) for d, c, k in got)
 
 
+def test_components_of_very_large_ids(spark):
+    top = (1 << 63) - 1
+    edges = [(top - i, top - i - 1) for i in range(0, 30)] + [(-5, 7), (7, 9), (-(1 << 62), 100)]
+    got = {r["id"]: r["comp"] for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {top - i: top - 30 for i in range(30)} | {7: -5, 9: -5, 100: -(1 << 62)}
+
+
 def test_sequential_bound():
     need = near_dedup.least_matches(0.8)
     assert list(need) == list(range(48, 337, 48)) and all(0.4 * n < m < 0.8 * n for n, m in need.items())
