@@ -28,15 +28,26 @@ def strip_invisible(c: Column) -> Column:
     return F.regexp_replace(text(c), r"\p{Cf}", "")
 
 
+def _decomposed(x: str) -> str:
+    return "".join(ch for ch in unicodedata.normalize("NFKD", x) if not unicodedata.combining(ch))
+
+
+#: Latin letters and signs that decompose to one ASCII character, and those characters.
+_FROM = "".join(chr(i) for i in range(0x80, 0x250) if len(d := _decomposed(chr(i))) == 1 and d.isascii())
+_TO = "".join(map(_decomposed, _FROM))
+
+
 @pandas_udf(StringType())
 def _folded(s: pd.Series) -> pd.Series:
-    out = s.fillna("").map(lambda x: "".join(ch for ch in unicodedata.normalize("NFKD", x) if not unicodedata.combining(ch)))
-    return out
+    return s.map(_decomposed, na_action="ignore")
 
 
 def fold(c: Column) -> Column:
-    """Compatibility decomposition without combining marks. Pure ASCII, the common case, never leaves the JVM's value."""
-    return _folded(text(c))
+    """Compatibility decomposition without combining marks. Texts that single letters make ASCII are done with in the JVM;
+    only what is left then, as other scripts and combining marks, is handed to Python."""
+    plain = F.translate(text(c), _FROM, _TO)
+    rest = plain.rlike(r"[^\x00-\x7F]")
+    return F.when(rest, _folded(F.when(rest, text(c)))).otherwise(plain)
 
 
 def normalise_club(c: Column, extra: list[tuple[str, str]] = (), folded: bool = True) -> Column:

@@ -103,14 +103,14 @@ def weak_options(leagues: DataFrame, cands: DataFrame) -> DataFrame:
     return part.unionByName(over).join(keyed, "key_pos").join(real.select("norm", "cand_pos", "account_id"), "norm").select("league_pos", "pass", "match_type", "key_pos", "cand_pos", "account_id")
 
 
-def weak_hits(options: DataFrame, strong: DataFrame, claimed: DataFrame, leagues: DataFrame, cands: DataFrame) -> DataFrame:
-    """Weak hits of leagues without strong ones, as if leagues were gone through in order: a league that is matched by
+def weak_hits(options: DataFrame, claimed: DataFrame, leagues: DataFrame, cands: DataFrame) -> DataFrame:
+    """Weak hits out of the options of leagues without strong ones, as if leagues were gone through in order: a league that is matched by
     weak hits claims the best one's id, and no later league can have it. claimed: (id, from_pos), ids claimed otherwise.
 
     Containment stops at the first candidate name that yields a hit and keeps overlap out. Leagues are decided in rounds:
     one is decided once no undecided league before it shares an id that is still open, so there are as many
     rounds as the longest chain of leagues of which each shares an id with the one before."""
-    free = options.join(strong.select("league_pos").distinct(), "league_pos", "left_anti").join(claimed.select(F.col("id").alias("account_id"), F.col("from_pos")), "account_id", "left")
+    free = options.join(claimed.select(F.col("id").alias("account_id"), F.col("from_pos")), "account_id", "left")
     free = free.where(F.col("from_pos").isNull() | (F.col("from_pos") > F.col("league_pos")) | (F.col("account_id") == ""))
     every = written(scored(free.select("league_pos", "pass", "match_type", "key_pos", "cand_pos").distinct(), leagues, cands), "weak-options")
     each = Window.partitionBy("league_pos")
@@ -240,9 +240,11 @@ def crosscheck(leagues: DataFrame, pool: DataFrame, names: C.Names | None = None
     trusted = written(overrides(leagues, cands, manual, aliases), "overrides")
     open_ = leagues.join(trusted.select("league_pos"), "league_pos", "left_anti")
     strong = written(strong_hits(open_, cands, names), "strong-hits")
-    claimed = trusted.select("league_pos", F.explode("account_ids").alias("id")).groupBy("id").agg(F.min("league_pos").alias("from_pos"))
-    weak = weak_hits(weak_options(open_, cands), strong, claimed, leagues, cands)
-    found = decide(scored(strong.unionByName(weak), leagues, cands)).unionByName(trusted)
+    hits, bare = strong, written(open_.join(strong.select("league_pos").distinct(), "league_pos", "left_anti"), "bare-leagues")
+    if bare.take(1):
+        claimed = trusted.select("league_pos", F.explode("account_ids").alias("id")).groupBy("id").agg(F.min("league_pos").alias("from_pos"))
+        hits = hits.unionByName(weak_hits(weak_options(bare, cands), claimed, leagues, cands))
+    found = decide(scored(hits, leagues, cands)).unionByName(trusted)
     empty = F.expr("cast(array() as array<string>)")
     fill = {"match_status": F.lit("unmatched"), "match_type": F.lit(""), "confidence": F.lit(0), "confidence_label": F.lit(""), "account_ids": empty, "other_ids": empty, "account_names": empty, "deals": F.lit(0).cast("long"), "active_arr": F.lit(""), "note": F.lit("No matching account found"), "match_source": F.lit("")}
     out = leagues.join(found, "league_pos", "left")
