@@ -150,9 +150,9 @@ def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: bytes)
     if not len(number):
         return np.zeros((0, 2), U)
     _, first = np.unique(number, return_index=True)
-    pieces = (data[s:e].tobytes() for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True))
-    named = np.frombuffer(b"".join(hashlib.blake2b(p, digest_size=16, key=key).digest() for p in pieces), U).reshape(-1, 2)
-    return named[number]
+    raw, made = data.tobytes(), hashlib.blake2b
+    named = b"".join([made(raw[s:e], digest_size=16, key=key).digest() for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+    return np.frombuffer(named, U).reshape(-1, 2)[number]
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
