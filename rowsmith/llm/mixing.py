@@ -124,9 +124,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     plan = _taken(docs, WEIGHTS, CAP, SLOPES).where("size > 0").withColumn("_times", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")).where("_times > 0")
     plan = plan.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
     plan = plan.groupBy(F.col("doc_id").alias("_id"), "_copy").agg(F.min(_position(F.col("_copy"))).alias("_position"))
-    out = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"]))
-    out = out.repartitionByRange("_position", "doc_id", "_copy").sortWithinPartitions("_position", "doc_id", "_copy")
-    return out.select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"))  # columns of any name
+    out = rows.join(plan, rows["_row.doc_id"].eqNullSafe(plan["_id"]))
+    out = out.repartitionByRange("_position", "_id", "_copy").sortWithinPartitions("_position", "_id", "_copy")
+    return out.select("_row.*")
 
 
 SQL = """
