@@ -93,7 +93,7 @@ class CsvSource:
 class RecordedSource:
     """Recorded query results: JSON files with result.records, one per object; attributes are dropped, all else is text.
 
-    A live connector would implement LookupSource the same way; the network is no part of this library."""
+    ``command.LiveSource`` asks a live system's command-line tool instead."""
 
     def __init__(self, spark: SparkSession, accounts_json: str, users_json: str, org_type_field: str = "Org_Type__c", keywords: list[str] = C.LEAGUE_ORG_TYPES):
         self.spark, self.paths, self.org_type_field, self.keywords = spark, {"accounts": accounts_json, "users": users_json}, org_type_field, keywords
@@ -141,6 +141,10 @@ def source(kind: str, spark: SparkSession, settings: C.Settings) -> LookupSource
         return CsvSource(spark, settings.accounts_csv, settings.users_csv)
     if kind == "recorded":
         return RecordedSource(spark, settings.accounts_csv, settings.users_csv)
+    if kind == "live":
+        from rowsmith.sources.command import LiveSource
+
+        return LiveSource(spark, settings.command)
     if kind == "none":
         return MemorySource(spark)
     raise ValueError(f"unknown source {kind!r}")
