@@ -24,7 +24,7 @@ def parser() -> argparse.ArgumentParser:
         q = sub.add_parser(name)
         q.add_argument("--input", required=True)
         q.add_argument("--out", required=True)
-        q.add_argument("--source", choices=["csv", "recorded", "none"], default="csv")
+        q.add_argument("--source", choices=["csv", "recorded", "live", "none"], default="csv")
         q.add_argument("--filter-rep", default="")
         q.add_argument("--filter-period", default="")
         q.add_argument("--dry-run", action="store_true")
