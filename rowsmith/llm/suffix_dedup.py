@@ -2,13 +2,13 @@
 
 Every byte covered by a string of ``LENGTH`` bytes that starts anywhere else, too, goes.
 
-1. Anchors: a text's anchors are the ``GRAM``-byte grams whose hash is the smallest of
-   all grams of some LENGTH-byte string, ties included. Equal strings have equal anchors
-   at equal places, so a repeated string stands around an anchor that is repeated.
+1. Anchors: the anchor of a LENGTH-byte string is its ``GRAM``-byte gram with the smallest
+   hash, the first of equal ones. Equal strings have equal anchors at equal places, so a
+   repeated string stands around an anchor that is repeated.
 2. Anchors are counted over all texts; those that occur once are done with. The texts
    that have others are kept with the places of their repeated anchors.
-3. The window of an anchor is what strings around it can reach (LENGTH - GRAM bytes
-   before it, LENGTH from it on). Equal windows of an anchor are told by digest and
+3. The window of an anchor holds the strings that have their anchor there: each string is
+   in one window only. Equal windows of an anchor are told by digest and
    counted; a window that occurs twice is repeated as a whole. Of an anchor with
    different windows one copy of each is fetched.
 4. All such windows of an anchor come to one task, which handles about ``STREAM`` bytes at a
@@ -89,31 +89,35 @@ def _sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     return best(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, places (in ``data``) and hashes of the anchors of a run of texts."""
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Of a run of texts' anchors the rows, places (in ``data``) and hashes, and how far before the place the first and
+    the last string starts that has its anchor there."""
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, np.zeros(0, np.int64)
+        return (none,) * 5
     if len(offsets) == 2 and len(data) > 2 * BLOCK:  # one very long text: blocks with all that decides about their grams
         found = []
         for begin in range(0, len(data), BLOCK):
             base = max(0, begin - length)
             piece = data[base : begin + BLOCK + length]
-            _, at, h = anchors(piece, np.array([0, len(piece)]), length, gram)
+            _, at, *more = anchors(piece, np.array([0, len(piece)]), length, gram)
             mine = (at + base >= begin) & (at + base < begin + BLOCK)
-            found.append((at[mine] + base, h[mine]))
-        at, h = (np.concatenate(x) for x in zip(*found, strict=True))
-        return np.zeros(len(at), np.int64), at, h
-    width = length - gram + 1
+            found.append((at[mine] + base, *(x[mine] for x in more)))
+        found = [np.concatenate(x) for x in zip(*found, strict=True)]
+        return np.zeros(len(found[0]), np.int64), *found
     h = _gram_hashes(data, gram)
-    low = ((h ^ (h >> U(29))) * U(0x9E3779B97F4A7C15) >> U(32)).astype(np.uint32) | np.uint32(1)
-    least = _sliding(low, width, np.minimum)
+    low = ((h ^ (h >> U(29))) * U(0x9E3779B97F4A7C15)) >> U(32)
+    # The smallest hash, and of equal ones the first, of each string's grams. From string to string it stays or moves on.
+    first = (_sliding((low << U(32)) | np.arange(len(low), dtype=U), length - gram + 1, np.minimum) & U(0xFFFFFFFF)).astype(np.int64)
     ends = np.repeat(offsets[1:], np.diff(offsets))
-    least = np.where(np.arange(len(least)) + length <= ends[: len(least)], least, np.uint32(0))
-    padded = np.concatenate([np.zeros(width - 1, np.uint32), least, np.zeros(width - 1, np.uint32)])
-    most = _sliding(padded, width, np.maximum)
-    at = np.flatnonzero(most == low)
-    return np.searchsorted(offsets, at, "right") - 1, at, mix(h[at]).view(np.int64)
+    start = np.flatnonzero(np.arange(len(first)) + length <= ends[: len(first)])
+    if not len(start):
+        return (none,) * 5
+    place = first[start]
+    begun = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    last = np.append(begun[1:], len(place)) - 1
+    at = place[begun]
+    return np.searchsorted(offsets, at, "right") - 1, at, mix(h[at]).view(np.int64), at - start[begun], at - start[last]
 
 
 def _keys(column: pa.Array) -> list[bytes]:
@@ -123,9 +127,9 @@ def _keys(column: pa.Array) -> list[bytes]:
 def _anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, data, offsets in texts(batch.column(0)):
-            row, place, h = anchors(data, offsets)
+            row, place, h, *reach = anchors(data, offsets)
             keys = pa.array(_keys(batch.column(0).slice(at, len(offsets) - 1)), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(h), keys.take(pa.array(row)), pa.array((place - offsets[row]).astype(np.int32))], names=["anchor", "key", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(h), keys.take(pa.array(row)), *[pa.array(x.astype(np.int32)) for x in (place - offsets[row], *reach)]], names=["anchor", "key", "place", "before", "until"])
 
 
 # ---------------------------------------------------------------- windows
@@ -143,17 +147,17 @@ def _places(batch: pa.RecordBatch, at: int, offsets: np.ndarray, lists: int) ->
     return rows, part.flatten()
 
 
-def _window_rows(batches: Iterable[pa.RecordBatch], length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """Of (key, copies, text, anchors, places): the windows, each with its digests."""
+def _window_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Of (key, copies, text, anchors, places, before, until): the windows, each with its digests."""
     for batch in batches:
         for at, data, offsets in texts(batch.column(2)):
             row, anchor = _places(batch, at, offsets, 3)
-            place = _places(batch, at, offsets, 4)[1].to_numpy(zero_copy_only=False).astype(np.int64)
+            place, before, until = (_places(batch, at, offsets, i)[1].to_numpy(zero_copy_only=False).astype(np.int64) for i in (4, 5, 6))
             order = np.lexsort((place, row))
-            row, place, anchor = row[order], place[order], anchor.take(pa.array(order))
-            begin, end = offsets[row], offsets[row + 1]
-            lo, hi = np.maximum(begin, begin + place - (length - gram)), np.minimum(end, begin + place + length)
-            d1, d2 = _digests(data, lo, hi, begin + place - lo).T
+            row, place, before, until, anchor = row[order], place[order], before[order], until[order], anchor.take(pa.array(order))
+            begin = offsets[row]
+            lo, hi = begin + place - before, begin + place - until + length
+            d1, d2 = _digests(data, lo, hi, before).T
             take = pa.array(row + at)
             small = [pa.array(x.astype(np.int32)) for x in (place, lo - begin, hi - begin)]
             yield pa.RecordBatch.from_arrays([anchor, pa.array(d1.copy()), pa.array(d2.copy()), batch.column(0).take(take), batch.column(1).take(take), *small], names=["anchor", "d1", "d2", "key", "copies", "place", "lo", "hi"])
@@ -449,15 +453,15 @@ def repeated_spans(docs: DataFrame, split: int = SPLIT) -> tuple[DataFrame, Data
     overlapping or not. Texts with several copies are only partners: all of them goes anyway."""
     small_batches(docs.sparkSession)
     text = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text")).where(F.octet_length("text") >= LENGTH)
-    placed = materialize(text.mapInArrow(_anchor_rows, "anchor long, key binary, place int"), "anchor-places")
+    placed = materialize(text.mapInArrow(_anchor_rows, "anchor long, key binary, place int, before int, until int"), "anchor-places")
     twice = materialize(placed.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     hits = placed.join(twice, "anchor")
-    by_text = hits.groupBy("key").agg(F.collect_set(F.struct("anchor", "place")).alias("hits"))
-    by_text = by_text.select("key", F.col("hits.anchor").alias("anchors"), F.col("hits.place").alias("places"))
+    by_text = hits.groupBy("key").agg(F.collect_set(F.struct("anchor", "place", "before", "until")).alias("hits"))
+    by_text = by_text.select("key", *[F.col(f"hits.{c}").alias(c) for c in ("anchor", "place", "before", "until")])
     distinct = text.withColumn("key", _text_key()).groupBy("key").agg(F.count("*").alias("copies"), F.max("text").alias("text"))
     hit = bucketed(distinct.join(by_text, "key"), "key", "hit-texts")
 
-    windows = hit.select("key", "copies", "text", "anchors", "places").mapInArrow(lambda it: _window_rows(it, LENGTH, GRAM), _WINDOW)
+    windows = hit.select("key", "copies", "text", "anchor", "place", "before", "until").mapInArrow(lambda it: _window_rows(it, LENGTH), _WINDOW)
     kinds = windows.groupBy("anchor", "d1", "d2").agg(F.sum("copies").alias("n"), F.min(F.struct("key", "place", "lo", "hi")).alias("one"))
     kinds = materialize(kinds, "windows")
     whole = windows.where("copies = 1").join(kinds.where("n > 1").select("anchor", "d1", "d2"), ["anchor", "d1", "d2"])
