@@ -12,13 +12,11 @@ Every byte covered by a string of ``LENGTH`` bytes that starts anywhere else, to
    counted; a window that occurs twice is repeated as a whole. Of an anchor with
    different windows one copy of each is fetched.
 4. All such windows of an anchor come to one task, which handles about ``STREAM`` bytes at a
-   time. Windows are first parted by the bytes that all strings starting in one of
-   ``RANGES`` ranges share: a part that no other window has can hold no repeated string,
-   and parts that are equal are repeated as a whole. What is left, parts that agree in
-   the middle and differ at the ends, is concatenated, and its suffix array and permuted
-   common prefixes tell which strings stand at two places. (Where more than ``SORTED``
-   parts agree in the middle, their ranges are halved first.) Strings at one place of one
-   text, seen through two windows, don't count.
+   time. They are concatenated, and the suffix array and permuted common prefixes of the whole
+   tell which strings stand at two places. Where more than ``SORTED`` windows meet, they are first
+   halved by the side of the anchor that strings start on, again and again, and told apart by the bytes that all
+   strings of a half share: a half that no other window has can hold no repeated string, and
+   halves of equal bytes are repeated as a whole.
 5. The spans found go back to all texts with that window, are united, and removed.
 
 Anchors and windows are dealt by hash after counts have been added up on the map side.
@@ -59,10 +57,8 @@ SHARD = 1 << 20
 BLOCK = 1 << 22
 #: Bytes of windows taken from the stream at a time.
 STREAM = 1 << 23
-#: Parts that agree in the middle up to which their suffixes are sorted together.
+#: Windows or halves that agree in the bytes all their strings share up to which their suffixes are sorted together.
 SORTED = 512
-#: Ranges of starts that a window is parted into before suffixes are sorted.
-RANGES = 21
 #: Different windows of one anchor up to which they are gathered.
 SPLIT = 1 << 16
 
@@ -318,8 +314,7 @@ def _shard(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     group, at, many, lo = (column(c).to_numpy(zero_copy_only=False) for c in ("group", "at", "many", "lo"))
     owner = column("key").dictionary_encode().indices.to_numpy().astype(np.int64)
     at, lo, n = at.astype(np.int64), lo.astype(np.int64), len(size)
-    edges = np.arange(RANGES + 1) * (length - GRAM + 1) // RANGES
-    part = (np.repeat(np.arange(n), RANGES), np.tile(edges[:-1], n), np.tile(edges[1:], n), np.repeat(many, RANGES))
+    part = (np.arange(n), np.zeros(n, np.int64), np.full(n, length - GRAM + 1), many)
     spans = []
     while len(part[0]):
         w, al, be, sure, begin, end, core, whole = _parts(data, first, size, group, at, part, length)

@@ -515,6 +515,40 @@ def test_suffix_dedup(spark, split):
     assert [got[i] for i in range(len(texts))] == brute_repeats(texts)
 
 
+@pytest.mark.parametrize("most", [2, 5, 512])
+def test_windows_give_all_repeats(monkeypatch, most):
+    """Anchors, windows and shards without Spark: with few windows sorted together the others are halved, to the same end."""
+    monkeypatch.setattr(suffix_dedup, "SORTED", most)
+    rng = random.Random(17)
+    passages = [prose(rng, 70, 300).encode() for _ in range(4)]
+    texts = [prose(rng, rng.randrange(0, 40)).encode() + p[rng.randrange(0, 30) : len(p) - rng.randrange(0, 30)] + prose(rng, rng.randrange(0, 40)).encode() for p in passages for _ in range(12)] + [b"ab" * 250, b"x" * 450]
+    windows = {}
+    for k, t in enumerate(texts):
+        data = np.frombuffer(t, np.uint8)
+        for _, at, h, before, until in zip(*suffix_dedup.anchors(data, np.array([0, len(data)])), strict=True):
+            lo, hi = int(at - before), int(at - until) + 200
+            windows.setdefault((int(h), int(before), t[lo:hi]), []).append((k, lo, hi))
+    cover = [bytearray(len(t)) for t in texts]
+    rows_ = []
+    for (h, before, w), where in sorted(windows.items(), key=lambda x: x[0][0]):
+        k, lo, hi = where[0]
+        rows_.append({"group": h, "key": b"%05d" % k, "lo": lo, "at": before, "many": len(where) > 1, "window": w})
+        if len(where) > 1:
+            for k, lo, hi in where:
+                cover[k][lo:hi] = b"\1" * (hi - lo)
+    schema = pa.schema([("group", pa.int64()), ("key", pa.binary()), ("lo", pa.int32()), ("at", pa.int32()), ("many", pa.bool_()), ("window", pa.binary())])
+    for found in suffix_dedup._sorted_shards([pa.RecordBatch.from_pylist(rows_[i : i + 7], schema) for i in range(0, len(rows_), 7)], 200, 5000):
+        for r in found.to_pylist():
+            cover[int(r["key"])][r["a"] : r["b"]] = b"\1" * (r["b"] - r["a"])
+    seen = Counter(t[p : p + 200] for t in texts for p in range(len(t) - 199))
+    for t, c in zip(texts, cover, strict=True):
+        want = bytearray(len(t))
+        for p in range(len(t) - 199):
+            if seen[t[p : p + 200]] > 1:
+                want[p : p + 200] = b"\1" * 200
+        assert bytes(c) == bytes(want)
+
+
 def test_suffix_dedup_empty(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
     twice = rows(suffix_dedup.remove_repeats(frame(spark, [(1, "q" * 300 + "r"), (1, "q" * 300 + "r"), (None, "z")])))
