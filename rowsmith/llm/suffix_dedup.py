@@ -56,7 +56,9 @@ SHARD = 1 << 20
 #: Bytes of a very long text whose anchors are found at once.
 BLOCK = 1 << 22
 #: Bytes of windows taken from the stream at a time.
-STREAM = 1 << 23
+STREAM = 1 << 22
+#: Bytes of texts whose anchors are found at once.
+CHUNK = 1 << 19
 #: Windows or halves that agree in the bytes all their strings share up to which their suffixes are sorted together.
 SORTED = 512
 #: Different windows of one anchor up to which they are gathered.
@@ -122,10 +124,10 @@ def _keys(column: pa.Array) -> list[bytes]:
 
 def _anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at, data, offsets in texts(batch.column(0)):
-            row, place, h, *reach = anchors(data, offsets)
+        for at, data, offsets in texts(batch.column(0), CHUNK):
+            row, place, h, before, until = anchors(data, offsets)
             keys = pa.array(_keys(batch.column(0).slice(at, len(offsets) - 1)), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(h), keys.take(pa.array(row)), *[pa.array(x.astype(np.int32)) for x in (place - offsets[row], *reach)]], names=["anchor", "key", "place", "before", "until"])
+            yield pa.RecordBatch.from_arrays([pa.array(h), keys.take(pa.array(row)), *[pa.array(x.astype(np.int32)) for x in (place - offsets[row], before * 256 + until)]], names=["anchor", "key", "place", "reach"])
 
 
 # ---------------------------------------------------------------- windows
@@ -144,14 +146,14 @@ def _places(batch: pa.RecordBatch, at: int, offsets: np.ndarray, lists: int) ->
 
 
 def _window_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Of (key, copies, text, anchors, places, before, until): the windows, each with its digests."""
+    """Of (key, copies, text, anchors, places, reaches): the windows, each with its digests."""
     for batch in batches:
         for at, data, offsets in texts(batch.column(2)):
             row, anchor = _places(batch, at, offsets, 3)
-            place, before, until = (_places(batch, at, offsets, i)[1].to_numpy(zero_copy_only=False).astype(np.int64) for i in (4, 5, 6))
+            place, reach = (_places(batch, at, offsets, i)[1].to_numpy(zero_copy_only=False).astype(np.int64) for i in (4, 5))
             order = np.lexsort((place, row))
-            row, place, before, until, anchor = row[order], place[order], before[order], until[order], anchor.take(pa.array(order))
-            begin = offsets[row]
+            row, place, reach, anchor = row[order], place[order], reach[order], anchor.take(pa.array(order))
+            begin, before, until = offsets[row], reach // 256, reach % 256
             lo, hi = begin + place - before, begin + place - until + length
             d1, d2 = _digests(data, lo, hi, before).T
             take = pa.array(row + at)
@@ -448,15 +450,15 @@ def repeated_spans(docs: DataFrame, split: int = SPLIT) -> tuple[DataFrame, Data
     overlapping or not. Texts with several copies are only partners: all of them goes anyway."""
     small_batches(docs.sparkSession)
     text = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text")).where(F.octet_length("text") >= LENGTH)
-    placed = materialize(text.mapInArrow(_anchor_rows, "anchor long, key binary, place int, before int, until int"), "anchor-places")
+    placed = materialize(text.mapInArrow(_anchor_rows, "anchor long, key binary, place int, reach int"), "anchor-places")
     twice = materialize(placed.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     hits = placed.join(twice, "anchor")
-    by_text = hits.groupBy("key").agg(F.collect_set(F.struct("anchor", "place", "before", "until")).alias("hits"))
-    by_text = by_text.select("key", *[F.col(f"hits.{c}").alias(c) for c in ("anchor", "place", "before", "until")])
+    by_text = hits.groupBy("key").agg(F.collect_set(F.struct("anchor", "place", "reach")).alias("hits"))
+    by_text = by_text.select("key", *[F.col(f"hits.{c}").alias(c) for c in ("anchor", "place", "reach")])
     distinct = text.withColumn("key", _text_key()).groupBy("key").agg(F.count("*").alias("copies"), F.max("text").alias("text"))
     hit = bucketed(distinct.join(by_text, "key"), "key", "hit-texts")
 
-    windows = hit.select("key", "copies", "text", "anchor", "place", "before", "until").mapInArrow(lambda it: _window_rows(it, LENGTH), _WINDOW)
+    windows = hit.select("key", "copies", "text", "anchor", "place", "reach").mapInArrow(lambda it: _window_rows(it, LENGTH), _WINDOW)
     kinds = windows.groupBy("anchor", "d1", "d2").agg(F.sum("copies").alias("n"), F.min(F.struct("key", "place", "lo", "hi")).alias("one"))
     kinds = materialize(kinds, "windows")
     whole = windows.where("copies = 1").join(kinds.where("n > 1").select("anchor", "d1", "d2"), ["anchor", "d1", "d2"])
