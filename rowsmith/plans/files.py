@@ -4,7 +4,6 @@ files are written by its sinks and read back as text."""
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from rowsmith import config as C
 from rowsmith.functions import amounts
 from rowsmith.operators import entities
 from rowsmith.plans.registry import T, query
-from rowsmith.plans.tables import scratch_dir, text_file, written
+from rowsmith.plans.tables import new_path, text_file, written
 from rowsmith.sources import lookups, picklists, sheets, sinks
 
 
@@ -208,7 +207,7 @@ def picklist_dependencies(spark, d):
     fields = lambda t, name, dep, by: values(t).select(F.struct(F.lit(name).alias("name"), F.lit(dep).alias("dependentPicklist"), F.lit(by).cast("string").alias("controllerName"), "picklistValues").alias("f"))
     both = fields(r, "region", False, None).unionByName(fields(n, "nation", True, "region")).agg(F.collect_list("f").alias("fields"))
     path = text_file(both.select(F.lit(0).cast("long").alias("pos"), F.to_json(F.struct(F.lit("Thing").alias("name"), "fields")).alias("line")), "describe", ".json")
-    out = f"{scratch_dir(spark)}/rowsmith-deps-{uuid.uuid4().hex}"
+    out = new_path(spark, "deps")
     picklists.write_dependencies(picklists.dependencies(picklists.read_describe(spark, path), "region", "nation"), out)
     return picklists.read_dependencies(spark, out).select("control", F.col("control_pos").cast("long").alias("control_pos"), F.array_join("permitted", ",").alias("permitted"))
 
@@ -216,7 +215,7 @@ def picklist_dependencies(spark, d):
 # ---------------------------------------------------------------- sinks
 def _back(spark, df: DataFrame, name: str) -> DataFrame:
     """An import file written and read back: each line's columns joined by |."""
-    path = f"{scratch_dir(spark)}/rowsmith-{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     sinks.write_csv(df, path)
     back = spark.read.option("header", True).option("escape", '"').option("ignoreTrailingWhiteSpace", False).csv(path)
     if list(back.columns) != list(df.columns):
@@ -309,7 +308,7 @@ def csv_contracts(spark, d):
     files = {"account": sinks.account_file(r, conf), "contact": sinks.contact_file(r), "opportunity": sinks.opportunity_file(r, conf), "opp_product": sinks.product_file(_lines(spark, d), conf), "league_crosscheck": sinks.report(r)}
     out = None
     for name, df in files.items():
-        path = f"{scratch_dir(spark)}/rowsmith-{name}-{uuid.uuid4().hex}"
+        path = new_path(spark, name)
         sinks.write_csv(df, path)
         back = spark.read.option("header", True).option("escape", '"').csv(path)
         part = back.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("file"), F.lit(len(back.columns)).alias("n_columns"), "n_rows")
@@ -321,7 +320,7 @@ def csv_contracts(spark, d):
 def review_folders(spark, d):
     """Review rows by tier, read back."""
     s = T(spark, d, "supplier").select(F.col("s_name").alias("name"), _pick(F.col("s_suppkey"), " ", "Tier 1", "A / B").alias("tier"))
-    path = f"{scratch_dir(spark)}/rowsmith-review-{uuid.uuid4().hex}"
+    path = new_path(spark, "review")
     sinks.review_files(s, path)
     return spark.read.option("header", True).csv(path).select("tier", "name")
 

@@ -71,6 +71,7 @@ def product_lines(c: Crosscheck, book: DataFrame, conf: C.Products | None = None
 
 def build(spark: SparkSession, input_path: str, out: str, settings: C.Settings, kind: str = "csv", names: C.Names | None = None, conf: C.Products | None = None, rep: str = "", period: str = "", per_row: bool = False, master: str = "", dry_run: bool = False) -> dict[str, int]:
     """Deals sheet to import files. Gives row counts by file; a dry run only counts."""
+    conf = conf or C.load_products(settings.products_json)
     rows = sheets.filtered(sheets.deals(spark, input_path), rep, period)
     source = None if kind == "none" else lookups.source(kind, spark, settings)
     c = crosscheck(spark, rows, settings, source, names)

@@ -28,11 +28,17 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def new_path(spark: SparkSession, name: str, suffix: str = "") -> str:
+    """A fresh path below the shared folder, removed when the driver ends."""
+    path = f"{scratch_dir(spark)}/rowsmith-{name}-{uuid.uuid4().hex}{suffix}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written table: cuts lineage in loops and survives lost executors."""
     spark, schema = df.sparkSession, df.schema
-    path = f"{scratch_dir(spark)}/rowsmith-{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    path = new_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out.written_to = path
@@ -47,8 +53,6 @@ def release(*tables: DataFrame) -> None:
 
 def text_file(lines: DataFrame, name: str, suffix: str = ".csv") -> str:
     """The rows of (pos, line) as one text file in order; its path. For sheets, which are one file."""
-    spark = lines.sparkSession
-    path = f"{scratch_dir(spark)}/rowsmith-{name}-{uuid.uuid4().hex}{suffix}"
-    atexit.register(_remove, spark, path)
+    path = new_path(lines.sparkSession, name, suffix)
     lines.repartition(1).sortWithinPartitions("pos").select("line").write.option("lineSep", "\n").text(path)
     return path

@@ -85,7 +85,10 @@ def test_recorded_source(spark, tmp_path):
 
 def test_build(spark, files, tmp_path):
     out = str(tmp_path / "out")
-    counts = jobs.build(spark, str(files / "deals.csv"), out, settings(files))
+    (tmp_path / "products.json").write_text('{"aliases": {"lite": "Alpha LITE", "pro": "Alpha PRO"}, "families": ["Alpha"], "fallback_family": "Alpha"}')
+    conf = settings(files)
+    conf.products_json = str(tmp_path / "products.json")
+    counts = jobs.build(spark, str(files / "deals.csv"), out, conf)
     assert counts == {"account_new": 0, "account_existing": 4, "contact": 0, "opportunity": 4, "opp_product": 5, "league_crosscheck": 4}
     read = lambda n: {r["League" if n == "league_crosscheck" else "Team Name"]: r for r in spark.read.option("header", True).csv(f"{out}/{n}").collect()}
     rep = read("league_crosscheck")
@@ -97,9 +100,9 @@ def test_build(spark, files, tmp_path):
     assert [len(c) for c in (sinks.ACCOUNT_COLUMNS, sinks.CONTACT_COLUMNS, sinks.OPPORTUNITY_COLUMNS, sinks.PRODUCT_COLUMNS, sinks.REPORT_COLUMNS)] == [24, 8, 24, 24, 20]
     lines = spark.read.option("header", True).csv(f"{out}/opp_product").where("`Opportunity Name` like 'First%'").collect()
     assert abs(sum(float(r["Sales Price"]) for r in lines) - 85000) < 0.02 and sorted(r["ID unique OLI product"] for r in lines) == ["1", "2"]
-    per = jobs.build(spark, str(files / "deals.csv"), out, settings(files), per_row=True, dry_run=True)
+    per = jobs.build(spark, str(files / "deals.csv"), out, conf, per_row=True, dry_run=True)
     assert per["opportunity"] == 5 and per["opp_product"] == 4
-    none = jobs.build(spark, str(files / "deals.csv"), out, settings(files), kind="none", dry_run=True)
+    none = jobs.build(spark, str(files / "deals.csv"), out, conf, kind="none", dry_run=True)
     assert none["account_new"] == 4
 
 
