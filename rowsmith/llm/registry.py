@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsmith.llm import bpe, exact_dedup, html_text, mixing, near_dedup, quality_model, quality_rules, secrets, suffix_dedup, warc
+from rowsmith.llm import bpe, exact_dedup, html_text, mixing, near_dedup, periodic_runs, pieces, quality_model, quality_rules, secrets, suffix_dedup, vector_codes, warc
 from rowsmith.llm import registry_sql as sql
 from rowsmith.llm._io import table
 
-#: The tokenizer's file; a parameter of the operator, resolved when a query runs.
+#: The tokenizers' files; parameters of the operators, resolved when a query runs.
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -66,10 +67,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "position", "last_position")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.summaries(table(spark, sf_dir, "documents"), periodic_runs.planted)
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digests(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = [op1_secret_scan, op2_html_extraction, op3_quality_rules, op4_warc, op5_quality_classifier, op6_suffix_dedup, op7_near_dedup, op8_exact_dedup, op9_bpe, op10_mixing]
+    every = [op1_secret_scan, op2_html_extraction, op3_quality_rules, op4_warc, op5_quality_classifier, op6_suffix_dedup, op7_near_dedup, op8_exact_dedup, op9_bpe, op10_mixing, op11_periodic_runs, op12_sentencepiece, op13_vector_codes]
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": sql.secrets_sql(), "op4_warc": warc.SQL, "op7_near_dedup": sql.NEAR, "op8_exact_dedup": exact_dedup.SQL, "op10_mixing": mixing.SQL}
+    return {"op1_secret_scan": sql.secrets_sql(), "op4_warc": warc.SQL, "op7_near_dedup": sql.NEAR, "op8_exact_dedup": exact_dedup.SQL, "op10_mixing": mixing.SQL, "op13_vector_codes": vector_codes.SQL}
