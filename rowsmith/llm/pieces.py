@@ -10,7 +10,7 @@ that merge would happen to the two alone as well. This holds for any scores.
 
 So a text is encoded from left to right without a queue of merges. Aho-Corasick gives
 the longest piece that begins at each place. A piece is taken if it is compatible with
-the one before it; otherwise the next shorter piece that begins there is tried. Where
+the one before it (the first one, if merging gives it back alone); otherwise the next shorter piece that begins there is tried. Where
 none is left, the place is marked as failed in a bitfield and the token before it is
 taken back. The tokens up to a place are the one encoding of the text before it, so a
 failed place is never entered again and the work is linear.
@@ -48,7 +48,9 @@ SPACE = "▁"
 
 
 class PieceEncoder:
-    """Encodes and decodes like ``SentencePieceProcessor(model_file=path)`` without begin and end ids."""
+    """Encodes and decodes like ``SentencePieceProcessor(model_file=path)`` without begin and end ids.
+
+    Within the encoder a token is a number: a piece's id, or a number above them for a character without a piece."""
 
     def __init__(self, path: str):
         model = proto.ModelProto()
@@ -58,85 +60,111 @@ class PieceEncoder:
         if model.trainer_spec.model_type != proto.TrainerSpec.BPE or any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in model.pieces):
             raise ValueError("only merge-type models without user-defined and unused pieces")
         self.normalise = SentencePieceProcessor(model_file=path).normalize
-        self.score = {p.piece: p.score for p in model.pieces if p.type == kinds.NORMAL}
-        self.id = {p.piece: i for i, p in enumerate(model.pieces) if p.type == kinds.NORMAL}
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE} if model.trainer_spec.byte_fallback else {}
         self.bytes = {i: b for b, i in self.byte_ids.items()}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == kinds.UNKNOWN)
-        self.surface = {i: p.piece.replace(SPACE, " ") for i, p in enumerate(model.pieces) if p.type == kinds.NORMAL}
-        self.surface |= {i: "" for i, p in enumerate(model.pieces) if p.type == kinds.CONTROL} | {self.unknown: model.trainer_spec.unk_surface}
+        self.unknown_surface = model.trainer_spec.unk_surface
         self.strips = (model.normalizer_spec.add_dummy_prefix, model.normalizer_spec.remove_extra_whitespaces)
+        self._index([(p.piece, p.score) if p.type == kinds.NORMAL else None for p in model.pieces])
+
+    def _index(self, pieces: list[tuple[str, float] | None]) -> None:
+        """What looking up and checking tokens takes; ``pieces`` by id, None for those that no text is made of."""
+        self.score = {p[0]: p[1] for p in pieces if p}
+        self.id = {p[0]: i for i, p in enumerate(pieces) if p}
+        #: By token: its text, length, ids as written, and the text it decodes to.
+        self.piece = [p[0] if p else "" for p in pieces]
+        self.size = [len(p) for p in self.piece]
+        self.names = [str(i) for i in range(len(pieces))]
+        self.surface = [p.replace(SPACE, " ") for p in self.piece]
+        self.characters: dict[str, int] = {}
+        #: By token: the longest shorter token that begins like it, -1 below single characters.
+        self.shorter = [next((self.id[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.id), self._character(p[0]) if len(p) > 1 else -1) for p in list(self.piece)]
+        self.shorter += [-1] * len(self.characters)
         self.trie = ahocorasick.Automaton()
-        for piece in self.score:
-            self.trie.add_word(piece, len(piece))
+        for i, p in enumerate(pieces):
+            if p:
+                self.trie.add_word(p[0], i)
         self.trie.make_automaton()
-        #: Where a text can be cut: before white space that follows other signs, if no piece goes across.
+        #: Where a text can be cut: before white space that follows other signs, if no piece goes across, and around characters in no piece.
         across = re.compile(f"[^{SPACE}]{SPACE}")
         self.cut = None if any(across.search(p) for p in self.score) else re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, tuple[int, str, str]] = {}
+        self.foreign = re.compile("([^" + "".join(map(re.escape, sorted(set("".join(self.score)) | {SPACE}))) + "])")
+        self.fits: dict[int, bool] = {}
+        self.words: dict[str, tuple[str, str]] = {}
+
+    def _character(self, sign: str) -> int:
+        """The token of a single character, made up if it has no piece."""
+        known = self.id.get(sign, self.characters.get(sign))
+        if known is None:
+            known = self.characters[sign] = len(self.piece)
+            ids = [self.byte_ids[b] for b in sign.encode()] if getattr(self, "byte_ids", None) else [getattr(self, "unknown", -1)]
+            self.piece.append(sign)
+            self.size.append(1)
+            self.names.append(",".join(map(str, ids)))
+            self.surface.append(self.decode(ids, begins=False) if ids != [-1] else sign)
+            if hasattr(self, "shorter"):
+                self.shorter.append(-1)
+        return known
 
     def merged(self, text: str) -> list[str]:
         """The tokens of a short text by merging: the best-scored adjacent pair first, the leftmost of equals."""
         parts = list(text)
-        while True:
-            known = [(s, -i) for i in range(len(parts) - 1) if (s := self.score.get(parts[i] + parts[i + 1])) is not None]
-            if not known:
-                return parts
-            at = -max(known)[1]
+        score = self.score.get
+        while len(parts) > 1:
+            best, at = None, 0
+            for i in range(len(parts) - 1):
+                s = score(parts[i] + parts[i + 1])
+                if s is not None and (best is None or s > best):
+                    best, at = s, i
+            if best is None:
+                break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-
-    def compatible(self, a: str, b: str) -> bool:
-        """Whether a and b stay as they are when their joined text is merged."""
-        known = self.fits.get((a, b))
-        if known is None:
-            if len(self.fits) >= CACHE:
-                self.fits.clear()
-            known = self.fits[a, b] = self.merged(a + b) == [a, b]
+        return parts
+
+    def compatible(self, a: int, b: int) -> bool:
+        """Whether tokens a (none if below 0) and b stay as they are when their joined text is merged."""
+        if len(self.fits) >= CACHE:
+            self.fits.clear()
+        alone = [self.piece[i] for i in (a, b) if i >= 0]
+        known = self.fits[a << 32 | b] = self.merged("".join(alone)) == alone
         return known
 
-    def longest(self, text: str) -> list[int]:
-        """Length of the longest piece that begins at each place; 1 where none does."""
-        out = [1] * len(text)
-        for last, size in self.trie.iter(text):
-            if size > out[last + 1 - size]:
-                out[last + 1 - size] = size
-        return out
-
-    def shorter(self, piece: str) -> int:
-        """Length of the next shorter piece with the same beginning; single characters always count, 0 below them."""
-        return next((k for k in range(len(piece) - 1, 0, -1) if k == 1 or piece[:k] in self.score), 0)
-
-    def tokens(self, text: str) -> list[str]:
+    def tokens(self, text: str) -> list[int]:
         """The tokens of a normalised text, by backtracking."""
-        longest, failed = self.longest(text), bytearray(len(text) // 8 + 1)
-        out: list[str] = []
-        at, size = 0, longest[0] if text else 0
-        while at < len(text):
-            while size:
-                end = at + size
-                piece = text[at:end]
-                if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.compatible(out[-1], piece)):
-                    break
-                size = self.shorter(piece)
-            if size:
-                out.append(piece)
-                at = end
-                size = longest[at] if at < len(text) else 0
+        n, size, shorter, fits = len(text), self.size, self.shorter, self.fits
+        longest = [-1] * n
+        for last, i in self.trie.iter(text):  # by ends, so of those that begin at one place the longest comes last
+            longest[last + 1 - size[i]] = i
+        for at in [k for k, i in enumerate(longest) if i < 0]:
+            longest[at] = self._character(text[at])
+        failed = None
+        out: list[int] = []
+        before, at = -1, 0
+        token = longest[0] if n else -1
+        while at < n:
+            while token >= 0:
+                end = at + size[token]
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    good = fits.get(before << 32 | token)
+                    if good is None:
+                        good = self.compatible(before, token)
+                    if good:
+                        break
+                token = shorter[token]
+            if token >= 0:
+                out.append(token)
+                before, at = token, end
+                token = longest[at] if at < n else -1
             else:
+                if failed is None:
+                    failed = bytearray(n // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                piece = out.pop()
-                at -= len(piece)
-                size = self.shorter(piece)
+                token = out.pop()
+                at -= size[token]
+                before = out[-1] if out else -1
+                token = shorter[token]
         return out
 
-    def ids_of(self, token: str) -> list[int]:
-        """A token's id; a character without a piece has those of its bytes."""
-        known = self.id.get(token)
-        if known is not None:
-            return [known]
-        return [self.byte_ids[b] for b in token.encode()] if self.byte_ids else [self.unknown]
-
     def decode(self, ids: list[int], begins: bool = True) -> str:
         """The text of ids: pieces joined, bytes read as UTF-8, and at a text's beginning the space that encoding put there removed."""
         out: list[str] = []
@@ -150,7 +178,7 @@ class PieceEncoder:
                 raw.clear()
                 begins = False
             if i >= 0:
-                piece = self.surface[i]
+                piece = self.unknown_surface if i == self.unknown else self.surface[i]
                 if begins and any(self.strips) and piece.startswith(" ") and i != self.unknown:
                     piece = piece[1:]
                     begins = self.strips[1]
@@ -159,33 +187,40 @@ class PieceEncoder:
                 out.append(piece)
         return "".join(out)
 
-    def _word(self, word: str) -> tuple[int, str, str]:
-        """Number of ids, the ids joined by commas, and the text they decode to within a text."""
-        ids = [i for t in self.tokens(word) for i in self.ids_of(t)]
-        known = (len(ids), ",".join(map(str, ids)), self.decode(ids, begins=False))
-        if len(word) <= CACHED_CHARS:
-            if len(self.words) >= CACHE:
-                self.words.clear()
-            self.words[word] = known
+    def _word(self, word: str) -> tuple[str, str]:
+        """The ids of a piece of text joined by commas, and the text they decode to within a text."""
+        known = self.words.get(word)
+        if known is None:
+            if self.foreign.search(word):
+                # No piece has such a character, so it stands alone and what is around it is independent.
+                parts = [(self.names[k], self.surface[k]) if self.foreign.match(w) and (k := self._character(w)) >= 0 else self._word(w) for w in self.foreign.split(word) if w]
+                return ",".join([p[0] for p in parts]), "".join([p[1] for p in parts])
+            tokens = self.tokens(word)
+            known = ",".join([self.names[i] for i in tokens]), "".join([self.surface[i] for i in tokens])
+            if len(word) <= CACHED_CHARS:
+                if len(self.words) >= CACHE:
+                    self.words.clear()
+                self.words[word] = known
         return known
 
-    def _parts(self, text: str) -> list[tuple[int, str, str]]:
+    def _parts(self, text: str) -> list[tuple[str, str]]:
         normal = self.normalise(text)
         known = self.words.get
         return [known(w) or self._word(w) for w in (self.cut.findall(normal) if self.cut else [normal] if normal else [])]
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for p in self._parts(text) for i in p[1].split(",")]
+        return [int(i) for p in self._parts(text) for i in p[0].split(",")]
 
     def both(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids joined by commas, and the decoded text."""
         parts = self._parts(text)
-        line = ",".join([p[1] for p in parts])
+        line = ",".join([p[0] for p in parts])
+        n = line.count(",") + 1 if line else 0
         if self.strips != (True, False) or not self.byte_ids:
-            return sum([p[0] for p in parts]), line, self.decode([int(i) for i in line.split(",")] if line else [])
-        back = "".join([p[2] for p in parts])
+            return n, line, self.decode([int(i) for i in line.split(",")] if line else [])
+        back = "".join([p[1] for p in parts])
         # Encoding put a space before the text; exactly that one goes.
-        return sum([p[0] for p in parts]), line, back[1:] if back.startswith(" ") else back
+        return n, line, back[1:] if back.startswith(" ") else back
 
 
 def _utf8(raw: bytes) -> str:
