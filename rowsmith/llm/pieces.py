@@ -15,9 +15,10 @@ none is left, the place is marked as failed in a bitfield and the token before i
 taken back. The tokens up to a place are the one encoding of the text before it, so a
 failed place is never entered again and the work is linear.
 
-No piece joins a word to the white space after it, so words (with the white space
-before them) are independent and a worker keeps those it has seen, in a bounded cache.
-Characters without a piece become the pieces of their bytes.
+Nothing is merged across two characters that no piece has side by side, such as a word and
+the white space after it, so texts are cut there, the parts are independent, and a worker
+keeps those it has seen, in a bounded cache. Characters without a piece become the pieces
+of their bytes.
 
 Edge cases: null and empty texts have no tokens and decode to the empty text; repeated
 rows, null ids and other columns are passed over; long unsplit texts take time and
@@ -28,11 +29,11 @@ another type than merges, are refused with a ValueError.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from sentencepiece import SentencePieceProcessor
@@ -40,7 +41,7 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 
 from rowsmith.llm._io import small_batches
 
-#: Cached words, and cached pairs, of one worker; longer words aren't kept.
+#: Words that one worker keeps, in two generations of this size, and pairs; longer words aren't kept.
 CACHE = 1 << 19
 CACHED_CHARS = 64
 #: The sign that stands for a space within pieces.
@@ -85,12 +86,17 @@ class PieceEncoder:
             if p:
                 self.trie.add_word(p[0], i)
         self.trie.make_automaton()
-        #: Where a text can be cut: before white space that follows other signs, if no piece goes across, and around characters in no piece.
-        across = re.compile(f"[^{SPACE}]{SPACE}")
-        self.cut = None if any(across.search(p) for p in self.score) else re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.foreign = re.compile("([^" + "".join(map(re.escape, sorted(set("".join(self.score)) | {SPACE}))) + "])")
-        self.fits: dict[int, bool] = {}
+        #: Characters by their number, those in no piece sharing the last one; and whether two may stand apart: no piece has them side by side.
+        signs = {c: i for i, c in enumerate(sorted(set("".join(self.score))))}
+        self.kinds = len(signs) + 1
+        self.sign = np.full(0x110000, len(signs), np.int32)
+        self.sign[[ord(c) for c in signs]] = list(signs.values())
+        self.apart = np.ones(self.kinds * self.kinds, bool)
+        self.apart[[signs[x] * self.kinds + signs[y] for p in self.score for x, y in zip(p, p[1:], strict=False)]] = False
+        self.fits: dict[int, dict[int, bool]] = {}
+        self.pairs = 0
         self.words: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
 
     def _character(self, sign: str) -> int:
         """The token of a single character, made up if it has no piece."""
@@ -123,11 +129,14 @@ class PieceEncoder:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether tokens a (none if below 0) and b stay as they are when their joined text is merged."""
-        if len(self.fits) >= CACHE:
-            self.fits.clear()
+        if self.pairs >= CACHE:
+            for known in self.fits.values():
+                known.clear()
+            self.pairs = 0
+        self.pairs += 1
         alone = [self.piece[i] for i in (a, b) if i >= 0]
-        known = self.fits[a << 32 | b] = self.merged("".join(alone)) == alone
-        return known
+        good = self.fits[a][b] = self.merged("".join(alone)) == alone
+        return good
 
     def tokens(self, text: str) -> list[int]:
         """The tokens of a normalised text, by backtracking."""
@@ -140,12 +149,13 @@ class PieceEncoder:
         failed = None
         out: list[int] = []
         before, at = -1, 0
+        after = fits.setdefault(before, {})
         token = longest[0] if n else -1
         while at < n:
             while token >= 0:
                 end = at + size[token]
                 if failed is None or not failed[end >> 3] >> (end & 7) & 1:
-                    good = fits.get(before << 32 | token)
+                    good = after.get(token)
                     if good is None:
                         good = self.compatible(before, token)
                     if good:
@@ -153,8 +163,10 @@ class PieceEncoder:
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
+                if end == n:
+                    break
                 before, at = token, end
-                token = longest[at] if at < n else -1
+                token = longest[at]
             else:
                 if failed is None:
                     failed = bytearray(n // 8 + 1)
@@ -163,6 +175,9 @@ class PieceEncoder:
                 at -= size[token]
                 before = out[-1] if out else -1
                 token = shorter[token]
+            after = fits.get(before)
+            if after is None:
+                after = fits[before] = {}
         return out
 
     def decode(self, ids: list[int], begins: bool = True) -> str:
@@ -189,24 +204,27 @@ class PieceEncoder:
 
     def _word(self, word: str) -> tuple[str, str]:
         """The ids of a piece of text joined by commas, and the text they decode to within a text."""
-        known = self.words.get(word)
+        known = self.words.get(word) or self.older.get(word)
         if known is None:
-            if self.foreign.search(word):
-                # No piece has such a character, so it stands alone and what is around it is independent.
-                parts = [(self.names[k], self.surface[k]) if self.foreign.match(w) and (k := self._character(w)) >= 0 else self._word(w) for w in self.foreign.split(word) if w]
-                return ",".join([p[0] for p in parts]), "".join([p[1] for p in parts])
             tokens = self.tokens(word)
             known = ",".join([self.names[i] for i in tokens]), "".join([self.surface[i] for i in tokens])
-            if len(word) <= CACHED_CHARS:
-                if len(self.words) >= CACHE:
-                    self.words.clear()
-                self.words[word] = known
+        if len(word) <= CACHED_CHARS:
+            if len(self.words) >= CACHE:  # words of the older generation that are met again move to the new one
+                self.words, self.older = {}, self.words
+            self.words[word] = known
         return known
 
+    def cut(self, normal: str) -> list[str]:
+        """A normalised text cut wherever no piece goes across."""
+        if not normal:
+            return []
+        sign = self.sign[np.frombuffer(normal.encode("utf-32-le"), np.uint32)]
+        ends = (np.flatnonzero(self.apart[sign[:-1] * self.kinds + sign[1:]]) + 1).tolist()
+        return [normal[a:b] for a, b in zip([0, *ends], [*ends, len(normal)], strict=True)]
+
     def _parts(self, text: str) -> list[tuple[str, str]]:
-        normal = self.normalise(text)
         known = self.words.get
-        return [known(w) or self._word(w) for w in (self.cut.findall(normal) if self.cut else [normal] if normal else [])]
+        return [known(w) or self._word(w) for w in self.cut(self.normalise(text))]
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for p in self._parts(text) for i in p[0].split(",")]
