@@ -20,7 +20,7 @@ U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INV = pow(BASE, -1, 1 << 64)
 #: Bytes of text treated at once; a longer row is treated alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

@@ -37,7 +37,7 @@ LEAF = 512
 #: Tokens of each side in a join's first window.
 WINDOW = 4
 #: Cached words of one worker.
-CACHE = 1 << 19
+CACHE = 1 << 17
 #: Texts of these signs normalise alike here and in the library: composed Latin letters, plain white space.
 _SIMPLE = re.compile("[\t-\r\x20-\x7e\xa1-\u017e]*")
 

@@ -259,7 +259,7 @@ def region(page: Lines, sigma: float = SIGMA, threshold: float = THRESHOLD) -> n
     smooth[menu] = 0
     weightless = out | menu
     excess = np.zeros(len(last))
-    np.add.at(excess, block, np.where(out, 0, smooth - level))
+    np.add.at(excess, block, np.where(weightless, 0, smooth - level))
     for n in range(len(last) - 1, 0, -1):
         excess[page.parent[n]] += excess[n]
     held = np.zeros(len(last), bool)

@@ -76,10 +76,10 @@ def due(share: Column, slope: Column) -> Column:
     return F.when(F.abs(slope) < 1e-12, share).otherwise((root - lean) / (F.lit(2.0) * slope))
 
 
-def _taken(docs: DataFrame, weights: tuple[int, ...], cap: int, slopes: tuple[float, ...]) -> DataFrame:
-    """Per row of ``docs`` what is taken of it, and below, goal and slope: what its copies' positions follow from."""
+def _taken(docs: DataFrame, weights: tuple[int, ...], cap: int, slopes: tuple[float, ...], row: Column | None = None) -> DataFrame:
+    """Per row of ``docs`` what is taken of it, and below, goal and slope: what its copies' positions follow from. ``row`` names rows, as _key."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce(F.col("text"), F.lit("")))))
-    rows = docs.select("doc_id", "source", n_words().alias("size"), key.alias("h")).withColumn("bucket", F.substring("h", 1, BUCKET_HEX))
+    rows = docs.select("doc_id", "source", n_words().alias("size"), key.alias("h"), *([] if row is None else [row.alias("_key")])).withColumn("bucket", F.substring("h", 1, BUCKET_HEX))
     totals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     goals = targets(totals.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap)
     so_far = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -96,7 +96,7 @@ def _taken(docs: DataFrame, weights: tuple[int, ...], cap: int, slopes: tuple[fl
     part = F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("below"))).cast("long")
     rows = rows.withColumn("taken", whole * F.col("size") + part).withColumn("copies", whole.cast("int") + (part > 0).cast("int"))
     slope = F.element_at(F.array(*[F.lit(float(x)) for x in slopes]), (F.col("place") % len(slopes) + 1).cast("int"))
-    return rows.select("doc_id", "size", "source_size", "target", "taken", "copies", "below", goal.alias("goal"), slope.alias("slope"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "copies", "below", goal.alias("goal"), slope.alias("slope"), *([] if row is None else ["_key"]))
 
 
 def _position(copy: Column) -> Column:
@@ -121,12 +121,18 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     Copies are whole documents: a boundary document is repeated for its started copy
     only if at least half of it is taken. Columns are those of ``docs``."""
-    plan = _taken(docs, WEIGHTS, CAP, SLOPES).where("size > 0").withColumn("_times", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")).where("_times > 0")
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.md5(F.col(c).cast("string"))), F.lit("-"))
+    key = F.md5(F.concat_ws(",", part("doc_id"), part("text"), part("source")))
+    # Rows that agree in id, text and source are numbered, on both sides: each of the plan's belongs to one of the documents'.
+    each = lambda order: F.row_number().over(Window.partitionBy("_key").orderBy(order))
+    plan = _taken(docs, WEIGHTS, CAP, SLOPES, key).where("size > 0").withColumn("_times", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int"))
+    plan = plan.withColumn("_n", each(F.col("below"))).where("_times > 0")
     plan = plan.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
-    plan = plan.groupBy(F.col("doc_id").alias("_id"), "_copy").agg(F.min(_position(F.col("_copy"))).alias("_position"))
-    rows = docs.select(F.struct("*").alias("_row"))  # columns of any name
-    out = rows.join(plan, rows["_row.doc_id"].eqNullSafe(plan["_id"]))
-    out = out.repartitionByRange("_position", "_id", "_copy").sortWithinPartitions("_position", "_id", "_copy")
+    plan = plan.select("_key", "_n", "_copy", _position(F.col("_copy")).alias("_position"))
+    rows = docs.select(F.struct("*").alias("_row"), key.alias("_key"))  # columns of any name
+    rows = rows.withColumn("_n", each(F.xxhash64("_row")))
+    out = rows.join(plan, ["_key", "_n"])
+    out = out.repartitionByRange("_position", "_key", "_n", "_copy").sortWithinPartitions("_position", "_key", "_n", "_copy")
     return out.select("_row.*")
 
 

@@ -109,9 +109,22 @@ def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, k), batch.column(1).slice(at, k), *lists], names=["order", "y", "i", "x"])
 
 
+def _fitting(sizes: list) -> list[tuple]:
+    """Of (order, y, bytes, digest) in order those with room in TRAIN_BYTES, others being passed over; of a label
+    that would be left out the shortest text is fitted all the same."""
+    out, room = [], TRAIN_BYTES
+    for r in sizes:
+        if r["bytes"] <= room:
+            out.append(tuple(r))
+            room -= r["bytes"]
+    for y in sorted({r["y"] for r in sizes} - {r[1] for r in out}):
+        out.append(min(((r["bytes"], *r) for r in sizes if r["y"] == y))[1:])
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights from labelled rows (doc_id, quality) outside the held-out third, at most ``rows`` of them, as many of
-    these in order of their ids' hashes as have TRAIN_BYTES of text."""
+    """Weights from labelled rows (doc_id, quality) outside the held-out third, at most ``rows`` of them and of these, in order
+    of their ids' hashes, the ones with room in TRAIN_BYTES of text."""
     small_batches(docs.sparkSession)
     known = labels.where("quality in (0, 1)").where(remainder() != 1)
     order = F.xxhash64("doc_id")
@@ -119,12 +132,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, epochs: int
     # At most ``rows`` rows of three numbers: small enough to broadcast whatever the tables' size.
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("order", "y", "text").dropDuplicates(["order", "y", "text"])
     picked = materialize(picked, "labelled")
-    # One row of numbers per picked row, as many as may be fitted; an id with several texts stands for as many as there is room for.
-    so_far = F.sum("bytes").over(Window.orderBy("order", "y", "bytes", "digest").rowsBetween(Window.unboundedPreceding, 0))
-    sizes = picked.select("order", "y", F.octet_length(text_of("text")).cast("long").alias("bytes"), F.xxhash64("text").alias("digest")).orderBy("order", "y", "bytes", "digest").limit(rows)
-    fitting = sizes.withColumn("so_far", so_far).where(F.col("so_far") <= TRAIN_BYTES).agg(F.max(F.struct("order", "y", "bytes", "digest")).alias("last")).first()["last"]
-    key = F.struct("order", "y", F.octet_length(text_of("text")).cast("long").alias("bytes"), F.xxhash64("text").alias("digest"))
-    picked = picked.where(key <= F.struct(*[F.lit(v).cast(t) for v, t in zip(fitting, ("long", "int", "long", "long"), strict=True)])) if fitting else picked.limit(0)
+    # One row of numbers per picked row, at most ``rows`` of them; an id with several texts stands for as many as there is room for.
+    by = ("order", "y", "bytes", "digest")
+    keyed = picked.withColumns({"bytes": F.octet_length(text_of("text")).cast("long"), "digest": F.xxhash64("text")})
+    chosen = _fitting(keyed.select(*by).orderBy(*by).limit(rows).collect())
+    picked = keyed.join(F.broadcast(picked.sparkSession.createDataFrame(chosen, "order long, y int, bytes long, digest long")), list(by), "left_semi").select("order", "y", "text")
     table = picked.mapInArrow(_featured, "order long, y int, i array<int>, x array<float>").toArrow()
     model = Ftrl()
     order, y = table.column("order").to_numpy(), table.column("y").to_numpy()

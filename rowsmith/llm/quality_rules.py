@@ -138,11 +138,12 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(at, k) for i in (0, 2, 3)], *[pa.array(c[x], pa.int64()) for x in _COUNTS]], names=["doc_id", "lang", "source", *_COUNTS])
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the counts of each row."""
+def counted(docs: DataFrame, ident: str = "doc_id") -> DataFrame:
+    """doc_id (or another column of any type), lang, source and the counts of each row."""
     small_batches(docs.sparkSession)
-    schema = ", ".join(["doc_id long", "lang string", "source string", *[f"{c} long" for c in _COUNTS]])
-    return docs.select("doc_id", "text", "lang", "source").mapInArrow(_count, schema)
+    kind = docs.schema[ident].dataType.simpleString()
+    schema = ", ".join([f"doc_id {kind}", "lang string", "source string", *[f"{c} long" for c in _COUNTS]])
+    return docs.select(ident, "text", "lang", "source").mapInArrow(_count, schema)
 
 
 def transformed() -> dict[str, Column]:
@@ -349,12 +350,12 @@ def estimates(rows: DataFrame, cells: DataFrame, over: DataFrame | None = None)
     return out
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text, lang, source): doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+def judge(docs: DataFrame, ident: str = "doc_id") -> DataFrame:
+    """Per row of ``docs`` (doc_id, or another column that stands for it, text, lang, source): doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, distance (squared; null where the base rules decide)."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     on_grid = {v: F.round(x * GRID).cast("long") for v, x in transformed().items()}
-    rows = counted(docs).withColumn("base_failed", failed).withColumns(on_grid)
+    rows = counted(docs, ident).withColumn("base_failed", failed).withColumns(on_grid)
     lang = F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-"))
     own = F.concat_ws("\u0001", "l", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")))
     rows = materialize(rows.withColumn("l", lang).withColumn("o", own), "counts")
@@ -377,7 +378,10 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep; of repeated ids a rejected row takes its fellows along only if none is kept."""
-    judged = materialize(judge(docs).select("doc_id", "kept"), "judged")
-    gone = judged.groupBy("doc_id").agg(F.max("kept").alias("any")).where("not any").select("doc_id")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that the rules keep. A row is known by its text, language and source, on which alone its
+    verdict depends, so rows without an id or with one id are told apart."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.md5(F.col(c).cast("string"))), F.lit("-"))
+    named = docs.select(F.struct("*").alias("_row"), F.md5(F.concat_ws(",", part("text"), part("lang"), part("source"))).alias("_key"))
+    rows = named.select("_key", *[F.col(f"_row.{c}").alias(c) for c in ("text", "lang", "source")])
+    gone = materialize(judge(rows, "_key").where("not kept").select(F.col("doc_id").alias("_key")).distinct(), "rejected")
+    return named.join(gone, "_key", "left_anti").select("_row.*")
