@@ -1,7 +1,8 @@
 """From plan to changes: diffs against snapshots, preflight checks, staged application, verification.
 
-The target system is a snapshot per object: (id, fields map). Applying a plan gives new
-snapshots and a log; nothing is written outside tables."""
+The target system is a snapshot per object: (id, fields map). Applying a plan here gives new
+snapshots and a log, and writes nothing outside tables; ``plans.execution`` carries the same
+decisions out in a live system."""
 
 from __future__ import annotations
 
@@ -47,18 +48,20 @@ def changeset(plan: DataFrame, snapshots: dict[str, DataFrame] | None = None) ->
     return out.withColumn("diff", F.coalesce("diff", F.expr("cast(array() as array<struct<field:string,old:string,new:string>>)"))).withColumn("change", kind)
 
 
-def render(changes: DataFrame, warnings: DataFrame | None = None, most: tuple[int, int, int] = (200, 200, 50)) -> str:
-    """The change list for review: counts, the first creates, updates and reuses, all warnings."""
+def render(changes: DataFrame, warnings: DataFrame | None = None, most: tuple[int, int, int, int] = (200, 200, 50, 1000)) -> str:
+    """The change list for review: counts, the first creates, updates, reuses and warnings; the tables have all of them."""
     out = ["CHANGE LIST"]
     counts = {(r["change"], r["sobject"]): r["n"] for r in changes.groupBy("change", "sobject").agg(F.count("*").alias("n")).collect()}  # a few kinds
-    for kind, limit, sign in zip(("create", "update", "reuse"), most, "+~=", strict=True):
+    for kind, limit, sign in zip(("create", "update", "reuse"), most[:3], "+~=", strict=True):
         mine = {k[1]: n for k, n in sorted(counts.items()) if k[0] == kind}
         out.append(f"{kind.upper()}: {sum(mine.values())} " + " ".join(f"{k}={n}" for k, n in mine.items()))
         for r in changes.where(F.col("change") == kind).orderBy("plan_pos").limit(limit).collect():
             what = ", ".join(f"{d['field']}: {d['old']!r} -> {d['new']!r}" for d in r["diff"])
             out.append(f"  {sign} {r['sobject']:12} {r['label']}" + (f": {what}" if what else ""))
     if warnings is not None:
-        out += [f"  ! {r['warning']}" for r in warnings.orderBy("src_pos").toLocalIterator()]
+        out += [f"  ! {r['warning']}" for r in warnings.orderBy("src_pos", "warning").limit(most[3]).collect()]
+        if (more := warnings.count() - most[3]) > 0:
+            out.append(f"  ! ... and {more} more")
     return "\n".join(out)
 
 
@@ -156,57 +159,67 @@ def follow_ups(plan: DataFrame, log: DataFrame) -> DataFrame:
     return rows.where(value.isNotNull()).select("plan_pos", "id", F.create_map("late", value).alias("fields"))
 
 
+def decided(plan: DataFrame, level: str, now: DataFrame, log: DataFrame | None, unique: str | None = None) -> DataFrame:
+    """What is to become of one level's records, given what the target holds of it (``now``: id, fields) and the ``log`` of
+    earlier levels: plan_pos, ref_key, sobject, label, outcome, id, reason, want (fields, parents resolved), diff (those
+    that differ), named (whether the plan names an existing record). New ids are 128 bits of their reference key's digest."""
+    c = F.col
+    rows = by_object(plan, level)
+    if log is None:
+        rows = rows.withColumn("resolved", F.expr("cast(map() as map<string,string>)")).withColumn("blocked", F.lit(False))
+    else:
+        ids = log.groupBy(c("ref_key").alias("ref")).agg(F.min("id").alias("id"), F.bool_and(c("outcome") == "skipped").alias("skipped"))
+        rows = resolve_parents(rows, ids)
+    rows = rows.withColumn("want", F.map_concat("fields", F.map_filter("resolved", lambda k, v: ~F.map_contains_key("fields", k))))
+    fresh = F.concat(F.lit(level[:3].upper() + "_"), F.left(F.sha2("ref_key", 256), F.lit(32)))
+    if level == "contact":
+        acts = contact_actions(rows.select(c("plan_pos").alias("key"), text(c("fields")["email"]).alias("email"), text(c("resolved")["account_id"]).alias("account_id")), now.select("id", c("fields")["email"].alias("email"), c("fields")["account_id"].alias("account_id")))
+        rows = rows.join(acts.withColumnRenamed("key", "plan_pos"), "plan_pos").withColumn("sf_id", c("contact_id"))
+        # A reused contact takes only the phone, an adopted one the account, too.
+        keep = F.when(c("action") == "reuse", F.map_filter("want", lambda k, v: k == "phone")).when(c("action") == "adopt", F.map_filter("want", lambda k, v: k.isin("phone", "account_id"))).otherwise(c("want"))
+        rows = rows.withColumn("want", keep).withColumn("blocked", c("blocked") | (c("action") == "flag")).withColumn("reason0", F.when(c("action") == "flag", "email on another account"))
+    else:
+        rows = rows.withColumn("reason0", F.lit(None).cast("string"))
+    if unique:
+        same = now.select(F.try_element_at("fields", F.lit(unique)).alias("uv"), c("id").alias("uid")).where("uv <> ''").groupBy("uv").agg(F.count("*").alias("un"), F.min("uid").alias("uid"))
+        rows = rows.withColumn("uv", F.try_element_at("fields", F.lit(unique))).join(same, "uv", "left")
+        hit = (c("sf_id") == "") & c("un").isNotNull()
+        rows = rows.withColumns({"blocked": c("blocked") | F.coalesce(hit & (c("un") > 1), F.lit(False)), "reason0": F.when(hit & (c("un") > 1), "several duplicates").otherwise(c("reason0")), "want": F.when(hit, F.expr("cast(map() as map<string,string>)")).otherwise(c("want")), "sf_id": F.when(hit & (c("un") == 1), c("uid")).otherwise(c("sf_id"))})
+    rows = rows.withColumn("id", F.when(c("sf_id") != "", c("sf_id")).otherwise(fresh)).join(now.select(c("id").alias("now_id"), c("fields").alias("now")), c("id") == c("now_id"), "left")
+    rows = rows.withColumn("want", F.when(c("now_id").isNotNull() & (c("sf_id") != ""), F.map_filter("want", lambda k, v: k != "name")).otherwise(c("want")))
+    rows = rows.withColumn("diff", F.map_filter("want", lambda k, v: F.coalesce(F.try_element_at("now", k), F.lit("")) != v))
+    outcome = F.when(c("blocked"), "skipped").when(c("now_id").isNull(), "created").when(F.size("diff") > 0, "updated").otherwise("reused")
+    rows = rows.withColumn("outcome", outcome).withColumn("reason", F.when(c("blocked"), F.coalesce("reason0", F.lit("parent not created"))))
+    return rows.select("plan_pos", "ref_key", "sobject", "label", "outcome", "id", "reason", "want", "diff", (c("sf_id") != "").alias("named"))
+
+
+def role_lookups(plan: DataFrame, log: DataFrame) -> DataFrame:
+    """(plan_pos, id, fields): accounts' role lookups, only where all of their contacts are there."""
+    c = F.col
+    ids = log.where("outcome <> 'skipped'").groupBy(c("ref_key").alias("ref")).agg(F.min("id").alias("rid"))
+    roles = by_object(plan, "account").join(log.where("sobject = 'account' and outcome <> 'skipped'").select("plan_pos", "id"), "plan_pos")
+    roles = roles.select("plan_pos", "id", F.explode("deferred").alias("field", "ref")).join(ids, "ref", "left")
+    ready = roles.groupBy("plan_pos", "id").agg(F.count("*").alias("n"), F.count("rid").alias("m"), F.map_from_entries(F.collect_list(F.when(c("rid").isNotNull(), F.struct("field", "rid")))).alias("fields"))
+    return ready.where("n = m").select("plan_pos", "id", "fields")
+
+
 def apply_plan(plan: DataFrame, snapshots: dict[str, DataFrame], confirm: Callable[[DataFrame], bool] = lambda changes: True, unique: dict[str, str] | None = None) -> tuple[dict[str, DataFrame], DataFrame] | None:
     """Apply a plan level by level: accounts, contacts, deals, lines, then deferred account lookups.
 
     Gives new snapshots and a log (plan_pos, ref_key, sobject, label, outcome, id, reason); None if not confirmed.
-    New ids are 128 bits of their reference key's digest, so applying again gives the same ids and no two records share one. ``unique`` names, by
+    New ids come from reference keys, so applying again gives the same ids and no two records share one. ``unique`` names, by
     object, a field that the target holds unique: a record to be created whose value exactly one existing
-    record has is that record; if several have it, the record is skipped."""
+    record has is that record; if several have it, the record is skipped. ``plans.execution`` applies a plan to a live system."""
     if not confirm(changeset(plan, snapshots)):
         return None
-    c = F.col
     state = dict(snapshots)
     log = None
     for level in ORDER:
-        rows = by_object(plan, level)
-        if log is None:
-            rows = rows.withColumn("resolved", F.expr("cast(map() as map<string,string>)")).withColumn("blocked", F.lit(False))
-        else:
-            ids = log.groupBy(c("ref_key").alias("ref")).agg(F.min("id").alias("id"), F.bool_and(c("outcome") == "skipped").alias("skipped"))
-            rows = resolve_parents(rows, ids)
-        rows = rows.withColumn("want", F.map_concat("fields", F.map_filter("resolved", lambda k, v: ~F.map_contains_key("fields", k))))
-        fresh = F.concat(F.lit(level[:3].upper() + "_"), F.left(F.sha2("ref_key", 256), F.lit(32)))
-        now = state[level].select(c("id").alias("now_id"), c("fields").alias("now"))
-        if level == "contact":
-            acts = contact_actions(rows.select(c("plan_pos").alias("key"), text(c("fields")["email"]).alias("email"), text(c("resolved")["account_id"]).alias("account_id")), state[level].select("id", c("fields")["email"].alias("email"), c("fields")["account_id"].alias("account_id")))
-            rows = rows.join(acts.withColumnRenamed("key", "plan_pos"), "plan_pos").withColumn("sf_id", c("contact_id"))
-            # A reused contact takes only the phone, an adopted one the account, too.
-            keep = F.when(c("action") == "reuse", F.map_filter("want", lambda k, v: k == "phone")).when(c("action") == "adopt", F.map_filter("want", lambda k, v: k.isin("phone", "account_id"))).otherwise(c("want"))
-            rows = rows.withColumn("want", keep).withColumn("blocked", c("blocked") | (c("action") == "flag")).withColumn("reason0", F.when(c("action") == "flag", "email on another account"))
-        else:
-            rows = rows.withColumn("reason0", F.lit(None).cast("string"))
-        if unique and level in unique:
-            key = unique[level]
-            same = state[level].select(F.try_element_at("fields", F.lit(key)).alias("uv"), c("id").alias("uid")).where("uv <> ''").groupBy("uv").agg(F.count("*").alias("un"), F.min("uid").alias("uid"))
-            rows = rows.withColumn("uv", F.try_element_at("fields", F.lit(key))).join(same, "uv", "left")
-            hit = (c("sf_id") == "") & c("un").isNotNull()
-            rows = rows.withColumns({"blocked": c("blocked") | F.coalesce(hit & (c("un") > 1), F.lit(False)), "reason0": F.when(hit & (c("un") > 1), "several duplicates").otherwise(c("reason0")), "want": F.when(hit, F.expr("cast(map() as map<string,string>)")).otherwise(c("want")), "sf_id": F.when(hit & (c("un") == 1), c("uid")).otherwise(c("sf_id"))})
-        rows = rows.withColumn("id", F.when(c("sf_id") != "", c("sf_id")).otherwise(fresh)).join(now, c("id") == c("now_id"), "left")
-        rows = rows.withColumn("want", F.when(c("now_id").isNotNull() & (c("sf_id") != ""), F.map_filter("want", lambda k, v: k != "name")).otherwise(c("want")))
-        changed = F.size(F.map_filter("want", lambda k, v: F.coalesce(F.try_element_at("now", k), F.lit("")) != v)) > 0
-        outcome = F.when(c("blocked"), "skipped").when(c("now_id").isNull(), "created").when(changed, "updated").otherwise("reused")
-        rows = rows.withColumn("outcome", outcome).withColumn("reason", F.when(c("blocked"), F.coalesce("reason0", F.lit("parent not created"))))
-        rows = written(rows.select("plan_pos", "ref_key", "sobject", "label", "outcome", "id", "reason", "want"), f"applied-{level}")
-        state[level] = upsert(state[level], rows.where("outcome in ('created', 'updated')").select("plan_pos", "id", c("want").alias("fields")))
+        rows = written(decided(plan, level, state[level], log, (unique or {}).get(level)).drop("diff", "named"), f"applied-{level}")
+        state[level] = upsert(state[level], rows.where("outcome in ('created', 'updated')").select("plan_pos", "id", F.col("want").alias("fields")))
         part = rows.drop("want")
         log = part if log is None else log.unionByName(part)
-    # Role lookups of accounts, only where all of their contacts are there.
-    ids = log.where("outcome <> 'skipped'").groupBy(c("ref_key").alias("ref")).agg(F.min("id").alias("rid"))
-    roles = by_object(plan, "account").join(log.where("sobject = 'account' and outcome <> 'skipped'").select("plan_pos", "id"), "plan_pos")
-    roles = roles.select("plan_pos", "id", F.explode("deferred").alias("field", "ref")).join(ids, "ref", "left")
-    ready = roles.groupBy("plan_pos", "id").agg(F.count("*").alias("n"), F.count("rid").alias("m"), F.map_from_entries(F.collect_list(F.when(c("rid").isNotNull(), F.struct("field", "rid")))).alias("fields")).where("n = m")
-    state["account"] = upsert(state["account"], ready.select("plan_pos", "id", "fields"))
+    state["account"] = upsert(state["account"], role_lookups(plan, log))
     return state, log
 
 

@@ -8,6 +8,9 @@ overlap, with ids claimed by earlier leagues out of reach, exactly as if leagues
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +19,9 @@ from rowsmith.functions.amounts import confidence, match_source
 from rowsmith.functions.geo import country_signal
 from rowsmith.functions.text import acronym, acronym_safe, core, division, initials, junk_reason, normalise_league, overlap_ratio, paren, significant_words, spaceless, strip_sport_division, text, token_run, trailing_acronym
 from rowsmith.operators.blocking import set_overlap, word_containment
+from rowsmith.operators.components import IN_TASK, in_order, parts
 from rowsmith.operators.entities import first_by, last_wins
-from rowsmith.plans.tables import written
+from rowsmith.plans.tables import release, written
 
 WEAK = ("containment", "fuzzy_overlap")
 _CANDIDATE = ["cand_pos", "account_id", "other_id", "name", "country", "deals", "accounts", "active_arr"]
@@ -103,16 +107,47 @@ def weak_options(leagues: DataFrame, cands: DataFrame) -> DataFrame:
     return part.unionByName(over).join(keyed, "key_pos").join(real.select("norm", "cand_pos", "account_id"), "norm").select("league_pos", "pass", "match_type", "key_pos", "cand_pos", "account_id")
 
 
-def weak_hits(options: DataFrame, claimed: DataFrame, leagues: DataFrame, cands: DataFrame) -> DataFrame:
+_HITS = pa.schema([("league_pos", pa.int64()), ("pass", pa.float64()), ("match_type", pa.string()), ("cand_pos", pa.int64())])
+
+
+def _decide_weak(league: int, mine: list[dict], taken: set[str]) -> Iterator[dict]:
+    """Weak hits of one league out of its options by pass, key_pos and cand_pos; what it claims goes to ``taken``."""
+    live = [r for r in mine if r["account_id"] not in taken]
+    if not live:
+        return
+    first = live[0]
+    live = [r for r in live if r["pass"] == first["pass"] and (r["pass"] > 70 or r["key_pos"] == first["key_pos"])]
+    hits: dict[str, dict] = {}
+    for r in sorted(live, key=lambda r: (r["key_pos"], r["cand_pos"])):
+        hits.setdefault(r["account_id"], r)
+    good = [r for r in hits.values() if r["score"] >= C.KEEP_SCORE]
+    best = [r for r in good if r["score"] == max(g["score"] for g in good)]
+    named = [r for r in good if r["account_id"]]
+    if named and (len(good) == 1 or len(best) == 1 or len({r["norm"] for r in best}) == 1):
+        taken.add(min(named, key=lambda r: (-r["score"], -r["accounts"], -r["deals"], r["key_pos"], r["cand_pos"]))["account_id"])
+    for r in hits.values():
+        yield {k: r[k] for k in _HITS.names}
+
+
+def weak_hits(options: DataFrame, claimed: DataFrame, leagues: DataFrame, cands: DataFrame, most: int = IN_TASK) -> DataFrame:
     """Weak hits out of the options of leagues without strong ones, as if leagues were gone through in order: a league that is matched by
     weak hits claims the best one's id, and no later league can have it. claimed: (id, from_pos), ids claimed otherwise.
 
-    Containment stops at the first candidate name that yields a hit and keeps overlap out. Leagues are decided in rounds:
-    one is decided once no undecided league before it shares an id that is still open, so there are as many
-    rounds as the longest chain of leagues of which each shares an id with the one before."""
+    Containment stops at the first candidate name that yields a hit and keeps overlap out. Leagues that share no id, directly or
+    through others, are independent: such parts of up to ``most`` options are gone through in sequence, many to a task. In larger
+    parts all leagues are decided at once, given who claims what, until the claims stay the same: as
+    many rounds as the longest chain of claims that changed one another, however many leagues share an id."""
     free = options.join(claimed.select(F.col("id").alias("account_id"), F.col("from_pos")), "account_id", "left")
     free = free.where(F.col("from_pos").isNull() | (F.col("from_pos") > F.col("league_pos")) | (F.col("account_id") == ""))
-    every = written(scored(free.select("league_pos", "pass", "match_type", "key_pos", "cand_pos").distinct(), leagues, cands), "weak-options")
+    kept = ["league_pos", "pass", "match_type", "key_pos", "cand_pos", "account_id", "norm", "score", "accounts", "deals"]
+    every = written(scored(free.select("league_pos", "pass", "match_type", "key_pos", "cand_pos").distinct(), leagues, cands).select(*[F.col(c).cast("long").alias(c) if c in ("league_pos", "key_pos", "cand_pos") else c for c in kept]), "weak-options")
+    small, large = parts(every, "league_pos", "account_id", most)
+    out = in_order(small, "league_pos", ["pass", "key_pos", "cand_pos"], _decide_weak, _HITS)
+    return out if large is None else out.unionByName(_settled(written(large, "weak-options")))
+
+
+def _settled(every: DataFrame) -> DataFrame:
+    """Weak hits of large parts, by rounds over all leagues."""
     each = Window.partitionBy("league_pos")
 
     def hits(live: DataFrame) -> DataFrame:
@@ -124,19 +159,19 @@ def weak_hits(options: DataFrame, claimed: DataFrame, leagues: DataFrame, cands:
         j = every.join(taken.select(F.col("id").alias("account_id"), "by"), "account_id", "left")
         return j.where(F.col("by").isNull() | (F.col("by") >= F.col("league_pos"))).drop("by")
 
-    taken = every.sparkSession.createDataFrame([], "id string, by long")
-    undecided = every.select("league_pos").distinct()
-    while undecided.take(1):
-        live = still_open(taken).join(undecided, "league_pos", "left_semi")
-        first = live.where("account_id <> ''").groupBy("account_id").agg(F.min("league_pos").alias("first"))
-        waiting = written(live.join(first, "account_id").where("first < league_pos").select("league_pos").distinct(), "waiting")
-        good = hits(live.join(waiting, "league_pos", "left_anti")).where(F.col("score") >= C.KEEP_SCORE).withColumn("top", F.max("score").over(each))
+    taken = written(every.sparkSession.createDataFrame([], "id string, by long"), "taken")
+    while True:
+        good = hits(still_open(taken)).where(F.col("score") >= C.KEEP_SCORE).withColumn("top", F.max("score").over(each))
         best = F.col("score") == F.col("top")
         rank = F.struct((-F.col("score")).alias("s"), (-F.col("accounts")).alias("a"), (-F.col("deals")).alias("d"), "key_pos", "cand_pos")
         decided = good.groupBy("league_pos").agg(F.count("*").alias("n"), F.count_if(best).alias("winners"), F.count_distinct(F.when(best, F.col("norm"))).alias("names"), F.min_by(F.when(F.col("account_id") != "", F.col("account_id")), F.when(F.col("account_id") != "", rank)).alias("id"))
-        claims = decided.where("(n = 1 or winners = 1 or names = 1) and id is not null").select("id", F.col("league_pos").cast("long").alias("by"))
-        taken, undecided = written(taken.unionByName(claims), "taken"), waiting
-    return hits(still_open(taken)).select("league_pos", "pass", "match_type", "cand_pos")
+        claims = decided.where("(n = 1 or winners = 1 or names = 1) and id is not null").groupBy("id").agg(F.min("league_pos").alias("by"))
+        after = written(claims, "taken")
+        same = after.count() == taken.count() and not after.exceptAll(taken).take(1)
+        if same:
+            return hits(still_open(after)).select(*_HITS.names)
+        release(taken)
+        taken = after
 
 
 def scored(hits: DataFrame, leagues: DataFrame, cands: DataFrame) -> DataFrame:
@@ -229,21 +264,24 @@ def overrides(leagues: DataFrame, cands: DataFrame, manual: DataFrame | None, al
     return out.withColumn("match_source", match_source(F.size("account_ids") > 0, F.size("other_ids") > 0))
 
 
-def crosscheck(leagues: DataFrame, pool: DataFrame, names: C.Names | None = None, manual: DataFrame | None = None, aliases: DataFrame | None = None) -> DataFrame:
-    """One row per league with its match.
-
-    leagues: league_pos, league_key (normalised), display_name, countries (of its territories), pasted_id.
-    pool: src_pos, id, other_id, name, country, deals, accounts, active_arr (missing ones count as empty)."""
-    names = names or C.Names()
-    cands = written(candidates(pool), "candidates")
-    leagues = written(leagues, "leagues")
+def found_by_name(leagues: DataFrame, cands: DataFrame, names: C.Names, manual: DataFrame | None = None, aliases: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(trusted, strong, options): what the passes find for each league by itself. Leagues that a curated row decides aren't looked up;
+    weak options are of leagues without a strong hit."""
     trusted = written(overrides(leagues, cands, manual, aliases), "overrides")
     open_ = leagues.join(trusted.select("league_pos"), "league_pos", "left_anti")
     strong = written(strong_hits(open_, cands, names), "strong-hits")
-    hits, bare = strong, written(open_.join(strong.select("league_pos").distinct(), "league_pos", "left_anti"), "bare-leagues")
-    if bare.take(1):
+    bare = written(open_.join(strong.select("league_pos").distinct(), "league_pos", "left_anti"), "bare-leagues")
+    some = "league_pos long, pass double, match_type string, key_pos long, cand_pos long, account_id string"
+    options = weak_options(bare, cands) if bare.take(1) else bare.sparkSession.createDataFrame([], some)
+    return trusted, strong, written(options, "options")
+
+
+def decided(leagues: DataFrame, cands: DataFrame, trusted: DataFrame, strong: DataFrame, options: DataFrame) -> DataFrame:
+    """One row per league with its match, out of what ``found_by_name`` gives: here leagues meet, as weak matches claim ids in order."""
+    hits = strong
+    if options.take(1):
         claimed = trusted.select("league_pos", F.explode("account_ids").alias("id")).groupBy("id").agg(F.min("league_pos").alias("from_pos"))
-        hits = hits.unionByName(weak_hits(weak_options(bare, cands), claimed, leagues, cands))
+        hits = hits.unionByName(weak_hits(options, claimed, leagues, cands))
     found = decide(scored(hits, leagues, cands)).unionByName(trusted)
     empty = F.expr("cast(array() as array<string>)")
     fill = {"match_status": F.lit("unmatched"), "match_type": F.lit(""), "confidence": F.lit(0), "confidence_label": F.lit(""), "account_ids": empty, "other_ids": empty, "account_names": empty, "deals": F.lit(0).cast("long"), "active_arr": F.lit(""), "note": F.lit("No matching account found"), "match_source": F.lit("")}
@@ -251,6 +289,16 @@ def crosscheck(leagues: DataFrame, pool: DataFrame, names: C.Names | None = None
     return out.withColumns({c: F.coalesce(F.col(c), v) for c, v in fill.items()})
 
 
+def crosscheck(leagues: DataFrame, pool: DataFrame, names: C.Names | None = None, manual: DataFrame | None = None, aliases: DataFrame | None = None) -> DataFrame:
+    """One row per league with its match.
+
+    leagues: league_pos, league_key (normalised), display_name, countries (of its territories), pasted_id.
+    pool: src_pos, id, other_id, name, country, deals, accounts, active_arr (missing ones count as empty)."""
+    cands = written(candidates(pool), "candidates")
+    leagues = written(leagues, "leagues")
+    return decided(leagues, cands, *found_by_name(leagues, cands, names or C.Names(), manual, aliases))
+
+
 def league_candidates(accounts: DataFrame, org_types: list[str] = C.LEAGUE_ORG_TYPES) -> DataFrame:
     """Accounts that look like leagues: by their type if they have one, else by their name."""
     kind, name = F.lower(F.trim(text(F.col("org_type")))), F.lower(F.trim(text(F.col("name"))))

@@ -25,9 +25,25 @@ def product_tokens(cell: Column) -> Column:
     return F.filter(F.transform(parts, clean), lambda t: t != "")
 
 
+def word_heads(value: Column) -> Column:
+    """All beginnings of a text that a space follows."""
+    words = F.split(value, " ")
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1))), lambda n: F.when(F.size(words) > 1, F.array_join(F.slice(words, F.lit(1), n), " ")))
+
+
+def heads(value: Column, lengths: list[int]) -> Column:
+    """The beginnings of a text of these lengths, as far as it is that long."""
+    if not lengths:
+        return F.expr("cast(array() as array<string>)")
+    return F.array_compact(F.array(*[F.when(F.length(value) >= n, F.left(value, F.lit(n))) for n in sorted(set(lengths))]))
+
+
 def top_tier(book: DataFrame, prefixes: DataFrame, noise: str, ties: str = "src_pos") -> DataFrame:
-    """Book rows with ``prefix``: for each prefix the dearest product that isn't a noise variant, else the dearest; the first on ties."""
-    j = prefixes.select("prefix").distinct().join(book, F.startswith(F.lower("product"), F.lower("prefix")))
+    """Book rows with ``prefix``: for each prefix the dearest product that isn't a noise variant, else the dearest; the first on ties.
+    Products meet prefixes by the beginnings of their names of the lengths that prefixes have."""
+    p = prefixes.select("prefix").distinct().withColumn("_head", F.lower("prefix"))
+    lengths = [r["n"] for r in p.select(F.length("_head").alias("n")).distinct().collect()]  # a few: prefixes are names of families
+    j = book.withColumn("_head", F.explode(heads(F.lower("product"), lengths))).join(p, "_head").drop("_head")
     rest = F.trim(F.expr("substring(product, length(prefix) + 1)"))
     j = j.withColumn("noisy", rest.rlike(noise))
     return first_by(j, ["prefix"], [F.col("noisy"), F.col("list_price").desc(), F.col(ties)]).drop("noisy")
@@ -44,9 +60,8 @@ def family_products(book: DataFrame, conf: C.Products) -> DataFrame:
     targets = spark.createDataFrame([(g,) for g in goals], "target string")
     b = first_wins(book, ["product"]).withColumn("low", F.lower("product"))
     named = targets.join(b, F.lower("target") == F.col("low")).select("target", F.lit("").alias("sport"), F.lit(0).alias("tier"), F.col("src_pos").alias("product_pos"))
-    s = spark.createDataFrame([(x,) for x in sports], "sport string")
     own = b.where(F.startswith("low", F.lit(conf.sport_family.lower()))) if conf.sport_family else b.limit(0)
-    j = s.join(own, F.contains("low", F.lower("sport")))
+    j = own.withColumn("sport", F.explode(F.filter(F.array(*[F.lit(x) for x in sports]), lambda x: F.contains(F.col("low"), F.lower(x))))) if sports else own.withColumn("sport", F.lit("")).limit(0)
     wide = F.contains("low", F.lit("league wide"))
     tier = F.when(F.col("low") == F.concat(F.lit(conf.sport_family.lower() + " "), F.lower("sport"), F.lit(" credits for league wide usage")), 1).when(wide, 2).otherwise(3)
     by_sport = j.select(F.lit(conf.sport_family).alias("target"), "sport", tier.alias("tier"), F.col("src_pos").alias("product_pos"))
@@ -70,19 +85,19 @@ def resolve_cells(cells: DataFrame, book: DataFrame, conf: C.Products | None = N
     t = t.withColumn("sport", F.coalesce(sport_map[sport_key], F.lit(conf.default_sport)))
     fam = family_products(book, conf)
     named = first_wins(book, ["product"]).groupBy(F.lower("product").alias("low")).agg(F.min("src_pos").alias("product_pos"))
-    # The dictionaries are configuration: a few dozen rows each, whatever the input's size.
-    feature, alias = F.broadcast(pairs(conf.features, "low string, target string, dict_pos int")), pairs(conf.aliases, "alias string, target string, dict_pos int")
-    family = pairs({f: f for f in conf.families}, "alias string, target string, dict_pos int")
+    feature, alias = pairs(conf.features, "low string, target string, dict_pos int"), pairs(conf.aliases, "alias string, target string, dict_pos int")
+    family = pairs({f: f for f in conf.families}, "alias string, target string, dict_pos int").withColumn("head", F.lower("alias"))
     base = t.select("key", "token_pos", "low", "sport")
     step = lambda df, n: df.select("key", "token_pos", "sport", "target", F.lit(n).alias("step"))
-    spaced = F.startswith("low", F.concat("alias", F.lit(" ")))
-    exact_alias = base.join(F.broadcast(alias), F.col("low") == F.col("alias"))
-    prefix = first_by(base.join(exact_alias.select("key", "token_pos"), ["key", "token_pos"], "left_anti").join(F.broadcast(alias), spaced), ["key", "token_pos"], [F.col("dict_pos")])
-    fam_prefix = base.join(F.broadcast(family), F.startswith("low", F.lower("alias")))
+    exact_alias = base.join(alias, F.col("low") == F.col("alias"))
+    # Beginnings of tokens meet dictionaries by equality: those that a space follows aliases, those of the families' lengths families.
+    rest = base.join(exact_alias.select("key", "token_pos"), ["key", "token_pos"], "left_anti")
+    prefix = first_by(rest.withColumn("head", F.explode(F.array_distinct(F.array_compact(word_heads(F.col("low")))))).join(alias, F.col("head") == F.col("alias")), ["key", "token_pos"], [F.col("dict_pos")])
+    fam_prefix = base.withColumn("head", F.explode(heads(F.col("low"), [len(f.lower()) for f in conf.families]))).join(family, "head")
     lookups = step(base.join(feature, "low"), 2).unionByName(step(exact_alias, 3)).unionByName(step(prefix, 3))
     lookups = lookups.unionByName(fam_prefix.select("key", "token_pos", "sport", "target", (F.lit(4) + F.col("dict_pos")).alias("step")))
     fam = fam.select("target", F.col("sport").alias("fs"), "tier", "product_pos")
-    led = lookups.join(F.broadcast(fam), ["target"]).where((F.col("fs") == "") | (F.col("fs") == F.col("sport")))
+    led = lookups.join(fam, ["target"]).where((F.col("fs") == "") | (F.col("fs") == F.col("sport")))
     led = first_by(led, ["key", "token_pos", "step"], [F.col("tier")]).select("key", "token_pos", "step", "product_pos")
     direct = base.join(named, "low").select("key", "token_pos", F.lit(1).alias("step"), "product_pos")
     best = first_by(direct.unionByName(led), ["key", "token_pos"], [F.col("step")])

@@ -17,10 +17,10 @@ from rowsmith.sources import lookups, picklists, sheets, sinks
 
 
 def _file(spark, name: str, head: list[str], rows: DataFrame, *cells: Column) -> str:
-    """A CSV file with the given first lines and a line of quoted cells per row of ``rows`` (with pos)."""
+    """A CSV sheet with the given first lines and a line of quoted cells per row of ``rows`` (with pos)."""
     quoted = F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(c.cast("string"), F.lit('"'), F.lit('""')), F.lit('"')) for c in cells])
     lines = spark.createDataFrame([(i - len(head), x) for i, x in enumerate(head)], "pos long, line string").unionByName(rows.select(F.col("pos").cast("long").alias("pos"), quoted.alias("line")))
-    return text_file(lines, name)
+    return text_file(lines, name, parts=True)
 
 
 def _pick(k: Column, *values) -> Column:

@@ -69,7 +69,7 @@ def product_lines(c: Crosscheck, book: DataFrame, conf: C.Products | None = None
     return products.allocate(lines.join(work.drop("cell", "sport"), "key"), "total_arr")
 
 
-def build(spark: SparkSession, input_path: str, out: str, settings: C.Settings, kind: str = "csv", names: C.Names | None = None, conf: C.Products | None = None, rep: str = "", period: str = "", per_row: bool = False, master: str = "", dry_run: bool = False) -> dict[str, int]:
+def build(spark: SparkSession, input_path: str, out: str, settings: C.Settings, kind: str = "csv", names: C.Names | None = None, conf: C.Products | None = None, rep: str = "", period: str = "", per_row: bool = False, master: str = "", dry_run: bool = False, one_file: bool = True) -> dict[str, int]:
     """Deals sheet to import files. Gives row counts by file; a dry run only counts."""
     conf = conf or C.load_products(settings.products_json)
     rows = sheets.filtered(sheets.deals(spark, input_path), rep, period)
@@ -93,7 +93,7 @@ def build(spark: SparkSession, input_path: str, out: str, settings: C.Settings,
         df = written(df, name)
         counts[name] = df.count()
         if not dry_run:
-            sinks.write_csv(df, f"{out.rstrip('/')}/{name}")
+            sinks.write_csv(df, f"{out.rstrip('/')}/{name}", one_file=one_file)
     return counts
 
 

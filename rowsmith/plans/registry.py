@@ -548,7 +548,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _every() -> None:
     """Load the modules that register further queries."""
-    from rowsmith.plans import files, forms, loads, matches  # noqa: F401
+    from rowsmith.plans import files, forms, live, loads, matches  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -51,8 +51,9 @@ def release(*tables: DataFrame) -> None:
         _remove(t.sparkSession, t.written_to)
 
 
-def text_file(lines: DataFrame, name: str, suffix: str = ".csv") -> str:
-    """The rows of (pos, line) as one text file in order; its path. For sheets, which are one file."""
+def text_file(lines: DataFrame, name: str, suffix: str = ".csv", parts: bool = False) -> str:
+    """The rows of (pos, line) as text in order; its path. One file, or with ``parts`` a folder of files in the order of their names."""
     path = new_path(lines.sparkSession, name, suffix)
-    lines.repartition(1).sortWithinPartitions("pos").select("line").write.option("lineSep", "\n").text(path)
+    dealt = lines.repartitionByRange("pos") if parts else lines.repartition(1)
+    dealt.sortWithinPartitions("pos").select("line").write.option("lineSep", "\n").text(path)
     return path

@@ -17,6 +17,7 @@ from rowsmith import config as C
 from rowsmith.functions.amounts import lenient_int, price, product_family
 from rowsmith.functions.text import strip, text
 from rowsmith.operators.entities import duplicates
+from rowsmith.sources.records import csv_records
 
 # Standard fields and the headers that may hold them, in order of preference.
 ACCOUNT_HEADERS = {
@@ -49,34 +50,49 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def mapped_columns(df: DataFrame, headers: dict[str, list[str]]) -> list[Column]:
-    """Standard columns: of the headers present, in any case, the first non-empty value; else empty."""
-    present = {}
-    for c in df.columns:
-        present.setdefault(c.strip().lstrip("﻿").lower(), c)
+def _chosen(headers: dict[str, list[str]], present: dict[str, Column]) -> list[Column]:
+    """Standard columns: of the headers present (by their lower-case label) the first non-empty value; else empty."""
     def one(names: list[str]) -> Column:
-        values = [strip(F.col(f"`{present[n.strip().lower()]}`")) for n in names if n.strip().lower() in present]
+        values = [strip(present[n.strip().lower()]) for n in names if n.strip().lower() in present]
         return F.coalesce(*[F.when(v != "", v) for v in values], F.lit(""))
     return [one(names).alias(field) for field, names in headers.items()]
 
 
+def _label(c: str | None) -> str:
+    return (c or "").strip().lstrip("\ufeff").lower()
+
+
+def mapped_columns(df: DataFrame, headers: dict[str, list[str]]) -> list[Column]:
+    """Standard columns of a frame whose columns are named by headers, in any case."""
+    present: dict[str, Column] = {}
+    for c in df.columns:
+        present.setdefault(_label(c), F.col(f"`{c}`"))
+    return _chosen(headers, present)
+
+
 def with_overrides(table: str, headers: dict[str, list[str]]) -> dict[str, list[str]]:
     """Headers with those that the environment prefers (LOOKUP_<TABLE>_<FIELD>_HEADER) in front."""
     return {f: [*([v] if (v := os.environ.get(f"LOOKUP_{table.upper()}_{f.upper()}_HEADER")) else []), *names] for f, names in headers.items()}
 
 
 def read_csv(spark: SparkSession, path: str, headers: dict[str, list[str]], required: bool = False, strict_headers: bool = False) -> DataFrame:
-    """A CSV export under standard names, positions in file order; no file is no rows, unless required."""
+    """A CSV export under standard names, positions in file order, blank lines left out; no file is no rows, unless required."""
     if not exists(spark, path):
         if required:
             raise FileNotFoundError(path)
         return spark.createDataFrame([], _schema(headers))
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
-    if strict_headers:
-        known = {c.strip().lstrip("﻿").lower() for c in raw.columns}
-        if missing := [n[0] for n in headers.values() if not any(x.lower() in known for x in n)]:
-            raise ValueError(f"{path} lacks columns {missing}")
-    return raw.select((F.monotonically_increasing_id() + 1).alias("src_pos"), *mapped_columns(raw, headers))
+    rows = csv_records(spark, path).where(F.size("cells") > 0)
+    first = rows.orderBy("src_pos").limit(1).collect()
+    labels = [_label(c) for c in first[0]["cells"]] if first else []
+    if strict_headers and (missing := [n[0] for n in headers.values() if not any(x.lower() in labels for x in n)]):
+        raise ValueError(f"{path} lacks columns {missing}")
+    if not first:
+        return spark.createDataFrame([], _schema(headers))
+    present: dict[str, Column] = {}
+    for i, label in enumerate(labels):
+        present.setdefault(label, F.get("cells", F.lit(i)))
+    at = first[0]["src_pos"]
+    return rows.where(F.col("src_pos") > at).select((F.col("src_pos") - at).alias("src_pos"), *_chosen(headers, present))
 
 
 class CsvSource:

@@ -1,8 +1,8 @@
 """Hand-filled sheets: preamble, header row somewhere, columns by label.
 
-A sheet is read as rows of cells with their position. The header is found on the driver
-(a sheet has one header); everything below it is a DataFrame projection. Positions come
-from one ordered read of one file, which is how a sheet exists."""
+A sheet is read as rows of cells with their position, a large one by several tasks (see
+``records``). The header is found on the driver (a sheet has one header); everything below
+it is a DataFrame projection."""
 
 from __future__ import annotations
 
@@ -10,10 +10,10 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rowsmith.functions.amounts import amount
 from rowsmith.functions.text import record_id, strip, text
+from rowsmith.sources.records import csv_records
 from rowsmith.sources.xlsx import read_xlsx
 
 # Column labels of a deals sheet, and the fields they fill.
@@ -43,20 +43,10 @@ def squeezed(label: str | None) -> str:
 
 
 def read_rows(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
-    """(src_pos, cells): all rows of a CSV or xlsx sheet, in order, position 1 being the first.
-    Lines of a CSV file without even a comma aren't rows."""
+    """(src_pos, cells): all rows of a CSV or xlsx sheet, position 1 being the first; blank rows count and have no cells."""
     if path.lower().endswith(".xlsx"):
         return read_xlsx(spark, path, sheet)
-    width = 1 + max((line.count(",") for line in _head(spark, path)), default=0)
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    raw = spark.read.schema(schema).option("header", False).option("multiLine", True).option("encoding", "UTF-8").option("escape", '"').csv(path)
-    cells = F.array(*[F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(width)])
-    # A multi-line CSV file is one partition, so ids follow the file's order.
-    return raw.select((F.monotonically_increasing_id() + 1).alias("src_pos"), F.transform(cells, lambda c: F.regexp_replace(c, "^﻿", "")).alias("cells"))
-
-
-def _head(spark: SparkSession, path: str, n: int = 200) -> list[str]:
-    return [r[0] for r in spark.read.text(path).limit(n).collect()]
+    return csv_records(spark, path)
 
 
 def header(rows: DataFrame, marker: str, first: int | None = None, fold: bool = True) -> tuple[int, list[str]]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rowsmith import config as C
 from rowsmith.functions.amounts import cents, charge_terms, deal_kind, money
 from rowsmith.functions.text import slug, split_name, squeeze, strip, text
+from rowsmith.plans.tables import written
 from rowsmith.sources.sheets import CAMERA_PARTS, MAX_CAMERAS
 from rowsmith.sources.xlsx import column_letters, workbook
 
@@ -29,11 +30,14 @@ def columns(df: DataFrame, names: list[str], values: dict[str, Column], order: l
     return df.orderBy(*order).select(*[text(values[n]).alias(n) if n in values else F.lit("").alias(n) for n in names])
 
 
-def write_csv(df: DataFrame, path: str, labels: dict[str, str] | None = None, one_file: bool = True) -> None:
-    """One file with a header, also without rows, cells as they are, spaces included. Import files are as large as what
-    a person reviews; without ``one_file`` each task writes its own, in order of name."""
+def write_csv(df: DataFrame, path: str, labels: dict[str, str] | None = None, one_file: bool = False) -> None:
+    """Files with a header, cells as they are, spaces included: each task writes its own, in order of name, or all go to
+    one, as a person uploads it. Without rows there is one file of the header."""
     for old, new in (labels or {}).items():
         df = df.withColumnRenamed(old, new)
+    if not one_file:
+        df = written(df, "import-file")
+        one_file = not df.take(1)
     out = (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"')
     out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 

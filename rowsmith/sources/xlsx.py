@@ -1,20 +1,29 @@
 """xlsx sheets from and to their zipped XML, without a spreadsheet library.
 
-Files are read through Spark's file reader, so they may lie in any store it knows."""
+Files are read through Spark's file reader, so they may lie in any store it knows, and parsed in tasks: a folder of
+workbooks by as many as there are workbooks, each sheet as a stream of rows."""
 
 from __future__ import annotations
 
 import io
 import re
 import zipfile
+from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree as X
 from xml.sax.saxutils import escape
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from rowsmith.plans.tables import written
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships", "p": "http://schemas.openxmlformats.org/package/2006/relationships"}
 
 
+#: Rows of one Arrow batch that a task gives.
+TOGETHER = 2048
+
+
 def column_number(letters: str) -> int:
     n = 0
     for ch in letters:
@@ -30,47 +39,127 @@ def column_letters(n: int) -> str:
     return out
 
 
-def sheet_rows(data: bytes, sheet: str | None = None) -> list[list[str]] | None:
-    """The sheet's values as text, blank cells empty; None if there is no such sheet."""
-    z = zipfile.ZipFile(io.BytesIO(data))
+def _tag(name: str) -> str:
+    return f"{{{_NS['m']}}}{name}"
+
+
+def _targets(z: zipfile.ZipFile) -> dict[str, str]:
+    """Places of the sheets within the file, by name, in the workbook's order."""
     rels = {r.get("Id"): r.get("Target") for r in X.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-    sheets = {s.get("name"): rels[s.get(f"{{{_NS['r']}}}id")] for s in X.fromstring(z.read("xl/workbook.xml")).find("m:sheets", _NS)}
-    if sheet is not None and sheet not in sheets:
-        return None
-    target = sheets[sheet] if sheet else next(iter(sheets.values()))
-    shared = []
-    if "xl/sharedStrings.xml" in z.namelist():
-        shared = ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")) for si in X.fromstring(z.read("xl/sharedStrings.xml"))]
-    rows: list[list[str]] = []
-    root = X.fromstring(z.read(target.lstrip("/") if target.startswith("/") else f"xl/{target}"))
-    for row in root.iter(f"{{{_NS['m']}}}row"):
-        at = int(row.get("r") or len(rows) + 1)
-        while len(rows) < at:
-            rows.append([])
+    found = {s.get("name"): rels[s.get(f"{{{_NS['r']}}}id")] for s in X.fromstring(z.read("xl/workbook.xml")).find("m:sheets", _NS)}
+    return {name: t.lstrip("/") if t.startswith("/") else f"xl/{t}" for name, t in found.items()}
+
+
+def _elements(z: zipfile.ZipFile, place: str, tag: str) -> Iterator[X.Element]:
+    """The elements of one kind, one at a time; each is let go when the next is asked for."""
+    with z.open(place) as stream:
+        parents: list[X.Element] = []
+        for event, e in X.iterparse(stream, ("start", "end")):
+            if event == "start":
+                parents.append(e)
+                continue
+            parents.pop()
+            if e.tag == tag:
+                yield e
+                if parents:
+                    parents[-1].clear()
+
+
+def _rows(z: zipfile.ZipFile, place: str, shared: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """(position, values as text) of a sheet's rows; blank cells are empty, rows that the file leaves out have no cells."""
+    last = 0
+    for row in _elements(z, place, _tag("row")):
+        at = int(row.get("r") or last + 1)
+        for missing in range(last + 1, at):
+            yield missing, []
+        cells: list[str] = []
         for c in row.findall("m:c", _NS):
             ref = re.match(r"[A-Z]+", c.get("r") or "")
-            col = column_number(ref[0]) if ref else len(rows[at - 1]) + 1
+            col = column_number(ref[0]) if ref else len(cells) + 1
             value, kind = c.find("m:v", _NS), c.get("t")
             if kind == "inlineStr":
-                text = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t"))
+                text = "".join(t.text or "" for t in c.iter(_tag("t")))
             elif value is None:
                 text = ""
             else:
                 text = shared[int(value.text)] if kind == "s" else ("True" if value.text == "1" else "False") if kind == "b" else value.text or ""
-            rows[at - 1] += [""] * (col - len(rows[at - 1]))
-            rows[at - 1][col - 1] = text
-    return rows
+            cells += [""] * (col - len(cells))
+            cells[col - 1] = text
+        yield at, cells
+        last = at
+
+
+def workbook_rows(data: bytes, sheets: list[str] | None = None) -> Iterator[tuple[str, int, list[str]]]:
+    """(sheet, position, values) of the named sheets that a workbook has, or of all. Sheets are read as streams: what is held
+    is the zipped file, its shared strings and one row."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        targets = _targets(z)
+        shared = ["".join(t.text or "" for t in si.iter(_tag("t"))) for si in _elements(z, "xl/sharedStrings.xml", _tag("si"))] if "xl/sharedStrings.xml" in z.namelist() else []
+        for name in [n for n in targets if sheets is None or n in sheets]:
+            for at, cells in _rows(z, targets[name], shared):
+                yield name, at, cells
+
+
+def sheet_rows(data: bytes, sheet: str | None = None) -> list[list[str]] | None:
+    """The sheet's values as text, blank cells empty; None if there is no such sheet."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        names = list(_targets(z))
+    if sheet is not None and sheet not in names:
+        return None
+    return [cells for _, _, cells in workbook_rows(data, [sheet or names[0]])]
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
+
+
+def read_workbooks(spark: SparkSession, path: str, sheets: list[str] | None = None) -> DataFrame:
+    """(path, sheet, src_pos, cells) of the named sheets (or all) of the workbooks at ``path``: a file, a folder or a pattern.
+    Tasks take one workbook at a time."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["path", "sheet", "src_pos", "cells"]
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.string())]
+
+        def batch_of(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+        for batch in batches:
+            for place, data in zip(batch.column(0), batch.column(1), strict=True):
+                held = []
+                for row in workbook_rows(data.as_py(), sheets):
+                    held.append((place.as_py(), *row))
+                    if len(held) == TOGETHER:
+                        yield batch_of(held)
+                        held = []
+                if held:
+                    yield batch_of(held)
+
+    return _files(spark, path).mapInArrow(run, "path string, sheet string, src_pos long, cells array<string>")
+
+
+def sheet_names(spark: SparkSession, path: str) -> DataFrame:
+    """(path, place, sheet): the sheets of the workbooks at ``path``, in the workbooks' order."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for place, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                with zipfile.ZipFile(io.BytesIO(data.as_py())) as z:
+                    rows += [(place, i, name) for i, name in enumerate(_targets(z))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), pa.int32(), pa.string()))], names=["path", "place", "sheet"])
+
+    return _files(spark, path).mapInArrow(run, "path string, place int, sheet string")
 
 
 def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None, missing_ok: bool = False) -> DataFrame:
-    """(src_pos, cells) of one sheet. A workbook is one file that one person filled: it is parsed on the driver."""
-    data = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
-    rows = sheet_rows(data, sheet)
-    if rows is None:
+    """(src_pos, cells) of one sheet of one workbook, the first one if none is named."""
+    names = [r["sheet"] for r in sheet_names(spark, path).orderBy("path", "place").collect()]  # as many as the workbook has tabs
+    if not names or sheet is not None and sheet not in names:
         if not missing_ok:
             raise ValueError(f"no sheet {sheet!r} in {path}")
-        rows = []
-    return spark.createDataFrame([(i, r) for i, r in enumerate(rows, 1)], "src_pos long, cells array<string>")
+        return spark.createDataFrame([], "src_pos long, cells array<string>")
+    return written(read_workbooks(spark, path, [sheet or names[0]]).select("src_pos", "cells"), "sheet")
 
 
 def workbook(sheets: dict[str, dict]) -> bytes:

@@ -14,9 +14,13 @@ from rowsmith.functions.text import normalise_league
 SCHEMA = T.StructType([T.StructField("src_pos", T.LongType()), T.StructField("league", T.StringType()), T.StructField("period", T.StringType()), T.StructField("arr_eur", T.DoubleType()), T.StructField("submitted", T.TimestampType())])
 
 
-def arriving(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
+#: With what else matching reads of a deal.
+WIDE = T.StructType([*SCHEMA.fields, T.StructField("territory", T.StringType()), T.StructField("account_ref", T.StringType())])
+
+
+def arriving(spark: SparkSession, folder: str, files_per_batch: int = 100, schema: T.StructType = SCHEMA) -> DataFrame:
     """Deals of Parquet files as they arrive."""
-    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
 def totals(deals: DataFrame, late: str = "30 days", window: str = "7 days") -> DataFrame:

@@ -64,3 +64,68 @@ def test_answers(tool):
     with pytest.raises(command.ToolMissing):
         command.answered(["/no/such/tool"], "SELECT Id FROM Account", 1)
     assert command.quoted("O'Neil\\") == "'O\\'Neil\\\\'" and command.quoted(True) == "true" and command.quoted(3) == "3"
+
+
+def _rehearsed(folder, n):
+    """A rehearsal tool that holds ``n`` accounts, and the line to call it."""
+    import json
+    import pathlib
+
+    from rowsmith.sources import rehearsal
+
+    (folder / "state" / "Account").mkdir(parents=True)
+    for i in range(n):
+        ident = f"001{(i * 7919) % 100_000:05d}x{chr(65 + i % 26)}"
+        (folder / "state" / "Account" / f"{ident}.json").write_text(json.dumps({"Id": ident, "Name": f"Name {i}", "Owner": "O'Neil" if i % 5 else None}))
+    wrapper = folder / "tool.py"
+    wrapper.write_text(f"import sys, json\nsys.path.insert(0, {str(pathlib.Path(rehearsal.__file__).parent)!r})\nimport rehearsal\nopen({str(folder / 'log')!r}, 'a').write(sys.argv[-1] + '\\n')\nprint(json.dumps(rehearsal.main(sys.argv[1:])))\n")
+    return f"{sys.executable} -S {wrapper} {folder / 'state'} data query --json --query", lambda: (folder / "log").read_text().splitlines()
+
+
+def test_scans_in_ranges_and_pages(spark, tmp_path):
+    line, asked = _rehearsed(tmp_path, 230)
+    whole = [tuple(r) for r in command.records(spark, line, "Account", ["Id", "Name", "Owner"]).collect()]
+    assert len(whole) == 230 and len(asked()) == 1
+    parts = command.records(spark, line, "Account", ["Name", "Id", "Owner"], tasks=6, page=20)
+    got = parts.select("Id", "Name", "Owner").collect()
+    assert [tuple(r) for r in got] == sorted(whole)  # in the order of ids, across tasks too
+    queries = asked()[1:]
+    assert "SELECT MIN(Id) low, MAX(Id) high FROM Account" in queries and all(q.endswith("LIMIT 20") for q in queries if "MIN(Id)" not in q)
+    assert parts.rdd.getNumPartitions() == 6 and len(queries) >= 230 // 20
+    some = command.records(spark, line, "Account", ["Name"], tasks=3, page=50).where("Name like 'Name 1%'")
+    assert {r["Name"] for r in some.collect()} == {f"Name {i}" for i in range(230) if str(i).startswith("1")}
+    assert "LIKE 'Name 1%' AND Id > " in asked()[-1] or "LIKE 'Name 1%' AND Id <= " in asked()[-1] or "LIKE 'Name 1%' ORDER" in asked()[-1]
+    assert command.records(spark, line, "Nothing", ["Id"], tasks=4, page=10).count() == 0
+    source = command.LiveSource(spark, line, tasks=4, page=30)
+    rows = source.companies().orderBy("src_pos").collect()
+    assert [r["id"] for r in rows] == sorted(r["id"] for r in rows) and len(rows) == 230
+
+
+def test_many_point_lookups(spark, tmp_path):
+    line, asked = _rehearsed(tmp_path, 120)
+    ids = [r["Id"] for r in command.records(spark, line, "Account", ["Id"]).collect()]
+    wanted = spark.createDataFrame([(i,) for i in [*ids[:90], *ids[:10], "", None, "nobody", "it's"]], "id string")
+    before = len(asked())
+    got = command.point_records(wanted, line, "Account", ["Name", "Owner"], tasks=3, chars=300)
+    assert {r["Id"] for r in got.collect()} == set(ids[:90]) and got.count() == 90 and got.columns == ["Id", "Name", "Owner"]
+    queries = asked()[before:]
+    assert all(len(q) < 400 for q in queries) and len(queries) < 60
+    by_name = command.point_records(spark.createDataFrame([("Name 3",), ("Name 5",)], "n string"), line, "Account", ["Id"], key="Name")
+    assert {r["Name"] for r in by_name.collect()} == {"Name 3", "Name 5"}
+    assert {r["Name"] for r in command.LiveSource(spark, line).records_of("Account", wanted, ["Name"]).collect()} and command.point_records(wanted.limit(0), line, "Account", ["Name"]).count() == 0
+
+
+def test_ranges_cover_all_keys_evenly():
+    import random
+
+    rng = random.Random(41)
+    for _ in range(300):
+        keys = sorted({"".join(rng.choice(command.SIGNS) for _ in range(rng.randrange(1, 14))) for _ in range(60)})
+        if rng.random() < 0.5:
+            keys = sorted("0015w" + k for k in keys)
+        cut = command.key_ranges(keys[0], keys[-1], rng.randrange(1, 9))
+        places = [[k for k in keys if (a is None or k > a) and (b is None or k <= b)] for a, b in cut]
+        assert [k for p in places for k in p] == keys
+    assert command.key_ranges("a", "a", 5) == [(None, None)]
+    even = command.key_ranges("001000000", "001zzzzzz", 4)
+    assert [b[3] for _, b in even[:-1]] == ["F", "V", "k"] or len(even) == 4
