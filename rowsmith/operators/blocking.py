@@ -87,11 +87,13 @@ def set_overlap(a: DataFrame, b: DataFrame, percent: int = 80, least: int = 2, o
 
     Prefix filter: with words in order of rarity, two such sets share one of each one's first
     size - ceil(percent * size) + 1 words, and at the first word that they share enough words are left on
-    either side. Ids, sizes and places meet on those words; the sets themselves are fetched
-    for the pairs that met, and tested exactly. Where both sides are one frame, its words are counted and cut once."""
+    either side. Words travel as 64-bit hashes, with ids, sizes and places; of a pair that met, the words it shares so
+    far and those left behind the last of them bound what it can have in common, so the sets themselves are fetched only
+    for pairs that may pass, and tested exactly (words of one hash can only bring more pairs together). Where both
+    sides are one frame, its words are counted and cut once."""
     same = a is b
     a, b = a.where(F.size("words") >= least), b.where(F.size("words") >= (least if same else 1))
-    spread = lambda df: df.select("id", F.size("words").alias("size"), F.explode("words").alias("w"))
+    spread = lambda df: df.select("id", F.size("words").alias("size"), F.explode(F.transform("words", lambda w: F.xxhash64(w))).alias("w"))
     counts = (spread(a) if same else spread(a).unionByName(spread(b))).groupBy("w").agg(F.count("*").alias("n"))
 
     def prefix(df: DataFrame) -> DataFrame:
@@ -105,8 +107,11 @@ def set_overlap(a: DataFrame, b: DataFrame, percent: int = 80, least: int = 2, o
     side = lambda df, i: df.select(F.col("id").alias(i), F.col("size").alias(f"n{i}"), F.col("place").alias(f"p{i}"), "w")
     enough = f"100 * least(na, nb, na - pa, nb - pb) >= {percent} * greatest(na, nb)" + (" and a < b" if once else "")
     met = side(mine, "a").join(side(mine if same else prefix(b), "b"), "w").where(enough)
+    # All common words up to the last shared prefix word are shared prefix words themselves.
+    bound = F.col("m") + F.least(F.col("na") - F.col("last.pa"), F.col("nb") - F.col("last.pb")) - 1
+    some = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("m"), F.max(F.struct("pa", "pb")).alias("last")).where(100 * bound >= percent * F.greatest("na", "nb")).select("a", "b")
     sets = lambda df, i: df.select(F.col("id").alias(i), F.col("words").alias(f"w{i}"))
-    pairs = met.select("a", "b").distinct().join(sets(a, "a"), "a").join(sets(b, "b"), "b").withColumn("common", F.size(F.array_intersect("wa", "wb")))
+    pairs = some.join(sets(a, "a"), "a").join(sets(b, "b"), "b").withColumn("common", F.size(F.array_intersect("wa", "wb")))
     return pairs.where(100 * F.col("common") >= percent * F.greatest(F.size("wa"), F.size("wb"))).select("a", "b", "common")
 
 

@@ -13,7 +13,7 @@ from rowsmith.functions import amounts
 from rowsmith.operators import entities
 from rowsmith.plans.registry import T, query
 from rowsmith.plans.tables import new_path, text_file, written
-from rowsmith.sources import lookups, picklists, sheets, sinks
+from rowsmith.sources import lookups, picklists, sheets, sinks, xlsx
 
 
 def _file(spark, name: str, head: list[str], rows: DataFrame, *cells: Column) -> str:
@@ -77,6 +77,39 @@ def sheet_writes(spark, d):
     return wanted.join(team, "row").select("pos", "col", "old", "new")
 
 
+@query("""select 'order' as kind, n_name as book, s_suppkey::varchar as k, s_name as value from supplier join nation on n_nationkey = s_nationkey where s_suppkey % 4 > 0
+ union all select 'config', n_name, '', 'EUR' || n_nationkey from nation where n_nationkey in (select s_nationkey from supplier)""")
+def order_workbooks(spark, d):
+    """A folder of workbooks, one a nation, read by tasks: order rows below their header, blank rows counted, and the currency of each config tab."""
+    folder = new_path(spark, "workbooks")
+    rows = T(spark, d, "supplier").join(T(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("n_name", "n_nationkey", "s_suppkey", "s_name")
+
+    def write(part):
+        from rowsmith.sources.target import _place
+
+        part = part.sort_values("s_suppkey")
+        name, key = part["n_name"].iloc[0], part["n_nationkey"].iloc[0]
+        lines = [[t if k % 4 else "", "Soccer", str(k)] for k, t in zip(part["s_suppkey"], part["s_name"], strict=True)]
+        data = xlsx.workbook({"Main Camera Sheet": {"rows": [["Orders"], [], [], [], ["Team Name", "Sport", "Order Name"], *lines]}, "Config": {"rows": [["CONFIG"], [], ["League", name], ["Currency", f"EUR{key}"]]}})
+        store, place = _place(folder)
+        store.create_dir(place, recursive=True)
+        with store.open_output_stream(f"{place}/{key}.xlsx") as out:
+            out.write(data)
+        return part[["n_name"]].head(1)
+
+    made = rows.groupBy("n_name").applyInPandas(write, "n_name string")  # a workbook is what one person fills
+    if not made.count():
+        return spark.createDataFrame([], "kind string, book string, k string, value string")
+    names = xlsx.read_workbooks(spark, folder, ["Config"])
+    config = names.where(F.size("cells") > 1).groupBy("path").agg(*[F.max(F.when(F.col("cells")[0] == c, F.col("cells")[1])).alias(c) for c in ("League", "Currency")])
+    config = written(config, "config")
+    found = xlsx.read_workbooks(spark, folder, ["Main Camera Sheet"])
+    orders = sheets.orders(found).select("src_pos", "team", F.col("order_name").alias("k"))
+    teams = found.select("src_pos", "path", F.trim(F.get("cells", F.lit(0))).alias("team"))
+    mine = orders.join(teams, ["src_pos", "team"]).join(config, "path")
+    return mine.select(F.lit("order").alias("kind"), F.col("League").alias("book"), "k", F.col("team").alias("value")).unionByName(config.select(F.lit("config").alias("kind"), F.col("League").alias("book"), F.lit("").alias("k"), F.col("Currency").alias("value")))
+
+
 # ---------------------------------------------------------------- lookups
 @query("""select 'A' || c_custkey as id, c_name as name, case when c_custkey % 2 = 0 then 'first' else 'Sweden' end as country, '' as org_type from customer""")
 def account_export(spark, d):

@@ -71,3 +71,45 @@ def _placed(rows):
     lower = n.select(F.col("task").alias("t"), "n").join(n.select("task"), F.col("t") < F.col("task")).groupBy("task").agg(F.sum("n").alias("before"))  # a row a task
     j = rows.withColumn("task", task).join(lower, "task", "left")
     return j.select("Id", "Name", (F.coalesce("before", F.lit(0)) + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("place"))
+
+
+def _put(rows, there: target.Target, sobject: str) -> None:
+    """Rows (key, fields) as records of the rehearsal tool's folder, as it would keep them."""
+    folder = shlex.split(there.command)[-1]
+
+    def run(batches):
+        for batch in batches:
+            for key, fields in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                rehearsal.create(folder, sobject, dict(fields) | {rehearsal.KEY: key})
+            yield batch.select([0])
+
+    rows.select("key", "fields").mapInArrow(run, "key string").count()
+
+
+@query("""with c as (select c_custkey as k, c_name as name, n_name as country from customer join nation on n_nationkey = c_nationkey)
+select 'account' as kind, name, case when k % 4 = 1 then 'Federation' else '' end as kind_of, country as at from c where k % 4 = 1 union all select 'account', 'Liga ' || k, 'Club', country from c where k % 4 = 2
+ union all select 'user', name, 'u' || k || '@x.example', '' from c where k % 3 > 0 union all select 'company', case when k % 4 = 2 then 'Liga ' || k else name end, '', 'https://www.c' || k || '.example' from c
+ union all select 'record', name, 'Owner ' || k, '' from c where k = (select min(k) from c where k % 4 <> 2)""")
+def live_lookups(spark, d):
+    """Accounts that look like leagues, active users, all companies, and one record with a parent's field, from a live system in ranges and pages."""
+    there = rehearsed(spark, "lookups")
+    c = T(spark, d, "customer").join(T(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    k = F.col("c_custkey")
+    key = k.cast("string")
+    name = F.when(k % 4 == 2, F.concat(F.lit("Liga "), key)).otherwise(F.col("c_name"))
+    pairs = {"Name": name, "BillingCountry": F.col("n_name"), "Kind__c": F.when(k % 4 == 1, "Federation").when(k % 4 == 2, "Club").otherwise("Shop"), "Sport__c": F.lit(""), "Website": F.concat(F.lit("https://www.c"), key, F.lit(".example")), "OwnerName": F.concat(F.lit("Owner "), key)}
+    fields = lambda p: F.create_map(*[x for n, v in p.items() for x in (F.lit(n), v)])
+    accounts = c.select(F.concat(F.lit("A"), key).alias("key"), fields(pairs).alias("fields"))
+    users = c.select(F.concat(F.lit("U"), key).alias("key"), fields({"Name": F.col("c_name"), "Email": F.concat(F.lit("u"), key, F.lit("@x.example")), "IsActive": F.when(k % 3 > 0, "true").otherwise("false")}).alias("fields"))
+    _put(accounts, there, "Account")
+    _put(users, there, "User")
+    source = command.LiveSource(spark, f"{there.command} data query --json --query", org_type_field="Kind__c", tasks=4, page=200)
+    blank = F.lit("")
+    out = source.accounts().select(F.lit("account").alias("kind"), "name", F.col("org_type").alias("kind_of"), F.col("country").alias("at"))
+    out = out.unionByName(source.users().select(F.lit("user").alias("kind"), "name", F.col("email").alias("kind_of"), blank.alias("at")))
+    out = out.unionByName(source.companies().select(F.lit("company").alias("kind"), "name", blank.alias("kind_of"), F.col("domain").alias("at")))
+    first = c.where(k % 4 != 2).agg(F.min("c_custkey")).first()[0]
+    if first is not None:
+        one = source.record("Account", rehearsal.identity("Account", f"A{first}"), ["Name", "OwnerName"])
+        out = out.unionByName(spark.createDataFrame([("record", one["Name"], one["OwnerName"], "")], "kind string, name string, kind_of string, at string"))
+    return written(out, "live-lookups")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsmith import config as C
+from rowsmith.functions.clubs import normalise_club
 from rowsmith.functions.text import normalise_league
 from rowsmith.operators import clubs, entities, match, products
 from rowsmith.plans import jobs
@@ -380,3 +381,18 @@ def discount_prices(spark, d):
     k = F.col("p_partkey")
     lines = p.select(k.alias("k"), F.when(k % 2 == 0, F.concat(F.lit("P"), (k % 3).cast("string"))).alias("book_product"), F.lit(1.0).alias("book_list_price"))
     return lines.select("k", products.unit_price("discount", discounts={f"P{i}": 10.0 + i for i in range(3)}).alias("unit_price"))
+
+
+@query("""select n_nationkey as truth_pos, 'A' || s_suppkey as row_id, case s_suppkey % 3 when 0 then 'alias' when 1 then 'acronym' else 'normalised' end as match_type from supplier join nation on n_nationkey = s_nationkey""")
+def club_dictionaries(spark, d):
+    """A club a nation, found by its alias, by its acronym and through a normaliser of the deployment; the dictionaries have an entry a nation."""
+    nations = T(spark, d, "nation").select("n_nationkey", "n_name")
+    known = [(r["n_nationkey"], f"Zq {r['n_name']} Town") for r in nations.collect()]  # configuration: one club a nation
+    names = C.Names(club_aliases={club: ["Nobody", f"Nick {club}"] for _, club in known}, club_acronyms={club.lower(): f"qx{k}" for k, club in known})
+    club = F.concat(F.lit("Zq "), "n_name", F.lit(" Town"))
+    k = F.col("s_suppkey")
+    name = F.when(k % 3 == 0, F.concat(F.lit("Nick "), club)).when(k % 3 == 1, F.concat(F.lit("QX"), F.col("n_nationkey").cast("string"))).otherwise(F.concat(F.lit("Verein "), club))
+    rows = T(spark, d, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(k.alias("src_pos"), F.concat(F.lit("A"), k.cast("string")).alias("id"), name.alias("name"), F.lit("").alias("domain"))
+    truth = nations.select(F.col("n_nationkey").alias("src_pos"), club.alias("name"), F.lit("").alias("domain"))
+    own = lambda c: normalise_club(F.regexp_replace(c, "^Verein ", ""))
+    return clubs.match(truth, rows, own, names).select("truth_pos", "row_id", "match_type")
