@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rowsmith import config as C
 from rowsmith.functions import amounts
 from rowsmith.operators import entities
+from rowsmith.plans import jobs
 from rowsmith.plans.registry import T, query
 from rowsmith.plans.tables import new_path, text_file, written
 from rowsmith.sources import lookups, picklists, sheets, sinks, xlsx
@@ -110,6 +111,43 @@ def order_workbooks(spark, d):
     return mine.select(F.lit("order").alias("kind"), F.col("League").alias("book"), "k", F.col("team").alias("value")).unionByName(config.select(F.lit("config").alias("kind"), F.col("League").alias("book"), F.lit("").alias("k"), F.col("Currency").alias("value")))
 
 
+def _price_file(spark, d, name: Column) -> str:
+    """A price book of all parts, subscriptions and cameras by turns."""
+    p = T(spark, d, "part")
+    k = F.col("p_partkey")
+    key = k.cast("string")
+    return _file(spark, "prices", ["Price Book Name,Product: Product Name,Product ID,Price Book Entry ID,List Price Currency,List Price,Family"], p.withColumn("pos", k), F.lit("Standard"), name, F.concat(F.lit("P"), key), F.concat(F.lit("E"), key), F.lit("EUR"), F.col("p_retailprice").cast("string"), F.when(k % 2 == 1, "Subscription").otherwise("Camera"))
+
+
+@query("""select 'Subscriptions' as list, 'Part ' || p_partkey as value from part where p_partkey % 2 = 1 union all select 'Cameras', 'Part ' || p_partkey from part where p_partkey % 2 = 0
+ union all select 'config', 'EUR' union all select 'config', 'My League' union all select 'columns', '41'""")
+def order_sheet_template(spark, d):
+    """An empty order sheet: its dropdowns hold the price book's products, its config tab the defaults, found by words of their labels."""
+    from pathlib import Path
+
+    book = _price_file(spark, d, F.concat(F.lit("Part "), F.col("p_partkey").cast("string")))
+    out = new_path(spark, "template", ".xlsx").removeprefix("file://").removeprefix("file:")
+    jobs.order_sheet(spark, C.Settings(pricebook_csv=book), out, "My League")
+    lists = xlsx.read_workbooks(spark, Path(out).as_uri(), ["Lists"]).where("src_pos > 1")
+    values = lists.select(F.posexplode(F.slice("cells", 1, 2)).alias("at", "value")).where("value <> ''").select(F.when(F.col("at") == 0, "Subscriptions").otherwise("Cameras").alias("list"), "value")
+    config = sheets.load_config(spark, out)
+    wide = sheets.header(sheets.read_rows(spark, out, "Main Camera Sheet"), sheets.MARKER, fold=False)[1]
+    found = [("config", C.config_value(config, "currency")), ("config", C.config_value(config, "league")), ("columns", str(len(wide)))]
+    return written(values.unionByName(spark.createDataFrame(found, "list string, value string")), "template")
+
+
+@query("""with n as (select count(*) as n from customer) select f as file, case when f in ('account_existing', 'contact') then 0 else n end as n from n, (values ('account_new'), ('account_existing'), ('contact'), ('opportunity'), ('opp_product'), ('league_crosscheck')) v(f)""")
+def dry_run_counts(spark, d):
+    """A dry run of the build over a deals sheet and a price book, without candidates: how many rows each import file would have."""
+    c = T(spark, d, "customer")
+    k = F.col("c_custkey")
+    key = k.cast("string")
+    deals = _file(spark, "forecast", ["A title", "", "Rep Name,League,Period,ARR,Product"], c.withColumn("pos", k), F.concat(F.lit("Rep "), F.col("c_nationkey").cast("string")), F.concat(F.lit("League "), key), F.lit("H1 2026"), key, F.concat(F.lit("Part "), (k % 3 + 1).cast("string")))
+    book = _price_file(spark, d, F.concat(F.lit("Part "), F.col("p_partkey").cast("string")))
+    counts = jobs.build(spark, deals, new_path(spark, "nowhere"), C.Settings(pricebook_csv=book), "none", dry_run=True)
+    return spark.createDataFrame([(f, n) for f, n in counts.items()], "file string, n long")  # a row a file
+
+
 # ---------------------------------------------------------------- lookups
 @query("""select 'A' || c_custkey as id, c_name as name, case when c_custkey % 2 = 0 then 'first' else 'Sweden' end as country, '' as org_type from customer""")
 def account_export(spark, d):

@@ -385,8 +385,8 @@ def discount_prices(spark, d):
 
 @query("""select n_nationkey as truth_pos, 'A' || s_suppkey as row_id, case s_suppkey % 3 when 0 then 'alias' when 1 then 'acronym' else 'normalised' end as match_type from supplier join nation on n_nationkey = s_nationkey""")
 def club_dictionaries(spark, d):
-    """A club a nation, found by its alias, by its acronym and through a normaliser of the deployment; the dictionaries have an entry a nation."""
-    nations = T(spark, d, "nation").select("n_nationkey", "n_name")
+    """A club a nation that has suppliers, found by its alias, by its acronym and through a normaliser of the deployment; the dictionaries have an entry a nation."""
+    nations = T(spark, d, "nation").join(T(spark, d, "supplier"), F.col("s_nationkey") == F.col("n_nationkey"), "left_semi").select("n_nationkey", "n_name")
     known = [(r["n_nationkey"], f"Zq {r['n_name']} Town") for r in nations.collect()]  # configuration: one club a nation
     names = C.Names(club_aliases={club: ["Nobody", f"Nick {club}"] for _, club in known}, club_acronyms={club.lower(): f"qx{k}" for k, club in known})
     club = F.concat(F.lit("Zq "), "n_name", F.lit(" Town"))

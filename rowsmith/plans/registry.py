@@ -409,12 +409,35 @@ def product_cells(spark, d):
  union all select c_custkey, 'extra', '', case when c_custkey % 7 = 0 then 'x' else '' end from customer) where o <> n""")
 def field_diff(spark, d):
     """Fields that differ between customers and a perturbed copy."""
+    return changes.field_diff(*_perturbed(spark, d))
+
+
+def _perturbed(spark, d, seven: int = 7) -> tuple[DataFrame, DataFrame]:
+    """(desired, current) records of customers."""
     c = T(spark, d, "customer")
     k, s, n = F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_nationkey")
     m = lambda *p: F.create_map(*[x if not isinstance(x, str) else F.lit(x) for x in p])
     now = c.select(k.cast("string").alias("id"), m("name", F.col("c_name"), "segment", s, "nation", n.cast("string")).alias("fields"))
-    want = c.select(k.cast("string").alias("id"), m("name", F.lit("other"), "segment", F.when(k % 3 == 0, "CHANGED").otherwise(s), "nation", (n + (k % 5 == 0).cast("int")).cast("string"), "extra", F.when(k % 7 == 0, "x").otherwise("")).alias("fields"))
-    return changes.field_diff(want, now)
+    want = c.select(k.cast("string").alias("id"), m("name", F.lit("other"), "segment", F.when(k % 3 == 0, "CHANGED").otherwise(s), "nation", (n + (k % 5 == 0).cast("int")).cast("string"), "extra", F.when(k % seven == 0, "x").otherwise("")).alias("fields"))
+    return want, now
+
+
+@query("""with d as (select c_custkey, f, o, n, s from (
+ select c_custkey, 'segment' as f, c_mktsegment as o, case when c_custkey % 3 = 0 then 'CHANGED' else c_mktsegment end as n, 0 as s from customer
+ union all select c_custkey, 'nation', c_nationkey::varchar, (c_nationkey + case when c_custkey % 5 = 0 then 1 else 0 end)::varchar, 0 from customer
+ union all select c_custkey, 'extra', '', case when c_custkey % 7 = 0 then 'x' else '' end, 1 from customer union all select c_custkey, 'extra', '', case when c_custkey % 14 = 0 then 'x' else '' end, 2 from customer) where o <> n)
+select case s when 1 then 'first' else 'second' end as run, c_custkey::varchar as id, f as field, o as old, n as new from d where s > 0 union all select r, c_custkey::varchar, f, o, n from d, (values ('first'), ('second')) v(r) where s = 0""")
+def diff_by_digest(spark, d):
+    """The same diff from a stored snapshot, then again for a plan that changed in part: only buckets whose digests differ are read."""
+    from rowsmith.operators import digests
+    from rowsmith.plans.tables import new_path
+
+    want, now = _perturbed(spark, d)
+    snapshot, folder = new_path(spark, "snapshot"), new_path(spark, "diffs")
+    digests.store_snapshot(now, snapshot, 64)
+    first = digests.diff_since(want, snapshot, folder, 64).withColumn("run", F.lit("first"))
+    second = digests.diff_since(_perturbed(spark, d, 14)[0], snapshot, folder, 64).withColumn("run", F.lit("second"))
+    return first.unionByName(second).select("run", "id", "field", "old", "new")
 
 
 @query("""with a as (select o_orderkey as id, 'order ' || o_orderkey as label from orders union all select o_orderkey + 100000000, 'order ' || (o_orderkey + 100000000) from orders),
