@@ -72,6 +72,12 @@ def release_into(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def settle(spark: SparkSession) -> None:
+    """Let the driver's JVM give back what earlier stages left: plans, broadcasts, generated classes. Its heap grows
+    to the limit otherwise before it is collected, however little is alive."""
+    spark._jvm.System.gc()
+
+
 def _drop(spark: SparkSession, name: str) -> None:
     try:
         spark.sql(f"drop table if exists {name}")

@@ -36,7 +36,7 @@ from rowsmith.llm._io import small_batches
 LEAF = 512
 #: Tokens of each side in a join's first window.
 WINDOW = 4
-#: Cached words of one worker.
+#: Words that one worker keeps, in two generations of this size.
 CACHE = 1 << 17
 #: Texts of these signs normalise alike here and in the library: composed Latin letters, plain white space.
 _SIMPLE = re.compile("[\t-\r\x20-\x7e\xa1-\u017e]*")
@@ -57,6 +57,7 @@ class TreeEncoder:
         norm = json.loads(self.tok.to_str())["normalizer"] or {}
         self.simple = [n["type"] for n in norm.get("normalizers", [norm])] == ["NFC", "Replace", "Lowercase"]
         self.cache: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
         self.agreed: dict[tuple[int, int], bool] = {}
         self._open: Tokenizer | None = None
         self.end = self.tok.model.end_of_word_suffix or ""
@@ -126,11 +127,13 @@ class TreeEncoder:
     def _word(self, word: str) -> tuple[int, str, str]:
         """Number of ids, the ids' line and the decoded line of a normalised piece without spaces.
         White space separates pre-tokens and is dropped, so such pieces are independent."""
-        tokens = [t for piece, _ in self.tok.pre_tokenizer.pre_tokenize_str(word) for t in self.pre_token(piece)]
-        known = (len(tokens), " ".join([str(i) for i, _ in tokens]), " ".join([v for _, v in tokens]))
+        known = self.cache.get(word) or self.older.get(word)
+        if known is None:
+            tokens = [t for piece, _ in self.tok.pre_tokenizer.pre_tokenize_str(word) for t in self.pre_token(piece)]
+            known = (len(tokens), " ".join([str(i) for i, _ in tokens]), " ".join([v for _, v in tokens]))
         if len(word) <= 64:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
+            if len(self.cache) >= CACHE:  # words of the older generation that are met again move to the new one
+                self.cache, self.older = {}, self.cache
             self.cache[word] = known
         return known
 
