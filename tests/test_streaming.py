@@ -81,7 +81,7 @@ def test_in_order_goes_on_after_a_stop(spark, tmp_path, monkeypatch):
             raise RuntimeError("stopped")
         return real(*args)
 
-    for k, part in enumerate((rows[:13], rows[13:27], rows[27:])):
+    for k, part in enumerate((rows[:17], rows[17:])):
         spark.createDataFrame(part, deals.WIDE).coalesce(1).write.mode("append").parquet(folder)
         monkeypatch.setattr(matching.match, "decided", stops_once)
         try:
