@@ -16,25 +16,33 @@ from rowsmith.plans.tables import written
 from rowsmith.sources import lookups
 
 _DIGITS, _LETTERS = "0123456789", "bcdfghjklm"
+_DIGITS_20, _LETTERS_20 = "0123456789ABCDEFGHIJ", "bcdfghjklmnpqrstvwxz"
 
 
 def _letters(k: Column) -> Column:
     return F.translate(k.cast("string"), _DIGITS, _LETTERS)
 
 
+def _short(u: Column) -> Column:
+    """What ``_letters`` spells, at base 20 and without its last digit at that base, which is the case: six letters reach 1.28 billion keys."""
+    k = F.translate(u, _LETTERS, _DIGITS).cast("long")
+    return F.translate(F.conv(F.floor(k / len(_CASES)).cast("string"), 10, 20), _DIGITS_20, _LETTERS_20)
+
+
 def _case(k: Column, forms: list[Column]) -> Column:
     return F.element_at(F.array(*forms), (k % len(forms) + 1).cast("int"))
 
 
-#: Case by case: the league's name, its candidates' names (u: the key in letters), what must come out.
+#: Case by case: the league's name, its candidates' names (u: the key in letters; s: the same, shorter), what must come out.
 _CASES = [
     ("zq{u} Conference", ["zq{u} Conference"], "matched", "exact", 100, 1),
     ("The zq{u} Conf.", ["zq{u} Conference"], "matched", "normalised", 95, 1),
     ("zq{u} North Group (q{u})", ["zq{u} North Assembly (Q{u})"], "matched", "acronym", 80, 1),
     ("zq{u} Big Conference", ["Other zq{u} Body (zq{u} Big Conference)"], "matched", "parenthetical", 75, 1),
     ("zq{u} Conference Mens Soccer", ["zq{u} Conference"], "matched", "normalised", 95, 1),
-    ("QX{u}", ["zq{u} Rim South (qx{u})"], "matched", "acronym", 80, 1),
-    ("qz{u}", ["Quab Zuab {w}"], "matched", "acronym", 80, 1),
+    # A parenthesis of more than six letters is a name, too, and comes first where a league is called just that.
+    ("QX{s} League", ["zq{u} Rim South (qx{s})"], "matched", "acronym", 80, 1),
+    ("qz{s}", ["Quab Zuab {w}"], "matched", "acronym", 80, 1),
     ("zq{u} League", ["zq{u} Association"], "matched", "core", 78, 1),
     ("zq{u} North Group zng", ["zq{u} North Group"], "matched", "normalised", 95, 1),
     ("zq{u} Alpine Circuit", ["zq{u} Alpine Circuit Premier Stage"], "matched", "containment", 60, 1),
@@ -56,9 +64,8 @@ _FAR, _NEAR, _PASTED, _MANUAL, _ALIAS = 14, 15, 16, 17, 18
 
 
 def _name(template: str, u: Column) -> Column:
-    spelled = F.regexp_replace(u, "(.)", "$1uab ")
-    known = {"u": u, "w": F.trim(spelled), "h": F.md5(u)}
-    parts = [known.get(p, F.lit(p)) for p in template.replace("{u}", "\0u\0").replace("{w}", "\0w\0").replace("{h}", "\0h\0").split("\0")]
+    known = {"u": u, "s": _short(u), "w": F.trim(F.regexp_replace(_short(u), "(.)", "$1uab ")), "h": F.md5(u)}
+    parts = [known.get(p, F.lit(p)) for p in template.replace("{u}", "\0u\0").replace("{s}", "\0s\0").replace("{w}", "\0w\0").replace("{h}", "\0h\0").split("\0")]
     return F.concat(*parts)
 
 
