@@ -20,7 +20,7 @@ def rehearsed(spark, name: str) -> target.Target:
     folder = new_path(spark, name).removeprefix("file://").removeprefix("file:")
     if not folder.startswith("/"):
         raise ValueError(f"the rehearsal tool needs a mounted folder, not {folder}")
-    return target.Target(shlex.join([sys.executable, "-S", rehearsal.__file__, folder]), rehearsal.KEY)
+    return target.Target(shlex.join([sys.executable, "-S", rehearsal.__file__, folder]), rehearsal.KEY, collection_path="/services/data/v67.0/composite/sobjects")
 
 
 @query(f"""with {_CLUBS}, n as (select count(*) as n, count(*) filter (where email <> '') as c, count(*) filter (where k % 2 = 0) as even, count(*) filter (where k % 2 = 0 and email <> '') as even_c from clubs)

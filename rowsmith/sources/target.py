@@ -11,6 +11,10 @@ anything it asks, in lists of bounded length, which keys are there already: a re
 task finds what the lost one made instead of making it again, and so does a call that
 wasn't answered in time. Equal keys must be in one task, see ``sent``.
 
+Targets with a resource for collections take the records of a task that go together in
+one call for each object; what becomes of a record doesn't depend on the others. If
+such a call fails as a whole, its records are sent one by one.
+
 What the tool prints is JSON; an exit status other than 0 is an error, with the
 message from there. Errors are of a kind: 'duplicate' (a rule of the target refused a
 lookalike), 'refused', 'no answer', 'bad answer'. A record whose creation a duplicate rule
@@ -57,7 +61,8 @@ class Target:
 
     ``objects`` and ``fields`` give the target's names of the plan's objects and of their fields, where they differ;
     ``unique`` the field by which a duplicate is found again; ``direct`` objects are created past the duplicate
-    rules, through ``direct_path`` and with ``direct_header``; ``run`` sets the keys of different imports apart."""
+    rules, through ``direct_path`` and with ``direct_header``; ``run`` sets the keys of different imports apart;
+    ``collection_path`` takes many records in one call, empty: each record is a call."""
 
     command: str
     key_field: str
@@ -69,6 +74,7 @@ class Target:
     direct: tuple[str, ...] = ("contact",)
     direct_path: str = "/services/data/v67.0/sobjects/{object}"
     direct_header: str = "Sforce-Duplicate-Rule-Header:allowSave=true"
+    collection_path: str = ""
 
     def object(self, sobject: str) -> str:
         return self.objects.get(sobject, sobject)
@@ -89,6 +95,11 @@ class Target:
 
     # -- calls
     def _call(self, args: list[str], body: str | None = None) -> object:
+        """The JSON that the tool prints; of a list the first element."""
+        out = self._answer(args, body)
+        return out[0] if isinstance(out, list) and out else out
+
+    def _answer(self, args: list[str], body: str | None = None) -> object:
         """The JSON that the tool prints."""
         line = [*shlex.split(self.command), *args]
         try:
@@ -105,7 +116,7 @@ class Target:
         if done.returncode:
             message = said.get("message") if isinstance(said, dict) else ""
             raise Refused(str(message or done.stdout.strip() or done.stderr.strip())[-300:])
-        return said
+        return out
 
     def _values(self, sobject: str, fields: dict[str, str]) -> str:
         """Fields as the tool's verbs take them: name="value", with quotes escaped."""
@@ -135,6 +146,17 @@ class Target:
     def update(self, sobject: str, ident: str, fields: dict[str, str]) -> None:
         self._call(["data", "update", "record", "--sobject", self.object(sobject), "--record-id", ident, "--values", self._values(sobject, fields), "--json"])
 
+    def collection(self, sobject: str, rows: list[dict], old: bool) -> list[str | LookupError_]:
+        """Ids of new or changed records of an object that go in one call, or errors of their own, in order."""
+        own = lambda r: {"Id": r["id"]} if old else {self.key_field: self.key(r["ref_key"])}
+        records = [{"attributes": {"type": self.object(sobject)}} | {self.name(sobject, k): v for k, v in (r["fields"] or {}).items()} | own(r) for r in rows]
+        header = ["--header", self.direct_header] if sobject in self.direct and not old else []
+        said = self._answer(["api", "request", "rest", self.collection_path, "--method", "PATCH" if old else "POST", "--body", "-", *header], json.dumps({"allOrNone": False, "records": records}))
+        if not isinstance(said, list) or len(said) != len(rows):
+            raise BadAnswer("not an answer for each record")
+        error = lambda x: Refused("; ".join(str(e.get("message") or e) for e in x.get("errors") or []) or "no success")
+        return [x["id"] if x.get("success") else error(x) for x in said]
+
     def made(self, sobject: str, ref_keys: Iterable[str]) -> dict[str, str]:
         """Ids of the records that carry these reference keys, by key."""
         names = {self.key(k): k for k in ref_keys}
@@ -160,6 +182,25 @@ def _kind(e: LookupError_) -> str:
     return "no answer" if isinstance(e, NoAnswer) else "bad answer" if isinstance(e, BadAnswer) else "duplicate" if "duplicate" in str(e).lower() else "refused"
 
 
+def _together(target: Target, rows: list[dict], seen: dict[tuple[str, str], str]) -> dict[int, str | LookupError_]:
+    """By place what became of those of ``rows`` that went in collections; equal keys and ids after the first aren't among them."""
+    groups: dict[tuple[str, bool], dict[str, int]] = {}
+    for n, r in enumerate(rows):
+        old = r["outcome"] == "updated"
+        if old or (r["sobject"], r["ref_key"]) not in seen:
+            groups.setdefault((r["sobject"], old), {}).setdefault(r["id"] if old else r["ref_key"], n)
+    out: dict[int, str | LookupError_] = {}
+    for (sobject, old), places in groups.items():
+        try:
+            out |= zip(places.values(), target.collection(sobject, [rows[n] for n in places.values()], old), strict=True)
+        except ToolMissing:
+            raise
+        except LookupError_:  # some may have been made all the same; the others are sent one by one
+            if not old:
+                seen |= {(sobject, k): i for k, i in target.made(sobject, sorted(places)).items()}
+    return out
+
+
 def send(target: Target, rows: list[dict], seen: dict[tuple[str, str], str] | None = None) -> list[dict]:
     """What became of each of ``rows`` (plan_pos, ref_key, sobject, label, outcome created or updated, id, fields), in order.
     ``seen`` holds ids made earlier in this task, by object and key."""
@@ -167,12 +208,19 @@ def send(target: Target, rows: list[dict], seen: dict[tuple[str, str], str] | No
     for sobject in {r["sobject"] for r in rows}:
         new = {r["ref_key"] for r in rows if r["sobject"] == sobject and r["outcome"] == "created" and (sobject, r["ref_key"]) not in seen}
         seen |= {(sobject, k): i for k, i in target.made(sobject, sorted(new)).items()}
+    sent_ = _together(target, rows, seen) if target.collection_path else {}
     out = []
-    for r in rows:
+    for n, r in enumerate(rows):
         done = {k: r[k] for k in ("plan_pos", "ref_key", "sobject", "label", "outcome", "id")} | {"reason": None, "error": None}
         key, fields = (r["sobject"], r["ref_key"]), dict(r["fields"] or {})
         try:
-            if r["outcome"] == "updated":
+            if isinstance(sent_.get(n), LookupError_):
+                raise sent_[n]
+            if n in sent_:
+                done["id"] = sent_[n]
+                if r["outcome"] == "created":
+                    seen[key] = sent_[n]
+            elif r["outcome"] == "updated":
                 target.update(r["sobject"], r["id"], fields)
             elif key in seen:
                 done["id"] = seen[key]
