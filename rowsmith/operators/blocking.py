@@ -16,10 +16,10 @@ from rowsmith.plans.tables import written
 
 
 def _rarest(places: DataFrame, words: DataFrame) -> DataFrame:
-    """(id, name, word) of (id, name, size, word): for each name its word that stands at the fewest places; none if one of its words occurs nowhere."""
+    """(id, name, word, n) of (id, name, size, word): for each name its word that stands at the fewest places, n; none if one of its words occurs nowhere."""
     counts = places.groupBy("word").agg(F.count("*").alias("n"))
-    best = words.join(counts, "word").groupBy("id", "name", "size").agg(F.count("*").alias("found"), F.min_by("word", F.struct("n", "word")).alias("word"))
-    return best.where("found = size").select("id", "name", "word")
+    best = words.join(counts, "word").groupBy("id", "name", "size").agg(F.count("*").alias("found"), F.min(F.struct("n", "word")).alias("best"))
+    return best.where("found = size").select("id", "name", "best.word", "best.n")
 
 
 def _places(outer: DataFrame, words: DataFrame, cut) -> DataFrame:
@@ -50,29 +50,45 @@ def words_contained(outer: DataFrame, inner: DataFrame) -> DataFrame:
     return met.join(outer.select(F.col("id").alias("outer"), F.col("name").alias("whole")), "outer").where(contains_words(F.col("whole"), F.col("part"))).select("outer", "inner")
 
 
+#: Outer or inner names that may have a middle word, at most, for all its pairs to be met.
+FEW = 64
+
+
 def contained(outer: DataFrame, inner: DataFrame, gram: int = 8) -> DataFrame:
-    """(outer, inner) ids of names (id, name) such that the inner one is part of the outer one, at any place.
+    """(outer, inner) ids of names (id, name) such that the inner one is part of the outer one, at any place."""
+    side = lambda df, i, n: df.select(F.col("id").alias(i), F.col("name").alias(n))
+    met = may_contain(outer, inner, gram).join(side(inner, "inner", "part"), "inner").join(side(outer, "outer", "whole"), "outer")
+    return met.where(F.contains("whole", F.col("part"))).select("outer", "inner").distinct()
+
+
+def may_contain(outer: DataFrame, inner: DataFrame, gram: int = 8) -> DataFrame:
+    """(outer, inner) ids among which are all of ``contained``.
 
     A name of three words or more is met by its middle word that the fewest outer names have: words
-    between spaces stand whole wherever the name does. Shorter ones are met by their first ``gram``
-    characters, for which outer names are cut at every place, and only if there are such names."""
+    between spaces stand whole wherever the name does. Shorter ones, and those whose rarest middle word is in more than
+    ``FEW`` outer names and the rarest of more than ``FEW`` inner ones, are met by the ``gram`` characters of theirs that stand at the fewest places of outer names, which
+    are cut at every place only if there are such names: a word in all names brings no pairs together if something else in them is rare."""
     words = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
     parts = F.split("name", " ")
     cut = inner.withColumn("_middle", F.array_distinct(F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0))), lambda w: w != "")))
     long_ = written(cut.where(F.size("_middle") > 0).select("id", "name", F.size("_middle").alias("size"), F.explode("_middle").alias("word")), "middle-words")
     places = _places(outer, long_, words)
     rare = _rarest(places, long_)
-    pairs = places.select(F.col("id").alias("outer"), "word").join(rare.select(F.col("id").alias("inner"), F.col("name").alias("part"), "word"), "word")
-    hits = pairs.join(outer.select(F.col("id").alias("outer"), F.col("name").alias("whole")), "outer").where(F.contains("whole", F.col("part"))).select("outer", "inner")
-    short = cut.where(F.size("_middle") == 0).where(F.length("name") >= gram)
-    if short.take(1):
-        at = F.sequence(F.lit(1), F.greatest(F.length("name") - gram + 1, F.lit(1)))
-        # Ids and grams meet; a gram moves only if some short name begins with it, texts only for the pairs that met.
-        probe = short.select(F.col("id").alias("inner"), F.col("name").alias("part"), F.substring("name", 1, gram).alias("gram"))
-        grams = outer.select(F.col("id").alias("outer"), F.explode(F.array_distinct(F.transform(at, lambda p: F.substring(F.col("name"), p, F.lit(gram))))).alias("gram"))
-        met = grams.join(probe, "gram").select("outer", "inner", "part")
-        hits = hits.unionByName(met.join(outer.select(F.col("id").alias("outer"), F.col("name").alias("whole")), "outer").where(F.contains("whole", F.col("part"))).select("outer", "inner"))
-    return hits.distinct()
+    rare = written(rare.join(rare.groupBy("word").agg(F.count("*").alias("m")), "word"), "rare-words")
+    # A name shorter than a gram has nothing but its words.
+    frequent = (F.col("n") > FEW) & (F.col("m") > FEW) & (F.length("name") >= gram)
+    side = lambda df, i: df.select(F.col("id").alias(i), "word")
+    met = side(places, "outer").join(side(rare.where(~frequent), "inner"), "word").select("outer", "inner")
+    short = cut.where(F.size("_middle") == 0).where(F.length("name") >= gram).select("id", "name").unionByName(rare.where(frequent).select("id", "name"))
+    if not short.take(1):
+        return met
+    at = F.sequence(F.lit(1), F.greatest(F.length("name") - gram + 1, F.lit(1)))
+    grams = lambda df: df.select("id", F.explode(F.array_distinct(F.transform(at, lambda p: F.substring(F.col("name"), p, F.lit(gram))))).alias("word"))
+    own = written(grams(short), "inner-grams")
+    stand = written(_places(outer, own, lambda c: F.array_distinct(F.transform(at, lambda p: F.substring(c, p, F.lit(gram))))), "outer-grams")
+    counts = stand.groupBy("word").agg(F.count("*").alias("n"))
+    best = own.join(counts, "word", "left").groupBy("id").agg(F.bool_and(F.col("n").isNotNull()).alias("all"), F.min(F.when(F.col("n").isNotNull(), F.struct("n", "word"))).alias("best")).where("all")
+    return met.unionByName(side(stand, "outer").join(best.select(F.col("id").alias("inner"), F.col("best.word").alias("word")), "word").select("outer", "inner"))
 
 
 def substring_containment(a: DataFrame, b: DataFrame, least: int = 8) -> DataFrame:
