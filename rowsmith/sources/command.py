@@ -85,28 +85,35 @@ def flat(record: dict, prefix: str = "") -> dict[str, str]:
 
 # The signs of keys in the order in which a target compares them.
 SIGNS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+# Fixed value: the signs of keys that are digests; between '9' and 'a' there is nothing to read.
+HEX_SIGNS = "0123456789abcdef"
 #: Signs of keys that are looked at to cut a range, behind those that its bounds share.
 DEPTH = 10
+#: Signs of both bounds together that have to be hexadecimal for keys to be taken for digests.
+SURE = 16
 
 
 def key_ranges(low: str, high: str, n: int) -> list[tuple[str | None, str | None]]:
-    """(above, up to) of at most ``n`` ranges that cover all keys, cut evenly between two keys; the outer ones are open."""
+    """(above, up to) of at most ``n`` ranges that cover all keys, cut evenly between two keys; the outer ones are open.
+    Wherever keys stand, they are covered: what their signs are taken for only makes ranges even."""
     same = 0
     while same < min(len(low), len(high)) and low[same] == high[same]:
         same += 1
+    seen = low[same:] + high[same:]
+    all_signs = HEX_SIGNS if len(seen) >= SURE and not set(seen) - set(HEX_SIGNS) and set(seen) & set("abcdef") else SIGNS
 
     def number(key: str) -> int:
         out = 0
         for i in range(DEPTH):
-            sign = key[same + i] if same + i < len(key) else SIGNS[0]
-            out = out * len(SIGNS) + min(len(SIGNS) - 1, sum(c < sign for c in SIGNS))
+            sign = key[same + i] if same + i < len(key) else all_signs[0]
+            out = out * len(all_signs) + min(len(all_signs) - 1, sum(c < sign for c in all_signs))
         return out
 
     def key(number: int) -> str:
         signs = []
         for _ in range(DEPTH):
-            number, k = divmod(number, len(SIGNS))
-            signs.append(SIGNS[k])
+            number, k = divmod(number, len(all_signs))
+            signs.append(all_signs[k])
         return low[:same] + "".join(reversed(signs))
 
     a, b = number(low), number(high)

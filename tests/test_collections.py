@@ -56,3 +56,40 @@ def test_collections_do_what_single_calls_do(tmp_path):
     assert len(calls) <= 7 < 30 < len(single)
     # A call for many that fails as a whole falls back to a call each.
     assert sent("lost", "/GARBLED/composite/sobjects")[:2] == (one, want)
+
+
+def test_pages_do_not_list_the_folder_again(tmp_path, monkeypatch):
+    import os
+
+    place = tmp_path / "account"
+    place.mkdir()
+    ids = sorted(f"ACC_{n:x}é" if n % 7 == 0 else f"ACC_{n:x}" for n in range(300))
+    for i in ids:
+        (place / f"{i}.json").write_text(json.dumps({"Id": i, "name": i[-1]}))
+    calls, real = [], rehearsal.names
+    monkeypatch.setattr(rehearsal, "names", lambda *a: calls.append(a) or real(*a))
+    ask = lambda text: [r["Id"] for r in rehearsal.query(str(tmp_path), text)]
+    assert ask("SELECT Id FROM account ORDER BY Id LIMIT 3") == ids[:3]
+    os.utime(place, (1_700_000_000, 1_700_000_000))  # nothing changed for long
+    calls.clear()
+    got, last = [], ""
+    while page := ask(f"SELECT Id FROM account WHERE Id > '{last}' AND Id <= '{ids[250]}' ORDER BY Id LIMIT 7"):
+        got, last = got + page, page[-1]
+    assert got == ids[:251] and len(calls) == 1
+    assert ask("SELECT Id FROM account WHERE Id >= 'ACC_5' AND Id < 'ACC_7' AND name = '1' ORDER BY Id") == [i for i in ids if "ACC_5" <= i < "ACC_7" and i[-1] == "1"]
+    assert ask("SELECT Id FROM account WHERE Id > 'B'") == [] and ask("SELECT Id FROM account WHERE Id < 'A'") == []
+    assert rehearsal.query(str(tmp_path), "SELECT MIN(Id) low, MAX(Id) high FROM account") == [{"low": ids[0], "high": ids[-1]}] and len(calls) == 1
+    (place / "ACC_00.json").write_text(json.dumps({"Id": "ACC_00"}))  # by whoever
+    (place / f"{ids[0]}.json").unlink()
+    assert ask("SELECT Id FROM account ORDER BY Id LIMIT 2") == ["ACC_00", ids[1]]
+
+
+def test_ranges_of_digests_are_even():
+    import hashlib
+
+    from rowsmith.sources import command
+
+    keys = sorted("SUP_" + hashlib.sha256(str(n).encode()).hexdigest()[:32] for n in range(4000))
+    cut = command.key_ranges(keys[0], keys[-1], 4)
+    sizes = [sum((a is None or k > a) and (b is None or k <= b) for k in keys) for a, b in cut]
+    assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) < 1200
